@@ -142,3 +142,418 @@ register(
         + " FROM risk10",
     ),
 )(lambda spark, sf_dir: rounded(country_risk_daily(clean(spark, sf_dir), variant="weighted10")))
+
+
+# ---- features (W1-W9, J4, M9) ------------------------------------------------------
+from newsrisk.operators import anomalies as AN  # noqa: E402
+from newsrisk.operators import charts as CH  # noqa: E402
+from newsrisk.operators import dashboards as DB  # noqa: E402
+from newsrisk.operators import features as FE  # noqa: E402
+from newsrisk.operators import forecast as FC  # noqa: E402
+from newsrisk.operators import quality as QA  # noqa: E402
+from newsrisk.operators import themes as TH  # noqa: E402
+from newsrisk.sources import sinks  # noqa: E402
+from newsrisk.session import checkpoint_dir  # noqa: E402
+
+_FEAT_OUT = ["lag_1", "lag_2", "lag_3", "lag_7", "lag_14", "roll_mean_7", "roll_std_7", "target_next_day"]
+
+
+def features(spark, sf_dir, kind="dense", calendar=False):
+    return FE.risk_features(risk(spark, sf_dir, kind), calendar=calendar)
+
+
+def _feat_select_sql(src, extra=()):
+    cols = ["date", "CountryCode", S.r("risk_raw")] + [S.r(c) for c in list(extra) + _FEAT_OUT]
+    return f"SELECT {', '.join(cols)} FROM {src}"
+
+
+def _feat_select(df, extra=()):
+    return rounded(df.select("date", "CountryCode", "risk_raw", *extra, *_FEAT_OUT))
+
+
+for _kind in ("dense", "sparse"):
+
+    def _mkf(kind):
+        sfx = "" if kind == "dense" else "_sparse"
+        register(
+            f"risk_features{sfx}",
+            S.with_ctes(_chain(kind, "risk") + [("feat", S.features_body())], _feat_select_sql("feat")),
+        )(lambda spark, sf_dir: _feat_select(features(spark, sf_dir, kind)))
+
+    _mkf(_kind)
+
+register(
+    "fill_calendar",
+    S.with_ctes(_chain("sparse", "risk") + [("filled", S.FILL_CALENDAR)],
+                "SELECT date, CountryCode, ROUND(risk_raw, 10) AS risk_raw, total_events FROM filled"),
+)(lambda spark, sf_dir: rounded(FE.fill_calendar(risk(spark, sf_dir, "sparse")).select(
+    "date", "CountryCode", "risk_raw", "total_events")))
+
+register(
+    "risk_features_calendar",
+    S.with_ctes(
+        _chain("sparse", "risk") + [("filled", S.FILL_CALENDAR), ("feat", S.features_body("filled"))],
+        _feat_select_sql("feat"),
+    ),
+)(lambda spark, sf_dir: _feat_select(features(spark, sf_dir, "sparse", calendar=True)))
+
+_TRAIN_SQL = f"SELECT * FROM feat WHERE {S.not_null(S.FEATURE_COLS + ['target_next_day'])}"
+register(
+    "training_rows",
+    S.with_ctes(_chain("dense", "risk") + [("feat", S.features_body()), ("train", _TRAIN_SQL)],
+                _feat_select_sql("train", ["total_events"])),
+)(lambda spark, sf_dir: _feat_select(FE.training_rows(features(spark, sf_dir)), ["total_events"]))
+
+register(
+    "latest_feature_rows",
+    S.with_ctes(
+        _chain("dense", "risk")
+        + [
+            ("feat", S.features_body()),
+            ("latest", "SELECT * FROM feat QUALIFY ROW_NUMBER() OVER (PARTITION BY CountryCode ORDER BY date DESC) = 1"),
+            ("complete", f"SELECT * FROM latest WHERE {S.not_null(S.FEATURE_COLS)}"),
+        ],
+        _feat_select_sql("complete", ["total_events"]),
+    ),
+)(lambda spark, sf_dir: _feat_select(FE.latest_feature_rows(features(spark, sf_dir)), ["total_events"]))
+
+register(
+    "holdout_split",
+    S.with_ctes(
+        _chain("dense", "risk") + [("feat", S.features_body()), ("train", _TRAIN_SQL)],
+        "SELECT date, CountryCode, date > (SELECT MAX(date) - 14 FROM train) AS is_holdout FROM train",
+    ),
+)(lambda spark, sf_dir: FE.holdout_split(FE.training_rows(features(spark, sf_dir))).select(
+    "date", "CountryCode", "is_holdout"))
+
+register(
+    "time_series_folds",
+    S.with_ctes(
+        _chain("sparse", "risk")
+        + [
+            ("feat", S.features_body()),
+            ("train", _TRAIN_SQL),
+            ("ranked", "SELECT date, CountryCode, ROW_NUMBER() OVER (PARTITION BY CountryCode ORDER BY date) - 1 AS rn, "
+                       "COUNT(*) OVER (PARTITION BY CountryCode) AS n FROM train"),
+        ],
+        "SELECT date, CountryCode, CAST(rn AS BIGINT) AS rn, n, CAST(CASE WHEN n // 6 > 0 AND rn >= n - 5 * (n // 6) "
+        "THEN (rn - (n - 5 * (n // 6))) // (n // 6) END AS INTEGER) AS test_fold FROM ranked",
+    ),
+)(lambda spark, sf_dir: FE.time_series_folds(FE.training_rows(features(spark, sf_dir, "sparse"))).select(
+    "date", "CountryCode", F.col("rn").cast("bigint").alias("rn"), "n", "test_fold"))
+
+
+# ---- panel / rolling z / scaling (A4, W5, M1) ------------------------------------------
+
+def panel(spark, sf_dir, kind="dense"):
+    return AN.country_day_panel(clean(spark, sf_dir, kind))
+
+
+def zpanel(spark, sf_dir, kind="dense"):
+    return AN.rolling_z(panel(spark, sf_dir, kind))
+
+
+_PANEL_DBL = ["AvgTone", "AvgGoldstein", "log_events", "log_mentions"]
+_PANEL_SQL_COLS = "date, CountryCode, EventCount, TotalMentions, TotalArticles, TotalSources, " + ", ".join(
+    S.r(c) for c in _PANEL_DBL)
+
+register(
+    "country_day_panel",
+    S.with_ctes(_chain("dense", "clean") + [("panel", S.PANEL)], f"SELECT {_PANEL_SQL_COLS} FROM panel"),
+)(lambda spark, sf_dir: rounded(panel(spark, sf_dir)))
+
+register(
+    "rolling_z",
+    S.with_ctes(_chain("sparse", "clean") + [("panel", S.PANEL), ("zpanel", S.ROLLING_Z)],
+                "SELECT date, CountryCode, " + ", ".join(S.r(z) for z in AN.Z_COLS) + " FROM zpanel"),
+)(lambda spark, sf_dir: rounded(zpanel(spark, sf_dir, "sparse").select("date", "CountryCode", *AN.Z_COLS)))
+
+register(
+    "feature_scaling",
+    S.with_ctes(_chain("dense", "clean") + [("panel", S.PANEL), ("zpanel", S.ROLLING_Z), ("scaled", S.scaled_body())],
+                "SELECT date, CountryCode, " + ", ".join(S.r(z + "_s") for z in AN.Z_COLS) + " FROM scaled"),
+)(lambda spark, sf_dir: rounded(AN.feature_scaling(zpanel(spark, sf_dir)).select(
+    "date", "CountryCode", *[z + "_s" for z in AN.Z_COLS])))
+
+
+# ---- themes (S3, J1, J2, A5, A6) ---------------------------------------------------------
+
+def _articles(spark, sf_dir):
+    return adapters.articles(spark, sf_dir)
+
+
+_THEME_CHAIN = S.articles_chain() + [("theme_items", S.THEME_ITEMS)]
+
+register(
+    "theme_exploded_counts",
+    S.with_ctes(_THEME_CHAIN, "SELECT theme, COUNT(*) AS mentions FROM theme_items GROUP BY theme"),
+)(lambda spark, sf_dir: TH.theme_counts(_articles(spark, sf_dir)))
+
+register(
+    "top_themes",
+    S.with_ctes(_THEME_CHAIN, S.TOP_THEMES),
+)(lambda spark, sf_dir: TH.top_themes(TH.theme_day_partials(TH.exploded_themes(_articles(spark, sf_dir))), 200))
+
+register(
+    "theme_daily",
+    S.with_ctes(_THEME_CHAIN + [("top_themes", S.TOP_THEMES), ("td", S.THEME_DAILY)],
+                "SELECT date, theme, ArticleCount, ROUND(AvgTone, 10) AS AvgTone FROM td"),
+)(lambda spark, sf_dir: rounded(TH.theme_daily(_articles(spark, sf_dir))))
+
+
+# ---- charts (A10-A15, R1, J3) -------------------------------------------------------------
+
+_DENSE_CLEAN = _chain("dense", "clean")
+_TOP12 = ("top12", "SELECT EventRootCode, EventRootLabel, CAST(SUM(EventCount) AS BIGINT) AS EventCount FROM clean "
+                   "WHERE date IS NOT NULL AND EventRootCode IS NOT NULL AND EventRootLabel IS NOT NULL "
+                   "GROUP BY EventRootCode, EventRootLabel ORDER BY EventCount DESC, EventRootCode LIMIT 12")
+_IN_TOP = ("in_top", "SELECT * FROM clean WHERE date IS NOT NULL AND EventRootLabel IN (SELECT EventRootLabel FROM top12)")
+
+register(
+    "global_daily_volume",
+    S.with_ctes(_DENSE_CLEAN, "SELECT date, CAST(SUM(EventCount) AS BIGINT) AS EventCount FROM clean "
+                              "WHERE date IS NOT NULL GROUP BY date"),
+)(lambda spark, sf_dir: CH.global_daily_volume(clean(spark, sf_dir)))
+
+register(
+    "top_countries",
+    S.with_ctes(_chain("sparse", "clean"),
+                "SELECT CountryCode, CAST(SUM(EventCount) AS BIGINT) AS EventCount FROM clean "
+                "WHERE date IS NOT NULL AND CountryCode IS NOT NULL GROUP BY CountryCode "
+                "ORDER BY EventCount DESC, CountryCode LIMIT 15"),
+)(lambda spark, sf_dir: CH.top_countries(clean(spark, sf_dir, "sparse"), 15))
+
+register(
+    "tone_histogram",
+    S.with_ctes(
+        _DENSE_CLEAN
+        + [
+            ("t", "SELECT AvgTone, EventCount FROM clean WHERE date IS NOT NULL AND AvgTone IS NOT NULL "
+                  "AND NOT isnan(AvgTone)"),
+            ("b", "SELECT CASE WHEN MAX(AvgTone) = MIN(AvgTone) THEN MIN(AvgTone) - 0.5 ELSE MIN(AvgTone) END AS lo, "
+                  "CASE WHEN MAX(AvgTone) = MIN(AvgTone) THEN MAX(AvgTone) + 0.5 ELSE MAX(AvgTone) END AS hi FROM t"),
+            ("c", "SELECT CAST(LEAST(FLOOR((AvgTone - lo) / (hi - lo) * 60), 59) AS INTEGER) AS bin, "
+                  "CAST(SUM(EventCount) AS BIGINT) AS weight FROM t, b GROUP BY 1"),
+            ("s", "SELECT CAST(range AS INTEGER) AS bin FROM range(60)"),
+        ],
+        "SELECT s.bin, ROUND(lo + s.bin * ((hi - lo) / 60), 10) AS bin_lo, "
+        "ROUND(lo + (s.bin + 1) * ((hi - lo) / 60), 10) AS bin_hi, CAST(COALESCE(weight, 0) AS BIGINT) AS weight "
+        "FROM s CROSS JOIN b LEFT JOIN c ON c.bin = s.bin",
+    ),
+)(lambda spark, sf_dir: rounded(CH.tone_histogram(clean(spark, sf_dir), 60)))
+
+register(
+    "top_root_categories",
+    S.with_ctes(_DENSE_CLEAN + [_TOP12], "SELECT * FROM top12"),
+)(lambda spark, sf_dir: CH.top_root_categories(clean(spark, sf_dir), 12))
+
+register(
+    "monthly_root_heatmap",
+    S.with_ctes(
+        _chain("sparse", "clean") + [_TOP12, _IN_TOP],
+        "SELECT EventRootLabel, CAST(date_trunc('month', date) AS DATE) AS month, "
+        "CAST(SUM(EventCount) AS BIGINT) AS EventCount, ROUND(LOG10(SUM(EventCount) + 1.0), 10) AS log_events "
+        "FROM in_top GROUP BY 1, 2",
+    ),
+)(lambda spark, sf_dir: rounded(CH.monthly_root_heatmap(clean(spark, sf_dir, "sparse"), 12)))
+
+register(
+    "tone_boxplot",
+    S.with_ctes(
+        _DENSE_CLEAN
+        + [
+            _TOP12,
+            _IN_TOP,
+            ("v", "SELECT EventRootLabel, AvgTone FROM in_top WHERE AvgTone IS NOT NULL AND NOT isnan(AvgTone)"),
+            ("st", "SELECT EventRootLabel, COUNT(*) AS n, quantile_cont(AvgTone, 0.25) AS q1, "
+                   "quantile_cont(AvgTone, 0.5) AS median, quantile_cont(AvgTone, 0.75) AS q3 "
+                   "FROM v GROUP BY EventRootLabel"),
+        ],
+        "SELECT st.EventRootLabel, n, ROUND(q1, 10) AS q1, ROUND(median, 10) AS median, ROUND(q3, 10) AS q3, "
+        "ROUND(MIN(CASE WHEN AvgTone BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) THEN AvgTone END), 10) "
+        "AS whisker_lo, "
+        "ROUND(MAX(CASE WHEN AvgTone BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) THEN AvgTone END), 10) "
+        "AS whisker_hi, "
+        "CAST(SUM(CASE WHEN AvgTone BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) THEN 0 ELSE 1 END) AS BIGINT) "
+        "AS n_outliers FROM v JOIN st ON v.EventRootLabel = st.EventRootLabel "
+        "GROUP BY st.EventRootLabel, n, q1, median, q3",
+    ),
+)(lambda spark, sf_dir: rounded(CH.tone_boxplot(clean(spark, sf_dir), 12)))
+
+
+# ---- quality (A7-A9, D1-D3) ---------------------------------------------------------------
+
+from newsrisk.operators.clean import CLEAN_COLUMNS  # noqa: E402
+
+_DBL_CLEAN = {"AvgTone", "AvgGoldstein"}
+_NULLS_SQL = " UNION ALL ".join(
+    f"SELECT {i} AS position, '{c}' AS \"column\", CAST(SUM(CASE WHEN {c} IS NULL"
+    + (f" OR isnan({c})" if c in _DBL_CLEAN else "")
+    + ' THEN 1 ELSE 0 END) AS BIGINT) AS missing FROM clean'
+    for i, c in enumerate(CLEAN_COLUMNS)
+)
+
+register("dq_null_counts", S.with_ctes(_DENSE_CLEAN, _NULLS_SQL))(
+    lambda spark, sf_dir: QA.dq_null_counts(clean(spark, sf_dir)))
+
+register(
+    "dq_coverage",
+    S.with_ctes(_DENSE_CLEAN, 'SELECT COUNT(*) AS "rows", MIN(date) AS min_date, MAX(date) AS max_date FROM clean'),
+)(lambda spark, sf_dir: QA.dq_coverage(clean(spark, sf_dir)))
+
+register(
+    "dq_top_roots",
+    S.with_ctes(_DENSE_CLEAN,
+                "SELECT EventRootCode, EventRootLabel, CAST(SUM(EventCount) AS BIGINT) AS EventCount FROM clean "
+                "GROUP BY EventRootCode, EventRootLabel "
+                "ORDER BY EventCount DESC NULLS LAST, EventRootCode ASC NULLS LAST, EventRootLabel LIMIT 10"),
+)(lambda spark, sf_dir: QA.dq_top_roots(clean(spark, sf_dir), 10))
+
+register(
+    "run_log",
+    S.with_ctes(_chain("dense", "extract"),
+                "SELECT 'events_daily_extract' AS file, COUNT(*) AS \"rows\", MIN(SQLDATE) AS min_sqldate, "
+                "MAX(SQLDATE) AS max_sqldate FROM extract"),
+)(lambda spark, sf_dir: QA.run_log(extract(spark, sf_dir), "events_daily_extract"))
+
+
+# ---- dashboards (D4-D6) --------------------------------------------------------------------
+
+_SLICE = dict(start="2024-01-08", end="2024-01-21", countries=["N1", "N4", "N9", "N16"],
+              categories=["Make Public Statement", "Protest", "Fight", "Coerce", "Unknown"])
+_CLEAN_SQL_COLS = _CLEAN_COLS
+
+register(
+    "global_pulse_slice",
+    S.with_ctes(
+        _DENSE_CLEAN,
+        f"SELECT {_CLEAN_SQL_COLS} FROM clean WHERE date IS NOT NULL AND date >= DATE '{_SLICE['start']}' "
+        f"AND date <= DATE '{_SLICE['end']}' AND CountryCode IN ({S.q(_SLICE['countries'])}) "
+        f"AND EventRootLabel IN ({S.q(_SLICE['categories'])})",
+    ),
+)(lambda spark, sf_dir: rounded(DB.global_pulse_slice(clean(spark, sf_dir), **_SLICE)))
+
+_TOPICS = dict(themes=["the", "de", "of", "and", "la", "Il", "The"], start="2024-01-03", end="2024-01-25")
+
+register(
+    "topic_pulse",
+    S.with_ctes(
+        _THEME_CHAIN + [("top_themes", S.TOP_THEMES), ("td", S.THEME_DAILY)],
+        f"SELECT date, theme, ArticleCount, ROUND(AvgTone, 10) AS AvgTone FROM td WHERE date >= DATE '{_TOPICS['start']}' "
+        f"AND date <= DATE '{_TOPICS['end']}' AND theme IN ({S.q(_TOPICS['themes'])})",
+    ),
+)(lambda spark, sf_dir: rounded(DB.topic_pulse(TH.theme_daily(_articles(spark, sf_dir), ordered=False), **_TOPICS)))
+
+_KPI = ["risk_raw", "total_events", "conflict_share", "negative_share", "weighted_avg_tone"]
+register(
+    "latest_kpis",
+    S.with_ctes(
+        _chain("sparse", "risk")
+        + [("rng", "SELECT * FROM risk WHERE date >= DATE '1995-01-01' AND date <= DATE '1997-06-30'"),
+           ("lat", "SELECT * FROM rng QUALIFY date = MAX(date) OVER (PARTITION BY CountryCode)")],
+        "SELECT CountryCode, date AS latest_date, " + ", ".join(
+            f"ROUND(MAX({m}), 10) AS {m}" if m != "total_events" else "MAX(total_events) AS total_events" for m in _KPI)
+        + " FROM lat GROUP BY CountryCode, date",
+    ),
+)(lambda spark, sf_dir: rounded(DB.latest_kpis(risk(spark, sf_dir, "sparse"), "1995-01-01", "1997-06-30")))
+
+
+# ---- sinks round trips (K1-K4, S4-S7) ---------------------------------------------------------
+
+def _scratch(spark, name):
+    import uuid
+
+    return f"{checkpoint_dir(spark).rstrip('/')}/newsrisk-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _csv_roundtrip(spark, sf_dir):
+    ex = extract_events_daily(raw_events(spark, sf_dir), ordered=False)
+    out = _scratch(spark, "extracts")
+    sinks.write_extract_csv(ex, out, "2024-01-01", "2024-01-31")
+    path = readers.latest_extract(spark, out)
+    return rounded(clean_events(readers.read_extract_csv(spark, path)))
+
+
+register("csv_roundtrip", S.with_ctes(_DENSE_CLEAN, f"SELECT {_CLEAN_COLS} FROM clean"))(_csv_roundtrip)
+
+
+def _publish_clean(spark, sf_dir):
+    target = _scratch(spark, "clean") + "/events_daily_clean.parquet"
+    sinks.publish(clean(spark, sf_dir, "sparse"), target, drop_null="date")
+    return rounded(readers.read_clean(spark, target.rsplit("/", 1)[0]))
+
+
+register(
+    "publish_clean",
+    S.with_ctes(_chain("sparse", "clean"), f"SELECT {_CLEAN_COLS} FROM clean WHERE date IS NOT NULL"),
+)(_publish_clean)
+
+
+def _publish_risk(spark, sf_dir):
+    target = _scratch(spark, "risk")
+    sinks.publish(country_risk_daily(clean(spark, sf_dir), ordered=False), target)
+    return rounded(readers.risk_series(spark.read.parquet(target)))
+
+
+register(
+    "risk_series",
+    S.with_ctes(_chain("dense", "risk"),
+                "SELECT date, CountryCode, ROUND(risk_raw, 10) AS risk_raw FROM risk "
+                "WHERE date IS NOT NULL AND CountryCode IS NOT NULL"),
+)(_publish_risk)
+
+
+# ---- scoring / models (rows-only; no SQL oracle) ----------------------------------------------
+
+MODEL_TREES = 300  # isolation forest trees (the published setting)
+FOREST_TREES = 50  # random-forest trees in the registered model queries
+RUN_DATE = "2024-02-01"
+
+
+def _scored(spark, sf_dir, kind="dense"):
+    return AN.detect_anomalies(clean(spark, sf_dir, kind), trees=MODEL_TREES)
+
+
+register("isolation_forest_scores")(
+    lambda spark, sf_dir: _scored(spark, sf_dir).select(
+        "date", "CountryCode", "EventCount", *AN.Z_COLS, "anomaly_score", "anomaly_label"))
+register("top_anomalies")(lambda spark, sf_dir: AN.top_anomalies(_scored(spark, sf_dir), 50))
+register("top_country_anomalies")(lambda spark, sf_dir: AN.top_country_anomalies(_scored(spark, sf_dir)))
+
+register(
+    "top_country",
+    S.with_ctes(_DENSE_CLEAN + [("panel", S.PANEL)],
+                "SELECT CountryCode, CAST(SUM(EventCount) AS BIGINT) AS total_EventCount FROM panel "
+                "GROUP BY CountryCode ORDER BY total_EventCount DESC, CountryCode LIMIT 1"),
+)(lambda spark, sf_dir: AN.top_country(panel(spark, sf_dir)))
+
+
+def _forecast(spark, sf_dir, kind="dense"):
+    return FC.forecast_next_day(features(spark, sf_dir, kind), RUN_DATE, trees=FOREST_TREES)
+
+
+register("forecast_backtest")(
+    lambda spark, sf_dir: FC.forecast_backtest(features(spark, sf_dir), trees=FOREST_TREES))
+register("risk_forecast_next_day")(lambda spark, sf_dir: _forecast(spark, sf_dir))
+register("forecast_cv")(lambda spark, sf_dir: FC.forecast_cv(risk(spark, sf_dir, "sparse"), trees=FOREST_TREES))
+register("permutation_importance")(
+    lambda spark, sf_dir: FC.forecast_cv_importance(risk(spark, sf_dir, "sparse"), trees=FOREST_TREES))
+register("risk_trend_with_forecast")(
+    lambda spark, sf_dir: DB.risk_trend_with_forecast(risk(spark, sf_dir), _forecast(spark, sf_dir)))
+register("forecast_outlook")(lambda spark, sf_dir: DB.forecast_outlook(_forecast(spark, sf_dir), 10))
+
+register(
+    "freshness_checks",
+    S.with_ctes(
+        _chain("dense", "risk")
+        + [
+            ("feat", S.features_body()),
+            ("latest", "SELECT * FROM feat QUALIFY ROW_NUMBER() OVER (PARTITION BY CountryCode ORDER BY date DESC) = 1"),
+            ("fc", f"SELECT date + 1 AS forecast_date FROM latest WHERE {S.not_null(S.FEATURE_COLS)}"),
+        ],
+        "SELECT (SELECT MAX(date) FROM clean) AS clean_max_date, (SELECT MAX(date) FROM risk) AS risk_max_date, "
+        "(SELECT MAX(forecast_date) FROM fc) AS forecast_max_date, (SELECT COUNT(*) FROM fc) AS forecast_rows, "
+        "(SELECT MAX(date) FROM clean) = (SELECT MAX(date) FROM risk) AS risk_matches_clean, "
+        "(SELECT MAX(forecast_date) FROM fc) = (SELECT MAX(date) FROM risk) + 1 AS forecast_is_next_day",
+    ),
+)(lambda spark, sf_dir: QA.freshness_checks(clean(spark, sf_dir), risk(spark, sf_dir), _forecast(spark, sf_dir)))

@@ -114,3 +114,105 @@ def events_chain(kind: str = "dense", upto: str = "clean", window: str = "") ->
 
 def articles_chain() -> list[tuple[str, str]]:
     return [("raw_articles", ARTICLES_SQL)]
+
+
+# ---- features / panel (CTE bodies over `risk` / `clean`) ---------------------
+
+W7 = "PARTITION BY CountryCode ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW"
+WROW = "PARTITION BY CountryCode ORDER BY date"
+
+
+def rolling(col: str, fn: str) -> str:
+    return f"CASE WHEN COUNT({col}) OVER ({W7}) >= 3 THEN {fn}({col}) OVER ({W7}) END"
+
+
+def features_body(src: str = "risk", value: str = "risk_raw") -> str:
+    lags = ", ".join(f"LAG({value}, {k}) OVER ({WROW}) AS lag_{k}" for k in (1, 2, 3, 7, 14))
+    return (
+        f"SELECT *, {lags}, {rolling(value, 'AVG')} AS roll_mean_7, {rolling(value, 'STDDEV_SAMP')} AS roll_std_7, "
+        f"LEAD({value}, 1) OVER ({WROW}) AS target_next_day FROM {src}"
+    )
+
+
+FILL_CALENDAR = """
+SELECT s.date, s.CountryCode, COALESCE(r.risk_raw, 0.0) AS risk_raw, r.total_events
+FROM (SELECT CountryCode, CAST(UNNEST(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date
+      FROM (SELECT CountryCode, MIN(date) AS lo, MAX(date) AS hi FROM risk GROUP BY CountryCode)) s
+LEFT JOIN risk r ON r.CountryCode = s.CountryCode AND r.date = s.date
+"""
+
+FEATURE_COLS = [
+    "lag_1", "lag_2", "lag_3", "lag_7", "lag_14", "roll_mean_7", "roll_std_7",
+    "total_events", "conflict_share", "negative_share", "weighted_avg_tone",
+]
+SERIES_FEATURE_COLS = FEATURE_COLS[:7]
+
+
+def not_null(cols) -> str:
+    return " AND ".join(f"{c} IS NOT NULL" for c in cols)
+
+
+PANEL = """
+SELECT date, CountryCode, EventCount, TotalMentions, TotalArticles, TotalSources,
+       tone_x_events / NULLIF(EventCount, 0) AS AvgTone,
+       gold_x_events / NULLIF(EventCount, 0) AS AvgGoldstein,
+       LN(1 + EventCount) AS log_events, LN(1 + TotalMentions) AS log_mentions
+FROM (
+  SELECT date, CountryCode,
+         CAST(COALESCE(SUM(EventCount), 0) AS BIGINT) AS EventCount,
+         CAST(COALESCE(SUM(TotalMentions), 0) AS BIGINT) AS TotalMentions,
+         CAST(COALESCE(SUM(TotalArticles), 0) AS BIGINT) AS TotalArticles,
+         CAST(COALESCE(SUM(TotalSources), 0) AS BIGINT) AS TotalSources,
+         COALESCE(SUM(AvgTone * EventCount), 0.0) AS tone_x_events,
+         COALESCE(SUM(AvgGoldstein * EventCount), 0.0) AS gold_x_events
+  FROM clean WHERE date IS NOT NULL AND CountryCode IS NOT NULL
+  GROUP BY date, CountryCode)
+"""
+
+Z_SPECS = [
+    ("log_events", "z_events_7d"),
+    ("log_mentions", "z_mentions_7d"),
+    ("AvgTone", "z_tone_7d"),
+    ("AvgGoldstein", "z_goldstein_7d"),
+]
+
+
+def z_expr(col: str) -> str:
+    sd = f"STDDEV_SAMP({col}) OVER ({W7})"
+    return (
+        f"COALESCE(CASE WHEN COUNT({col}) OVER ({W7}) >= 3 AND {sd} > 1e-12 "
+        f"THEN ({col} - AVG({col}) OVER ({W7})) / {sd} END, 0.0)"
+    )
+
+
+ROLLING_Z = "SELECT *, " + ", ".join(f"{z_expr(c)} AS {z}" for c, z in Z_SPECS) + " FROM panel"
+
+
+def scaled_body(src: str = "zpanel") -> str:
+    parts = []
+    for _, z in Z_SPECS:
+        m = f"(SELECT AVG({z}) FROM {src})"
+        s = f"(SELECT STDDEV_POP({z}) FROM {src})"
+        parts.append(f"({z} - {m}) / (CASE WHEN {s} > 1e-12 THEN {s} ELSE 1.0 END) AS {z}_s")
+    return f"SELECT *, {', '.join(parts)} FROM {src}"
+
+
+# ---- themes --------------------------------------------------------------------
+
+THEME_ITEMS = """
+SELECT date, theme, Tone FROM (
+  SELECT dt AS date, UNNEST(string_split(V2Themes, ';')) AS theme,
+         TRY_CAST(string_split(V2Tone, ',')[1] AS DOUBLE) AS Tone
+  FROM raw_articles WHERE V2Themes IS NOT NULL)
+WHERE theme IS NOT NULL AND theme <> ''
+"""
+
+TOP_THEMES = """
+SELECT theme, COUNT(*) AS mentions FROM theme_items GROUP BY theme ORDER BY mentions DESC, theme LIMIT 200
+"""
+
+THEME_DAILY = """
+SELECT date, theme, COUNT(*) AS ArticleCount, AVG(Tone) AS AvgTone
+FROM theme_items WHERE theme IN (SELECT theme FROM top_themes)
+GROUP BY date, theme
+"""

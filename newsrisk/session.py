@@ -51,11 +51,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     unchanged. Only when the setting is absent -- local runs and tests -- do we
     create a scratch folder of our own.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="newsrisk-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path

@@ -88,12 +88,12 @@ def main(argv):
     qs, os_ = queries(), oracle_sql()
     bad = []
     for name in names or list(qs):
-        if name not in os_:
-            t0 = time.time()
-            n = qs[name](spark, sf_dir).count()
-            print(f"ROWS     {name:32s} spark={n:7d} (no oracle) {time.time() - t0:6.2f}s", flush=True)
-            continue
         try:
+            if name not in os_:
+                t0 = time.time()
+                n = qs[name](spark, sf_dir).count()
+                print(f"ROWS     {name:32s} spark={n:7d} (no oracle) {time.time() - t0:6.2f}s", flush=True)
+                continue
             if not compare(spark, con, name, qs[name], os_[name], sf_dir):
                 bad.append(name)
         except Exception as e:  # report and continue
