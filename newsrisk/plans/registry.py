@@ -557,3 +557,74 @@ register(
         "(SELECT MAX(forecast_date) FROM fc) = (SELECT MAX(date) FROM risk) + 1 AS forecast_is_next_day",
     ),
 )(lambda spark, sf_dir: QA.freshness_checks(clean(spark, sf_dir), risk(spark, sf_dir), _forecast(spark, sf_dir)))
+
+
+# ---- column-level steps of the clean layer (P3-P8, J7) ------------------------------------------
+
+from newsrisk.functions.codes import lpad_root_code, normalize_root_code  # noqa: E402
+from newsrisk.functions.scalars import parse_yyyymmdd  # noqa: E402
+
+register(
+    "normalize_codes",
+    S.with_ctes(
+        _chain("dense", "raw_events"),
+        "SELECT raw_code, CASE WHEN length(t) >= 2 THEN t WHEN t IN ('+', '-') THEN t || '0' ELSE lpad(t, 2, '0') END "
+        "AS zfill_code, lpad(raw_code, 2, '0') AS lpad_code, COUNT(*) AS n FROM ("
+        "SELECT EventRootCode AS raw_code, regexp_replace(EventRootCode, '^\\s+|\\s+$', '', 'g') AS t FROM raw_events) "
+        "GROUP BY raw_code, t",
+    ),
+)(lambda spark, sf_dir: raw_events(spark, sf_dir).groupBy(
+    F.col("EventRootCode").alias("raw_code"),
+    normalize_root_code("EventRootCode").alias("zfill_code"),
+    lpad_root_code("EventRootCode").alias("lpad_code"),
+).agg(F.count(F.lit(1)).alias("n")))
+
+register(
+    "label_roots",
+    S.with_ctes(_DENSE_CLEAN, "SELECT EventRootCode, EventRootLabel, COUNT(*) AS n_rows, "
+                              "CAST(SUM(EventCount) AS BIGINT) AS EventCount FROM clean GROUP BY 1, 2"),
+)(lambda spark, sf_dir: clean(spark, sf_dir).groupBy("EventRootCode", "EventRootLabel").agg(
+    F.count(F.lit(1)).alias("n_rows"), F.sum("EventCount").cast("bigint").alias("EventCount")))
+
+register(
+    "tone_bucket",
+    S.with_ctes(_chain("sparse", "clean"), "SELECT ToneBucket, COUNT(*) AS n_rows, "
+                                           "CAST(SUM(EventCount) AS BIGINT) AS EventCount FROM clean GROUP BY 1"),
+)(lambda spark, sf_dir: clean(spark, sf_dir, "sparse").groupBy("ToneBucket").agg(
+    F.count(F.lit(1)).alias("n_rows"), F.sum("EventCount").cast("bigint").alias("EventCount")))
+
+register(
+    "parse_dates",
+    S.with_ctes(_chain("sparse", "extract"),
+                "SELECT DISTINCT CAST(SQLDATE AS VARCHAR) AS SQLDATE, "
+                "CAST(TRY_STRPTIME(CAST(SQLDATE AS VARCHAR), '%Y%m%d') AS DATE) AS date FROM extract"),
+)(lambda spark, sf_dir: extract(spark, sf_dir, "sparse").select(
+    F.col("SQLDATE").cast("string").alias("SQLDATE"), parse_yyyymmdd("SQLDATE").alias("date")).distinct())
+
+
+def _coerce_numeric(spark, sf_dir):
+    """Clean an all-text copy of the extract: every numeric is parsed back from text."""
+    ex = extract(spark, sf_dir)
+    text = ex.select(*[F.col(c).cast("string").alias(c) for c in ex.columns])
+    return rounded(clean_events(text))
+
+
+register("coerce_numeric", S.with_ctes(_DENSE_CLEAN, f"SELECT {_CLEAN_COLS} FROM clean"))(_coerce_numeric)
+
+
+def _naive_mae(spark, sf_dir):
+    rows = FE.holdout_split(FE.training_rows(features(spark, sf_dir, "sparse")))
+    return rounded(rows.groupBy("is_holdout").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.avg(F.abs(F.col("target_next_day") - F.col("risk_raw"))).alias("mae"),
+    ))
+
+
+register(
+    "naive_backtest_mae",
+    S.with_ctes(
+        _chain("sparse", "risk") + [("feat", S.features_body()), ("train", _TRAIN_SQL)],
+        "SELECT is_holdout, COUNT(*) AS n, ROUND(AVG(ABS(target_next_day - risk_raw)), 10) AS mae FROM ("
+        "SELECT *, date > (SELECT MAX(date) - 14 FROM train) AS is_holdout FROM train) GROUP BY is_holdout",
+    ),
+)(_naive_mae)
