@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsrisk.operators.features import rolling_mean_std
+from newsrisk.session import materialize
 
 Z_SPECS = [
     ("log_events", "z_events_7d"),
@@ -75,15 +76,17 @@ def rolling_z(panel: DataFrame, specs=Z_SPECS, window: int = 7, min_rows: int =
 def feature_scaling(df: DataFrame, cols=Z_COLS, suffix: str = "_s") -> DataFrame:
     """Standard scaling with population std; a zero std scales by 1.
 
-    Means and stds are one aggregate, read as scalar subqueries (no join).
+    Means and stds are one aggregate read as a single scalar subquery (no join).
     """
     stats = df.select(
-        *[F.avg(c).alias(f"m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]
-    )
+        F.struct(
+            *[F.avg(c).alias(f"m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]
+        )
+    ).scalar()  # one subquery, executed once and reused by every reference
     out = {}
     for c in cols:
-        m = stats.select(f"m_{c}").scalar()
-        s = stats.select(f"s_{c}").scalar()
+        m = stats.getField(f"m_{c}")
+        s = stats.getField(f"s_{c}")
         scale = F.when(s > F.lit(STD_EPS), s).otherwise(F.lit(1.0))
         out[c + suffix] = (F.col(c) - m) / scale
     return df.withColumns(out)
@@ -245,6 +248,7 @@ def isolation_forest_scores(
     ``approx_percentile`` for very large inputs.
     """
     key_cols = list(key_cols)
+    df = materialize(df)  # fit (count, sample) and scoring all read it once
     forest_df = fit_isolation_forest(df, cols, key_cols, trees, sample, seed)
     forest = forest_df.toPandas()  # bounded: trees x (< 2 * sample) nodes
     n = df.count()
@@ -261,7 +265,7 @@ def isolation_forest_scores(
             pdf["_s"] = -np.power(2.0, -eh / c_psi) if len(x) else np.zeros(0)
             yield pdf
 
-    scored = df.mapInPandas(score, out_schema)
+    scored = materialize(df.mapInPandas(score, out_schema))  # threshold + output share one scoring pass
     pct = F.percentile("_s", F.lit(contamination)) if exact_threshold else F.approx_percentile(
         "_s", F.lit(contamination), 100000
     )

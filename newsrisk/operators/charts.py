@@ -32,8 +32,8 @@ def tone_histogram(clean: DataFrame, bins: int = 60) -> DataFrame:
     returned, empty ones with weight 0 (the bin spine has ``bins`` rows).
     """
     tones = drop_null_dates(clean).where(F.col("AvgTone").isNotNull() & ~F.isnan("AvgTone"))
-    lo0 = tones.select(F.min("AvgTone")).scalar()
-    hi0 = tones.select(F.max("AvgTone")).scalar()
+    bounds = tones.select(F.struct(F.min("AvgTone").alias("lo"), F.max("AvgTone").alias("hi"))).scalar()
+    lo0, hi0 = bounds.getField("lo"), bounds.getField("hi")
     same = hi0 == lo0
     lo = F.when(same, lo0 - F.lit(0.5)).otherwise(lo0)
     hi = F.when(same, hi0 + F.lit(0.5)).otherwise(hi0)

@@ -15,6 +15,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsrisk.session import materialize
 from newsrisk.operators.features import (
     FEATURE_COLS,
     SERIES_FEATURE_COLS,
@@ -72,7 +73,7 @@ def forecast_backtest(
     max_depth: int = 10,
 ) -> DataFrame:
     """Fit on days <= max(date) - holdout_days, report the holdout MAE (one row)."""
-    rows = holdout_split(training_rows(features, feature_cols), holdout_days)
+    rows = materialize(holdout_split(training_rows(features, feature_cols), holdout_days))
     model = fit_forest(rows.where(~F.col("is_holdout")), feature_cols, trees, seed, max_depth)
     pred = model.transform(_assemble(rows.where(F.col("is_holdout")), feature_cols))
     return pred.agg(
@@ -95,6 +96,7 @@ def forecast_next_day(
 
     A country whose latest row lacks a feature gets no forecast.
     """
+    features = materialize(features)  # the fit and the latest-row scoring share it
     model = fit_forest(training_rows(features, feature_cols), feature_cols, trees, seed, max_depth)
     latest = latest_feature_rows(features, feature_cols)
     pred = model.transform(_assemble(latest, feature_cols))
@@ -141,7 +143,7 @@ def forecast_cv(
 
     Each fold is a distributed fit; folds run one after another (n_splits jobs).
     """
-    rows = cv_rows(risk, countries)
+    rows = materialize(cv_rows(risk, countries))  # every fold reads the same rows
     results = []
     for f in range(n_splits):
         train = rows.where(F.coalesce(F.col("test_fold"), F.lit(-1)) < f)
@@ -217,7 +219,7 @@ def forecast_cv_importance(
     max_depth: int = 10,
 ) -> DataFrame:
     """Permutation importance of the last CV fold's model on its test rows."""
-    rows = cv_rows(risk, countries)
+    rows = materialize(cv_rows(risk, countries))
     last = n_splits - 1
     train = rows.where(F.coalesce(F.col("test_fold"), F.lit(-1)) < last)
     test = rows.where(F.col("test_fold") == last)

@@ -58,3 +58,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and cut its lineage.
+
+    Used where one intermediate feeds several jobs (model fits, scoring passes):
+    the upstream plan runs once, and a lost executor re-reads the checkpoint
+    instead of recomputing from the raw scan.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
