@@ -1,0 +1,148 @@
+"""End-to-end jobs (V1 events, V2 themes, V3 risk + forecast, anomalies, refresh).
+
+Each stage writes its table once (Parquet, overwrite) and the next stage reads
+that table back. That cuts lineage at every published table: downstream jobs
+never re-scan raw data, and a lost executor recomputes from the last written
+table, not from the raw scan.
+"""
+
+from __future__ import annotations
+
+import datetime as _dt
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+
+from newsrisk.operators import anomalies as AN
+from newsrisk.operators import forecast as FC
+from newsrisk.operators import quality as QA
+from newsrisk.operators.clean import clean_events
+from newsrisk.operators.events import extract_events_daily
+from newsrisk.operators.features import risk_features
+from newsrisk.operators.risk import country_risk_daily
+from newsrisk.operators.themes import theme_daily
+from newsrisk.sources import readers, sinks
+from newsrisk.sources.readers import DateLike
+
+
+@dataclass
+class Layout:
+    """Folder layout of one deployment (all paths on the shared file system)."""
+
+    root: str
+
+    def _p(self, name: str) -> str:
+        return f"{self.root.rstrip('/')}/{name}"
+
+    @property
+    def extracts(self) -> str:
+        return self._p("extracts")
+
+    @property
+    def processed(self) -> str:
+        return self._p("processed")
+
+    @property
+    def clean(self) -> str:
+        return self._p("processed/events_daily_clean.parquet")
+
+    @property
+    def published_clean(self) -> str:
+        return self._p("published/events_daily_clean")
+
+    @property
+    def risk(self) -> str:
+        return self._p("published/country_risk_daily")
+
+    @property
+    def forecasts(self) -> str:
+        return self._p("published/country_risk_forecasts_next_day")
+
+    @property
+    def anomalies(self) -> str:
+        return self._p("reports/anomalies")
+
+    def themes(self, start: DateLike, end: DateLike) -> str:
+        s, e = str(start).replace("-", ""), str(end).replace("-", "")
+        return self._p(f"published/gkg_theme_daily_{s}_{e}")
+
+
+def run_events(spark: SparkSession, raw: DataFrame, layout: Layout, start: DateLike, end: DateLike) -> dict:
+    """V1: extract (CSV) -> clean (Parquet) -> publish (undated rows dropped)."""
+    extract = extract_events_daily(raw, start, end)
+    path = sinks.write_extract_csv(extract, layout.extracts, start, end)
+    latest = readers.latest_extract(spark, layout.extracts)
+    clean = clean_events(readers.read_extract_csv(spark, latest))
+    sinks.write_parquet(clean, layout.clean)
+    published = readers.read_clean(spark, layout.processed)
+    sinks.publish(published, layout.published_clean, drop_null="date")
+    return {"extract": path, "clean": layout.clean, "published": layout.published_clean}
+
+
+def run_themes(
+    spark: SparkSession, articles: DataFrame, layout: Layout, start: DateLike, end: DateLike, top_k: int = 200
+) -> str:
+    """V2: theme-day table for the top-k themes of the window."""
+    target = layout.themes(start, end)
+    sinks.publish(theme_daily(articles, start, end, top_k=top_k), target)
+    return target
+
+
+def run_risk_forecast(
+    spark: SparkSession,
+    layout: Layout,
+    variant: str = "share_log",
+    run_date: _dt.date | str | None = None,
+    trees: int = 500,
+    seed: int = 42,
+) -> dict:
+    """V3: risk table from the published clean table, then the next-day snapshot."""
+    clean = spark.read.parquet(layout.published_clean)
+    sinks.publish(country_risk_daily(clean, variant=variant), layout.risk)
+    risk = readers.risk_series(
+        spark.read.parquet(layout.risk),
+        ["date", "CountryCode", "total_events", "conflict_share", "negative_share", "weighted_avg_tone", "risk_raw"],
+    )
+    feats = risk_features(risk)
+    backtest = FC.forecast_backtest(feats, trees=trees, seed=seed).first()
+    snapshot = FC.forecast_next_day(feats, run_date, trees=trees, seed=seed)
+    sinks.publish(snapshot, layout.forecasts)
+    return {"risk": layout.risk, "forecasts": layout.forecasts, "backtest_mae": backtest["mae"] if backtest else None}
+
+
+def run_anomalies(spark: SparkSession, layout: Layout, trees: int = 300, seed: int = 42) -> dict:
+    """Anomaly report: scored panel, top-50 CSV, top-country overlay."""
+    clean = readers.read_clean(spark, layout.processed)
+    scored = AN.detect_anomalies(clean, trees=trees, seed=seed)
+    top = sinks.write_top_csv(AN.top_anomalies(scored, 50), f"{layout.anomalies}/top_50_country_day_anomalies.csv")
+    overlay = f"{layout.anomalies}/top_country_eventcount"
+    sinks.write_parquet(AN.top_country_anomalies(scored), overlay)
+    return {"top50": top, "overlay": overlay}
+
+
+def run_refresh(
+    spark: SparkSession,
+    raw: DataFrame,
+    layout: Layout,
+    start: DateLike,
+    end: DateLike,
+    run_date: _dt.date | str | None = None,
+    trees: int = 500,
+) -> DataFrame:
+    """Daily refresh of every table, then the freshness checks (one row)."""
+    run_events(spark, raw, layout, start, end)
+    run_risk_forecast(spark, layout, run_date=run_date, trees=trees)
+    clean = spark.read.parquet(layout.published_clean)
+    risk = spark.read.parquet(layout.risk)
+    forecast = spark.read.parquet(layout.forecasts)
+    return QA.freshness_checks(clean, risk, forecast)
+
+
+def quality_report(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
+    """The data-quality tables of the clean table (coverage, missing values, top roots)."""
+    clean = readers.read_clean(spark, layout.processed)
+    return {
+        "coverage": QA.dq_coverage(clean),
+        "missing": QA.dq_null_counts(clean),
+        "top_roots": QA.dq_top_roots(clean),
+    }
