@@ -649,3 +649,21 @@ def _incremental_extract(spark, sf_dir):
 
 register("incremental_extract", S.with_ctes(_chain("dense", "extract"), f"SELECT {_EXTRACT_COLS} FROM extract"))(
     _incremental_extract)
+
+
+def _parquet_roundtrip(spark, sf_dir):
+    target = _scratch(spark, "processed")
+    sinks.write_parquet(clean(spark, sf_dir), target + "/events_daily_clean.parquet")
+    return rounded(readers.read_clean(spark, target))
+
+
+register("parquet_roundtrip", S.with_ctes(_DENSE_CLEAN, f"SELECT {_CLEAN_COLS} FROM clean"))(_parquet_roundtrip)
+
+
+def _publish_risk_table(spark, sf_dir):
+    target = _scratch(spark, "published") + "/country_risk_daily"
+    sinks.publish(country_risk_daily(clean(spark, sf_dir, "sparse"), ordered=False), target)
+    return rounded(spark.read.parquet(target))
+
+
+register("publish_risk", S.with_ctes(_chain("sparse", "risk"), f"SELECT {_RISK_COLS} FROM risk"))(_publish_risk_table)

@@ -88,3 +88,18 @@ def test_time_series_folds_match_expanding_split(spark):
         for rn in range(start, start + t):
             assert folds[rn] == i
     assert all(folds[rn] is None for rn in range(n - 5 * t))
+
+
+def test_heatmap_wide_fills_zero(spark):
+    from newsrisk.operators.charts import monthly_root_heatmap_wide
+
+    rows = [("20250105", "N1", "14", 5), ("20250210", "N1", "14", 9), ("20250110", "N2", "01", 99)]
+    df = spark.createDataFrame(rows, "SQLDATE string, CountryCode string, EventRootCode string, EventCount long")
+    from newsrisk.operators.clean import clean_events
+
+    full = clean_events(df.selectExpr("*", "CAST(NULL AS STRING) AS AvgTone", "CAST(NULL AS STRING) AS AvgGoldstein",
+                                      "1 AS TotalMentions", "1 AS TotalArticles", "1 AS TotalSources"))
+    wide = {r.EventRootLabel: r for r in monthly_root_heatmap_wide(full, 12).collect()}
+    assert set(wide) == {"Protest", "Make Public Statement"}
+    assert wide["Make Public Statement"]["2025-02-01"] == 0.0
+    assert wide["Protest"]["2025-02-01"] == pytest.approx(1.0)
