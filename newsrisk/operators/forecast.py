@@ -137,26 +137,41 @@ def cv_rows(risk: DataFrame, countries=None) -> DataFrame:
 
 
 def forecast_cv(
-    risk: DataFrame, countries=None, n_splits: int = 5, trees: int = 500, seed: int = 42, max_depth: int = 10
+    risk: DataFrame,
+    countries=None,
+    n_splits: int = 5,
+    trees: int = 500,
+    seed: int = 42,
+    max_depth: int = 10,
+    parallelism: int = 1,
 ) -> DataFrame:
     """Expanding-window CV of the series model; one row per fold plus the mean MAE.
 
-    Each fold is a distributed fit; folds run one after another (n_splits jobs).
+    The fold rows are materialized once; each fold is a distributed fit. With
+    ``parallelism > 1`` folds are submitted from that many threads, as Spark ML's
+    own cross-validator does; each concurrent fit holds its own split
+    statistics in driver memory, so raise it only with driver memory to match.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     rows = materialize(cv_rows(risk, countries))  # every fold reads the same rows
-    results = []
-    for f in range(n_splits):
+
+    def fold(f: int) -> DataFrame:
         train = rows.where(F.coalesce(F.col("test_fold"), F.lit(-1)) < f)
         test = rows.where(F.col("test_fold") == f)
         model = fit_forest(train, SERIES_FEATURE_COLS, trees, seed, max_depth)
         pred = model.transform(_assemble(test, SERIES_FEATURE_COLS))
-        results.append(
-            pred.agg(
-                F.lit(f).alias("fold"),
-                F.count(F.lit(1)).alias("n_test"),
-                F.avg(F.abs(F.col(TARGET) - F.col("prediction"))).alias("mae"),
-            )
+        return pred.agg(
+            F.lit(f).alias("fold"),
+            F.count(F.lit(1)).alias("n_test"),
+            F.avg(F.abs(F.col(TARGET) - F.col("prediction"))).alias("mae"),
         )
+
+    if parallelism > 1:
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            results = list(pool.map(fold, range(n_splits)))
+    else:
+        results = [fold(f) for f in range(n_splits)]
     out = results[0]
     for r in results[1:]:
         out = out.unionByName(r)

@@ -37,6 +37,8 @@ def get_spark(
         builder = builder.master(master)
     conf = dict(SESSION_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        conf["spark.driver.memory"] = "8g"  # local mode: the driver JVM is the only executor
     conf.update(extra_conf or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
