@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsrisk.operators.features import rolling_mean_std
+from newsrisk.operators.quantiles import exact_percentiles
 from newsrisk.session import materialize
 
 Z_SPECS = [
@@ -244,8 +245,8 @@ def isolation_forest_scores(
 
     ``s = -2 ** (-E[h(x)] / c(psi))`` (lower = more isolated) and ``q`` is the
     ``contamination`` quantile of ``s`` over the scored rows; rows below ``q``
-    are labelled -1. The quantile is exact (``percentile``) by default, or
-    ``approx_percentile`` for very large inputs.
+    are labelled -1. The quantile is exact by default (two-pass, see
+    ``quantiles.exact_percentiles``) or ``approx_percentile``.
     """
     key_cols = list(key_cols)
     df = materialize(df)  # fit (count, sample) and scoring all read it once
@@ -266,10 +267,10 @@ def isolation_forest_scores(
             yield pdf
 
     scored = materialize(df.mapInPandas(score, out_schema))  # threshold + output share one scoring pass
-    pct = F.percentile("_s", F.lit(contamination)) if exact_threshold else F.approx_percentile(
-        "_s", F.lit(contamination), 100000
-    )
-    q = scored.select(pct).scalar()
+    if exact_threshold:  # exact quantile without gathering every score in one task
+        q = exact_percentiles(scored, "_s", [contamination]).select("q0").scalar()
+    else:
+        q = scored.select(F.approx_percentile("_s", F.lit(contamination), 100000)).scalar()
     return scored.withColumn("anomaly_score", F.col("_s") - q).withColumn(
         "anomaly_label", F.when(F.col("anomaly_score") < 0, F.lit(-1)).otherwise(F.lit(1))
     ).drop("_s")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsrisk.operators.clean import drop_null_dates
+from newsrisk.operators.quantiles import exact_percentiles
 
 
 def global_daily_volume(clean: DataFrame) -> DataFrame:
@@ -86,21 +87,14 @@ def monthly_root_heatmap_wide(clean: DataFrame, k: int = 12) -> DataFrame:
 def tone_boxplot(clean: DataFrame, k: int = 12) -> DataFrame:
     """Box statistics of AvgTone per top-k label: quartiles, 1.5 IQR whiskers, outliers.
 
-    Pass 1: per-label quartiles (linear interpolation). Pass 2: whiskers are the
-    extreme values inside the fences, outliers the count outside. The stats
-    table has at most k rows and is broadcast into pass 2.
+    Quartiles are exact (linear interpolation) via ``exact_percentiles``;
+    whiskers are the extreme values inside the 1.5 IQR fences and outliers the
+    count outside. The stats table has at most k rows and is broadcast.
     """
     rows = _in_top_labels(clean, k).where(F.col("AvgTone").isNotNull() & ~F.isnan("AvgTone"))
-    q = rows.groupBy("EventRootLabel").agg(
-        F.percentile("AvgTone", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"),
-        F.count(F.lit(1)).alias("n"),
-    )
-    stats = q.select(
-        "EventRootLabel",
-        "n",
-        F.col("_q")[0].alias("q1"),
-        F.col("_q")[1].alias("median"),
-        F.col("_q")[2].alias("q3"),
+    # exact quartiles without gathering a (possibly huge) label group in one task
+    stats = exact_percentiles(rows, "AvgTone", [0.25, 0.5, 0.75], ["EventRootLabel"], broadcast_groups=True).select(
+        "EventRootLabel", "n", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3")
     )
     iqr = F.col("q3") - F.col("q1")
     lo_fence = F.col("q1") - F.lit(1.5) * iqr
