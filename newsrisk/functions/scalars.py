@@ -32,8 +32,9 @@ def parse_yyyymmdd(c: Column | str) -> Column:
 
 
 def yyyymmdd(c: Column | str) -> Column:
-    """DATE -> ``yyyyMMdd`` integer (the raw SQLDATE encoding)."""
-    return F.date_format(_c(c), "yyyyMMdd").cast("bigint")
+    """DATE -> ``yyyyMMdd`` integer (the raw SQLDATE encoding), by arithmetic, not formatting."""
+    d = _c(c)
+    return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("bigint")
 
 
 def safe_divide(a: Column | str, b: Column | str) -> Column:

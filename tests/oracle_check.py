@@ -52,6 +52,17 @@ def rows_of(cols, rows):
     return [tuple(norm(r[i]) for i in order) for r in rows], [cols[i] for i in order]
 
 
+SPARK_TO_DUCK = {
+    "IntegerType": "INTEGER",
+    "LongType": "BIGINT",
+    "DoubleType": "DOUBLE",
+    "StringType": "VARCHAR",
+    "DateType": "DATE",
+    "BooleanType": "BOOLEAN",
+    "TimestampNTZType": "TIMESTAMP",
+}
+
+
 def compare(spark, con, name, fn, sql, sf_dir):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -60,6 +71,11 @@ def compare(spark, con, name, fn, sql, sf_dir):
     res = con.execute(sql)
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
+    stypes = {f.name: SPARK_TO_DUCK.get(type(f.dataType).__name__, str(f.dataType)) for f in sdf.schema.fields}
+    dtypes = {d[0]: str(d[1]) for d in res.description}
+    type_diff = {c: (stypes[c], dtypes.get(c)) for c in stypes if stypes[c] != dtypes.get(c)}
+    if type_diff:
+        print(f"   types differ in {name}: {type_diff}")
     a, acols = rows_of(sdf.columns, srows)
     b, bcols = rows_of(dcols, drows)
     ok_cols = acols == bcols
