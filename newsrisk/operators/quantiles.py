@@ -104,12 +104,13 @@ def exact_percentiles(
     # Groups whose bracket missed (rare; tiny groups): exact percentile on those groups only.
     bad_groups = targets.select(*g, "k").join(good.select(*g, "k"), g + ["k"], "left_anti").select(*g).distinct()
     if bad_groups.limit(1).count():
+        bg = F.broadcast(bad_groups) if broadcast_groups else bad_groups  # bounded only with bounded groups
         fb = (
-            base.join(F.broadcast(bad_groups), g, "left_semi")
+            base.join(bg, g, "left_semi")
             .groupBy(*g)
             .agg(F.count(F.lit(1)).alias("n"), F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs])).alias("_q"))
             .select(*g, "n", F.posexplode("_q").alias("k", "q"))
         )
-        good = good.join(F.broadcast(bad_groups), g, "left_anti").unionByName(fb)
+        good = good.join(bg, g, "left_anti").unionByName(fb)
     out = good.groupBy(*g, "n").agg(*[F.max(F.when(F.col("k") == i, F.col("q"))).alias(f"q{i}") for i in range(k)])
     return out.drop("_g") if single else out

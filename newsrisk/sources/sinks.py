@@ -29,17 +29,46 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     return path
 
 
-def publish(df: DataFrame, target: str, drop_null: str | None = None, partition_by: list[str] | None = None) -> str:
+def _swap_in(spark, staging: str, target: str) -> None:
+    """Replace ``target`` by the fully written ``staging`` folder (delete + rename)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    src, dst = jvm.org.apache.hadoop.fs.Path(staging), jvm.org.apache.hadoop.fs.Path(target)
+    fs = dst.getFileSystem(conf)
+    if fs.exists(dst):
+        fs.delete(dst, True)
+    if not fs.rename(src, dst):
+        raise OSError(f"could not move {staging} to {target}")
+
+
+def publish(
+    df: DataFrame,
+    target: str,
+    drop_null: str | None = None,
+    partition_by: list[str] | None = None,
+    atomic: bool = True,
+) -> str:
     """Full replace of a published table.
 
     ``target`` is a path (contains ``/``) or a catalog table name
     (``saveAsTable``). ``drop_null`` names a column whose null rows are dropped
-    first (the clean table is published without undated rows).
+    first (the clean table is published without undated rows). Paths are
+    written to a staging folder next to the target and swapped in (delete +
+    rename) only after the write job has committed: readers never see a
+    half-written table, a failed or retried job leaves the old table in place,
+    and a DataFrame may even be derived from the table it replaces.
     """
     if drop_null:
         df = df.where(F.col(drop_null).isNotNull())
     if "/" in target:
-        return write_parquet(df, target, partition_by)
+        if not atomic:
+            return write_parquet(df, target, partition_by)
+        import uuid
+
+        staging = f"{target.rstrip('/')}._staging_{uuid.uuid4().hex[:12]}"
+        write_parquet(df, staging, partition_by)
+        _swap_in(df.sparkSession, staging, target)
+        return target
     w = df.write.mode("overwrite").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
