@@ -43,7 +43,7 @@ def exact_percentiles(
     eps = 1.0 / accuracy
     base = df.where(F.col(value).isNotNull() & ~F.isnan(value)).select(*g, F.col(value).cast("double").alias("_v"))
     single = not g
-    if single:  # one global group: a constant key, and its one-row bracket table is broadcast
+    if single:  # one global group: a constant key column
         g, broadcast_groups = ["_g"], True
         base = base.withColumn("_g", F.lit(0))
     k = len(probs)
@@ -74,8 +74,14 @@ def exact_percentiles(
     # groups x targets rows: materialized so both uses below read it without re-running pass 1
     targets = materialize(targets.withColumns({"h": h, "r0": F.floor(h), "r1": F.ceil(h)}))
 
-    tj = F.broadcast(targets) if broadcast_groups else targets  # else AQE picks (and splits skew)
-    j = base.join(tj, g)
+    if single:
+        # attach the k bracket rows to every value with a generator over a scalar subquery
+        # (a join on the constant key would be planned as a nested-loop cross join)
+        arr = targets.select(F.collect_list(F.struct("k", "lo", "hi"))).scalar()
+        j = base.select("*", F.inline(arr))
+    else:
+        tj = F.broadcast(targets) if broadcast_groups else targets  # else AQE picks (and splits skew)
+        j = base.join(tj, g)
     below = j.groupBy(*g, "k").agg(F.sum(F.when(F.col("_v") < F.col("lo"), 1).otherwise(0)).alias("c_below"))
     inside = (
         j.where((F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi")))
@@ -101,16 +107,24 @@ def exact_percentiles(
     )
     good = located.where(ok).select(*g, "k", "n", interp.alias("q"))
 
-    # Groups whose bracket missed (rare; tiny groups): exact percentile on those groups only.
+    # Groups whose bracket missed: recomputed with the exact ``percentile``. A miss
+    # needs a bracket narrower than about one rank, i.e. a group of fewer than
+    # ~accuracy rows, so the fallback only ever gathers small groups.
     bad_groups = targets.select(*g, "k").join(good.select(*g, "k"), g + ["k"], "left_anti").select(*g).distinct()
     if bad_groups.limit(1).count():
-        bg = F.broadcast(bad_groups) if broadcast_groups else bad_groups  # bounded only with bounded groups
-        fb = (
-            base.join(bg, g, "left_semi")
-            .groupBy(*g)
-            .agg(F.count(F.lit(1)).alias("n"), F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs])).alias("_q"))
-            .select(*g, "n", F.posexplode("_q").alias("k", "q"))
-        )
-        good = good.join(bg, g, "left_anti").unionByName(fb)
+        pct = F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs])).alias("_q")
+        if single:  # the one group missed: no join needed
+            good = base.groupBy(*g).agg(F.count(F.lit(1)).alias("n"), pct).select(
+                *g, "n", F.posexplode("_q").alias("k", "q")
+            )
+        else:
+            bg = F.broadcast(bad_groups) if broadcast_groups else bad_groups  # bounded only with bounded groups
+            fb = (
+                base.join(bg, g, "left_semi")
+                .groupBy(*g)
+                .agg(F.count(F.lit(1)).alias("n"), pct)
+                .select(*g, "n", F.posexplode("_q").alias("k", "q"))
+            )
+            good = good.join(bg, g, "left_anti").unionByName(fb)
     out = good.groupBy(*g, "n").agg(*[F.max(F.when(F.col("k") == i, F.col("q"))).alias(f"q{i}") for i in range(k)])
     return out.drop("_g") if single else out

@@ -28,3 +28,11 @@ def test_global_quantile(spark):
     df = spark.range(1001).select((F.col("id") * 0.5).alias("v"))
     row = exact_percentiles(df, "v", [0.01, 0.5]).first()
     assert row.n == 1001 and row.q0 == pytest.approx(5.0) and row.q1 == pytest.approx(250.0)
+
+
+def test_global_quantile_bracket_path(spark):
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([(float(x),) for x in np.round(rng.normal(size=30000), 3)], "v double")
+    got = exact_percentiles(df, "v", [0.01, 0.5]).first()
+    ref = df.select(F.percentile("v", F.array(F.lit(0.01), F.lit(0.5))).alias("q")).first().q
+    assert [got.q0, got.q1] == pytest.approx(ref, abs=1e-12)
