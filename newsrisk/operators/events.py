@@ -8,13 +8,26 @@ from pyspark.sql import functions as F
 from newsrisk.sources.readers import DateLike, scan_window
 
 
+def exact_avg(c: str):
+    """Mean of the non-null values with an exact DECIMAL(38,18) sum.
+
+    A double sum depends on the order Spark merges partial aggregates, so a
+    mean that is exactly on a threshold (a tone of -2.0) could land one ulp
+    either side between runs. Each double is converted via its shortest decimal
+    form, summed exactly, and divided once: the result is the same for any
+    partitioning, retry or engine.
+    """
+    return F.try_divide(F.sum(F.col(c).cast("decimal(38,18)")).cast("double"), F.count(c).cast("double"))
+
+
 def extract_events_daily(raw: DataFrame, start: DateLike = None, end: DateLike = None, ordered: bool = True) -> DataFrame:
     """Partition-pruned daily aggregate of raw events.
 
     The window filter prunes ``dt`` partitions; the group key is the event's own
     ``SQLDATE`` (a different column, kept separate on purpose). Partial hash
     aggregation runs before the shuffle, so a hot country costs one row per
-    task per key, not one row per event.
+    task per key, not one row per event. Averages use exact decimal sums
+    (see ``exact_avg``), so they do not depend on the aggregation order.
     """
     w = scan_window(raw, start, end).where(F.col("ActionGeo_CountryCode").isNotNull())
     out = w.groupBy(
@@ -23,8 +36,8 @@ def extract_events_daily(raw: DataFrame, start: DateLike = None, end: DateLike =
         F.col("EventRootCode"),
     ).agg(
         F.count(F.lit(1)).alias("EventCount"),
-        F.avg("AvgTone").alias("AvgTone"),
-        F.avg("GoldsteinScale").alias("AvgGoldstein"),
+        exact_avg("AvgTone").alias("AvgTone"),
+        exact_avg("GoldsteinScale").alias("AvgGoldstein"),
         F.sum("NumMentions").cast("bigint").alias("TotalMentions"),
         F.sum("NumArticles").cast("bigint").alias("TotalArticles"),
         F.sum("NumSources").cast("bigint").alias("TotalSources"),

@@ -33,7 +33,10 @@ ROOT_LABEL_CASE = (
 
 EXTRACT = """
 SELECT SQLDATE, ActionGeo_CountryCode AS CountryCode, EventRootCode,
-       COUNT(1) AS EventCount, AVG(AvgTone) AS AvgTone, AVG(GoldsteinScale) AS AvgGoldstein,
+       COUNT(1) AS EventCount,
+       CAST(SUM(CAST(CAST(AvgTone AS VARCHAR) AS DECIMAL(38, 18))) AS DOUBLE) / COUNT(AvgTone) AS AvgTone,
+       CAST(SUM(CAST(CAST(GoldsteinScale AS VARCHAR) AS DECIMAL(38, 18))) AS DOUBLE) / COUNT(GoldsteinScale)
+         AS AvgGoldstein,
        CAST(SUM(NumMentions) AS BIGINT) AS TotalMentions,
        CAST(SUM(NumArticles) AS BIGINT) AS TotalArticles,
        CAST(SUM(NumSources) AS BIGINT) AS TotalSources

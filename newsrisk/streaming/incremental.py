@@ -28,9 +28,9 @@ def _partials(events: DataFrame) -> DataFrame:
         .groupBy(F.col("SQLDATE"), F.col("ActionGeo_CountryCode").alias("CountryCode"), F.col("EventRootCode"))
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.sum("AvgTone").alias("tone_sum"),
+            F.sum(F.col("AvgTone").cast("decimal(38,18)")).alias("tone_sum"),
             F.count("AvgTone").alias("tone_n"),
-            F.sum("GoldsteinScale").alias("gold_sum"),
+            F.sum(F.col("GoldsteinScale").cast("decimal(38,18)")).alias("gold_sum"),
             F.count("GoldsteinScale").alias("gold_n"),
             F.sum("NumMentions").alias("mentions"),
             F.sum("NumArticles").alias("articles"),
@@ -70,8 +70,8 @@ def read_incremental_extract(spark: SparkSession, out_path: str) -> DataFrame:
     p = spark.read.parquet(f"{out_path.rstrip('/')}/partials")
     return p.groupBy(*PARTIAL_KEYS).agg(
         F.sum("n").cast("bigint").alias("EventCount"),
-        F.try_divide(F.sum("tone_sum"), F.sum("tone_n").cast("double")).alias("AvgTone"),
-        F.try_divide(F.sum("gold_sum"), F.sum("gold_n").cast("double")).alias("AvgGoldstein"),
+        F.try_divide(F.sum("tone_sum").cast("double"), F.sum("tone_n").cast("double")).alias("AvgTone"),
+        F.try_divide(F.sum("gold_sum").cast("double"), F.sum("gold_n").cast("double")).alias("AvgGoldstein"),
         F.sum("mentions").cast("bigint").alias("TotalMentions"),
         F.sum("articles").cast("bigint").alias("TotalArticles"),
         F.sum("sources").cast("bigint").alias("TotalSources"),
