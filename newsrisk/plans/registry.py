@@ -107,7 +107,7 @@ _EXTRACT_COLS = (
     "SQLDATE, CountryCode, EventRootCode, EventCount, ROUND(AvgTone, 10) AS AvgTone, "
     "ROUND(AvgGoldstein, 10) AS AvgGoldstein, TotalMentions, TotalArticles, TotalSources"
 )
-_CLEAN_COLS = _EXTRACT_COLS.replace("SQLDATE,", "SQLDATE,", 1) + ", date, EventRootLabel, ToneBucket"
+_CLEAN_COLS = _EXTRACT_COLS + ", date, EventRootLabel, ToneBucket"
 _RISK_COLS = (
     "date, CountryCode, total_events, conflict_events, negative_tone_events, "
     + ", ".join(
@@ -115,7 +115,7 @@ _RISK_COLS = (
     )
 )
 
-for _kind, _sfx in (("dense", ""), ("sparse", "_sparse")):
+for _kind in ("dense", "sparse"):
 
     def _mk(kind):
         register(
@@ -421,13 +421,11 @@ register(
 
 _SLICE = dict(start="2024-01-08", end="2024-01-21", countries=["N1", "N4", "N9", "N16"],
               categories=["Make Public Statement", "Protest", "Fight", "Coerce", "Unknown"])
-_CLEAN_SQL_COLS = _CLEAN_COLS
-
 register(
     "global_pulse_slice",
     S.with_ctes(
         _DENSE_CLEAN,
-        f"SELECT {_CLEAN_SQL_COLS} FROM clean WHERE date IS NOT NULL AND date >= DATE '{_SLICE['start']}' "
+        f"SELECT {_CLEAN_COLS} FROM clean WHERE date IS NOT NULL AND date >= DATE '{_SLICE['start']}' "
         f"AND date <= DATE '{_SLICE['end']}' AND CountryCode IN ({S.q(_SLICE['countries'])}) "
         f"AND EventRootLabel IN ({S.q(_SLICE['categories'])})",
     ),

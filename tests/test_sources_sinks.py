@@ -112,3 +112,12 @@ def test_top_csv_single_file(spark, scratch):
     p = sinks.write_top_csv(df, scratch + "/top50")
     parts = [f for f in os.listdir(p) if f.startswith("part-")]
     assert len(parts) == 1
+
+
+def test_publish_may_replace_its_own_source(spark, scratch):
+    target = scratch + "/self"
+    sinks.publish(spark.range(10).withColumnRenamed("id", "v"), target)
+    derived = spark.read.parquet(target).where(F.col("v") % 2 == 0)
+    sinks.publish(derived, target)  # staged write, then swap: the source is intact while it is read
+    assert sorted(r.v for r in spark.read.parquet(target).collect()) == [0, 2, 4, 6, 8]
+    assert not [p for p in os.listdir(scratch) if "_staging_" in p]
