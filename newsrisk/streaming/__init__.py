@@ -1,9 +1,10 @@
 """Streaming form of the daily refresh (incremental extract over new raw partitions)."""
 
 from newsrisk.streaming.incremental import (
+    compact_incremental_extract,
     read_incremental_extract,
     run_incremental_extract,
     start_incremental_extract,
 )
 
-__all__ = ["read_incremental_extract", "run_incremental_extract", "start_incremental_extract"]
+__all__ = ["compact_incremental_extract", "read_incremental_extract", "run_incremental_extract", "start_incremental_extract"]

@@ -9,8 +9,9 @@ retried batch replaces its own output (idempotent sink).
 
 No watermark: an event whose SQLDATE is older than its partition date (late
 coverage) is still counted, exactly as a batch re-extract would count it.
-The extract is the re-aggregation of all partials, whose size is bounded by
-days x countries x roots x batches.
+The extract is the re-aggregation of all partials; ``compact_incremental_extract``
+folds finished batches into one base table so the partials stay bounded by
+days x countries x roots.
 """
 
 from __future__ import annotations
@@ -65,9 +66,81 @@ def start_incremental_extract(
     )
 
 
+def _merge_partials(p: DataFrame) -> DataFrame:
+    """Partials -> partials: one row per key (sums of sums, counts of counts)."""
+    return p.groupBy(*PARTIAL_KEYS).agg(
+        *[F.sum(c).alias(c) for c in ("n", "tone_sum", "tone_n", "gold_sum", "gold_n", "mentions", "articles", "sources")]
+    )
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _batch_dirs(spark: SparkSession, out_path: str) -> list[str]:
+    fs, root = _fs(spark, f"{out_path.rstrip('/')}/partials")
+    if not fs.exists(root):
+        return []
+    return [s.getPath().toString() for s in fs.listStatus(root) if s.getPath().getName().startswith("batch_id=")]
+
+
+def _partials_df(spark: SparkSession, out_path: str) -> DataFrame | None:
+    base = f"{out_path.rstrip('/')}"
+    parts = []
+    fs, bp = _fs(spark, f"{base}/base")
+    if fs.exists(bp):
+        parts.append(spark.read.parquet(f"{base}/base"))
+    dirs = _batch_dirs(spark, out_path)
+    if dirs:
+        parts.append(spark.read.option("basePath", f"{base}/partials").parquet(*dirs).drop("batch_id"))
+    if not parts:
+        return None
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def compact_incremental_extract(spark: SparkSession, out_path: str) -> int:
+    """Fold every finished batch's partials into one ``base`` table; returns batches folded.
+
+    The batch folders present at the start are merged with the current base,
+    written to a staging folder, swapped in as the new base, and only then
+    deleted; batches that land meanwhile are left for the next compaction.
+    Run it between stream runs (not concurrently with another compaction).
+    """
+    import uuid
+
+    base = out_path.rstrip("/")
+    dirs = _batch_dirs(spark, out_path)
+    if not dirs:
+        return 0
+    fs, bp = _fs(spark, f"{base}/base")
+    parts = [spark.read.option("basePath", f"{base}/partials").parquet(*dirs).drop("batch_id")]
+    if fs.exists(bp):
+        parts.insert(0, spark.read.parquet(f"{base}/base"))
+    merged = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    staging = f"{base}/base._staging_{uuid.uuid4().hex[:12]}"
+    _merge_partials(merged).write.mode("overwrite").parquet(staging)
+    jvm = spark.sparkContext._jvm
+    old = f"{base}/base._old_{uuid.uuid4().hex[:12]}"
+    if fs.exists(bp):
+        fs.rename(bp, jvm.org.apache.hadoop.fs.Path(old))
+    fs.rename(jvm.org.apache.hadoop.fs.Path(staging), bp)
+    for d in dirs:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(d), True)
+    if fs.exists(jvm.org.apache.hadoop.fs.Path(old)):
+        fs.delete(jvm.org.apache.hadoop.fs.Path(old), True)
+    return len(dirs)
+
+
 def read_incremental_extract(spark: SparkSession, out_path: str) -> DataFrame:
-    """Merge every batch's partials into the daily extract (same columns as the batch extract)."""
-    p = spark.read.parquet(f"{out_path.rstrip('/')}/partials")
+    """Merge the base and every batch's partials into the daily extract (batch extract columns)."""
+    p = _partials_df(spark, out_path)
+    if p is None:
+        raise FileNotFoundError(f"no partials under {out_path}")
     return p.groupBy(*PARTIAL_KEYS).agg(
         F.sum("n").cast("bigint").alias("EventCount"),
         F.try_divide(F.sum("tone_sum").cast("double"), F.sum("tone_n").cast("double")).alias("AvgTone"),

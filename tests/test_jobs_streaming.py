@@ -5,9 +5,9 @@ import os
 from pyspark.sql import functions as F
 
 from newsrisk.operators.events import extract_events_daily
-from newsrisk.plans.pipelines import Layout, quality_report, run_anomalies, run_refresh, run_themes
+from newsrisk.plans.jobs import Layout, quality_report, run_anomalies, run_refresh, run_themes
 from newsrisk.sources import adapters, sinks
-from newsrisk.streaming import read_incremental_extract, run_incremental_extract
+from newsrisk.streaming import compact_incremental_extract, read_incremental_extract, run_incremental_extract
 
 from conftest import SF_SMALL
 
@@ -29,6 +29,21 @@ def test_incremental_extract_equals_batch(spark, scratch):
     run_incremental_extract(spark, f"{scratch}/raw", f"{scratch}/out", f"{scratch}/ckpt")  # nothing new
     assert len(os.listdir(f"{scratch}/out/partials".replace("file:", ""))) == n_batches
     assert _rows(read_incremental_extract(spark, f"{scratch}/out").select(*cols)) == _rows(batch)
+    assert compact_incremental_extract(spark, f"{scratch}/out") == n_batches
+    assert not os.listdir(f"{scratch}/out/partials")
+    assert _rows(read_incremental_extract(spark, f"{scratch}/out").select(*cols)) == _rows(batch)
+
+
+def test_stream_after_compaction(spark, scratch):
+    raw = adapters.dense_events(spark, SF_SMALL)
+    raw_dir, out, ck = f"{scratch}/raw", f"{scratch}/out", f"{scratch}/ckpt"
+    sinks.write_parquet(raw.where(F.col("dt") < "2024-01-10"), raw_dir, ["dt"])
+    run_incremental_extract(spark, raw_dir, out, ck)
+    compact_incremental_extract(spark, out)
+    raw.where(F.col("dt") >= "2024-01-10").write.mode("append").partitionBy("dt").parquet(raw_dir)
+    got = run_incremental_extract(spark, raw_dir, out, ck)
+    batch = extract_events_daily(raw, ordered=False)
+    assert _rows(got.select(*batch.columns)) == _rows(batch)
 
 
 def test_refresh_end_to_end(spark, scratch):
