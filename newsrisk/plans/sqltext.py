@@ -31,12 +31,20 @@ ROOT_LABEL_CASE = (
     + " ELSE 'Unknown' END"
 )
 
+def stable_avg_sql(x: str) -> str:
+    """Order-stable mean: integer sum of the 2**-20 multiples + double sum of the remainders."""
+    hi = f"CASE WHEN ABS({x}) < {2.0**40} THEN CAST(FLOOR({x} * 1048576.0) AS BIGINT) END"
+    return (
+        f"(CAST(SUM({hi}) AS DOUBLE) / 1048576.0 + SUM({x} - CAST(COALESCE({hi}, 0) AS DOUBLE) / 1048576.0)) "
+        f"/ CAST(COUNT({x}) AS DOUBLE)"
+    )
+
+
 EXTRACT = """
 SELECT SQLDATE, ActionGeo_CountryCode AS CountryCode, EventRootCode,
        COUNT(1) AS EventCount,
-       CAST(SUM(CAST(CAST(AvgTone AS VARCHAR) AS DECIMAL(38, 18))) AS DOUBLE) / COUNT(AvgTone) AS AvgTone,
-       CAST(SUM(CAST(CAST(GoldsteinScale AS VARCHAR) AS DECIMAL(38, 18))) AS DOUBLE) / COUNT(GoldsteinScale)
-         AS AvgGoldstein,
+       {stable_tone} AS AvgTone,
+       {stable_gold} AS AvgGoldstein,
        CAST(SUM(NumMentions) AS BIGINT) AS TotalMentions,
        CAST(SUM(NumArticles) AS BIGINT) AS TotalArticles,
        CAST(SUM(NumSources) AS BIGINT) AS TotalSources
@@ -104,9 +112,12 @@ FROM (
 
 def events_chain(kind: str = "dense", upto: str = "clean", window: str = "") -> list[tuple[str, str]]:
     """CTE chain raw_events -> extract -> clean_norm -> clean -> risk."""
+    extract = EXTRACT.format(
+        window=window, stable_tone=stable_avg_sql("AvgTone"), stable_gold=stable_avg_sql("GoldsteinScale")
+    )
     chain = [
         ("raw_events", RAW_EVENTS_SQL[kind]),
-        ("extract", EXTRACT.format(window=window)),
+        ("extract", extract),
         ("clean_norm", CLEAN_NORM),
         ("clean", CLEAN),
         ("risk", RISK),

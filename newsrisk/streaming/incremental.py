@@ -20,18 +20,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from newsrisk.operators.events import SPLIT_SCALE, split_parts
+
 PARTIAL_KEYS = ["SQLDATE", "CountryCode", "EventRootCode"]
 
 
 def _partials(events: DataFrame) -> DataFrame:
+    """Per-key partial sums; tone/goldstein sums are kept split (see ``stable_avg``)."""
+    tone_hi, tone_lo = split_parts("AvgTone")
+    gold_hi, gold_lo = split_parts("GoldsteinScale")
     return (
         events.where(F.col("ActionGeo_CountryCode").isNotNull())
         .groupBy(F.col("SQLDATE"), F.col("ActionGeo_CountryCode").alias("CountryCode"), F.col("EventRootCode"))
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.sum(F.col("AvgTone").cast("decimal(38,18)")).alias("tone_sum"),
+            F.sum(tone_hi).alias("tone_hi"),
+            F.sum(tone_lo).alias("tone_lo"),
             F.count("AvgTone").alias("tone_n"),
-            F.sum(F.col("GoldsteinScale").cast("decimal(38,18)")).alias("gold_sum"),
+            F.sum(gold_hi).alias("gold_hi"),
+            F.sum(gold_lo).alias("gold_lo"),
             F.count("GoldsteinScale").alias("gold_n"),
             F.sum("NumMentions").alias("mentions"),
             F.sum("NumArticles").alias("articles"),
@@ -69,7 +76,10 @@ def start_incremental_extract(
 def _merge_partials(p: DataFrame) -> DataFrame:
     """Partials -> partials: one row per key (sums of sums, counts of counts)."""
     return p.groupBy(*PARTIAL_KEYS).agg(
-        *[F.sum(c).alias(c) for c in ("n", "tone_sum", "tone_n", "gold_sum", "gold_n", "mentions", "articles", "sources")]
+        *[
+            F.sum(c).alias(c)
+            for c in ("n", "tone_hi", "tone_lo", "tone_n", "gold_hi", "gold_lo", "gold_n", "mentions", "articles", "sources")
+        ]
     )
 
 
@@ -136,6 +146,11 @@ def compact_incremental_extract(spark: SparkSession, out_path: str) -> int:
     return len(dirs)
 
 
+def _mean(prefix: str):
+    total = F.sum(f"{prefix}_hi").cast("double") / F.lit(SPLIT_SCALE) + F.sum(f"{prefix}_lo")
+    return F.try_divide(total, F.sum(f"{prefix}_n").cast("double"))
+
+
 def read_incremental_extract(spark: SparkSession, out_path: str) -> DataFrame:
     """Merge the base and every batch's partials into the daily extract (batch extract columns)."""
     p = _partials_df(spark, out_path)
@@ -143,8 +158,8 @@ def read_incremental_extract(spark: SparkSession, out_path: str) -> DataFrame:
         raise FileNotFoundError(f"no partials under {out_path}")
     return p.groupBy(*PARTIAL_KEYS).agg(
         F.sum("n").cast("bigint").alias("EventCount"),
-        F.try_divide(F.sum("tone_sum").cast("double"), F.sum("tone_n").cast("double")).alias("AvgTone"),
-        F.try_divide(F.sum("gold_sum").cast("double"), F.sum("gold_n").cast("double")).alias("AvgGoldstein"),
+        _mean("tone").alias("AvgTone"),
+        _mean("gold").alias("AvgGoldstein"),
         F.sum("mentions").cast("bigint").alias("TotalMentions"),
         F.sum("articles").cast("bigint").alias("TotalArticles"),
         F.sum("sources").cast("bigint").alias("TotalSources"),
