@@ -71,3 +71,22 @@ def test_country_na_is_a_value(spark, scratch):
     row = read_extract_csv(spark, path).first()
     assert row.CountryCode == "NA"
     assert F is not None
+
+
+def test_stable_avg_is_order_independent(spark):
+    import random
+
+    from newsrisk.operators.events import stable_avg
+
+    vals = [-1.8, -2.2, -2.0] * 50 + [0.1, 0.2, -0.3] * 50 + [random.Random(1).uniform(-9, 9) for _ in range(300)]
+    rows = [("k", v) for v in vals]
+    base = spark.createDataFrame(rows, "k string, v double")
+    outs = set()
+    for parts in (1, 3, 7, 16):
+        shuffled = spark.createDataFrame(random.Random(parts).sample(rows, len(rows)), "k string, v double")
+        outs.add(shuffled.repartition(parts).groupBy("k").agg(stable_avg("v").alias("m")).first().m)
+    assert len(outs) == 1
+    tie = spark.createDataFrame([("k", -1.8), ("k", -2.2), ("k", -2.0)], "k string, v double")
+    for parts in (1, 2, 3):
+        assert tie.repartition(parts).groupBy("k").agg(stable_avg("v").alias("m")).first().m == -2.0
+    assert base.count() == len(vals)
