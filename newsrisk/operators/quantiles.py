@@ -11,8 +11,9 @@ a quantile is found in two passes:
    that set locates the values at ranks ``floor(h)`` and ``ceil(h)``, where
    ``h = p * (n - 1)``, exactly.
 
-A bracket that fails its check (too few values inside) is recomputed with
-Spark's exact ``percentile`` for that group only, so the result is always
+Groups of at most ``accuracy`` rows skip the bracket and use Spark's exact
+``percentile`` directly (their size is bounded by the accuracy); a bracket
+that fails its check is recomputed the same way, so the result is always
 exact. The input is read twice (once per pass); the per-group tables
 in between are tiny and checkpointed. The interpolation is Spark's: ``(ceil(h) - h) * x_lo + (h - floor(h)) * x_hi``.
 """
@@ -74,6 +75,30 @@ def exact_percentiles(
     # groups x targets rows: materialized so both uses below read it without re-running pass 1
     targets = materialize(targets.withColumns({"h": h, "r0": F.floor(h), "r1": F.ceil(h)}))
 
+    # Groups of at most ``accuracy`` rows: exact ``percentile`` directly (bounded by
+    # the accuracy). Larger groups: the bracket pass, which gathers no group.
+    small = targets.where(F.col("n") <= accuracy).select(*g).distinct()
+    large = targets.where(F.col("n") > accuracy)
+    pct = F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs])).alias("_q")
+
+    def direct(groups) -> DataFrame:
+        rows = base if single else base.join(F.broadcast(groups) if broadcast_groups else groups, g, "left_semi")
+        return rows.groupBy(*g).agg(F.count(F.lit(1)).alias("n"), pct).select(
+            *g, "n", F.posexplode("_q").alias("k", "q")
+        )
+
+    parts = []
+    if small.limit(1).count():
+        parts.append(direct(small))
+    if large.limit(1).count():
+        parts.append(_bracketed(base, large, g, single, broadcast_groups, direct))
+    good = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    out = good.groupBy(*g, "n").agg(*[F.max(F.when(F.col("k") == i, F.col("q"))).alias(f"q{i}") for i in range(k)])
+    return out.drop("_g") if single else out
+
+
+def _bracketed(base, targets, g, single, broadcast_groups, direct) -> DataFrame:
+    """Pass 2 for groups larger than the sketch accuracy."""
     if single:
         # attach the k bracket rows to every value with a generator over a scalar subquery
         # (a join on the constant key would be planned as a nested-loop cross join)
@@ -81,7 +106,7 @@ def exact_percentiles(
         j = base.select("*", F.inline(arr))
     else:
         tj = F.broadcast(targets) if broadcast_groups else targets  # else AQE picks (and splits skew)
-        j = base.join(tj, g)
+        j = base.join(tj.select(*g, "k", "lo", "hi"), g)
     below = j.groupBy(*g, "k").agg(F.sum(F.when(F.col("_v") < F.col("lo"), 1).otherwise(0)).alias("c_below"))
     inside = (
         j.where((F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi")))
@@ -106,25 +131,9 @@ def exact_percentiles(
         (F.col("r1") - F.col("h")) * F.col("x0") + (F.col("h") - F.col("r0")) * F.col("x1")
     )
     good = located.where(ok).select(*g, "k", "n", interp.alias("q"))
-
-    # Groups whose bracket missed: recomputed with the exact ``percentile``. A miss
-    # needs a bracket narrower than about one rank, i.e. a group of fewer than
-    # ~accuracy rows, so the fallback only ever gathers small groups.
-    bad_groups = targets.select(*g, "k").join(good.select(*g, "k"), g + ["k"], "left_anti").select(*g).distinct()
-    if bad_groups.limit(1).count():
-        pct = F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs])).alias("_q")
-        if single:  # the one group missed: no join needed
-            good = base.groupBy(*g).agg(F.count(F.lit(1)).alias("n"), pct).select(
-                *g, "n", F.posexplode("_q").alias("k", "q")
-            )
-        else:
-            bg = F.broadcast(bad_groups) if broadcast_groups else bad_groups  # bounded only with bounded groups
-            fb = (
-                base.join(bg, g, "left_semi")
-                .groupBy(*g)
-                .agg(F.count(F.lit(1)).alias("n"), pct)
-                .select(*g, "n", F.posexplode("_q").alias("k", "q"))
-            )
-            good = good.join(bg, g, "left_anti").unionByName(fb)
-    out = good.groupBy(*g, "n").agg(*[F.max(F.when(F.col("k") == i, F.col("q"))).alias(f"q{i}") for i in range(k)])
-    return out.drop("_g") if single else out
+    # A bracket that missed (not expected above the accuracy; kept for exactness): direct percentile.
+    missed = targets.select(*g, "k").join(good.select(*g, "k"), g + ["k"], "left_anti").select(*g).distinct()
+    if missed.limit(1).count():
+        mg = F.broadcast(missed) if broadcast_groups else missed
+        good = good.join(mg, g, "left_anti").unionByName(direct(missed))
+    return good
