@@ -169,6 +169,7 @@ def fit_isolation_forest(
     trees: int = 300,
     sample: int = 256,
     seed: int = 42,
+    n: int | None = None,
 ) -> DataFrame:
     """Fit the forest; returns its node table (bounded: trees x < 2*sample rows).
 
@@ -180,7 +181,7 @@ def fit_isolation_forest(
     ``min(sample, n)`` candidates, the fit reruns without the threshold, so the
     sample is always exactly the lowest-hash rows.
     """
-    n = df.count()
+    n = df.count() if n is None else n
     need = min(sample, n)
     max_depth = int(math.ceil(math.log2(max(need, 2))))
     keys = [F.col(c) for c in key_cols]
@@ -250,9 +251,9 @@ def isolation_forest_scores(
     """
     key_cols = list(key_cols)
     df = materialize(df)  # fit (count, sample) and scoring all read it once
-    forest_df = fit_isolation_forest(df, cols, key_cols, trees, sample, seed)
-    forest = forest_df.toPandas()  # bounded: trees x (< 2 * sample) nodes
     n = df.count()
+    forest_df = fit_isolation_forest(df, cols, key_cols, trees, sample, seed, n)
+    forest = forest_df.toPandas()  # bounded: trees x (< 2 * sample) nodes
     c_psi = float(average_path_length([min(sample, n)])[0])
     bforest = df.sparkSession.sparkContext.broadcast(forest)
 
