@@ -103,3 +103,29 @@ def test_heatmap_wide_fills_zero(spark):
     assert set(wide) == {"Protest", "Make Public Statement"}
     assert wide["Make Public Statement"]["2025-02-01"] == 0.0
     assert wide["Protest"]["2025-02-01"] == pytest.approx(1.0)
+
+
+def test_null_country_dropped_from_country_tables_but_counted(spark):
+    from newsrisk.operators.anomalies import country_day_panel
+    from newsrisk.operators.clean import clean_events
+    from newsrisk.operators.quality import dq_null_counts
+    from newsrisk.operators.risk import country_risk_daily
+
+    rows = [("20250101", None, "14", "3", "-3.0", "1.0", "1", "1", "1"),
+            ("20250101", "NA", "14", "2", "1.0", "1.0", "1", "1", "1")]
+    cols = "SQLDATE string, CountryCode string, EventRootCode string, EventCount string, AvgTone string, " \
+           "AvgGoldstein string, TotalMentions string, TotalArticles string, TotalSources string"
+    clean = clean_events(spark.createDataFrame(rows, cols))
+    assert [r.CountryCode for r in country_risk_daily(clean).collect()] == ["NA"]
+    assert [r.CountryCode for r in country_day_panel(clean).collect()] == ["NA"]
+    missing = {r.column: r.missing for r in dq_null_counts(clean).collect()}
+    assert missing["CountryCode"] == 1 and missing["date"] == 0
+
+
+def test_top_k_ties_broken_by_key(spark):
+    from newsrisk.operators.charts import top_countries
+
+    rows = [("20250101", c, "01", 5) for c in ["C3", "C1", "C2", "C4"]]
+    df = spark.createDataFrame(rows, "SQLDATE string, CountryCode string, EventRootCode string, EventCount long")
+    df = df.selectExpr("*", "CAST('2025-01-01' AS DATE) AS date")
+    assert [r.CountryCode for r in top_countries(df, 2).collect()] == ["C1", "C2"]
