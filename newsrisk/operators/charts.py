@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from newsrisk.operators.clean import drop_null_dates
 from newsrisk.operators.quantiles import exact_percentiles
+from newsrisk.session import materialize
 
 
 def global_daily_volume(clean: DataFrame) -> DataFrame:
@@ -68,10 +69,29 @@ def _in_top_labels(clean: DataFrame, k: int) -> DataFrame:
 
 
 def monthly_root_heatmap(clean: DataFrame, k: int = 12) -> DataFrame:
-    """Long form: (EventRootLabel, month, EventCount, log10(EventCount + 1)) for top-k labels."""
-    rows = _in_top_labels(clean, k)
+    """Long form: (EventRootLabel, month, EventCount, log10(EventCount + 1)) for top-k labels.
+
+    One pass over the clean table: (code, label, month) sums are aggregated and
+    checkpointed (bounded by roots x months); the top-k labels and the heat
+    cells are both derived from that small table.
+    """
+    cells = materialize(
+        drop_null_dates(clean)
+        .groupBy("EventRootCode", "EventRootLabel", F.trunc("date", "MM").alias("month"))
+        .agg(F.sum("EventCount").alias("EventCount"))
+    )
+    top = (
+        cells.where(F.col("EventRootCode").isNotNull() & F.col("EventRootLabel").isNotNull())
+        .groupBy("EventRootCode", "EventRootLabel")
+        .agg(F.sum("EventCount").alias("total"))
+        .orderBy(F.col("total").desc(), "EventRootCode")
+        .limit(k)
+        .select("EventRootLabel")
+        .distinct()
+    )
     return (
-        rows.groupBy("EventRootLabel", F.trunc("date", "MM").alias("month"))
+        cells.join(F.broadcast(top), "EventRootLabel", "left_semi")  # at most k labels
+        .groupBy("EventRootLabel", "month")
         .agg(F.sum("EventCount").cast("bigint").alias("EventCount"))
         .withColumn("log_events", F.log10(F.col("EventCount") + F.lit(1.0)))
     )
