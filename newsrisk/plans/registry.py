@@ -630,16 +630,17 @@ register(
 
 # ---- streaming refresh (E4 as an incremental stream) ----------------------------------------------
 
-from newsrisk.streaming import run_incremental_extract  # noqa: E402
+from newsrisk.streaming import compact_incremental_extract, run_incremental_extract  # noqa: E402
 
 
 def _incremental_extract(spark, sf_dir):
-    """Land the raw events as dt partitions in two deliveries; stream each delivery in."""
+    """Land the raw events as dt partitions in two deliveries; stream each in, compacting between."""
     base = _scratch(spark, "stream")
     raw = raw_events(spark, sf_dir)
     cut = raw.select(F.percentile_approx("dt", 0.5)).first()[0]  # split point: ~half the data
     sinks.write_parquet(raw.where(F.col("dt") < F.lit(cut)), f"{base}/raw", ["dt"])
     run_incremental_extract(spark, f"{base}/raw", f"{base}/out", f"{base}/ckpt", max_files_per_trigger=8)
+    compact_incremental_extract(spark, f"{base}/out")  # fold the first delivery's batches into the base
     raw.where(F.col("dt") >= F.lit(cut)).write.mode("append").partitionBy("dt").parquet(f"{base}/raw")
     out = run_incremental_extract(spark, f"{base}/raw", f"{base}/out", f"{base}/ckpt", max_files_per_trigger=8)
     return rounded(out)
