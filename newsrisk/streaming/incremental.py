@@ -89,61 +89,74 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _batch_dirs(spark: SparkSession, out_path: str) -> list[str]:
-    fs, root = _fs(spark, f"{out_path.rstrip('/')}/partials")
+def _numbered(spark: SparkSession, folder: str, prefix: str) -> list[tuple[int, str]]:
+    """(number, path) of the sub-folders ``<prefix><number>`` of ``folder``."""
+    fs, root = _fs(spark, folder)
     if not fs.exists(root):
         return []
-    return [s.getPath().toString() for s in fs.listStatus(root) if s.getPath().getName().startswith("batch_id=")]
+    out = []
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if name.startswith(prefix) and name[len(prefix):].isdigit():
+            out.append((int(name[len(prefix):]), st.getPath().toString()))
+    return sorted(out)
+
+
+def _state(spark: SparkSession, out_path: str):
+    """Current base (folded up to batch B) and the batch folders after B.
+
+    The base folder is named ``base_upto=<B>``: a reader ignores batch folders
+    at or below B and any older base, so a compaction that died after swapping
+    in its base but before deleting what it folded can never double count.
+    """
+    root = out_path.rstrip("/")
+    bases = _numbered(spark, root, "base_upto=")
+    upto, base = bases[-1] if bases else (-1, None)
+    batches = [(b, p) for b, p in _numbered(spark, f"{root}/partials", "batch_id=") if b > upto]
+    return upto, base, batches, bases
 
 
 def _partials_df(spark: SparkSession, out_path: str) -> DataFrame | None:
-    base = f"{out_path.rstrip('/')}"
-    parts = []
-    fs, bp = _fs(spark, f"{base}/base")
-    if fs.exists(bp):
-        parts.append(spark.read.parquet(f"{base}/base"))
-    dirs = _batch_dirs(spark, out_path)
-    if dirs:
-        parts.append(spark.read.option("basePath", f"{base}/partials").parquet(*dirs).drop("batch_id"))
+    _, base, batches, _ = _state(spark, out_path)
+    parts = [spark.read.parquet(base)] if base else []
+    if batches:
+        root = f"{out_path.rstrip('/')}/partials"
+        parts.append(spark.read.option("basePath", root).parquet(*[p for _, p in batches]).drop("batch_id"))
     if not parts:
         return None
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def compact_incremental_extract(spark: SparkSession, out_path: str) -> int:
-    """Fold every finished batch's partials into one ``base`` table; returns batches folded.
-
-    The batch folders present at the start are merged with the current base,
-    written to a staging folder, swapped in as the new base, and only then
-    deleted; batches that land meanwhile are left for the next compaction.
-    Run it between stream runs (not concurrently with another compaction).
+    """Fold the finished batches into a new base table; returns the number folded.
+
+    The current base and the batch folders after it are merged, written to a
+    staging folder and renamed to ``base_upto=<last batch>``; only then are the
+    older base and the folded batch folders deleted. Batches that land
+    meanwhile have higher ids and stay for the next compaction. A crash at any
+    step leaves a state that reads correctly (see ``_state``). Do not run two
+    compactions of the same output at once.
     """
     import uuid
 
-    base = out_path.rstrip("/")
-    dirs = _batch_dirs(spark, out_path)
-    if not dirs:
+    root = out_path.rstrip("/")
+    upto, base, batches, bases = _state(spark, out_path)
+    if not batches:
         return 0
-    fs, bp = _fs(spark, f"{base}/base")
-    parts = [spark.read.option("basePath", f"{base}/partials").parquet(*dirs).drop("batch_id")]
-    if fs.exists(bp):
-        parts.insert(0, spark.read.parquet(f"{base}/base"))
-    merged = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    staging = f"{base}/base._staging_{uuid.uuid4().hex[:12]}"
+    merged = _partials_df(spark, out_path)
+    new_upto = batches[-1][0]
+    staging = f"{root}/_staging_{uuid.uuid4().hex[:12]}"
     _merge_partials(merged).write.mode("overwrite").parquet(staging)
     jvm = spark.sparkContext._jvm
-    old = f"{base}/base._old_{uuid.uuid4().hex[:12]}"
-    if fs.exists(bp):
-        fs.rename(bp, jvm.org.apache.hadoop.fs.Path(old))
-    fs.rename(jvm.org.apache.hadoop.fs.Path(staging), bp)
-    for d in dirs:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(d), True)
-    if fs.exists(jvm.org.apache.hadoop.fs.Path(old)):
-        fs.delete(jvm.org.apache.hadoop.fs.Path(old), True)
-    return len(dirs)
+    fs, _ = _fs(spark, root)
+    if not fs.rename(jvm.org.apache.hadoop.fs.Path(staging), jvm.org.apache.hadoop.fs.Path(f"{root}/base_upto={new_upto}")):
+        raise OSError(f"could not publish compacted base under {root}")
+    for _, p in bases:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(p), True)
+    for b, p in _numbered(spark, f"{root}/partials", "batch_id="):
+        if b <= new_upto:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(p), True)
+    return len(batches)
 
 
 def _mean(prefix: str):
