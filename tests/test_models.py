@@ -92,3 +92,11 @@ def test_sf_small_end_to_end(spark):
     clean = clean_events(extract_events_daily(adapters.dense_events(spark, SF_SMALL), ordered=False))
     scored = AN.detect_anomalies(clean, trees=30)
     assert scored.count() == AN.country_day_panel(clean).count()
+
+
+def test_forest_sampling_path_for_large_inputs(spark):
+    df = _blob(spark, n=6000, outliers=0)  # 8 * 256 / 6000 < 1: the hash pre-filter path
+    forest = AN.fit_isolation_forest(df, ["a", "b"], ["date", "CountryCode"], trees=40, sample=256).toPandas()
+    roots = forest[forest["node"] == 0]
+    assert len(roots) == 40 and (roots["size"] == 256).all()
+    assert forest.groupby("tree")["node"].count().max() < 2 * 256
