@@ -14,11 +14,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsrisk.operators.clean import clean_events
+from newsrisk.functions.codes import lpad_root_code, normalize_root_code
+from newsrisk.functions.scalars import parse_yyyymmdd
+from newsrisk.operators import anomalies as AN
+from newsrisk.operators import charts as CH
+from newsrisk.operators import dashboards as DB
+from newsrisk.operators import features as FE
+from newsrisk.operators import forecast as FC
+from newsrisk.operators import quality as QA
+from newsrisk.operators import themes as TH
+from newsrisk.operators.clean import CLEAN_COLUMNS, clean_events
 from newsrisk.operators.events import extract_events_daily
 from newsrisk.operators.risk import country_risk_daily
 from newsrisk.plans import sqltext as S
-from newsrisk.sources import adapters, readers
+from newsrisk.session import checkpoint_dir
+from newsrisk.sources import adapters, readers, sinks
+from newsrisk.streaming import compact_incremental_extract, run_incremental_extract
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -145,15 +156,6 @@ register(
 
 
 # ---- features (W1-W9, J4, M9) ------------------------------------------------------
-from newsrisk.operators import anomalies as AN  # noqa: E402
-from newsrisk.operators import charts as CH  # noqa: E402
-from newsrisk.operators import dashboards as DB  # noqa: E402
-from newsrisk.operators import features as FE  # noqa: E402
-from newsrisk.operators import forecast as FC  # noqa: E402
-from newsrisk.operators import quality as QA  # noqa: E402
-from newsrisk.operators import themes as TH  # noqa: E402
-from newsrisk.sources import sinks  # noqa: E402
-from newsrisk.session import checkpoint_dir  # noqa: E402
 
 _FEAT_OUT = ["lag_1", "lag_2", "lag_3", "lag_7", "lag_14", "roll_mean_7", "roll_std_7", "target_next_day"]
 
@@ -383,7 +385,6 @@ register(
 
 # ---- quality (A7-A9, D1-D3) ---------------------------------------------------------------
 
-from newsrisk.operators.clean import CLEAN_COLUMNS  # noqa: E402
 
 _DBL_CLEAN = {"AvgTone", "AvgGoldstein"}
 _NULLS_SQL = " UNION ALL ".join(
@@ -559,8 +560,6 @@ register(
 
 # ---- column-level steps of the clean layer (P3-P8, J7) ------------------------------------------
 
-from newsrisk.functions.codes import lpad_root_code, normalize_root_code  # noqa: E402
-from newsrisk.functions.scalars import parse_yyyymmdd  # noqa: E402
 
 register(
     "normalize_codes",
@@ -630,7 +629,6 @@ register(
 
 # ---- streaming refresh (E4 as an incremental stream) ----------------------------------------------
 
-from newsrisk.streaming import compact_incremental_extract, run_incremental_extract  # noqa: E402
 
 
 def _incremental_extract(spark, sf_dir):
