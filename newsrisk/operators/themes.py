@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsrisk.functions.scalars import first_csv_double
-from newsrisk.session import checkpoint_dir
+from newsrisk.session import bounded_broadcast, checkpoint_dir
 from newsrisk.sources.readers import DateLike, pick_field, scan_window
 
 THEME_FIELDS = ["V2Themes", "Themes"]
@@ -80,7 +80,7 @@ def theme_daily(
         checkpoint_dir(articles.sparkSession)
         partials = partials.checkpoint(eager=True)
     top = top_themes(partials, top_k).select("theme")
-    out = partials.join(F.broadcast(top), "theme").select(
+    out = partials.join(bounded_broadcast(top, top_k), "theme").select(
         "date",
         "theme",
         F.col("n").cast("bigint").alias("ArticleCount"),

@@ -73,3 +73,15 @@ def materialize(df):
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+# Largest row bound for which a join side is broadcast explicitly; above it the
+# join is left to AQE (runtime size check, shuffle join otherwise).
+BROADCAST_MAX_ROWS = 100_000
+
+
+def bounded_broadcast(df, max_rows: int):
+    """Broadcast ``df`` when its row count is bounded by ``max_rows`` <= BROADCAST_MAX_ROWS."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if max_rows <= BROADCAST_MAX_ROWS else df
