@@ -100,3 +100,54 @@ def test_forest_sampling_path_for_large_inputs(spark):
     roots = forest[forest["node"] == 0]
     assert len(roots) == 40 and (roots["size"] == 256).all()
     assert forest.groupby("tree")["node"].count().max() < 2 * 256
+
+
+def test_scores_match_brute_force_walk(spark):
+    """Distributed scoring + threshold vs a plain recursive walk over the same forest."""
+    import math
+
+    df = _blob(spark, n=300, outliers=3)
+    cols, keys, trees = ["a", "b"], ["date", "CountryCode"], 25
+    forest = AN.fit_isolation_forest(df, cols, keys, trees=trees).toPandas()
+    scored = {(r.date, r.CountryCode): (r.anomaly_score, r.anomaly_label)
+              for r in AN.isolation_forest_scores(df, cols, keys, trees=trees).collect()}
+
+    def c(n):
+        return 0.0 if n <= 1 else 1.0 if n == 2 else 2 * (math.log(n - 1) + 0.5772156649015329) - 2 * (n - 1) / n
+
+    nodes = {(int(t.tree), int(t.node)): t for t in forest.itertuples()}
+
+    def depth(tree, node, x, d=0):
+        t = nodes[(tree, node)]
+        if t.feature < 0:
+            return d + c(t.size)
+        nxt = t.left if x[t.feature] < t.threshold else t.right
+        return depth(tree, int(nxt), x, d + 1)
+
+    rows = df.collect()
+    raw = []
+    for r in rows:
+        e = sum(depth(t, 0, (r.a, r.b)) for t in range(trees)) / trees
+        raw.append(-(2.0 ** (-e / c(min(256, len(rows))))))
+    q = float(np.percentile(raw, 1.0))
+    for r, s in zip(rows, raw):
+        got_score, got_label = scored[(r.date, r.CountryCode)]
+        assert got_score == pytest.approx(s - q, abs=1e-12)
+        assert got_label == (-1 if s - q < 0 else 1)
+
+
+def test_permutation_importance_invariants(spark):
+    from newsrisk.operators.features import SERIES_FEATURE_COLS, TARGET
+
+    rng = np.random.default_rng(7)
+    rows = []
+    for i in range(120):
+        f = {c: float(rng.normal()) for c in SERIES_FEATURE_COLS}
+        f["lag_7"] = 1.0  # constant: permuting it cannot change any prediction
+        rows.append((dt.date(2024, 1, 1) + dt.timedelta(days=i), "C", 3.0 * f["lag_1"], *[f[c] for c in SERIES_FEATURE_COLS]))
+    schema = "date date, CountryCode string, " + f"{TARGET} double, " + ", ".join(f"{c} double" for c in SERIES_FEATURE_COLS)
+    df = spark.createDataFrame(rows, schema)
+    model = FC.fit_forest(df, SERIES_FEATURE_COLS, trees=20, seed=1, max_depth=6)
+    imp = {r.feature: r.importance for r in FC.permutation_importance(model, df, SERIES_FEATURE_COLS, 5, 3).collect()}
+    assert imp["lag_7"] == 0.0
+    assert max(imp, key=imp.get) == "lag_1" and imp["lag_1"] > 0.5
