@@ -149,5 +149,5 @@ def test_permutation_importance_invariants(spark):
     df = spark.createDataFrame(rows, schema)
     model = FC.fit_forest(df, SERIES_FEATURE_COLS, trees=20, seed=1, max_depth=6)
     imp = {r.feature: r.importance for r in FC.permutation_importance(model, df, SERIES_FEATURE_COLS, 5, 3).collect()}
-    assert imp["lag_7"] == 0.0
+    assert abs(imp["lag_7"]) < 1e-12  # same residuals, summed in another order
     assert max(imp, key=imp.get) == "lag_1" and imp["lag_1"] > 0.5
