@@ -78,3 +78,19 @@ def test_compaction_crash_leftovers_not_double_counted(spark, scratch):
     spark.read.parquet(f"{out}/{base[0]}").write.parquet(f"{out}/partials/batch_id=0")
     batch = extract_events_daily(raw, ordered=False)
     assert _rows(read_incremental_extract(spark, out).select(*batch.columns)) == _rows(batch)
+
+
+def test_command_line(spark, scratch, capsys):
+    import json
+
+    from newsrisk.__main__ import main
+
+    sinks.write_parquet(adapters.dense_events(spark, SF_SMALL), f"{scratch}/raw", ["dt"])
+    root = f"{scratch}/deploy"
+    common = ["--root", root, "--shuffle-partitions", "8"]
+    assert main(["events", "--raw", f"{scratch}/raw", "--start", "2024-01-01", "--end", "2024-01-31", *common]) == 0
+    assert main(["risk-forecast", "--run-date", "2024-02-01", "--trees", "5", *common]) == 0
+    assert main(["quality", *common]) == 0
+    out = capsys.readouterr().out.strip().splitlines()
+    report = json.loads(out[-1])
+    assert report["coverage"][0]["rows"] > 0
