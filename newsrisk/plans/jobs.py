@@ -12,6 +12,7 @@ import datetime as _dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from newsrisk.operators import anomalies as AN
 from newsrisk.operators import forecast as FC
@@ -62,21 +63,27 @@ class Layout:
     def anomalies(self) -> str:
         return self._p("reports/anomalies")
 
+    @property
+    def run_log(self) -> str:
+        return self._p("reports/runlogs/latest")
+
     def themes(self, start: DateLike, end: DateLike) -> str:
         s, e = str(start).replace("-", ""), str(end).replace("-", "")
         return self._p(f"published/gkg_theme_daily_{s}_{e}")
 
 
 def run_events(spark: SparkSession, raw: DataFrame, layout: Layout, start: DateLike, end: DateLike) -> dict:
-    """V1: extract (CSV) -> clean (Parquet) -> publish (undated rows dropped)."""
+    """V1: extract (CSV) -> run log -> clean (Parquet) -> publish (undated rows dropped)."""
     extract = extract_events_daily(raw, start, end)
     path = sinks.write_extract_csv(extract, layout.extracts, start, end)
     latest = readers.latest_extract(spark, layout.extracts)
+    log = QA.run_log(readers.read_extract_csv(spark, latest), latest.rsplit("/", 1)[-1])
+    sinks.publish(log.withColumn("run_timestamp", F.current_timestamp()), layout.run_log)  # latest run only
     clean = clean_events(readers.read_extract_csv(spark, latest))
     sinks.write_parquet(clean, layout.clean)
     published = readers.read_clean(spark, layout.processed)
     sinks.publish(published, layout.published_clean, drop_null="date")
-    return {"extract": path, "clean": layout.clean, "published": layout.published_clean}
+    return {"extract": path, "run_log": layout.run_log, "clean": layout.clean, "published": layout.published_clean}
 
 
 def run_themes(

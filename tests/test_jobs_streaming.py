@@ -54,6 +54,8 @@ def test_refresh_end_to_end(spark, scratch):
     assert checks.forecast_rows == 25
     rep = quality_report(spark, layout)
     assert rep["coverage"].first()["rows"] == 3995
+    log = spark.read.parquet(layout.run_log).first()
+    assert log.rows == 3995 and log.file == "events_daily_20240101_20240131.csv" and log.min_sqldate == "20240101"
     out = run_anomalies(spark, layout, trees=20)
     top = spark.read.option("header", True).csv(out["top50"])
     assert top.count() == 50
