@@ -130,3 +130,22 @@ def tone_boxplot(clean: DataFrame, k: int = 12) -> DataFrame:
             F.sum(F.when(inside, 0).otherwise(1)).cast("bigint").alias("n_outliers"),
         )
     )
+
+
+def tone_outliers(clean: DataFrame, k: int = 12) -> DataFrame:
+    """The box plot's fliers: rows of the top-k labels whose AvgTone is outside the 1.5 IQR fences.
+
+    A distributed filter against the (at most k rows) quartile table; the
+    number of fliers is not bounded, so they are returned as a DataFrame.
+    """
+    rows = _in_top_labels(clean, k).where(F.col("AvgTone").isNotNull() & ~F.isnan("AvgTone"))
+    stats = exact_percentiles(
+        rows, "AvgTone", [0.25, 0.75], ["EventRootLabel"], broadcast_groups=k <= BROADCAST_MAX_ROWS
+    ).select("EventRootLabel", F.col("q0").alias("q1"), F.col("q1").alias("q3"))
+    iqr = F.col("q3") - F.col("q1")
+    outside = (F.col("AvgTone") < F.col("q1") - F.lit(1.5) * iqr) | (F.col("AvgTone") > F.col("q3") + F.lit(1.5) * iqr)
+    return (
+        rows.join(bounded_broadcast(stats, k), "EventRootLabel")
+        .where(outside)
+        .select("EventRootLabel", "date", "CountryCode", "EventRootCode", "AvgTone")
+    )

@@ -383,6 +383,24 @@ register(
 )(lambda spark, sf_dir: rounded(CH.tone_boxplot(clean(spark, sf_dir), 12)))
 
 
+register(
+    "tone_boxplot_outliers",
+    S.with_ctes(
+        _DENSE_CLEAN
+        + [
+            _TOP12,
+            _IN_TOP,
+            ("v", "SELECT * FROM in_top WHERE AvgTone IS NOT NULL AND NOT isnan(AvgTone)"),
+            ("st", "SELECT EventRootLabel, quantile_cont(AvgTone, 0.25) AS q1, quantile_cont(AvgTone, 0.75) AS q3 "
+                   "FROM v GROUP BY EventRootLabel"),
+        ],
+        "SELECT v.EventRootLabel, date, CountryCode, EventRootCode, ROUND(AvgTone, 10) AS AvgTone "
+        "FROM v JOIN st ON v.EventRootLabel = st.EventRootLabel "
+        "WHERE AvgTone < q1 - 1.5 * (q3 - q1) OR AvgTone > q3 + 1.5 * (q3 - q1)",
+    ),
+)(lambda spark, sf_dir: rounded(CH.tone_outliers(clean(spark, sf_dir), 12)))
+
+
 # ---- quality (A7-A9, D1-D3) ---------------------------------------------------------------
 
 
