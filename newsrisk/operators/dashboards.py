@@ -79,17 +79,18 @@ def risk_trend_with_forecast(risk: DataFrame, forecast: DataFrame) -> DataFrame:
     )
 
 
-def forecast_outlook(forecast: DataFrame, k: int = 10) -> DataFrame:
-    """Latest forecast date only: countries ranked by predicted risk, with delta."""
+def forecast_outlook(forecast: DataFrame, k: int | None = 10) -> DataFrame:
+    """Latest forecast date only: countries ranked by predicted risk, with delta.
+
+    ``k=None`` returns every country (the map view); otherwise the top ``k``.
+    """
     latest = forecast.where(F.col("forecast_date") == forecast.select(F.max("forecast_date")).scalar())
-    return (
-        latest.select(
-            "forecast_date",
-            "CountryCode",
-            "pred_risk_next_day",
-            "risk_as_of",
-            (F.col("pred_risk_next_day") - F.col("risk_as_of")).alias("pred_delta"),
-        )
-        .orderBy(F.col("pred_risk_next_day").desc(), "CountryCode")
-        .limit(k)
+    out = latest.select(
+        "forecast_date",
+        "CountryCode",
+        "pred_risk_next_day",
+        "risk_as_of",
+        (F.col("pred_risk_next_day") - F.col("risk_as_of")).alias("pred_delta"),
     )
+    ranked = out.orderBy(F.col("pred_risk_next_day").desc(), "CountryCode")
+    return ranked if k is None else ranked.limit(k)
