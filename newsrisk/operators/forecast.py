@@ -143,14 +143,16 @@ def forecast_cv(
     trees: int = 500,
     seed: int = 42,
     max_depth: int = 10,
-    parallelism: int = 1,
+    parallelism: int | None = None,
 ) -> DataFrame:
     """Expanding-window CV of the series model; one row per fold plus the mean MAE.
 
     The fold rows are materialized once; each fold is a distributed fit. With
     ``parallelism > 1`` folds are submitted from that many threads, as Spark ML's
     own cross-validator does; each concurrent fit holds its own split
-    statistics in driver memory, so raise it only with driver memory to match.
+    statistics in driver memory (bounded by ``maxMemoryInMB``, 256 MB), so the
+    default (``None``) runs all folds at once only when the driver has at least
+    4 GB, and one at a time otherwise.
     """
     from concurrent.futures import ThreadPoolExecutor
 
@@ -167,6 +169,8 @@ def forecast_cv(
             F.avg(F.abs(F.col(TARGET) - F.col("prediction"))).alias("mae"),
         )
 
+    if parallelism is None:
+        parallelism = n_splits if _driver_memory_mb(risk.sparkSession) >= 4096 else 1
     if parallelism > 1:
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
             results = list(pool.map(fold, range(n_splits)))
@@ -178,6 +182,17 @@ def forecast_cv(
     return out.withColumn("mean_mae", out.select(F.avg("mae")).scalar())
 
 
+def _driver_memory_mb(spark) -> int:
+    """Configured driver memory in MB (Spark's default 1g when unset)."""
+    raw = spark.sparkContext.getConf().get("spark.driver.memory", "1g").strip().lower()
+    units = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}
+    if raw and raw[-1] in units:
+        return int(float(raw[:-1]) * units[raw[-1]])
+    if raw.endswith("b") and raw[-2:-1] in units:
+        return int(float(raw[:-2]) * units[raw[-2]])
+    return int(int(raw) / (1024 * 1024)) if raw.isdigit() else 1024
+
+
 def permutation_importance(
     model,
     test: DataFrame,
