@@ -59,9 +59,28 @@ def _assemble(df: DataFrame, feature_cols) -> DataFrame:
     return VectorAssembler(inputCols=list(feature_cols), outputCol="features").transform(df)
 
 
-def fit_forest(train: DataFrame, feature_cols=FEATURE_COLS, trees: int = 500, seed: int = 42, max_depth: int = 10):
-    """Distributed Spark ML forest fit (bootstrap per tree, ``seed``-determined)."""
-    return _forest(trees, seed, max_depth).fit(_assemble(train, feature_cols))
+FIT_PARTITIONS = 8  # fixed input layout of a fit (the country-day training set is small)
+
+
+def fit_forest(
+    train: DataFrame,
+    feature_cols=FEATURE_COLS,
+    trees: int = 500,
+    seed: int = 42,
+    max_depth: int = 10,
+    partitions: int = FIT_PARTITIONS,
+):
+    """Distributed Spark ML forest fit (bootstrap per tree, ``seed``-determined).
+
+    Spark ML draws each partition's bootstrap weights from the seed and the
+    partition index, so the model depends on how rows are laid out. The input
+    is range-partitioned by (CountryCode, date) into a fixed number of
+    partitions and sorted within them, so the fitted model is the same for any
+    upstream shuffle-partition setting or retry.
+    """
+    keys = [c for c in ("CountryCode", "date") if c in train.columns]
+    laid_out = train.repartitionByRange(partitions, *keys).sortWithinPartitions(*keys) if keys else train
+    return _forest(trees, seed, max_depth).fit(_assemble(laid_out, feature_cols))
 
 
 def mae(pred: DataFrame, label: str = TARGET, prediction: str = "prediction") -> DataFrame:

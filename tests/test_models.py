@@ -151,3 +151,21 @@ def test_permutation_importance_invariants(spark):
     imp = {r.feature: r.importance for r in FC.permutation_importance(model, df, SERIES_FEATURE_COLS, 5, 3).collect()}
     assert abs(imp["lag_7"]) < 1e-12  # same residuals, summed in another order
     assert max(imp, key=imp.get) == "lag_1" and imp["lag_1"] > 0.5
+
+
+def test_models_independent_of_shuffle_partitions(spark):
+    clean = clean_events(extract_events_daily(adapters.dense_events(spark, SF_SMALL), ordered=False))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    outs = []
+    try:
+        for parts in ("3", "13"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            feats = risk_features(country_risk_daily(clean, ordered=False))
+            fc = {r.CountryCode: r.pred_risk_next_day for r in FC.forecast_next_day(feats, "2024-02-01", trees=10).collect()}
+            sc = {(r.date, r.CountryCode): r.anomaly_score for r in AN.detect_anomalies(clean, trees=20).collect()}
+            outs.append((fc, sc))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    (fc1, sc1), (fc2, sc2) = outs
+    assert fc1.keys() == fc2.keys() and all(fc1[k] == pytest.approx(fc2[k], abs=1e-12) for k in fc1)
+    assert sc1.keys() == sc2.keys() and all(sc1[k] == pytest.approx(sc2[k], abs=1e-9) for k in sc1)
