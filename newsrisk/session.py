@@ -52,12 +52,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared folder (HDFS/object store) there and we use it
-    unchanged. Only when the setting is absent -- local runs and tests -- do we
-    create a scratch folder of our own.
+    unchanged. Only when the setting is absent in local mode (tests) do we
+    create a scratch folder of our own; a cluster run without it is an error.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local"):
+            # a machine-local folder would vanish with its executor: insist on the shared one
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store) for cluster runs")
         path = tempfile.mkdtemp(prefix="newsrisk-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
