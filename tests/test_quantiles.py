@@ -36,3 +36,24 @@ def test_global_quantile_bracket_path(spark):
     got = exact_percentiles(df, "v", [0.01, 0.5]).first()
     ref = df.select(F.percentile("v", F.array(F.lit(0.01), F.lit(0.5))).alias("q")).first().q
     assert [got.q0, got.q1] == pytest.approx(ref, abs=1e-12)
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=6, deadline=None)
+@given(
+    st.lists(
+        st.tuples(st.integers(0, 3), st.integers(-20, 20).map(lambda x: x / 4.0)),
+        min_size=1,
+        max_size=400,
+    ),
+    st.lists(st.floats(0.0, 1.0), min_size=1, max_size=3),
+)
+def test_exact_percentiles_property(spark, rows, probs):
+    df = spark.createDataFrame(rows, "g int, v double")
+    got = {r.g: [r[f"q{i}"] for i in range(len(probs))] for r in exact_percentiles(df, "v", probs, ["g"], 50).collect()}
+    for g in {k for k, _ in rows}:
+        vals = np.array([v for k, v in rows if k == g])
+        assert got[g] == pytest.approx([float(np.percentile(vals, p * 100)) for p in probs], abs=1e-9)
