@@ -303,6 +303,15 @@ register(
 )(lambda spark, sf_dir: rounded(TH.theme_daily(_articles(spark, sf_dir))))
 
 
+register(
+    "theme_daily_strip_offsets",
+    S.with_ctes(
+        S.articles_chain() + [("theme_items", S.THEME_ITEMS_STRIPPED), ("top_themes", S.TOP_THEMES), ("td", S.THEME_DAILY)],
+        "SELECT date, theme, ArticleCount, ROUND(AvgTone, 10) AS AvgTone FROM td",
+    ),
+)(lambda spark, sf_dir: rounded(TH.theme_daily(_articles(spark, sf_dir), strip_offsets=True)))
+
+
 # ---- charts (A10-A15, R1, J3) -------------------------------------------------------------
 
 _DENSE_CLEAN = _chain("dense", "clean")

@@ -221,6 +221,15 @@ SELECT date, theme, Tone FROM (
 WHERE theme IS NOT NULL AND theme <> ''
 """
 
+THEME_ITEMS_STRIPPED = """
+SELECT date, theme, Tone FROM (
+  SELECT date, split_part(theme, ',', 1) AS theme, Tone FROM (
+    SELECT dt AS date, UNNEST(string_split(V2Themes, ';')) AS theme,
+           TRY_CAST(string_split(V2Tone, ',')[1] AS DOUBLE) AS Tone
+    FROM raw_articles WHERE V2Themes IS NOT NULL))
+WHERE theme IS NOT NULL AND theme <> ''
+"""
+
 TOP_THEMES = """
 SELECT theme, COUNT(*) AS mentions FROM theme_items GROUP BY theme ORDER BY mentions DESC, theme LIMIT 200
 """
