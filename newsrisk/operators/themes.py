@@ -22,11 +22,11 @@ def exploded_themes(articles: DataFrame, start: DateLike = None, end: DateLike =
     themes_field = pick_field(articles, THEME_FIELDS)
     tone_field = pick_field(articles, TONE_FIELDS)
     base = scan_window(articles, start, end).where(F.col(themes_field).isNotNull())
-    items = base.select(
-        F.col("dt").alias("date"),
-        F.explode(F.split(F.col(themes_field), ";")).alias("theme"),
-        first_csv_double(tone_field).alias("Tone"),
+    # parse the tone once per article, before the explode multiplies the rows
+    per_article = base.select(
+        F.col("dt").alias("date"), F.col(themes_field).alias("_themes"), first_csv_double(tone_field).alias("Tone")
     )
+    items = per_article.select("date", F.explode(F.split("_themes", ";")).alias("theme"), "Tone")
     if strip_offsets:
         items = items.withColumn("theme", F.substring_index("theme", ",", 1))
     return items.where(F.col("theme").isNotNull() & (F.col("theme") != ""))
