@@ -89,10 +89,21 @@ def theme_daily(
     return out.orderBy("date", "theme") if ordered else out
 
 
-def theme_counts(articles: DataFrame, start: DateLike = None, end: DateLike = None) -> DataFrame:
+def theme_counts(articles: DataFrame, start: DateLike = None, end: DateLike = None, strip_offsets: bool = False) -> DataFrame:
     """Mentions per theme over the window (all themes)."""
     return (
-        exploded_themes(articles, start, end)
+        exploded_themes(articles, start, end, strip_offsets)
         .groupBy("theme")
-        .agg(F.count(F.lit(1)).alias("mentions"))
+        .agg(F.count(F.lit(1)).cast("bigint").alias("mentions"))
+    )
+
+
+def top_themes_of_articles(
+    articles: DataFrame, start: DateLike = None, end: DateLike = None, k: int = 200, strip_offsets: bool = False
+) -> DataFrame:
+    """The top-k theme list on its own: aggregated by theme only (no per-day groups)."""
+    return (
+        theme_counts(articles, start, end, strip_offsets)
+        .orderBy(F.col("mentions").desc(), F.col("theme"))
+        .limit(k)
     )

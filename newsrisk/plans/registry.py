@@ -294,7 +294,7 @@ register(
 register(
     "top_themes",
     S.with_ctes(_THEME_CHAIN, S.TOP_THEMES),
-)(lambda spark, sf_dir: TH.top_themes(TH.theme_day_partials(TH.exploded_themes(_articles(spark, sf_dir))), 200))
+)(lambda spark, sf_dir: TH.top_themes_of_articles(_articles(spark, sf_dir), k=200))
 
 register(
     "theme_daily",
