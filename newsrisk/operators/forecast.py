@@ -250,10 +250,17 @@ def permutation_importance(
     baseline = model.transform(_assemble(base, feature_cols))
     # R^2 = 1 - SS_res / SS_tot; the target is the same in every copy, so SS_tot
     # and the baseline SS_res are scalars and the drop is (SS_res' - SS_res) / SS_tot.
-    ybar = base.select(F.avg(TARGET)).scalar()
-    ss_tot = base.select(F.sum((F.col(TARGET) - ybar) ** 2)).scalar()
     sq_err = (F.col(TARGET) - F.col("prediction")) ** 2
-    ss_res_base = baseline.select(F.sum(sq_err)).scalar()
+    stats = baseline.select(  # one pass over the baseline predictions, one scalar subquery
+        F.struct(
+            F.count(F.lit(1)).cast("double").alias("n"),
+            F.sum(TARGET).alias("sy"),
+            F.sum(F.col(TARGET) ** 2).alias("syy"),
+            F.sum(sq_err).alias("sse"),
+        )
+    ).scalar()
+    ss_tot = stats.getField("syy") - stats.getField("sy") * stats.getField("sy") / stats.getField("n")
+    ss_res_base = stats.getField("sse")
     per_copy = scored.groupBy(*grp).agg(F.sum(sq_err).alias("ss_res"))
     return (
         per_copy.withColumn("drop", (F.col("ss_res") - ss_res_base) / ss_tot)
