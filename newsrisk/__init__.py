@@ -4,6 +4,13 @@ Every public operator takes and returns DataFrames (or Columns for the scalar
 helpers in ``newsrisk.functions``) and triggers no action unless it is a sink.
 """
 
+import sys
+
+from pyspark import cloudpickle
+
 from newsrisk.session import checkpoint_dir, get_spark
 
+# Functions of this package travel to the Python workers whole, so that workers need no copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __all__ = ["get_spark", "checkpoint_dir"]
