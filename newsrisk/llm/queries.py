@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsrisk.llm import language_id, secret_scan, sentencepiece_codec, simhash_dedup, token_counts
+from newsrisk.llm import language_id, multi_index, secret_scan, sentencepiece_codec, simhash_dedup, token_counts, warc_archive
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,14 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op2_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_archive.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op3_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.simhash_components(table(spark, sf_dir, "documents"))
 
@@ -35,6 +43,8 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_warc_archive": op2_warc_archive,
+    "op3_multi_index": op3_multi_index,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op7_token_counts": op7_token_counts,
     "op9_secret_scan": op9_secret_scan,
