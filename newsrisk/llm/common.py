@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsrisk.session import checkpoint_dir
@@ -39,6 +39,11 @@ def checked_broadcast(df: DataFrame, row_bytes: int, max_bytes: int = BROADCAST_
     return F.broadcast(df) if df.count() * row_bytes <= max_bytes else df
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of ``value``, computed once however often the body uses it (also inside lambdas)."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def documents_of(df: DataFrame, key: str, *columns: str) -> DataFrame:
     """The columns an operator works on; extra columns (clashing names included) stay out of its way."""
     return df.select(F.col(key).cast("long").alias(key), *(F.col(c) for c in columns))

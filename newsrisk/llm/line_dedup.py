@@ -51,12 +51,13 @@ def words(text: Column) -> Column:
 def lines_of(docs: DataFrame) -> DataFrame:
     """(doc, line, text) of every line."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").where("doc is not null and text is not null")
-    return d.select("doc", F.posexplode(F.split("text", "\n")).alias("line", "text"))
+    # outer: a plain explode would split a second time, to filter empty arrays (there are none)
+    return d.select("doc", F.posexplode_outer(F.split("text", "\n")).alias("line", "text"))
 
 
 def token_ranks(docs: DataFrame, bits: int = SKETCH_BITS) -> Column:
     """An array literal: the rank of each hash bucket by its token occurrences (2^bits numbers)."""
-    tokens = docs.where("doc_id is not null").select(F.explode(words(F.replace("text", F.lit("\n"), F.lit(" ")))).alias("t"))
+    tokens = docs.where("doc_id is not null").select(F.explode_outer(words(F.replace("text", F.lit("\n"), F.lit(" ")))).alias("t"))
     counts = tokens.groupBy(F.xxhash64("t").bitwiseAND(F.lit((1 << bits) - 1)).alias("b")).agg(F.count("*").alias("n"))
     n = dict(map(tuple, counts.collect()))
     ranks = [0] * (1 << bits)
@@ -92,10 +93,10 @@ def parity(tokens: Column, word: int) -> Column:
 
 
 def classes_of(docs: DataFrame, ranks: Column, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """(classes, lines): classes by token set with their first line, and every line's class key."""
-    t = lines_of(docs).select("doc", "line", ordered_tokens(F.col("text"), ranks).alias("t")).where(F.size("t") > 0)
+    """(classes, lines), both written: token sets with their first line, and every line with its set's key."""
+    t = lines_of(docs).where(F.col("text").rlike(r"[^ \t\r]")).select("doc", "line", ordered_tokens(F.col("text"), ranks).alias("t"))
     size = F.size("t")
-    lines = t.select(
+    lines = write_table(t.select(
         "doc",
         "line",
         F.xxhash64("t").alias("set"),
@@ -103,9 +104,9 @@ def classes_of(docs: DataFrame, ranks: Column, threshold: float) -> tuple[DataFr
         parity(F.col("t"), 0).alias("p0"),
         parity(F.col("t"), 1).alias("p1"),
         F.transform(F.slice("t", F.lit(1), size - at_least(threshold, size) + 1), lambda x: F.hash(x)).alias("prefix"),
-    )
+    ), "lines")
     key = ["set", "size", "p0", "p1", "prefix"]
-    first = lines.groupBy(*key).agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("n"), F.min("doc").alias("lo"), F.max("doc").alias("hi"))
+    first = lines.groupBy(*key).agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("n"))
     return write_table(first.select(F.col("first.doc").alias("doc"), F.col("first.line").alias("line"), *key, "n"), "line_classes"), lines.select("doc", "line", "set", "size", "p0", "p1")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsrisk.llm import language_id, multi_index, secret_scan, sentencepiece_codec, simhash_dedup, token_counts, warc_archive
+from newsrisk.llm import decontaminate, language_id, line_dedup, multi_index, secret_scan, sentencepiece_codec, simhash_dedup, token_counts, warc_archive
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,10 +23,19 @@ def op3_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
@@ -45,7 +54,9 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_warc_archive": op2_warc_archive,
     "op3_multi_index": op3_multi_index,
+    "op4_decontaminate": op4_decontaminate,
     "op5_simhash_dedup": op5_simhash_dedup,
+    "op6_line_dedup": op6_line_dedup,
     "op7_token_counts": op7_token_counts,
     "op9_secret_scan": op9_secret_scan,
     "op10_sentencepiece": op10_sentencepiece,
