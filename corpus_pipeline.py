@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsrisk.llm import language_id, sentencepiece_codec, simhash_dedup
+from newsrisk.llm import decontaminate, language_id, line_dedup, sentencepiece_codec, simhash_dedup
 from newsrisk.llm.common import write_table
 
 
@@ -15,11 +15,21 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Line dedup: lines that an earlier line resembles go; every document keeps its row."""
+    return line_dedup.dedup_lines(docs).select(docs.columns)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SimHash near-dedup: of each component the document with the smallest doc_id stays."""
     return simhash_dedup.keep_one(docs)
 
 
+def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination: documents with a window like an item go."""
+    return decontaminate.clean_of(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SentencePiece: adds ids, n_tokens, score and exact (decoding gives the text back)."""
     return sentencepiece_codec.encode_text(docs, check=True)
@@ -27,7 +37,9 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("language_id", identify),
+    ("line_dedup", dedup_lines),
     ("simhash_dedup", near_dedup),
+    ("decontaminate", remove_benchmark),
     ("sentencepiece", encode),
 ]
 

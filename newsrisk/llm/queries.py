@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsrisk.llm import decontaminate, language_id, line_dedup, multi_index, secret_scan, sentencepiece_codec, simhash_dedup, token_counts, warc_archive
+from newsrisk.llm import decontaminate, language_id, line_dedup, multi_index, secret_scan, sentencepiece_codec, simhash_dedup, substring_dedup, token_counts, warc_archive
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return secret_scan.scan_secrets(docs, secret_scan.fit(docs))
@@ -58,6 +62,7 @@ QUERIES = {
     "op5_simhash_dedup": op5_simhash_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op7_token_counts": op7_token_counts,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_sentencepiece": op10_sentencepiece,
 }
