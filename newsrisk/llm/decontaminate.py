@@ -26,7 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsrisk.llm.common import checked_broadcast, let, write_table
+from newsrisk.llm.common import BROADCAST_MAX_BYTES, checked_broadcast, let, write_table
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -99,7 +99,7 @@ def matches_for(docs: DataFrame, items: DataFrame, k: int, threshold: float) ->
     found = each.join(checked_broadcast(known, 32), "h")
     anchors = write_table(found.groupBy("doc_id", "n").agg(F.collect_set("pos").alias("at")), "anchors")
     widest = anchors.agg(F.max(F.size("at")), F.count("*")).first()
-    side = F.broadcast(anchors) if (widest[0] or 0) * 8 * widest[1] <= 64 << 20 else anchors
+    side = F.broadcast(anchors) if (widest[0] or 0) * 8 * widest[1] <= BROADCAST_MAX_BYTES else anchors
     at = docs.join(side, "doc_id").select("doc_id", "n", "at", shingles(F.col("text"), k).alias("sh"))
     at = write_table(at, "anchored")
     starts = F.array_distinct(F.transform("at", lambda p: F.greatest(F.least(p, F.size("sh") - F.col("n")), F.lit(0))))
