@@ -17,7 +17,6 @@ from newsrisk.functions.scalars import (
     to_double,
     tone_bucket,
     yyyymmdd,
-    zero_to_null,
 )
 
 __all__ = [
@@ -35,5 +34,4 @@ __all__ = [
     "to_double",
     "tone_bucket",
     "yyyymmdd",
-    "zero_to_null",
 ]

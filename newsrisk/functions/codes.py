@@ -68,8 +68,3 @@ def root_label(c: Column | str) -> Column:
     """
     m = F.create_map(*[F.lit(x) for x in chain.from_iterable(ROOT_LABELS.items())])
     return F.coalesce(F.element_at(m, _c(c)), F.lit(UNKNOWN_LABEL))
-
-
-def root_labels_df(spark):
-    """The label dimension as a 20-row DataFrame (for joins in SQL views)."""
-    return spark.createDataFrame(list(ROOT_LABELS.items()), "EventRootCode string, EventRootLabel string")

@@ -43,8 +43,8 @@ def safe_divide(a: Column | str, b: Column | str) -> Column:
 
 
 def to_double(c: Column | str) -> Column:
-    """Coercing numeric parse: bad text -> null."""
-    return _c(c).try_cast("double")
+    """Coercing numeric parse: bad text and NaN (a missing value) -> null."""
+    return F.nanvl(_c(c).try_cast("double"), F.lit(None).cast("double"))
 
 
 def to_bigint(c: Column | str) -> Column:
@@ -64,7 +64,3 @@ def first_csv_double(c: Column | str) -> Column:
 def if_else_zero(cond: Column, value: Column | str) -> Column:
     """``IF(cond, value, 0)`` -- a null condition takes the 0 branch."""
     return F.when(cond, _c(value)).otherwise(F.lit(0))
-
-
-def zero_to_null(c: Column | str) -> Column:
-    return F.nullif(_c(c), F.lit(0))

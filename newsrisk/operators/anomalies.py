@@ -1,8 +1,7 @@
 """Country-day anomaly detection: panel, rolling z-scores, isolation forest.
 
-The forest is fitted as a Spark job: rows are sampled per tree by a hash of
-(seed, tree, row key) -- independent of partitioning -- the samples are
-grouped by tree and each tree is grown in ``applyInPandas``. The fitted forest
+The forest is fitted as a Spark job: rows are sampled by hashes of the seed and
+the row key -- independent of partitioning -- the samples are grouped by tree and each tree is grown in ``applyInPandas``. The fitted forest
 is small (``trees`` x at most ``2 * sample`` nodes, independent of the data
 size) and is broadcast to score every row in ``mapInPandas``.
 """
@@ -40,14 +39,15 @@ def country_day_panel(clean: DataFrame) -> DataFrame:
     but its events stay in the denominator. Null keys are dropped; sums over
     all-null inputs are 0.
     """
+    number = lambda c: F.nanvl(F.col(c), F.lit(None).cast("double"))  # noqa: E731  (NaN is a missing value)
     base = clean.where(F.col("date").isNotNull() & F.col("CountryCode").isNotNull())
     agg = base.groupBy("date", "CountryCode").agg(
         F.coalesce(F.sum("EventCount"), F.lit(0)).cast("bigint").alias("EventCount"),
         F.coalesce(F.sum("TotalMentions"), F.lit(0)).cast("bigint").alias("TotalMentions"),
         F.coalesce(F.sum("TotalArticles"), F.lit(0)).cast("bigint").alias("TotalArticles"),
         F.coalesce(F.sum("TotalSources"), F.lit(0)).cast("bigint").alias("TotalSources"),
-        F.coalesce(F.sum(F.col("AvgTone") * F.col("EventCount")), F.lit(0.0)).alias("tone_x_events"),
-        F.coalesce(F.sum(F.col("AvgGoldstein") * F.col("EventCount")), F.lit(0.0)).alias("gold_x_events"),
+        F.coalesce(F.sum(number("AvgTone") * F.col("EventCount")), F.lit(0.0)).alias("tone_x_events"),
+        F.coalesce(F.sum(number("AvgGoldstein") * F.col("EventCount")), F.lit(0.0)).alias("gold_x_events"),
     )
     n = F.nullif(F.col("EventCount"), F.lit(0)).cast("double")
     return agg.select(
@@ -65,7 +65,8 @@ def country_day_panel(clean: DataFrame) -> DataFrame:
 
 
 def rolling_z(panel: DataFrame, specs=Z_SPECS, window: int = 7, min_rows: int = 3, key: str = "CountryCode") -> DataFrame:
-    """z = (x - trailing mean) / trailing sample std per country; undefined -> 0."""
+    """z = (x - trailing mean) / trailing sample std per country; undefined -> 0 (NaN counts as missing)."""
+    panel = panel.withColumns({src: F.nanvl(F.col(src).cast("double"), F.lit(None).cast("double")) for src, _ in specs})
     cols = {}
     for src, out in specs:
         mean, std = rolling_mean_std(src, key, "date", window, min_rows)
@@ -173,35 +174,30 @@ def fit_isolation_forest(
 ) -> DataFrame:
     """Fit the forest; returns its node table (bounded: trees x < 2*sample rows).
 
-    Each tree draws ``min(sample, n)`` rows without replacement: every
-    (row, tree) pair gets a hash and each tree keeps its ``sample`` lowest
-    hashes. The pairs are generated and filtered inside one pipelined stage:
-    only pairs whose hash is below a threshold that leaves ~``8 * sample``
-    candidates per tree are shuffled. If any tree ends up with fewer than
-    ``min(sample, n)`` candidates, the fit reruns without the threshold, so the
-    sample is always exactly the lowest-hash rows.
+    One pass over the rows keeps the ``trees * sample`` lowest row hashes (a
+    top-k: each task keeps its own). The pool is put into a random order by
+    another hash and dealt out in blocks of ``sample`` rows, a block per tree, so
+    each tree draws without replacement; if the pool is shorter than all
+    blocks, it is dealt again in as many other orders as it takes. Every tree
+    gets exactly ``min(sample, n)`` rows, and the pool, the orders and the nodes
+    are bounded by the forest's parameters, not by the rows.
     """
     n = df.count() if n is None else n
-    need = min(sample, n)
-    max_depth = int(math.ceil(math.log2(max(need, 2))))
+    max_depth = int(math.ceil(math.log2(max(min(sample, n), 2))))
     keys = [F.col(c) for c in key_cols]
-    base = df.select(*key_cols, *cols).select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")
-    ).withColumn("_h", _row_hash(seed, F.col("tree"), *keys))
-
-    def candidates(p: float) -> DataFrame:
-        return base if p >= 1.0 else base.where(F.col("_h") < F.lit(int(p * ((1 << 62) - 1))))
-
-    p = min(1.0, 8.0 * sample / max(n, 1))
-    cand = candidates(p)
-    if p < 1.0:
-        short = cand.groupBy("tree").count().where(F.col("count") < need).limit(1).count()
-        missing = cand.select("tree").distinct().count() < trees
-        if short or missing:
-            cand = candidates(1.0)
-    w = Window.partitionBy("tree").orderBy("_h")
-    sampled = cand.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= sample)
-    return sampled.groupBy("tree").applyInPandas(_tree_builder(cols, seed, max_depth), FOREST_SCHEMA)
+    pool = df.select(*key_cols, *cols)
+    if n > trees * sample:
+        pool = pool.orderBy(_row_hash(seed, F.lit(-1), *keys), *keys).limit(trees * sample)
+    size = min(n, trees * sample)
+    per_order = max(1, size // sample)  # blocks of one order
+    orders = -(-trees // per_order)
+    dealt = pool.select("*", F.explode(F.sequence(F.lit(0), F.lit(orders - 1))).alias("order"))
+    dealt = dealt.withColumn("_h", _row_hash(seed, F.col("order"), *keys))
+    place = F.row_number().over(Window.partitionBy("order").orderBy("_h", *keys)) - 1
+    block = F.floor(place / F.lit(sample)).cast("int")
+    sampled = dealt.withColumn("block", block).where(F.col("block") < per_order)
+    sampled = sampled.withColumn("tree", F.col("order") * per_order + F.col("block")).where(F.col("tree") < trees)
+    return sampled.select("tree", "_h", *cols).groupBy("tree").applyInPandas(_tree_builder(cols, seed, max_depth), FOREST_SCHEMA)
 
 
 def _forest_arrays(forest: pd.DataFrame):

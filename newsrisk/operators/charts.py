@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from newsrisk.operators.clean import drop_null_dates
 from newsrisk.operators.quantiles import exact_percentiles
-from newsrisk.session import BROADCAST_MAX_ROWS, bounded_broadcast, materialize
+from newsrisk.session import BROADCAST_LIST_ROWS, broadcast_list, materialize
 
 
 def global_daily_volume(clean: DataFrame) -> DataFrame:
@@ -43,7 +43,7 @@ def tone_histogram(clean: DataFrame, bins: int = 60) -> DataFrame:
     counts = tones.groupBy(b.alias("bin")).agg(F.sum("EventCount").cast("bigint").alias("weight"))
     spine = clean.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     width = (hi - lo) / F.lit(bins)
-    return spine.join(bounded_broadcast(counts, bins), "bin", "left").select(
+    return spine.join(broadcast_list(counts, bins), "bin", "left").select(
         "bin",
         (lo + F.col("bin") * width).alias("bin_lo"),
         (lo + (F.col("bin") + 1) * width).alias("bin_hi"),
@@ -64,7 +64,7 @@ def top_root_categories(clean: DataFrame, k: int = 12) -> DataFrame:
 
 def _in_top_labels(clean: DataFrame, k: int) -> DataFrame:
     labels = top_root_categories(clean, k).select("EventRootLabel").distinct()
-    return drop_null_dates(clean).join(bounded_broadcast(labels, k), "EventRootLabel", "left_semi")
+    return drop_null_dates(clean).join(broadcast_list(labels, k), "EventRootLabel", "left_semi")
 
 
 def monthly_root_heatmap(clean: DataFrame, k: int = 12) -> DataFrame:
@@ -89,7 +89,7 @@ def monthly_root_heatmap(clean: DataFrame, k: int = 12) -> DataFrame:
         .distinct()
     )
     return (
-        cells.join(bounded_broadcast(top, k), "EventRootLabel", "left_semi")  # at most k labels
+        cells.join(broadcast_list(top, k), "EventRootLabel", "left_semi")  # at most k labels
         .groupBy("EventRootLabel", "month")
         .agg(F.sum("EventCount").cast("bigint").alias("EventCount"))
         .withColumn("log_events", F.log10(F.col("EventCount") + F.lit(1.0)))
@@ -113,7 +113,7 @@ def tone_boxplot(clean: DataFrame, k: int = 12) -> DataFrame:
     rows = _in_top_labels(clean, k).where(F.col("AvgTone").isNotNull() & ~F.isnan("AvgTone"))
     # exact quartiles without gathering a (possibly huge) label group in one task
     stats = exact_percentiles(
-        rows, "AvgTone", [0.25, 0.5, 0.75], ["EventRootLabel"], broadcast_groups=k <= BROADCAST_MAX_ROWS
+        rows, "AvgTone", [0.25, 0.5, 0.75], ["EventRootLabel"], broadcast_groups=k <= BROADCAST_LIST_ROWS
     ).select(
         "EventRootLabel", "n", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3")
     )
@@ -122,7 +122,7 @@ def tone_boxplot(clean: DataFrame, k: int = 12) -> DataFrame:
     hi_fence = F.col("q3") + F.lit(1.5) * iqr
     inside = (F.col("AvgTone") >= lo_fence) & (F.col("AvgTone") <= hi_fence)
     return (
-        rows.join(bounded_broadcast(stats, k), "EventRootLabel")
+        rows.join(broadcast_list(stats, k), "EventRootLabel")
         .groupBy("EventRootLabel", "n", "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col("AvgTone"))).alias("whisker_lo"),
@@ -140,12 +140,12 @@ def tone_outliers(clean: DataFrame, k: int = 12) -> DataFrame:
     """
     rows = _in_top_labels(clean, k).where(F.col("AvgTone").isNotNull() & ~F.isnan("AvgTone"))
     stats = exact_percentiles(
-        rows, "AvgTone", [0.25, 0.75], ["EventRootLabel"], broadcast_groups=k <= BROADCAST_MAX_ROWS
+        rows, "AvgTone", [0.25, 0.75], ["EventRootLabel"], broadcast_groups=k <= BROADCAST_LIST_ROWS
     ).select("EventRootLabel", F.col("q0").alias("q1"), F.col("q1").alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     outside = (F.col("AvgTone") < F.col("q1") - F.lit(1.5) * iqr) | (F.col("AvgTone") > F.col("q3") + F.lit(1.5) * iqr)
     return (
-        rows.join(bounded_broadcast(stats, k), "EventRootLabel")
+        rows.join(broadcast_list(stats, k), "EventRootLabel")
         .where(outside)
         .select("EventRootLabel", "date", "CountryCode", "EventRootCode", "AvgTone")
     )

@@ -61,8 +61,8 @@ def clean_events(extract: DataFrame) -> DataFrame:
 
 
 def retype_clean(df: DataFrame) -> DataFrame:
-    """Re-type a clean table read back from text (CSV fallback)."""
-    return coerce_numeric(df).withColumn("date", F.to_date("date"))
+    """Re-type a clean table read back from text (CSV fallback); bad dates become null."""
+    return coerce_numeric(df).withColumn("date", F.col("date").try_cast("date"))
 
 
 def drop_null_dates(df: DataFrame, col: str = "date") -> DataFrame:

@@ -2,8 +2,8 @@
 
 One pooled model over all countries (the published design), trained where
 every feature and the next-day target are known. Fitting is Spark ML's
-distributed level-wise forest; its trees are depth-capped and split on binned
-thresholds, so predictions match the single-machine forest in error, not value.
+distributed level-wise forest; its trees stop at depth 30 and split on 256
+binned thresholds, so predictions match the single-machine forest in error, not value.
 """
 
 from __future__ import annotations
@@ -41,13 +41,19 @@ FORECAST_COLUMNS = [
 ]
 
 
-def _forest(trees: int, seed: int, max_depth: int) -> RandomForestRegressor:
+# Trees as deep as Spark ML grows them, and split points as fine as the training days allow.
+MAX_DEPTH = 30
+MAX_BINS = 256
+
+
+def _forest(trees: int, seed: int, max_depth: int, max_bins: int = MAX_BINS) -> RandomForestRegressor:
     return RandomForestRegressor(
         featuresCol="features",
         labelCol=TARGET,
         predictionCol="prediction",
         numTrees=trees,
         maxDepth=max_depth,
+        maxBins=max_bins,
         featureSubsetStrategy="all",  # every split considers every feature
         subsamplingRate=1.0,
         bootstrap=True,
@@ -59,7 +65,7 @@ def _assemble(df: DataFrame, feature_cols) -> DataFrame:
     return VectorAssembler(inputCols=list(feature_cols), outputCol="features").transform(df)
 
 
-FIT_PARTITIONS = 8  # fixed input layout of a fit (the country-day training set is small)
+ROWS_PER_FIT_TASK = 100_000
 
 
 def fit_forest(
@@ -67,29 +73,27 @@ def fit_forest(
     feature_cols=FEATURE_COLS,
     trees: int = 500,
     seed: int = 42,
-    max_depth: int = 10,
-    partitions: int = FIT_PARTITIONS,
+    max_depth: int = MAX_DEPTH,
+    max_bins: int = MAX_BINS,
 ):
     """Distributed Spark ML forest fit (bootstrap per tree, ``seed``-determined).
 
     Spark ML draws each partition's bootstrap weights from the seed and the
-    partition index, so the model depends on how rows are laid out. The input
-    is range-partitioned by (CountryCode, date) into a fixed number of
-    partitions and sorted within them, so the fitted model is the same for any
-    upstream shuffle-partition setting or retry.
+    partition index, so the model depends on how rows are laid out. Rows are
+    dealt by a hash of their key into one task per ``ROWS_PER_FIT_TASK`` rows and
+    sorted within it: the layout depends on the rows alone, not on sampled
+    range bounds, shuffle settings or retries.
     """
     keys = [c for c in ("CountryCode", "date") if c in train.columns]
-    laid_out = train.repartitionByRange(partitions, *keys).sortWithinPartitions(*keys) if keys else train
-    return _forest(trees, seed, max_depth).fit(_assemble(laid_out, feature_cols))
-
-
-def mae(pred: DataFrame, label: str = TARGET, prediction: str = "prediction") -> DataFrame:
-    return pred.agg(F.avg(F.abs(F.col(label) - F.col(prediction))).alias("mae"))
+    train = materialize(train)
+    tasks = max(1, -(-train.count() // ROWS_PER_FIT_TASK))
+    laid_out = train.repartition(tasks, *(keys or train.columns)).sortWithinPartitions(*(keys or train.columns))
+    return _forest(trees, seed, max_depth, max_bins).fit(_assemble(laid_out, feature_cols))
 
 
 def forecast_backtest(
     features: DataFrame, feature_cols=FEATURE_COLS, holdout_days: int = 14, trees: int = 500, seed: int = 42,
-    max_depth: int = 10,
+    max_depth: int = MAX_DEPTH,
 ) -> DataFrame:
     """Fit on days <= max(date) - holdout_days, report the holdout MAE (one row)."""
     rows = materialize(holdout_split(training_rows(features, feature_cols), holdout_days))
@@ -109,7 +113,7 @@ def forecast_next_day(
     feature_cols=FEATURE_COLS,
     trees: int = 500,
     seed: int = 42,
-    max_depth: int = 10,
+    max_depth: int = MAX_DEPTH,
 ) -> DataFrame:
     """Refit on every training row, forecast from each country's latest row.
 
@@ -155,61 +159,66 @@ def cv_rows(risk: DataFrame, countries=None) -> DataFrame:
     return time_series_folds(training_rows(feats, SERIES_FEATURE_COLS))
 
 
-def forecast_cv(
+def cv_predictions(
     risk: DataFrame,
     countries=None,
     n_splits: int = 5,
     trees: int = 500,
     seed: int = 42,
-    max_depth: int = 10,
-    parallelism: int | None = None,
+    max_depth: int = MAX_DEPTH,
+    parallelism: int = 1,
 ) -> DataFrame:
-    """Expanding-window CV of the series model; one row per fold plus the mean MAE.
-
-    The fold rows are materialized once; each fold is a distributed fit. With
-    ``parallelism > 1`` folds are submitted from that many threads, as Spark ML's
-    own cross-validator does; each concurrent fit holds its own split
-    statistics in driver memory (bounded by ``maxMemoryInMB``, 256 MB), so the
-    default (``None``) runs all folds at once only when the driver has at least
-    4 GB, and one at a time otherwise.
+    """Expanding-window CV of the series model: (fold, date, CountryCode, actual, predicted), written once.
+
+    ``date`` is the day the features are known; actual and predicted are of the
+    next one. The fold rows are materialized once; each fold is a distributed
+    fit. ``parallelism`` folds are submitted at a time, as Spark ML's own
+    cross-validator does; each holds its own split statistics in driver memory
+    (bounded by ``maxMemoryInMB``, 256 MB).
     """
     from concurrent.futures import ThreadPoolExecutor
+    from functools import reduce
 
     rows = materialize(cv_rows(risk, countries))  # every fold reads the same rows
 
     def fold(f: int) -> DataFrame:
         train = rows.where(F.coalesce(F.col("test_fold"), F.lit(-1)) < f)
-        test = rows.where(F.col("test_fold") == f)
         model = fit_forest(train, SERIES_FEATURE_COLS, trees, seed, max_depth)
-        pred = model.transform(_assemble(test, SERIES_FEATURE_COLS))
-        return pred.agg(
-            F.lit(f).alias("fold"),
-            F.count(F.lit(1)).alias("n_test"),
-            F.avg(F.abs(F.col(TARGET) - F.col("prediction"))).alias("mae"),
+        test = rows.where(F.col("test_fold") == f)
+        return model.transform(_assemble(test, SERIES_FEATURE_COLS)).select(
+            F.lit(f).alias("fold"), "date", "CountryCode", F.col(TARGET).alias("actual"), F.col("prediction").alias("predicted")
         )
 
-    if parallelism is None:
-        parallelism = n_splits if _driver_memory_mb(risk.sparkSession) >= 4096 else 1
-    if parallelism > 1:
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            results = list(pool.map(fold, range(n_splits)))
-    else:
-        results = [fold(f) for f in range(n_splits)]
-    out = results[0]
-    for r in results[1:]:
-        out = out.unionByName(r)
-    return out.withColumn("mean_mae", out.select(F.avg("mae")).scalar())
-
-
-def _driver_memory_mb(spark) -> int:
-    """Configured driver memory in MB (Spark's default 1g when unset)."""
-    raw = spark.sparkContext.getConf().get("spark.driver.memory", "1g").strip().lower()
-    units = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}
-    if raw and raw[-1] in units:
-        return int(float(raw[:-1]) * units[raw[-1]])
-    if raw.endswith("b") and raw[-2:-1] in units:
-        return int(float(raw[:-2]) * units[raw[-2]])
-    return int(int(raw) / (1024 * 1024)) if raw.isdigit() else 1024
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        return materialize(reduce(DataFrame.unionByName, pool.map(fold, range(n_splits))))
+
+
+def cv_errors(predictions: DataFrame) -> DataFrame:
+    """One row per fold and country set: n_test, mae, and the mean of the folds' MAEs."""
+    folds = predictions.groupBy("fold").agg(
+        F.count(F.lit(1)).alias("n_test"),
+        F.avg(F.abs(F.col("actual") - F.col("predicted"))).alias("mae"),
+        F.array_join(F.sort_array(F.collect_set("CountryCode")), ",").alias("countries"),
+    )
+    return folds.withColumn("mean_mae", folds.select(F.avg("mae")).scalar())
+
+
+def last_fold_series(predictions: DataFrame) -> DataFrame:
+    """The forecast chart: (date, CountryCode, actual, predicted) of the last fold."""
+    return predictions.where(F.col("fold") == predictions.select(F.max("fold")).scalar()).drop("fold")
+
+
+def forecast_cv(
+    risk: DataFrame,
+    countries=None,
+    n_splits: int = 5,
+    trees: int = 500,
+    seed: int = 42,
+    max_depth: int = MAX_DEPTH,
+    parallelism: int = 1,
+) -> DataFrame:
+    """One row per fold plus the mean MAE (``cv_errors`` of ``cv_predictions``)."""
+    return cv_errors(cv_predictions(risk, countries, n_splits, trees, seed, max_depth, parallelism))
 
 
 def permutation_importance(
@@ -272,7 +281,7 @@ def permutation_importance(
 
 def forecast_cv_importance(
     risk: DataFrame, countries=None, n_splits: int = 5, n_repeats: int = 10, trees: int = 500, seed: int = 42,
-    max_depth: int = 10,
+    max_depth: int = MAX_DEPTH,
 ) -> DataFrame:
     """Permutation importance of the last CV fold's model on its test rows."""
     rows = materialize(cv_rows(risk, countries))

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from newsrisk.functions.scalars import parse_yyyymmdd
+
 
 def _missing(df: DataFrame, c: str):
     col = F.col(c)
@@ -55,22 +57,37 @@ def run_log(extract: DataFrame, file_name: str) -> DataFrame:
     )
 
 
-def freshness_checks(clean: DataFrame, risk: DataFrame, forecast: DataFrame) -> DataFrame:
-    """Latest dates of the three published tables and the two refresh rules.
+def run_log_without_extract(spark, directory: str) -> DataFrame:
+    """The run-log row of a folder that holds no extract: no file, no rows, and a status that says so."""
+    nothing = F.lit(None).cast("string")
+    return spark.range(1).select(
+        nothing.alias("file"),
+        F.lit(0).cast("bigint").alias("rows"),
+        nothing.alias("min_sqldate"),
+        nothing.alias("max_sqldate"),
+        F.lit(f"no extract in {directory}").alias("status"),
+    )
+
+
+def freshness_checks(clean: DataFrame, risk: DataFrame, forecast: DataFrame, extract: DataFrame) -> DataFrame:
+    """Latest dates of the extract and the three published tables, and the three refresh rules.
 
-    clean max(date) = risk max(date); forecast max(forecast_date) = risk max(date) + 1.
-    Three scalar subqueries, one output row.
+    clean max(date) = extract max(SQLDATE); clean max(date) = risk max(date);
+    forecast max(forecast_date) = risk max(date) + 1. Scalar subqueries, one output row.
     """
+    e = extract.select(F.max(parse_yyyymmdd("SQLDATE"))).scalar()
     c = clean.select(F.max("date")).scalar()
     r = risk.select(F.max("date")).scalar()
-    f = forecast.select(F.max("forecast_date")).scalar()
-    n = forecast.select(F.count(F.lit(1))).scalar()
+    latest = forecast.select(F.struct(F.max("forecast_date").alias("d"), F.count(F.lit(1)).alias("n"))).scalar()
+    f, n = latest.getField("d"), latest.getField("n")
     one = clean.sparkSession.range(1)
     return one.select(
+        e.alias("extract_max_date"),
         c.alias("clean_max_date"),
         r.alias("risk_max_date"),
         f.alias("forecast_max_date"),
         n.alias("forecast_rows"),
+        (c == e).alias("clean_matches_extract"),
         (c == r).alias("risk_matches_clean"),
         (f == F.date_add(r, 1)).alias("forecast_is_next_day"),
     )

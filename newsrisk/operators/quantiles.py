@@ -1,21 +1,14 @@
 """Exact percentiles (linear interpolation) without gathering a group in one task.
 
 Spark's ``percentile`` merges every distinct value of a group in one task. Here
-a quantile is found in two passes:
-
-1. per group: the row count ``n`` and a sketch (``percentile_approx``) bracket
-   ``[lo, hi]`` around each target, whose rank error is bounded by
-   ``n / accuracy``;
-2. per group and target: the number of values below ``lo`` and the counts of
-   the distinct values inside the bracket (a small set). A running sum over
-   that set locates the values at ranks ``floor(h)`` and ``ceil(h)``, where
-   ``h = p * (n - 1)``, exactly.
-
-Groups of at most ``accuracy`` rows skip the bracket and use Spark's exact
-``percentile`` directly (their size is bounded by the accuracy); a bracket
-that fails its check is recomputed the same way, so the result is always
-exact. The input is read twice (once per pass); the per-group tables
-in between are tiny and checkpointed. The interpolation is Spark's: ``(ceil(h) - h) * x_lo + (h - floor(h)) * x_hi``.
+the distinct values of each group are counted (partial counts before the
+shuffle), and each target rank is closed in by brackets: a bracket's values are
+cut into ``CUTS`` ranges, the counts per range say which of them holds the rank,
+and that range is the next bracket. When no bracket holds more than
+``accuracy`` distinct values, a running sum over that many rows locates the
+values at ranks ``floor(h)`` and ``ceil(h)``, ``h = p * (n - 1)``. All sizes of groups take
+this way; the number of rounds grows with the logarithm of the distinct values.
+The interpolation is Spark's: ``(ceil(h) - h) * x_lo + (h - floor(h)) * x_hi``.
 """
 
 from __future__ import annotations
@@ -25,6 +18,8 @@ from pyspark.sql import functions as F
 
 from newsrisk.session import materialize
 
+CUTS = 64
+
 
 def exact_percentiles(
     df: DataFrame,
@@ -34,106 +29,51 @@ def exact_percentiles(
     accuracy: int = 10000,
     broadcast_groups: bool = False,
 ) -> DataFrame:
-    """One row per group: ``group_cols``, ``n`` and ``q0..q{k-1}`` (exact, linear).
+    """One row per group: ``group_cols``, ``n`` and ``q0..q{k-1}`` (exact, linear); no rows for no values.
 
-    ``broadcast_groups=True`` broadcasts the per-group bracket table into the
-    second pass; use it only when the number of groups is bounded (top-k
-    labels, a single global group).
+    ``accuracy`` is the number of distinct values a bracket is closed in to.
+    ``broadcast_groups=True`` broadcasts the per-group targets; use it only when the
+    number of groups is bounded (top-k labels).
     """
-    g = list(group_cols)
-    eps = 1.0 / accuracy
-    base = df.where(F.col(value).isNotNull() & ~F.isnan(value)).select(*g, F.col(value).cast("double").alias("_v"))
-    single = not g
-    if single:  # one global group: a constant key column
-        g, broadcast_groups = ["_g"], True
-        base = base.withColumn("_g", F.lit(0))
-    k = len(probs)
-    lo_ps = [max(0.0, p - 3 * eps) for p in probs]
-    hi_ps = [min(1.0, p + 3 * eps) for p in probs]
-    stats = base.groupBy(*g).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("_v", F.array(*[F.lit(x) for x in lo_ps + hi_ps]), accuracy).alias("_b"),
-    )
-    targets = stats.select(
-        *g,
-        "n",
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("k"),
-                        F.lit(float(p)).alias("p"),
-                        F.col("_b")[i].alias("lo"),
-                        F.col("_b")[k + i].alias("hi"),
-                    )
-                    for i, p in enumerate(probs)
-                ]
-            )
-        ).alias("t"),
-    ).select(*g, "n", "t.*")
-    h = F.col("p") * (F.col("n") - 1)
-    # groups x targets rows: materialized so both uses below read it without re-running pass 1
-    targets = materialize(targets.withColumns({"h": h, "r0": F.floor(h), "r1": F.ceil(h)}))
+    g = list(group_cols) or ["_g"]
+    rows = df.where(F.col(value).isNotNull() & ~F.isnan(value))
+    rows = rows.select(*(group_cols or [F.lit(0).alias("_g")]), F.col(value).cast("double").alias("_v"))
+    counts = materialize(rows.groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    hint = F.broadcast if broadcast_groups or not group_cols else lambda x: x
+    gk = [*g, "k"]
 
-    # Groups of at most ``accuracy`` rows: exact ``percentile`` directly (bounded by
-    # the accuracy). Larger groups: the bracket pass, which gathers no group.
-    small = targets.where(F.col("n") <= accuracy).select(*g).distinct()
-    large = targets.where(F.col("n") > accuracy)
-    pct = F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs])).alias("_q")
-
-    def direct(groups) -> DataFrame:
-        rows = base if single else base.join(F.broadcast(groups) if broadcast_groups else groups, g, "left_semi")
-        return rows.groupBy(*g).agg(F.count(F.lit(1)).alias("n"), pct).select(
-            *g, "n", F.posexplode("_q").alias("k", "q")
+    goals = F.array(*[F.struct(F.lit(i).alias("k"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
+    t = counts.groupBy(*g).agg(F.sum("_c").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+    t = t.select(*g, "n", "lo", "hi", F.explode(goals).alias("t")).select(*g, "n", "lo", "hi", "t.k", "t.p")
+    h = F.col("p") * (F.col("n") - 1)
+    t = t.select(*gk, "n", "lo", "hi", h.alias("h"), F.floor(h).alias("r0"), F.ceil(h).alias("r1"), F.lit(0).cast("bigint").alias("below"))
+    t = materialize(t)
+    while True:
+        inside = counts.join(hint(t), g).where((F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi")))
+        cuts = F.percentile_approx("_v", F.array(*[F.lit((i + 1) / CUTS) for i in range(CUTS - 1)]), 10000)
+        sizes = materialize(inside.groupBy(*gk).agg(F.count(F.lit(1)).alias("m"), cuts.alias("cuts")))
+        if (sizes.agg(F.max("m")).first()[0] or 0) <= accuracy:
+            break
+        at = F.size(F.filter("cuts", lambda c: c < F.col("_v")))
+        ranges = inside.join(hint(sizes.select(*gk, "cuts")), gk).groupBy(*gk, "n", "h", "r0", "r1", "below", at.alias("at"))
+        ranges = ranges.agg(F.sum("_c").alias("c"), F.min("_v").alias("first"), F.max("_v").alias("last"))
+        # at most CUTS rows per target
+        start = F.col("below") + F.sum("c").over(Window.partitionBy(*gk).orderBy("at")) - F.col("c")
+        ranges = ranges.withColumn("start", start)
+        holds = lambda r: (F.col("start") <= F.col(r)) & (F.col(r) < F.col("start") + F.col("c"))
+        t = materialize(
+            ranges.groupBy(*gk, "n", "h", "r0", "r1").agg(
+                F.min(F.when(holds("r0"), F.col("first"))).alias("lo"),
+                F.max(F.when(holds("r1"), F.col("last"))).alias("hi"),
+                F.min(F.when(holds("r0"), F.col("start"))).alias("below"),
+            )
         )
-
-    parts = []
-    if small.limit(1).count():
-        parts.append(direct(small))
-    if large.limit(1).count():
-        parts.append(_bracketed(base, large, g, single, broadcast_groups, direct))
-    good = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    out = good.groupBy(*g, "n").agg(*[F.max(F.when(F.col("k") == i, F.col("q"))).alias(f"q{i}") for i in range(k)])
-    return out.drop("_g") if single else out
-
-
-def _bracketed(base, targets, g, single, broadcast_groups, direct) -> DataFrame:
-    """Pass 2 for groups larger than the sketch accuracy."""
-    if single:
-        # attach the k bracket rows to every value with a generator over a scalar subquery
-        # (a join on the constant key would be planned as a nested-loop cross join)
-        arr = targets.select(F.collect_list(F.struct("k", "lo", "hi"))).scalar()
-        j = base.select("*", F.inline(arr))
-    else:
-        tj = F.broadcast(targets) if broadcast_groups else targets  # else AQE picks (and splits skew)
-        j = base.join(tj.select(*g, "k", "lo", "hi"), g)
-    below = j.groupBy(*g, "k").agg(F.sum(F.when(F.col("_v") < F.col("lo"), 1).otherwise(0)).alias("c_below"))
-    inside = (
-        j.where((F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi")))
-        .groupBy(*g, "k", "_v")
-        .agg(F.count(F.lit(1)).alias("cnt"))
-    )
-    w = Window.partitionBy(*g, "k").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        inside.withColumn("cum", F.sum("cnt").over(w))
-        .join(below, g + ["k"])
-        .join(targets.select(*g, "k", "n", "h", "r0", "r1"), g + ["k"])
-        .withColumn("last_rank", F.col("c_below") + F.col("cum") - 1)
-    )
-    located = ranked.groupBy(*g, "k", "n", "h", "r0", "r1", "c_below").agg(
-        F.min(F.when(F.col("last_rank") >= F.col("r0"), F.col("_v"))).alias("x0"),
-        F.min(F.when(F.col("last_rank") >= F.col("r1"), F.col("_v"))).alias("x1"),
-        F.max("last_rank").alias("max_rank"),
-    )
-    located = materialize(located)  # groups x targets rows; input is not read again below
-    ok = (F.col("c_below") <= F.col("r0")) & (F.col("max_rank") >= F.col("r1"))
-    interp = F.when(F.col("r0") == F.col("r1"), F.col("x0")).otherwise(
-        (F.col("r1") - F.col("h")) * F.col("x0") + (F.col("h") - F.col("r0")) * F.col("x1")
+    # at most ``accuracy`` rows per target
+    last = F.col("below") + F.sum("_c").over(Window.partitionBy(*gk).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)) - 1
+    located = inside.withColumn("last", last).groupBy(*gk, "n", "h", "r0", "r1").agg(
+        F.min(F.when(F.col("last") >= F.col("r0"), F.col("_v"))).alias("x0"),
+        F.min(F.when(F.col("last") >= F.col("r1"), F.col("_v"))).alias("x1"),
     )
-    good = located.where(ok).select(*g, "k", "n", interp.alias("q"))
-    # A bracket that missed (not expected above the accuracy; kept for exactness): direct percentile.
-    missed = targets.select(*g, "k").join(good.select(*g, "k"), g + ["k"], "left_anti").select(*g).distinct()
-    if missed.limit(1).count():
-        mg = F.broadcast(missed) if broadcast_groups else missed
-        good = good.join(mg, g, "left_anti").unionByName(direct(missed))
-    return good
+    q = F.when(F.col("r0") == F.col("r1"), F.col("x0")).otherwise((F.col("r1") - F.col("h")) * F.col("x0") + (F.col("h") - F.col("r0")) * F.col("x1"))
+    out = located.withColumn("q", q).groupBy(*g, "n").agg(*[F.max(F.when(F.col("k") == i, F.col("q"))).alias(f"q{i}") for i in range(len(probs))])
+    return out if group_cols else out.drop("_g")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsrisk.functions.scalars import first_csv_double
-from newsrisk.session import bounded_broadcast, checkpoint_dir
+from newsrisk.session import broadcast_list
 from newsrisk.sources.readers import DateLike, pick_field, scan_window
 
 THEME_FIELDS = ["V2Themes", "Themes"]
@@ -32,29 +32,6 @@ def exploded_themes(articles: DataFrame, start: DateLike = None, end: DateLike =
     return items.where(F.col("theme").isNotNull() & (F.col("theme") != ""))
 
 
-def theme_day_partials(exploded: DataFrame) -> DataFrame:
-    """(date, theme) -> mention count, tone sum, tone count.
-
-    Aggregated right after the explode (partial aggregation in the same stage),
-    so the exploded rows are never shuffled.
-    """
-    return exploded.groupBy("date", "theme").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("Tone").alias("tone_sum"),
-        F.count("Tone").alias("tone_n"),
-    )
-
-
-def top_themes(partials: DataFrame, k: int = 200) -> DataFrame:
-    """The ``k`` most mentioned themes (ties broken by theme)."""
-    return (
-        partials.groupBy("theme")
-        .agg(F.sum("n").cast("bigint").alias("mentions"))
-        .orderBy(F.col("mentions").desc(), F.col("theme"))
-        .limit(k)
-    )
-
-
 def theme_daily(
     articles: DataFrame,
     start: DateLike = None,
@@ -62,29 +39,23 @@ def theme_daily(
     top_k: int = 200,
     strip_offsets: bool = False,
     ordered: bool = True,
-    materialize: bool = True,
 ) -> DataFrame:
     """(date, theme) ArticleCount and AvgTone for the top-k themes.
 
-    ``ArticleCount`` counts theme mentions. The raw articles are exploded and
-    aggregated once; the top-k list (at most ``top_k`` rows, a bounded
-    broadcast) is taken from those partials and joined back to them.
-
-    The partials feed two consumers (the top-k and the join). With
-    ``materialize=True`` they are checkpointed to the shared checkpoint folder
-    (``spark.checkpoint.dir``) so the raw scan + explode runs once and the
-    lineage is cut; otherwise the plan stays lazy and scans the raw data twice.
+    ``ArticleCount`` counts theme mentions. One pass counts by theme alone and
+    keeps the top ``top_k`` (a list of that many rows); a second pass over the
+    pruned scan drops every other theme before the day aggregate, whose shuffle
+    then carries at most ``top_k`` x days partial rows per task.
     """
-    partials = theme_day_partials(exploded_themes(articles, start, end, strip_offsets))
-    if materialize:
-        checkpoint_dir(articles.sparkSession)
-        partials = partials.checkpoint(eager=True)
-    top = top_themes(partials, top_k).select("theme")
-    out = partials.join(bounded_broadcast(top, top_k), "theme").select(
-        "date",
-        "theme",
-        F.col("n").cast("bigint").alias("ArticleCount"),
-        F.try_divide(F.col("tone_sum"), F.col("tone_n").cast("double")).alias("AvgTone"),
+    items = exploded_themes(articles, start, end, strip_offsets)
+    top = top_themes_of_articles(articles, start, end, top_k, strip_offsets).select("theme")
+    out = (
+        items.join(broadcast_list(top, top_k), "theme", "left_semi")
+        .groupBy("date", "theme")
+        .agg(
+            F.count(F.lit(1)).cast("bigint").alias("ArticleCount"),
+            F.try_divide(F.sum("Tone"), F.count("Tone").cast("double")).alias("AvgTone"),
+        )
     )
     return out.orderBy("date", "theme") if ordered else out
 

@@ -76,10 +76,11 @@ def run_events(spark: SparkSession, raw: DataFrame, layout: Layout, start: DateL
     """V1: extract (CSV) -> run log -> clean (Parquet) -> publish (undated rows dropped)."""
     extract = extract_events_daily(raw, start, end)
     path = sinks.write_extract_csv(extract, layout.extracts, start, end)
-    latest = readers.latest_extract(spark, layout.extracts)
-    log = QA.run_log(readers.read_extract_csv(spark, latest), latest.rsplit("/", 1)[-1])
+    # the file just written, whatever other windows lie in the folder (a back-fill has an older name)
+    extract = readers.read_extract_csv(spark, path)
+    log = QA.run_log(extract, path.rsplit("/", 1)[-1])
     sinks.publish(log.withColumn("run_timestamp", F.current_timestamp()), layout.run_log)  # latest run only
-    clean = clean_events(readers.read_extract_csv(spark, latest))
+    clean = clean_events(extract)
     sinks.write_parquet(clean, layout.clean)
     published = readers.read_clean(spark, layout.processed)
     sinks.publish(published, layout.published_clean, drop_null="date")
@@ -137,12 +138,24 @@ def run_refresh(
     trees: int = 500,
 ) -> DataFrame:
     """Daily refresh of every table, then the freshness checks (one row)."""
-    run_events(spark, raw, layout, start, end)
+    written = run_events(spark, raw, layout, start, end)
     run_risk_forecast(spark, layout, run_date=run_date, trees=trees)
     clean = spark.read.parquet(layout.published_clean)
     risk = spark.read.parquet(layout.risk)
     forecast = spark.read.parquet(layout.forecasts)
-    return QA.freshness_checks(clean, risk, forecast)
+    return QA.freshness_checks(clean, risk, forecast, readers.read_extract_csv(spark, written["extract"]))
+
+
+def refresh_run_log(spark: SparkSession, layout: Layout) -> str:
+    """Publish the run-log row of the newest extract; without an extract, a row whose status says so."""
+    try:
+        latest = readers.latest_extract(spark, layout.extracts)
+    except FileNotFoundError:
+        row = QA.run_log_without_extract(spark, layout.extracts)
+    else:
+        row = QA.run_log(readers.read_extract_csv(spark, latest), latest.rsplit("/", 1)[-1]).withColumn("status", F.lit("ok"))
+    sinks.publish(row.withColumn("run_timestamp", F.current_timestamp()), layout.run_log)
+    return layout.run_log
 
 
 def quality_report(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:

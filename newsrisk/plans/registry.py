@@ -29,7 +29,7 @@ from newsrisk.operators.risk import country_risk_daily
 from newsrisk.plans import sqltext as S
 from newsrisk.session import checkpoint_dir
 from newsrisk.sources import adapters, readers, sinks
-from newsrisk.streaming import compact_incremental_extract, run_incremental_extract
+from newsrisk.streaming import run_incremental_extract
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -532,7 +532,7 @@ register(
 # ---- scoring / models (rows-only; no SQL oracle) ----------------------------------------------
 
 MODEL_TREES = 300  # isolation forest trees (the published setting)
-FOREST_TREES = 50  # random-forest trees in the registered model queries
+FOREST_TREES = 500  # random-forest trees (the published setting)
 RUN_DATE = "2024-02-01"
 
 
@@ -562,6 +562,8 @@ register("forecast_backtest")(
     lambda spark, sf_dir: FC.forecast_backtest(features(spark, sf_dir), trees=FOREST_TREES))
 register("risk_forecast_next_day")(lambda spark, sf_dir: _forecast(spark, sf_dir))
 register("forecast_cv")(lambda spark, sf_dir: FC.forecast_cv(risk(spark, sf_dir, "sparse"), trees=FOREST_TREES))
+register("forecast_last_fold")(
+    lambda spark, sf_dir: FC.last_fold_series(FC.cv_predictions(risk(spark, sf_dir, "sparse"), trees=FOREST_TREES)))
 register("permutation_importance")(
     lambda spark, sf_dir: FC.forecast_cv_importance(risk(spark, sf_dir, "sparse"), trees=FOREST_TREES))
 register("risk_trend_with_forecast")(
@@ -577,12 +579,16 @@ register(
             ("latest", "SELECT * FROM feat QUALIFY ROW_NUMBER() OVER (PARTITION BY CountryCode ORDER BY date DESC) = 1"),
             ("fc", f"SELECT date + 1 AS forecast_date FROM latest WHERE {S.not_null(S.FEATURE_COLS)}"),
         ],
-        "SELECT (SELECT MAX(date) FROM clean) AS clean_max_date, (SELECT MAX(date) FROM risk) AS risk_max_date, "
+        "SELECT (SELECT CAST(STRPTIME(CAST(MAX(SQLDATE) AS VARCHAR), '%Y%m%d') AS DATE) FROM extract) AS extract_max_date, "
+        "(SELECT MAX(date) FROM clean) AS clean_max_date, (SELECT MAX(date) FROM risk) AS risk_max_date, "
         "(SELECT MAX(forecast_date) FROM fc) AS forecast_max_date, (SELECT COUNT(*) FROM fc) AS forecast_rows, "
+        "(SELECT MAX(date) FROM clean) = (SELECT CAST(STRPTIME(CAST(MAX(SQLDATE) AS VARCHAR), '%Y%m%d') AS DATE) FROM extract) "
+        "AS clean_matches_extract, "
         "(SELECT MAX(date) FROM clean) = (SELECT MAX(date) FROM risk) AS risk_matches_clean, "
         "(SELECT MAX(forecast_date) FROM fc) = (SELECT MAX(date) FROM risk) + 1 AS forecast_is_next_day",
     ),
-)(lambda spark, sf_dir: QA.freshness_checks(clean(spark, sf_dir), risk(spark, sf_dir), _forecast(spark, sf_dir)))
+)(lambda spark, sf_dir: QA.freshness_checks(
+    clean(spark, sf_dir), risk(spark, sf_dir), _forecast(spark, sf_dir), extract(spark, sf_dir)))
 
 
 # ---- column-level steps of the clean layer (P3-P8, J7) ------------------------------------------
@@ -659,14 +665,13 @@ register(
 
 
 def _incremental_extract(spark, sf_dir):
-    """Land the raw events as dt partitions in two deliveries; stream each in, compacting between."""
+    """Land the raw events as dt partitions in two deliveries; stream each in."""
     base = _scratch(spark, "stream")
     raw = raw_events(spark, sf_dir)
     cut = raw.select(F.percentile_approx("dt", 0.5)).first()[0]  # split point: ~half the data
     sinks.write_parquet(raw.where(F.col("dt") < F.lit(cut)), f"{base}/raw", ["dt"])
     run_incremental_extract(spark, f"{base}/raw", f"{base}/out", f"{base}/ckpt", max_files_per_trigger=8)
-    compact_incremental_extract(spark, f"{base}/out")  # fold the first delivery's batches into the base
-    raw.where(F.col("dt") >= F.lit(cut)).write.mode("append").partitionBy("dt").parquet(f"{base}/raw")
+    raw.where((F.col("dt") >= F.lit(cut)) | F.col("dt").isNull()).write.mode("append").partitionBy("dt").parquet(f"{base}/raw")
     out = run_incremental_extract(spark, f"{base}/raw", f"{base}/out", f"{base}/ckpt", max_files_per_trigger=8)
     return rounded(out)
 

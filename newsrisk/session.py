@@ -52,13 +52,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared folder (HDFS/object store) there and we use it
-    unchanged. Only when the setting is absent in local mode (tests) do we
-    create a scratch folder of our own; a cluster run without it is an error.
+    unchanged. Only when the setting is absent on a single-JVM local master (tests)
+    do we create a scratch folder of our own; a cluster run (``local-cluster`` included)
+    without it is an error.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             # a machine-local folder would vanish with its executor: insist on the shared one
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store) for cluster runs")
         path = tempfile.mkdtemp(prefix="newsrisk-ckpt-")
@@ -78,13 +79,12 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
-# Largest row bound for which a join side is broadcast explicitly; above it the
-# join is left to AQE (runtime size check, shuffle join otherwise).
-BROADCAST_MAX_ROWS = 100_000
+# The longest top-k list that is broadcast outright; any longer side is left to AQE's measured sizes.
+BROADCAST_LIST_ROWS = 200
 
 
-def bounded_broadcast(df, max_rows: int):
-    """Broadcast ``df`` when its row count is bounded by ``max_rows`` <= BROADCAST_MAX_ROWS."""
+def broadcast_list(df, rows: int):
+    """Broadcast ``df``, a list of at most ``rows`` short rows, if that is a short list."""
     from pyspark.sql import functions as F
 
-    return F.broadcast(df) if max_rows <= BROADCAST_MAX_ROWS else df
+    return F.broadcast(df) if rows <= BROADCAST_LIST_ROWS else df

@@ -72,13 +72,13 @@ def sample_preview(raw: DataFrame, start: DateLike = None, end: DateLike = None,
     return w.orderBy("GLOBALEVENTID").select(*PREVIEW_COLUMNS).limit(n)
 
 
-def pick_field(df_or_columns: DataFrame | Iterable[str], candidates: list[str]) -> str:
-    """First candidate that exists in the schema; error if none does."""
-    cols = set(df_or_columns.columns if isinstance(df_or_columns, DataFrame) else df_or_columns)
-    for name in candidates:
-        if name in cols:
-            return name
-    raise ValueError(f"None of these fields exist: {candidates}")
+def pick_field(source: DataFrame | Iterable[str], preferred: list[str]) -> str:
+    """The most preferred of the columns that ``source`` has (article tables name theirs differently)."""
+    present = source.columns if isinstance(source, DataFrame) else list(source)
+    usable = sorted(set(present).intersection(preferred), key=preferred.index)
+    if not usable:
+        raise ValueError(f"a table with columns {sorted(present)} has no column out of {preferred}")
+    return usable[0]
 
 
 def _fs_and_path(spark: SparkSession, path: str):
@@ -103,7 +103,7 @@ def latest_extract(spark: SparkSession, directory: str, by: str = "name", patter
     statuses = fs.globStatus(p) or []
     found = [(s.getPath().toString(), s.getPath().getName(), s.getModificationTime()) for s in statuses]
     if not found:
-        raise FileNotFoundError(f"No {pattern} found in {directory}")
+        raise FileNotFoundError(f"{directory} holds no file named like {pattern}")
     if by == "name":
         return max(found, key=lambda x: x[1])[0]
     if by == "mtime":
@@ -126,7 +126,7 @@ def read_clean(spark: SparkSession, directory: str) -> DataFrame:
         from newsrisk.operators.clean import CLEAN_CSV_SCHEMA, retype_clean
 
         return retype_clean(spark.read.option("header", True).schema(CLEAN_CSV_SCHEMA).csv(gz))
-    raise FileNotFoundError(f"Clean dataset not found in {directory}")
+    raise FileNotFoundError(f"{directory} holds neither {pq} nor {gz}")
 
 
 def risk_series(risk: DataFrame, columns: list[str] | None = None) -> DataFrame:

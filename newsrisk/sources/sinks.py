@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newsrisk.session import checkpoint_dir
 from newsrisk.sources.readers import DateLike
 
 
@@ -30,15 +33,28 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
 
 
 def _swap_in(spark, staging: str, target: str) -> None:
-    """Replace ``target`` by the fully written ``staging`` folder (delete + rename)."""
+    """Move the fully written ``staging`` folder to ``target``; the old table comes back if that fails."""
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    src, dst = jvm.org.apache.hadoop.fs.Path(staging), jvm.org.apache.hadoop.fs.Path(target)
-    fs = dst.getFileSystem(conf)
-    if fs.exists(dst):
-        fs.delete(dst, True)
-    if not fs.rename(src, dst):
-        raise OSError(f"could not move {staging} to {target}")
+    path = jvm.org.apache.hadoop.fs.Path
+    src, dst, old = path(staging), path(target), path(staging + "_old")
+    fs = dst.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    had = fs.exists(dst)
+    if had and not fs.rename(dst, old):
+        raise OSError(f"could not set {target} aside")
+    try:
+        moved = _rename(fs, src, dst)
+    except Exception:
+        moved = False
+    if not moved:
+        if had:
+            fs.rename(old, dst)
+        raise OSError(f"could not move {staging} to {target}; the old table is in place")
+    if had:
+        fs.delete(old, True)
+
+
+def _rename(fs, src, dst) -> bool:
+    return bool(fs.rename(src, dst))
 
 
 def publish(
@@ -46,40 +62,43 @@ def publish(
     target: str,
     drop_null: str | None = None,
     partition_by: list[str] | None = None,
-    atomic: bool = True,
 ) -> str:
     """Full replace of a published table.
 
     ``target`` is a path (contains ``/``) or a catalog table name
     (``saveAsTable``). ``drop_null`` names a column whose null rows are dropped
-    first (the clean table is published without undated rows). Paths are
-    written to a staging folder next to the target and swapped in (delete +
-    rename) only after the write job has committed: readers never see a
-    half-written table, a failed or retried job leaves the old table in place,
-    and a DataFrame may even be derived from the table it replaces.
+    first (the clean table is published without undated rows). The rows are
+    written to a staging folder first, so a failed job leaves the old table in
+    place and a DataFrame may be derived from the table it replaces. A path is
+    then replaced by two renames; between them the old table stands beside the
+    target, and comes back if the second one fails. A reader that must not see
+    that instant reads through a catalog table.
     """
     if drop_null:
         df = df.where(F.col(drop_null).isNotNull())
     if "/" in target:
-        if not atomic:
-            return write_parquet(df, target, partition_by)
-        import uuid
-
         staging = f"{target.rstrip('/')}._staging_{uuid.uuid4().hex[:12]}"
         write_parquet(df, staging, partition_by)
         _swap_in(df.sparkSession, staging, target)
         return target
-    w = df.write.mode("overwrite").format("parquet")
+    spark = df.sparkSession
+    staging = f"{checkpoint_dir(spark).rstrip('/')}/publish-{uuid.uuid4().hex[:12]}"
+    write_parquet(df, staging)
+    w = spark.read.schema(df.schema).parquet(staging).write.mode("overwrite").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.saveAsTable(target)
+    remove(spark, staging)
     return target
 
 
-def write_top_csv(df: DataFrame, path: str) -> str:
-    """Small ranked report (e.g. the top-50 anomalies) as one CSV file with header.
+def remove(spark, path: str) -> None:
+    """Delete a scratch folder through the Hadoop file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
-    Only for bounded outputs: ``coalesce(1)`` puts every row in one task.
-    """
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+
+def write_top_csv(df: DataFrame, path: str, k: int = 50) -> str:
+    """Ranked report (e.g. the top-50 anomalies): the first ``k`` rows as one CSV file with header."""
+    df.limit(k).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
     return path

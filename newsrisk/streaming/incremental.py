@@ -9,9 +9,7 @@ retried batch replaces its own output (idempotent sink).
 
 No watermark: an event whose SQLDATE is older than its partition date (late
 coverage) is still counted, exactly as a batch re-extract would count it.
-The extract is the re-aggregation of all partials; ``compact_incremental_extract``
-folds finished batches into one base table so the partials stay bounded by
-days x countries x roots.
+The extract is the re-aggregation of all partials (one small table per micro-batch).
 """
 
 from __future__ import annotations
@@ -19,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from newsrisk.operators.events import SPLIT_SCALE, split_parts
 
@@ -53,9 +52,13 @@ def start_incremental_extract(
     out_path: str,
     checkpoint_location: str,
     max_files_per_trigger: int | None = None,
+    schema: StructType | None = None,
 ) -> StreamingQuery:
-    """Start (and, with availableNow, finish) one incremental extract run."""
-    schema = spark.read.option("basePath", raw_path).parquet(raw_path).schema
+    """Start (and, with availableNow, finish) one incremental extract run.
+
+    Pass the raw table's ``schema`` to spare the listing that reading it takes.
+    """
+    schema = schema or spark.read.option("basePath", raw_path).parquet(raw_path).schema
     reader = spark.readStream.schema(schema).option("basePath", raw_path)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -73,102 +76,14 @@ def start_incremental_extract(
     )
 
 
-def _merge_partials(p: DataFrame) -> DataFrame:
-    """Partials -> partials: one row per key (sums of sums, counts of counts)."""
-    return p.groupBy(*PARTIAL_KEYS).agg(
-        *[
-            F.sum(c).alias(c)
-            for c in ("n", "tone_hi", "tone_lo", "tone_n", "gold_hi", "gold_lo", "gold_n", "mentions", "articles", "sources")
-        ]
-    )
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def _numbered(spark: SparkSession, folder: str, prefix: str) -> list[tuple[int, str]]:
-    """(number, path) of the sub-folders ``<prefix><number>`` of ``folder``."""
-    fs, root = _fs(spark, folder)
-    if not fs.exists(root):
-        return []
-    out = []
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if name.startswith(prefix) and name[len(prefix):].isdigit():
-            out.append((int(name[len(prefix):]), st.getPath().toString()))
-    return sorted(out)
-
-
-def _state(spark: SparkSession, out_path: str):
-    """Current base (folded up to batch B) and the batch folders after B.
-
-    The base folder is named ``base_upto=<B>``: a reader ignores batch folders
-    at or below B and any older base, so a compaction that died after swapping
-    in its base but before deleting what it folded can never double count.
-    """
-    root = out_path.rstrip("/")
-    bases = _numbered(spark, root, "base_upto=")
-    upto, base = bases[-1] if bases else (-1, None)
-    batches = [(b, p) for b, p in _numbered(spark, f"{root}/partials", "batch_id=") if b > upto]
-    return upto, base, batches, bases
-
-
-def _partials_df(spark: SparkSession, out_path: str) -> DataFrame | None:
-    _, base, batches, _ = _state(spark, out_path)
-    parts = [spark.read.parquet(base)] if base else []
-    if batches:
-        root = f"{out_path.rstrip('/')}/partials"
-        parts.append(spark.read.option("basePath", root).parquet(*[p for _, p in batches]).drop("batch_id"))
-    if not parts:
-        return None
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-
-
-def compact_incremental_extract(spark: SparkSession, out_path: str) -> int:
-    """Fold the finished batches into a new base table; returns the number folded.
-
-    The current base and the batch folders after it are merged, written to a
-    staging folder and renamed to ``base_upto=<last batch>``; only then are the
-    older base and the folded batch folders deleted. Batches that land
-    meanwhile have higher ids and stay for the next compaction. A crash at any
-    step leaves a state that reads correctly (see ``_state``). Do not run two
-    compactions of the same output at once.
-    """
-    import uuid
-
-    root = out_path.rstrip("/")
-    upto, base, batches, bases = _state(spark, out_path)
-    if not batches:
-        return 0
-    merged = _partials_df(spark, out_path)
-    new_upto = batches[-1][0]
-    staging = f"{root}/_staging_{uuid.uuid4().hex[:12]}"
-    _merge_partials(merged).write.mode("overwrite").parquet(staging)
-    jvm = spark.sparkContext._jvm
-    fs, _ = _fs(spark, root)
-    if not fs.rename(jvm.org.apache.hadoop.fs.Path(staging), jvm.org.apache.hadoop.fs.Path(f"{root}/base_upto={new_upto}")):
-        raise OSError(f"could not publish compacted base under {root}")
-    for _, p in bases:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(p), True)
-    for b, p in _numbered(spark, f"{root}/partials", "batch_id="):
-        if b <= new_upto:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(p), True)
-    return len(batches)
-
-
 def _mean(prefix: str):
-    total = F.sum(f"{prefix}_hi").cast("double") / F.lit(SPLIT_SCALE) + F.sum(f"{prefix}_lo")
+    total = F.coalesce(F.sum(f"{prefix}_hi").cast("double"), F.lit(0.0)) / F.lit(SPLIT_SCALE) + F.sum(f"{prefix}_lo")
     return F.try_divide(total, F.sum(f"{prefix}_n").cast("double"))
 
 
 def read_incremental_extract(spark: SparkSession, out_path: str) -> DataFrame:
-    """Merge the base and every batch's partials into the daily extract (batch extract columns)."""
-    p = _partials_df(spark, out_path)
-    if p is None:
-        raise FileNotFoundError(f"no partials under {out_path}")
+    """Merge every batch's partials into the daily extract (batch extract columns)."""
+    p = spark.read.parquet(f"{out_path.rstrip('/')}/partials")
     return p.groupBy(*PARTIAL_KEYS).agg(
         F.sum("n").cast("bigint").alias("EventCount"),
         _mean("tone").alias("AvgTone"),
@@ -180,10 +95,15 @@ def read_incremental_extract(spark: SparkSession, out_path: str) -> DataFrame:
 
 
 def run_incremental_extract(
-    spark: SparkSession, raw_path: str, out_path: str, checkpoint_location: str, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    raw_path: str,
+    out_path: str,
+    checkpoint_location: str,
+    max_files_per_trigger: int | None = None,
+    schema: StructType | None = None,
 ) -> DataFrame:
     """Process all newly available raw files, then return the merged extract."""
-    q = start_incremental_extract(spark, raw_path, out_path, checkpoint_location, max_files_per_trigger)
+    q = start_incremental_extract(spark, raw_path, out_path, checkpoint_location, max_files_per_trigger, schema)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

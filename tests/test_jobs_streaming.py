@@ -5,9 +5,9 @@ import os
 from pyspark.sql import functions as F
 
 from newsrisk.operators.events import extract_events_daily
-from newsrisk.plans.jobs import Layout, quality_report, run_anomalies, run_refresh, run_themes
+from newsrisk.plans.jobs import Layout, quality_report, run_anomalies, run_events, run_refresh, run_themes
 from newsrisk.sources import adapters, sinks
-from newsrisk.streaming import compact_incremental_extract, read_incremental_extract, run_incremental_extract
+from newsrisk.streaming import read_incremental_extract, run_incremental_extract
 
 from conftest import SF_SMALL
 
@@ -29,21 +29,6 @@ def test_incremental_extract_equals_batch(spark, scratch):
     run_incremental_extract(spark, f"{scratch}/raw", f"{scratch}/out", f"{scratch}/ckpt")  # nothing new
     assert len(os.listdir(f"{scratch}/out/partials".replace("file:", ""))) == n_batches
     assert _rows(read_incremental_extract(spark, f"{scratch}/out").select(*cols)) == _rows(batch)
-    assert compact_incremental_extract(spark, f"{scratch}/out") == n_batches
-    assert not os.listdir(f"{scratch}/out/partials")
-    assert _rows(read_incremental_extract(spark, f"{scratch}/out").select(*cols)) == _rows(batch)
-
-
-def test_stream_after_compaction(spark, scratch):
-    raw = adapters.dense_events(spark, SF_SMALL)
-    raw_dir, out, ck = f"{scratch}/raw", f"{scratch}/out", f"{scratch}/ckpt"
-    sinks.write_parquet(raw.where(F.col("dt") < "2024-01-10"), raw_dir, ["dt"])
-    run_incremental_extract(spark, raw_dir, out, ck)
-    compact_incremental_extract(spark, out)
-    raw.where(F.col("dt") >= "2024-01-10").write.mode("append").partitionBy("dt").parquet(raw_dir)
-    got = run_incremental_extract(spark, raw_dir, out, ck)
-    batch = extract_events_daily(raw, ordered=False)
-    assert _rows(got.select(*batch.columns)) == _rows(batch)
 
 
 def test_refresh_end_to_end(spark, scratch):
@@ -61,6 +46,15 @@ def test_refresh_end_to_end(spark, scratch):
     assert top.count() == 50
 
 
+def test_back_fill_publishes_its_own_window(spark, scratch):
+    layout, raw = Layout(scratch), adapters.dense_events(spark, SF_SMALL)
+    run_events(spark, raw, layout, "2024-01-20", "2024-01-31")
+    run_events(spark, raw, layout, "2024-01-01", "2024-01-10")
+    span = spark.read.parquet(layout.published_clean).agg(F.min("date"), F.max("date")).first()
+    assert str(span[0]) >= "2024-01-01" and str(span[1]) < "2024-01-11"
+    assert spark.read.parquet(layout.run_log).first().file == "events_daily_20240101_20240110.csv"
+
+
 def test_themes_job(spark, scratch):
     layout = Layout(scratch)
     target = run_themes(spark, adapters.articles(spark, SF_SMALL), layout, "2024-01-01", "2024-02-01", top_k=20)
@@ -68,20 +62,6 @@ def test_themes_job(spark, scratch):
     assert df.select("theme").distinct().count() == 20
 
 
-def test_compaction_crash_leftovers_not_double_counted(spark, scratch):
-    raw = adapters.dense_events(spark, SF_SMALL)
-    out = f"{scratch}/out"
-    sinks.write_parquet(raw, f"{scratch}/raw", ["dt"])
-    run_incremental_extract(spark, f"{scratch}/raw", out, f"{scratch}/ckpt", max_files_per_trigger=10)
-    assert compact_incremental_extract(spark, out) >= 2
-    base = [d for d in os.listdir(out) if d.startswith("base_upto=")]
-    assert len(base) == 1
-    # a compaction that died before deleting what it folded leaves an old batch folder behind
-    spark.read.parquet(f"{out}/{base[0]}").write.parquet(f"{out}/partials/batch_id=0")
-    batch = extract_events_daily(raw, ordered=False)
-    assert _rows(read_incremental_extract(spark, out).select(*batch.columns)) == _rows(batch)
-
-
 def test_command_line(spark, scratch, capsys):
     import json
 

@@ -27,15 +27,15 @@ def test_theme_fallback_fields_and_empty_items(spark):
         [(dt.date(2025, 1, 1), None, "1,2"), (dt.date(2025, 1, 1), "", "1,2"), (dt.date(2025, 1, 1), "A;B;;A;", "-3,9")],
         "dt date, Themes string, Tone string",
     )
-    out = {(r.theme, r.ArticleCount, r.AvgTone) for r in theme_daily(df, materialize=False).collect()}
+    out = {(r.theme, r.ArticleCount, r.AvgTone) for r in theme_daily(df).collect()}
     assert out == {("A", 2, -3.0), ("B", 1, -3.0)}
 
 
 def test_strip_offsets(spark):
     df = spark.createDataFrame([(dt.date(2025, 1, 1), "A,12;B,40;A,7", "1,0")], "dt date, V2Themes string, V2Tone string")
-    out = {(r.theme, r.ArticleCount) for r in theme_daily(df, strip_offsets=True, materialize=False).collect()}
+    out = {(r.theme, r.ArticleCount) for r in theme_daily(df, strip_offsets=True).collect()}
     assert out == {("A", 2), ("B", 1)}
-    raw = {r.theme for r in theme_daily(df, materialize=False).collect()}
+    raw = {r.theme for r in theme_daily(df).collect()}
     assert raw == {"A,12", "B,40", "A,7"}
 
 
