@@ -8,15 +8,16 @@ with it; earlier lines count whether they go themselves or not. Lines without a
    ranked by count (the only thing the driver sees: 2^18 numbers). A token becomes one long, its bucket's rank and the rest of its hash (the 64
    hash bits, rearranged): sorting the longs sorts by rarity, in one order for all lines.
 2. Classes. Lines with equal token sets are one class; all but its first line go. Only the first
-   line, with its size, prefix and two parity words, goes on.
+   line, with its size, prefix and parity word, goes on.
 3. Stars. For prefix tokens that many classes share, the first of those classes is a pivot. A
    class that passes the filters against an earlier pivot is tried with it alone, so a group of m
    near-equal lines costs about m pairs.
 4. Join. The other classes meet all classes on prefix tokens; a pair must pass the length filter,
    the positional filter and the parity filter (two sets whose parity words differ in d bits
-   differ in at least d tokens).
-5. Verification on the tokens themselves. Classes that were tried with a pivot only, in vain, are
-   joined and verified in the same way as the others.
+   differ in at least d tokens). Both sides of the join are the same rows, shuffled once.
+5. Verification on the tokens themselves: each class first with its likeliest candidate (the
+   pivot, or the fewest differing parity bits); the classes for which that fails meet all classes once
+   more, and every pair of theirs is verified.
 
 Steps 3 to 5 lose nothing: a class goes if and only if an earlier class is similar.
 
@@ -32,7 +33,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsrisk.llm.common import checked_broadcast, write_table
+from newsrisk.llm.common import BROADCAST_MAX_BYTES, checked_broadcast, write_table
 
 THRESHOLD = 0.8
 SKETCH_BITS = 18
@@ -56,14 +57,14 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 
 def token_ranks(docs: DataFrame, bits: int = SKETCH_BITS) -> Column:
-    """An array literal: the rank of each hash bucket by its token occurrences (2^bits numbers)."""
+    """An array literal: the rank of each hash bucket by its token occurrences, as the top bits of a long."""
     tokens = docs.where("doc_id is not null").select(F.explode_outer(words(F.replace("text", F.lit("\n"), F.lit(" ")))).alias("t"))
     counts = tokens.groupBy(F.xxhash64("t").bitwiseAND(F.lit((1 << bits) - 1)).alias("b")).agg(F.count("*").alias("n"))
     n = dict(map(tuple, counts.collect()))
     ranks = [0] * (1 << bits)
     for rank, bucket in enumerate(sorted(range(1 << bits), key=lambda b: (n.get(b, 0), b))):
-        ranks[bucket] = rank
-    return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<int>")  # folded to one literal
+        ranks[bucket] = (rank - (1 << (bits - 1))) << (64 - bits)  # in the place it has in a token's long
+    return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<bigint>")  # folded to one literal
 
 
 def ordered_tokens(text: Column, ranks: Column, bits: int = SKETCH_BITS) -> Column:
@@ -71,8 +72,7 @@ def ordered_tokens(text: Column, ranks: Column, bits: int = SKETCH_BITS) -> Colu
 
     def packed(w):
         h = F.xxhash64(w)
-        rank = F.element_at(ranks, (h.bitwiseAND(F.lit((1 << bits) - 1)) + 1).cast("int")) - F.lit(1 << (bits - 1))
-        return F.shiftleft(rank.cast("long"), 64 - bits).bitwiseOR(F.shiftrightunsigned(h, bits))
+        return F.get(ranks, h.bitwiseAND(F.lit((1 << bits) - 1)).cast("int")).bitwiseOR(F.shiftrightunsigned(h, bits))
 
     return F.sort_array(F.array_distinct(F.transform(words(text), packed)))
 
@@ -86,10 +86,10 @@ def overlap_needed(a: Column, b: Column, threshold: float) -> Column:
     return at_least(threshold / (1 + threshold), a + b)
 
 
-def parity(tokens: Column, word: int) -> Column:
-    """64 parity bits over the tokens whose bit 6 is ``word``."""
-    bit = lambda t: F.when(F.shiftright(t, 6).bitwiseAND(F.lit(1)) == word, F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))).otherwise(F.lit(0).cast("long"))
-    return F.aggregate(tokens, F.lit(0).cast("long"), lambda acc, t: acc.bitwiseXOR(bit(t)))
+def parity(tokens: Column) -> Column:
+    """64 parity bits of the set: each token flips one."""
+    flip = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))
+    return F.aggregate(tokens, F.lit(0).cast("long"), lambda acc, t: acc.bitwiseXOR(flip(t)))
 
 
 def classes_of(docs: DataFrame, ranks: Column, threshold: float) -> tuple[DataFrame, DataFrame]:
@@ -101,13 +101,12 @@ def classes_of(docs: DataFrame, ranks: Column, threshold: float) -> tuple[DataFr
         "line",
         F.xxhash64("t").alias("set"),
         size.alias("size"),
-        parity(F.col("t"), 0).alias("p0"),
-        parity(F.col("t"), 1).alias("p1"),
+        parity(F.col("t")).alias("parity"),
         F.transform(F.slice("t", F.lit(1), size - at_least(threshold, size) + 1), lambda x: F.hash(x)).alias("prefix"),
     ), "lines")
-    key = ["set", "size", "p0", "p1", "prefix"]
+    key = ["set", "size", "parity", "prefix"]
     first = lines.groupBy(*key).agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("n"))
-    return write_table(first.select(F.col("first.doc").alias("doc"), F.col("first.line").alias("line"), *key, "n"), "line_classes"), lines.select("doc", "line", "set", "size", "p0", "p1")
+    return write_table(first.select(F.col("first.doc").alias("doc"), F.col("first.line").alias("line"), *key, "n"), "line_classes"), lines.select("doc", "line", "set", "size", "parity")
 
 
 def earlier(a: str, b: str) -> Column:
@@ -116,18 +115,16 @@ def earlier(a: str, b: str) -> Column:
     return (c(a, "doc") < c(b, "doc")) | ((c(a, "doc") == c(b, "doc")) & (c(a, "line") < c(b, "line")))
 
 
+def differing(x: str, y: str) -> Column:
+    return F.bit_count(F.col(f"{x}.parity").bitwiseXOR(F.col(f"{y}.parity")))
+
+
 def may_match(x: str, y: str, threshold: float) -> Column:
     """Length, positional and parity filters of two prefix entries."""
     c = lambda s, n: F.col(f"{s}.{n}")
     need = overlap_needed(c(x, "size"), c(y, "size"), threshold)
-    differ = F.bit_count(c(x, "p0").bitwiseXOR(c(y, "p0"))) + F.bit_count(c(x, "p1").bitwiseXOR(c(y, "p1")))
     left = F.least(c(x, "size") - c(x, "pos"), c(y, "size") - c(y, "pos"))
-    return (F.least(c(x, "size"), c(y, "size")) >= at_least(threshold, F.greatest(c(x, "size"), c(y, "size")))) & (left >= need) & (differ <= c(x, "size") + c(y, "size") - need * 2)
-
-
-def entries(classes: DataFrame) -> DataFrame:
-    """A class's prefix entries; pos counts from 0."""
-    return classes.select("doc", "line", "size", "p0", "p1", F.posexplode("prefix").alias("pos", "token"))
+    return (F.least(c(x, "size"), c(y, "size")) >= at_least(threshold, F.greatest(c(x, "size"), c(y, "size")))) & (left >= need) & (differing(x, y) <= c(x, "size") + c(y, "size") - need * 2)
 
 
 def index_prefix(size: Column, threshold: float) -> Column:
@@ -139,24 +136,54 @@ def star_pairs(classes: DataFrame, threshold: float, pivot_at: int = PIVOT_AT) -
     """(doc, line, doc2, line2): classes and an earlier pivot that passes the filters, at most one per key."""
     last = F.size("prefix") - 1
     inner = index_prefix(F.col("size"), threshold) - 1
-    at = F.array_distinct(F.array(F.lit(0), F.least(inner, last), last))
-    keyed = classes.select("doc", "line", "size", "p0", "p1", F.explode(F.transform(at, lambda i: F.struct(i.alias("pos"), F.element_at("prefix", i + 1).alias("token")))).alias("k")).select("doc", "line", "size", "p0", "p1", "k.pos", "k.token")
-    pivots = keyed.groupBy("token").agg(F.min(F.struct("doc", "line", "size", "p0", "p1", "pos")).alias("p"), F.count("*").alias("n")).where(F.col("n") >= pivot_at).select("token", "p.*")
+    at = F.array_distinct(F.array(F.least(inner, last), last))
+    keyed = classes.select("doc", "line", "size", "parity", F.explode(F.transform(at, lambda i: F.struct(i.alias("pos"), F.element_at("prefix", i + 1).alias("token")))).alias("k")).select("doc", "line", "size", "parity", "k.pos", "k.token")
+    pivots = keyed.groupBy("token").agg(F.min(F.struct("doc", "line", "size", "parity", "pos")).alias("p"), F.count("*").alias("n")).where(F.col("n") >= pivot_at).select("token", "p.*")
     pivots = checked_broadcast(write_table(pivots, "pivots"), 80)
     found = keyed.alias("x").join(pivots.alias("y"), F.col("x.token") == F.col("y.token")).where(earlier("y", "x") & may_match("x", "y", threshold))
     pairs = found.select("x.doc", "x.line", F.struct("y.doc", "y.line").alias("y")).groupBy("doc", "line").agg(F.min("y").alias("y"))
     return pairs.select("doc", "line", F.col("y.doc").alias("doc2"), F.col("y.line").alias("line2"))
 
 
-def join_pairs(probing: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """(doc, line, doc2, line2): ``probing`` classes with every earlier class that passes the filters."""
-    x, y = entries(probing).alias("x"), entries(classes).alias("y")
-    c = F.col
+def entries(classes: DataFrame) -> DataFrame:
+    """A class's prefix entries (pos counts from 0), its small numbers in one long: size, pos, open."""
+    meta = F.shiftleft(F.col("size").cast("long"), 32) + F.col("pos") * 2 + F.col("open")
+    return classes.select("doc", "line", "size", "parity", "open", F.posexplode("prefix").alias("pos", "token")).select("doc", "line", "parity", "token", meta.alias("meta"))
+
+
+def matched(x: DataFrame, y: DataFrame, threshold: float) -> DataFrame:
+    """Join of prefix entries, aliased x and y: open x with every earlier y that passes the filters."""
+
+    def part(side: str, name: str) -> Column:
+        m = F.col(f"{side}.meta")
+        return {"size": F.shiftright(m, 32).cast("int"), "pos": F.shiftright(m, 1).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"), "open": m.bitwiseAND(F.lit(1))}[name]
+
+    sx, sy, px, py = part("x", "size"), part("y", "size"), part("x", "pos"), part("y", "pos")
+    need = overlap_needed(sx, sy, threshold)
     # of a pair the larger set uses its whole prefix, the smaller one the shorter index prefix
-    within = lambda s: c(f"{s}.pos") < index_prefix(c(f"{s}.size"), threshold)
-    sides = ((c("x.size") >= c("y.size")) & within("y")) | ((c("y.size") >= c("x.size")) & within("x"))
-    found = x.join(y, c("x.token") == c("y.token")).where(earlier("y", "x") & sides & may_match("x", "y", threshold))
-    return found.select("x.doc", "x.line", c("y.doc").alias("doc2"), c("y.line").alias("line2")).distinct()
+    sides = ((sx >= sy) & (py < index_prefix(sy, threshold))) | ((sy >= sx) & (px < index_prefix(sx, threshold)))
+    length = F.least(sx, sy) >= at_least(threshold, F.greatest(sx, sy))
+    position = F.least(sx - px, sy - py) >= need
+    # a condition on x alone would be pushed below the exchange, and the two sides be shuffled apart
+    asked = part("x", "open") >= F.least(part("y", "open"), F.lit(0)) + 1
+    close = differing("x", "y") <= sx + sy - need * 2
+    return x.alias("x").join(y.alias("y"), F.col("x.token") == F.col("y.token")).where(asked & earlier("y", "x") & length & sides & position & close)
+
+
+def likeliest(classes: DataFrame, threshold: float) -> DataFrame:
+    """(doc, line, doc2, line2): of the ``open`` classes' candidates the one with the fewest differing bits."""
+    e = entries(classes)
+    best = matched(e, e, threshold).groupBy("x.doc", "x.line").agg(F.min(F.struct(differing("x", "y").alias("d"), F.col("y.doc").alias("doc2"), F.col("y.line").alias("line2"))).alias("b"))
+    return best.select("doc", "line", "b.doc2", "b.line2")
+
+
+def all_pairs(asking: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """(doc, line, doc2, line2): every candidate of the classes named in the written table ``asking``."""
+    named = checked_broadcast(asking, 40)
+    x = entries(classes.join(named, list(ORDER), "left_semi").withColumn("open", F.lit(1)))
+    x = checked_broadcast(write_table(x, "asking"), 64)
+    found = matched(x, entries(classes.withColumn("open", F.lit(0))), threshold)
+    return found.select("x.doc", "x.line", F.col("y.doc").alias("doc2"), F.col("y.line").alias("line2")).distinct()
 
 
 def verified(docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
@@ -164,41 +191,41 @@ def verified(docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
     wanted = write_table(pairs.select("doc", "line").unionByName(pairs.select(F.col("doc2").alias("doc"), F.col("line2").alias("line"))).distinct(), "wanted")
     of = write_table(wanted.select("doc").distinct(), "wanted_docs")
     held = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(checked_broadcast(of, 32), F.col("doc_id") == F.col("doc"), "left_semi")
-    tokens = lines_of(held).join(checked_broadcast(wanted, 40), list(ORDER), "left_semi").select("doc", "line", F.array_distinct(words(F.col("text"))).alias("t"))
-    tokens = write_table(tokens.dropDuplicates(list(ORDER)), "wanted_tokens")
-    other = tokens.select(F.col("doc").alias("doc2"), F.col("line").alias("line2"), F.col("t").alias("t2"))
-    both = pairs.join(tokens, list(ORDER)).join(other, ["doc2", "line2"])
+    texts = write_table(lines_of(held).join(checked_broadcast(wanted, 40), list(ORDER), "left_semi"), "wanted_lines")
+    other = texts.select(F.col("doc").alias("doc2"), F.col("line").alias("line2"), F.col("text").alias("text2"))
+    both = pairs.join(texts, list(ORDER)).join(other, ["doc2", "line2"])
+    both = both.select(*ORDER, F.array_distinct(words(F.col("text"))).alias("t"), F.array_distinct(words(F.col("text2"))).alias("t2"))
     shared = F.size(F.array_intersect("t", "t2"))
-    return both.where(shared >= F.lit(threshold) * (F.size("t") + F.size("t2") - shared) - 1e-9).select(*ORDER).distinct()
+    both = both.select(*ORDER, shared.alias("shared"), (F.size("t") + F.size("t2")).alias("sizes"))
+    return both.where(F.col("shared") >= F.lit(threshold) * (F.col("sizes") - F.col("shared")) - 1e-9).select(*ORDER).distinct()
 
 
 def later_matches(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc, line) of every line that goes."""
     classes, lines = classes_of(docs, token_ranks(docs), threshold)
     star = write_table(star_pairs(classes, threshold), "star_pairs")
-    tried = checked_broadcast(star.select(*ORDER), 40)
-    rest = classes.join(tried, list(ORDER), "left_anti")
-    pairs = write_table(star.unionByName(join_pairs(rest, classes, threshold)), "pairs")
-    gone = write_table(verified(docs, pairs, threshold), "gone")
-    in_vain = write_table(classes.join(tried, list(ORDER), "left_semi").join(checked_broadcast(gone, 40), list(ORDER), "left_anti"), "in_vain")
+    tried = checked_broadcast(star.select(*ORDER, F.lit(1).alias("tried")), 48)
+    rest = classes.join(tried, list(ORDER), "left").withColumn("open", F.col("tried").isNull().cast("int"))
+    first = write_table(star.unionByName(likeliest(rest, threshold)), "first_pairs")
+    gone = write_table(verified(docs, first, threshold), "gone")
+    in_vain = write_table(first.select(*ORDER).join(gone, list(ORDER), "left_anti"), "in_vain")
     parts = [gone]
     if not in_vain.isEmpty():
-        again = write_table(join_pairs(in_vain, classes, threshold), "pairs_again")
-        parts.append(verified(docs, again, threshold))
+        parts.append(verified(docs, write_table(all_pairs(in_vain, classes, threshold), "other_pairs"), threshold))
     # of the classes with several lines, all but the first line go
-    repeated = write_table(classes.where("n > 1").select("set", "size", "p0", "p1", F.col("doc").alias("doc0"), F.col("line").alias("line0")), "repeated")
-    copies = lines.join(checked_broadcast(repeated, 64), ["set", "size", "p0", "p1"]).where("doc <> doc0 or line <> line0").select(*ORDER)
+    repeated = write_table(classes.where("n > 1").select("set", "size", "parity", F.col("doc").alias("doc0"), F.col("line").alias("line0")), "repeated")
+    copies = lines.join(checked_broadcast(repeated, 64), ["set", "size", "parity"]).where("doc <> doc0 or line <> line0").select(*ORDER)
     return reduce(DataFrame.unionByName, [*parts, copies])
 
 
 def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with later matches taken out of ``text``, and n_lines and n_removed added."""
-    gone = write_table(later_matches(docs, threshold).groupBy("doc").agg(F.collect_set("line").alias("gone")), "gone_by_doc")
+    gone = write_table(later_matches(docs, threshold).groupBy(F.col("doc").alias("_doc")).agg(F.collect_set("line").alias("_gone")), "gone_by_doc")
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    size = gone.agg(F.sum(F.size("gone")), F.count("*")).first()
-    side = F.broadcast(gone) if (size[0] or 0) * 8 + size[1] * 48 <= 64 << 20 else gone
-    left = docs.select(*names).join(side, F.col("doc_id").cast("long") == F.col("doc"), "left")
-    kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("gone", i)), "\n")
-    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept)
+    size = gone.agg(F.sum(F.size("_gone")), F.count("*")).first()
+    side = F.broadcast(gone) if (size[0] or 0) * 8 + size[1] * 48 <= BROADCAST_MAX_BYTES else gone
+    left = docs.select(*names).join(side, F.col("doc_id").cast("long") == F.col("_doc"), "left")
+    kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_gone", i)), "\n")
+    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept)
     n_lines = F.size(F.split("text", "\n")).cast("long")
-    return left.select(*(text.alias("text") if c == "text" else F.col(c) for c in names), F.coalesce(n_lines, F.lit(0)).alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"))
+    return left.select(*(text.alias("text") if c == "text" else F.col(c) for c in names), F.coalesce(n_lines, F.lit(0)).alias("n_lines"), F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"))
