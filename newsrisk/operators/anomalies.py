@@ -264,13 +264,24 @@ def isolation_forest_scores(
             yield pdf
 
     scored = materialize(df.mapInPandas(score, out_schema))  # threshold + output share one scoring pass
+    return labelled(scored, "_s", contamination, exact_threshold)
+
+
+def labelled(scored: DataFrame, score: str, contamination: float = 0.01, exact_threshold: bool = True) -> DataFrame:
+    """Turn a raw score (lower = stranger) into ``anomaly_score`` (raw less its quantile) and ``anomaly_label``."""
     if exact_threshold:  # exact quantile without gathering every score in one task
-        q = exact_percentiles(scored, "_s", [contamination]).select("q0").scalar()
+        q = exact_percentiles(scored, score, [contamination]).select("q0").scalar()
     else:
-        q = scored.select(F.approx_percentile("_s", F.lit(contamination), 100000)).scalar()
-    return scored.withColumn("anomaly_score", F.col("_s") - q).withColumn(
+        q = scored.select(F.approx_percentile(score, F.lit(contamination), 100000)).scalar()
+    return scored.withColumn("anomaly_score", F.col(score) - q).withColumn(
         "anomaly_label", F.when(F.col("anomaly_score") < 0, F.lit(-1)).otherwise(F.lit(1))
-    ).drop("_s")
+    ).drop(score)
+
+
+def z_score_anomalies(zpanel: DataFrame, contamination: float = 0.01) -> DataFrame:
+    """Anomalies without a model: the sum of absolute z-scores, thresholded and labelled like the forest's score."""
+    total = sum((F.abs(F.col(c)) for c in Z_COLS[1:]), F.abs(F.col(Z_COLS[0])))
+    return labelled(materialize(zpanel.withColumn("_s", -total)), "_s", contamination)
 
 
 def top_anomalies(scored: DataFrame, k: int = 50) -> DataFrame:

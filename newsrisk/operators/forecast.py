@@ -138,6 +138,22 @@ def forecast_next_day(
     )
 
 
+def baseline_next_day(features: DataFrame, run_date: _dt.date | str, prediction: str = "roll_mean_7", feature_cols=FEATURE_COLS) -> DataFrame:
+    """The snapshot of a forecast that needs no model: each country's latest ``prediction`` value."""
+    return latest_feature_rows(features, feature_cols).select(
+        F.lit(str(run_date)).cast("date").alias("run_date"),
+        F.col("date").alias("as_of_date"),
+        F.date_add("date", 1).alias("forecast_date"),
+        "CountryCode",
+        F.col(prediction).alias("pred_risk_next_day"),
+        F.col("risk_raw").alias("risk_as_of"),
+        "total_events",
+        "conflict_share",
+        "negative_share",
+        "weighted_avg_tone",
+    )
+
+
 def top_country_series(risk: DataFrame, countries=None) -> DataFrame:
     """Restrict the risk table to ``countries`` (default: the highest-volume one)."""
     if countries is None:

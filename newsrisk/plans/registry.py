@@ -554,22 +554,156 @@ register(
 )(lambda spark, sf_dir: AN.top_country(panel(spark, sf_dir)))
 
 
-def _forecast(spark, sf_dir, kind="dense"):
-    return FC.forecast_next_day(features(spark, sf_dir, kind), RUN_DATE, trees=FOREST_TREES)
+_PUBLISHED: dict[tuple, str] = {}
+
+
+def _published(spark, sf_dir, name, make) -> DataFrame:
+    """A table that several queries read: made and published once per session and input, then read back."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _PUBLISHED:
+        _PUBLISHED[key] = sinks.publish(make(), _scratch(spark, name))
+    return spark.read.parquet(_PUBLISHED[key])
+
+
+def _forecast(spark, sf_dir):
+    """The next-day snapshot, as the dashboards read it."""
+    return _published(spark, sf_dir, "forecast", lambda: FC.forecast_next_day(features(spark, sf_dir), RUN_DATE, trees=FOREST_TREES))
+
+
+def _cv(spark, sf_dir):
+    return _published(spark, sf_dir, "cv", lambda: FC.cv_predictions(risk(spark, sf_dir, "sparse"), trees=FOREST_TREES))
 
 
 register("forecast_backtest")(
     lambda spark, sf_dir: FC.forecast_backtest(features(spark, sf_dir), trees=FOREST_TREES))
 register("risk_forecast_next_day")(lambda spark, sf_dir: _forecast(spark, sf_dir))
-register("forecast_cv")(lambda spark, sf_dir: FC.forecast_cv(risk(spark, sf_dir, "sparse"), trees=FOREST_TREES))
-register("forecast_last_fold")(
-    lambda spark, sf_dir: FC.last_fold_series(FC.cv_predictions(risk(spark, sf_dir, "sparse"), trees=FOREST_TREES)))
+register("forecast_cv")(lambda spark, sf_dir: FC.cv_errors(_cv(spark, sf_dir)))
+register("forecast_last_fold")(lambda spark, sf_dir: FC.last_fold_series(_cv(spark, sf_dir)))
 register("permutation_importance")(
     lambda spark, sf_dir: FC.forecast_cv_importance(risk(spark, sf_dir, "sparse"), trees=FOREST_TREES))
 register("risk_trend_with_forecast")(
     lambda spark, sf_dir: DB.risk_trend_with_forecast(risk(spark, sf_dir), _forecast(spark, sf_dir)))
 register("forecast_outlook")(lambda spark, sf_dir: DB.forecast_outlook(_forecast(spark, sf_dir), 10))
 
+# the same operators behind a forecast and a score that SQL can repeat
+_BASELINE = _chain("dense", "risk") + [
+    ("feat", S.features_body()),
+    ("latest", "SELECT * FROM feat QUALIFY ROW_NUMBER() OVER (PARTITION BY CountryCode ORDER BY date DESC) = 1"),
+    ("fc", f"SELECT DATE '{RUN_DATE}' AS run_date, date AS as_of_date, CAST(date + 1 AS DATE) AS forecast_date, CountryCode, "
+           "roll_mean_7 AS pred_risk_next_day, risk_raw AS risk_as_of, total_events, conflict_share, negative_share, "
+           f"weighted_avg_tone FROM latest WHERE {S.not_null(S.FEATURE_COLS)}"),
+]
+
+
+def _baseline(spark, sf_dir):
+    target = _scratch(spark, "baseline")
+    sinks.publish(FC.baseline_next_day(features(spark, sf_dir), RUN_DATE), target)
+    return spark.read.parquet(target)
+
+
+register(
+    "baseline_forecast",
+    S.with_ctes(_BASELINE, "SELECT run_date, as_of_date, forecast_date, CountryCode, total_events, " + ", ".join(
+        S.r(c) for c in ["pred_risk_next_day", "risk_as_of", "conflict_share", "negative_share", "weighted_avg_tone"]) + " FROM fc"),
+)(lambda spark, sf_dir: rounded(_baseline(spark, sf_dir)))
+register(
+    "baseline_trend",
+    S.with_ctes(_BASELINE, "SELECT risk.date, risk.CountryCode, ROUND(risk_raw, 10) AS risk_raw, forecast_date, "
+                           "ROUND(pred_risk_next_day, 10) AS pred_risk_next_day, "
+                           "ROUND(pred_risk_next_day - risk_raw, 10) AS pred_delta FROM risk LEFT JOIN fc "
+                           "ON fc.CountryCode = risk.CountryCode AND fc.as_of_date = risk.date"),
+)(lambda spark, sf_dir: rounded(DB.risk_trend_with_forecast(risk(spark, sf_dir), _baseline(spark, sf_dir))))
+register(
+    "baseline_outlook",
+    S.with_ctes(_BASELINE, "SELECT forecast_date, CountryCode, ROUND(pred_risk_next_day, 10) AS pred_risk_next_day, "
+                           "ROUND(risk_as_of, 10) AS risk_as_of, ROUND(pred_risk_next_day - risk_as_of, 10) AS pred_delta FROM fc "
+                           "WHERE forecast_date = (SELECT MAX(forecast_date) FROM fc) "
+                           "ORDER BY fc.pred_risk_next_day DESC, CountryCode LIMIT 10"),
+)(lambda spark, sf_dir: rounded(DB.forecast_outlook(_baseline(spark, sf_dir), 10)))
+
+_ZSCORE = _chain("sparse", "clean") + [
+    ("panel", S.PANEL),
+    ("zpanel", S.ROLLING_Z),
+    ("raw_score", "SELECT *, -(" + " + ".join(f"ABS({z})" for z in AN.Z_COLS) + ") AS s FROM zpanel"),
+    ("scored", "SELECT date, CountryCode, EventCount, AvgTone, AvgGoldstein, "
+               "s - (SELECT quantile_cont(s, 0.01) FROM raw_score) AS anomaly_score FROM raw_score"),
+    ("lab", "SELECT *, CASE WHEN anomaly_score < 0 THEN -1 ELSE 1 END AS anomaly_label FROM scored"),
+]
+_LAB = "date, CountryCode, EventCount, ROUND(AvgTone, 10) AS AvgTone, ROUND(AvgGoldstein, 10) AS AvgGoldstein, ROUND(anomaly_score, 8) AS anomaly_score, anomaly_label"
+
+
+def _zscored(spark, sf_dir):
+    return AN.z_score_anomalies(zpanel(spark, sf_dir, "sparse"))
+
+
+def _rounded_scores(df):
+    return df.select("date", "CountryCode", "EventCount", F.round("AvgTone", 10).alias("AvgTone"), F.round("AvgGoldstein", 10).alias("AvgGoldstein"),
+                     F.round("anomaly_score", 8).alias("anomaly_score"), "anomaly_label")
+
+
+register("zscore_anomalies", S.with_ctes(_ZSCORE, f"SELECT {_LAB} FROM lab"))(
+    lambda spark, sf_dir: _rounded_scores(_zscored(spark, sf_dir)))
+
+
+def _top50_csv(spark, sf_dir):
+    """The top-50 report through its CSV file."""
+    path = sinks.write_top_csv(AN.top_anomalies(_zscored(spark, sf_dir), 50), _scratch(spark, "top50"))
+    schema = "date date, CountryCode string, EventCount long, AvgTone double, AvgGoldstein double, anomaly_score double, anomaly_label int"
+    return _rounded_scores(spark.read.option("header", True).schema(schema).csv(path))
+
+
+register("zscore_top50_csv", S.with_ctes(_ZSCORE, f"SELECT {_LAB} FROM lab ORDER BY lab.anomaly_score, CountryCode, date LIMIT 50"))(_top50_csv)
+register(
+    "zscore_top_country",
+    S.with_ctes(_ZSCORE, "SELECT date, CountryCode, EventCount, ROUND(anomaly_score, 8) AS anomaly_score, anomaly_label FROM lab "
+                         "WHERE CountryCode = (SELECT CountryCode FROM lab GROUP BY CountryCode ORDER BY SUM(EventCount) DESC, CountryCode LIMIT 1)"),
+)(lambda spark, sf_dir: AN.top_country_anomalies(_zscored(spark, sf_dir)).withColumn("anomaly_score", F.round("anomaly_score", 8)))
+
+# ---- dirty input ------------------------------------------------------------------------------
+
+_DIRTY = [("sound_extract" if n == "extract" else n, q) for n, q in _DENSE_CLEAN if n != "clean_norm" and n != "clean"] + [
+    ("extract", adapters.DIRTY_EXTRACT_SQL)] + [(n, q) for n, q in _DENSE_CLEAN if n in ("clean_norm", "clean")]
+
+
+def dirty_clean(spark, sf_dir):
+    return clean_events(adapters.dirty_extract(extract(spark, sf_dir)))
+
+
+def _publish_dirty(spark, sf_dir):
+    target = _scratch(spark, "dirty") + "/events_daily_clean.parquet"
+    sinks.publish(dirty_clean(spark, sf_dir), target, drop_null="date")
+    return rounded(readers.read_clean(spark, target.rsplit("/", 1)[0]))
+
+
+register("dirty_clean", S.with_ctes(_DIRTY, f"SELECT {_CLEAN_COLS} FROM clean"))(lambda spark, sf_dir: rounded(dirty_clean(spark, sf_dir)))
+register("dirty_null_counts", S.with_ctes(_DIRTY, _NULLS_SQL))(lambda spark, sf_dir: QA.dq_null_counts(dirty_clean(spark, sf_dir)))
+register(
+    "dirty_top_roots",
+    S.with_ctes(_DIRTY, "SELECT EventRootCode, EventRootLabel, CAST(SUM(EventCount) AS BIGINT) AS EventCount FROM clean "
+                        "GROUP BY EventRootCode, EventRootLabel "
+                        "ORDER BY EventCount DESC NULLS LAST, EventRootCode ASC NULLS LAST, EventRootLabel LIMIT 30"),
+)(lambda spark, sf_dir: QA.dq_top_roots(dirty_clean(spark, sf_dir), 30))
+register("dirty_publish", S.with_ctes(_DIRTY, f"SELECT {_CLEAN_COLS} FROM clean WHERE date IS NOT NULL"))(_publish_dirty)
+register("dirty_risk", S.with_ctes(_DIRTY + [("risk", S.RISK)], f"SELECT {_RISK_COLS} FROM risk"))(
+    lambda spark, sf_dir: rounded(country_risk_daily(dirty_clean(spark, sf_dir))))
+register(
+    "dirty_run_log",
+    S.with_ctes(_DIRTY, "SELECT 'dirty_extract' AS file, COUNT(*) AS \"rows\", MIN(SQLDATE) AS min_sqldate, MAX(SQLDATE) AS max_sqldate FROM extract"),
+)(lambda spark, sf_dir: QA.run_log(adapters.dirty_extract(extract(spark, sf_dir)), "dirty_extract"))
+register(
+    "theme_daily_plain_fields",
+    S.with_ctes(_THEME_CHAIN + [("top_themes", S.TOP_THEMES), ("td", S.THEME_DAILY)],
+                "SELECT date, theme, ArticleCount, ROUND(AvgTone, 10) AS AvgTone FROM td"),
+)(lambda spark, sf_dir: rounded(TH.theme_daily(adapters.plain_articles(spark, sf_dir))))
+register(
+    "monthly_root_heatmap_wide",
+    S.with_ctes(
+        _DENSE_CLEAN + [_TOP12, _IN_TOP],
+        'SELECT EventRootLabel, ROUND(COALESCE(LOG10(SUM(EventCount) FILTER (WHERE date_trunc(\'month\', date) = DATE \'2024-01-01\') + 1.0), 0), 10) '
+        'AS "2024-01-01" FROM in_top GROUP BY 1',
+    ),
+)(lambda spark, sf_dir: rounded(CH.monthly_root_heatmap_wide(clean(spark, sf_dir), 12)))
+
 register(
     "freshness_checks",
     S.with_ctes(

@@ -104,8 +104,41 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 RAW_EVENTS = {"dense": dense_events, "sparse": sparse_events}
 
 
+def dirty_extract(extract: DataFrame) -> DataFrame:
+    """An all-text extract with the faults a feed has: impossible dates, words and NaN for numbers, missing keys.
+
+    Which rows are at fault follows from their root code and country, so SQL can say what should come out.
+    """
+    text = extract.select(*[F.col(c).cast("string").alias(c) for c in extract.columns])
+    code, nothing = F.col("EventRootCode"), F.lit(None).cast("string")
+    return text.withColumns(
+        {
+            "SQLDATE": F.when(code == "7", "20241399").otherwise(F.col("SQLDATE")),
+            "AvgTone": F.when(code == "3", "NaN").when(code == "5", "n/a").when(code == "9", nothing).otherwise(F.col("AvgTone")),
+            "EventCount": F.when(code == "11", "many").otherwise(F.col("EventCount")),
+            "CountryCode": F.when(F.col("CountryCode") == "N3", nothing).otherwise(F.col("CountryCode")),
+            "EventRootCode": F.when(code == "15", nothing).otherwise(code),
+        }
+    )
+
+
+def plain_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles of the older layout: ``Themes`` and ``Tone`` only."""
+    return articles(spark, sf_dir).withColumnsRenamed({"V2Themes": "Themes", "V2Tone": "Tone"})
+
+
 # ---- DuckDB text of the same adapters (used by the oracle SQL) ---------------
 
+DIRTY_EXTRACT_SQL = """
+SELECT CASE WHEN EventRootCode = '7' THEN '20241399' ELSE CAST(SQLDATE AS VARCHAR) END AS SQLDATE,
+       CASE WHEN CountryCode = 'N3' THEN NULL ELSE CountryCode END AS CountryCode,
+       CASE WHEN EventRootCode = '15' THEN NULL ELSE EventRootCode END AS EventRootCode,
+       CASE WHEN EventRootCode = '11' THEN NULL ELSE EventCount END AS EventCount,
+       CASE WHEN EventRootCode IN ('3', '5', '9') THEN NULL ELSE AvgTone END AS AvgTone,
+       AvgGoldstein, TotalMentions, TotalArticles, TotalSources
+FROM sound_extract
+"""
+
 DENSE_EVENTS_SQL = """
 SELECT CAST(ts AS DATE) AS dt,
        event_id AS GLOBALEVENTID,
