@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from newsrisk.session import checkpoint_dir
 
 # A side is broadcast only when its counted rows times its widest row stay below this.
-BROADCAST_MAX_BYTES = 64 << 20
+BROADCAST_MAX_BYTES = 32 << 20
 
 
 def table_path(spark: SparkSession, name: str) -> str:

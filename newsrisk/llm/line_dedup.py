@@ -4,16 +4,17 @@ A line is the set of its space-separated tokens (tabs and carriage returns count
 goes if an earlier line, by (doc_id, line number), has Jaccard similarity ``THRESHOLD`` or more
 with it; earlier lines count whether they go themselves or not. Lines without a token stay.
 
-1. Rarity. Token occurrences are counted over all documents in 2^18 hash buckets, and the buckets
-   ranked by count (the only thing the driver sees: 2^18 numbers). A token becomes one long, its bucket's rank and the rest of its hash (the 64
-   hash bits, rearranged): sorting the longs sorts by rarity, in one order for all lines.
+1. Rarity. Token occurrences are counted over all documents in 2^18 hash buckets (all that the
+   driver sees), and each bucket gets one of 64 classes by the logarithm of its count over the median
+   bucket's. A token becomes one long, its class and 58 bits of its hash: sorting the longs sorts by
+   rarity, in one order for all lines.
 2. Classes. Lines with equal token sets are one class; all but its first line go. Only the first
-   line, with its size, prefix and parity word, goes on.
+   line, with its size, prefix and two parity words, goes on.
 3. Stars. For prefix tokens that many classes share, the first of those classes is a pivot. A
    class that passes the filters against an earlier pivot is tried with it alone, so a group of m
    near-equal lines costs about m pairs.
 4. Join. The other classes meet all classes on prefix tokens; a pair must pass the length filter,
-   the positional filter and the parity filter (two sets whose parity words differ in d bits
+   the positional filter and the parity filter (two sets whose 128 parity bits differ in d places
    differ in at least d tokens). Both sides of the join are the same rows, shuffled once.
 5. Verification on the tokens themselves: each class first with its likeliest candidate (the
    pivot, or the fewest differing parity bits); the classes for which that fails meet all classes once
@@ -30,6 +31,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,23 +58,24 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return d.select("doc", F.posexplode_outer(F.split("text", "\n")).alias("line", "text"))
 
 
-def token_ranks(docs: DataFrame, bits: int = SKETCH_BITS) -> Column:
-    """An array literal: the rank of each hash bucket by its token occurrences, as the top bits of a long."""
+def rarity_classes(docs: DataFrame, bits: int = SKETCH_BITS) -> Column:
+    """An array literal: each hash bucket's class, -32 (rarest) to 31."""
     tokens = docs.where("doc_id is not null").select(F.explode_outer(words(F.replace("text", F.lit("\n"), F.lit(" ")))).alias("t"))
     counts = tokens.groupBy(F.xxhash64("t").bitwiseAND(F.lit((1 << bits) - 1)).alias("b")).agg(F.count("*").alias("n"))
-    n = dict(map(tuple, counts.collect()))
-    ranks = [0] * (1 << bits)
-    for rank, bucket in enumerate(sorted(range(1 << bits), key=lambda b: (n.get(b, 0), b))):
-        ranks[bucket] = (rank - (1 << (bits - 1))) << (64 - bits)  # in the place it has in a token's long
-    return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<bigint>")  # folded to one literal
+    n = np.zeros(1 << bits)
+    for bucket, count in counts.collect():  # at most 2^bits rows
+        n[bucket] = count
+    level = np.floor(4 * np.log2((n + 1) / (np.median(n) + 1))).clip(-32, 31).astype(int)
+    return F.split(F.lit(",".join(map(str, level.tolist()))), ",").cast("array<tinyint>")  # folded to one literal
 
 
-def ordered_tokens(text: Column, ranks: Column, bits: int = SKETCH_BITS) -> Column:
+def ordered_tokens(text: Column, classes: Column, bits: int = SKETCH_BITS) -> Column:
     """The line's distinct tokens as longs, rarest first."""
 
     def packed(w):
         h = F.xxhash64(w)
-        return F.get(ranks, h.bitwiseAND(F.lit((1 << bits) - 1)).cast("int")).bitwiseOR(F.shiftrightunsigned(h, bits))
+        rarity = F.get(classes, h.bitwiseAND(F.lit((1 << bits) - 1)).cast("int"))
+        return F.shiftleft(rarity.cast("long"), 58).bitwiseOR(F.shiftrightunsigned(h, 6))
 
     return F.sort_array(F.array_distinct(F.transform(words(text), packed)))
 
@@ -86,27 +89,41 @@ def overlap_needed(a: Column, b: Column, threshold: float) -> Column:
     return at_least(threshold / (1 + threshold), a + b)
 
 
-def parity(tokens: Column) -> Column:
-    """64 parity bits of the set: each token flips one."""
-    flip = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))
+def parity(tokens: Column, word: int) -> Column:
+    """64 parity bits over half of the tokens (those whose bit 6 is ``word``): each flips one."""
+
+    def flip(t):
+        half = F.shiftright(t, 6).bitwiseAND(F.lit(1))
+        half = half if word else half.bitwiseXOR(F.lit(1))
+        return F.call_function("shiftleft", half, t.bitwiseAND(F.lit(63)).cast("int"))
+
     return F.aggregate(tokens, F.lit(0).cast("long"), lambda acc, t: acc.bitwiseXOR(flip(t)))
 
 
-def classes_of(docs: DataFrame, ranks: Column, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """(classes, lines), both written: token sets with their first line, and every line with its set's key."""
-    t = lines_of(docs).where(F.col("text").rlike(r"[^ \t\r]")).select("doc", "line", ordered_tokens(F.col("text"), ranks).alias("t"))
+SET_KEY = ("set", "size", "p0", "p1")
+
+
+def tokenised(docs: DataFrame, classes: Column, threshold: float) -> DataFrame:
+    """Every line with a token, written: (doc, line), its set's key and its prefix (32 hash bits per token)."""
+    t = lines_of(docs).where(F.col("text").rlike(r"[^ \t\r]")).select("doc", "line", ordered_tokens(F.col("text"), classes).alias("t"))
     size = F.size("t")
-    lines = write_table(t.select(
+    lines = t.select(
         "doc",
         "line",
         F.xxhash64("t").alias("set"),
         size.alias("size"),
-        parity(F.col("t")).alias("parity"),
+        parity(F.col("t"), 0).alias("p0"),
+        parity(F.col("t"), 1).alias("p1"),
         F.transform(F.slice("t", F.lit(1), size - at_least(threshold, size) + 1), lambda x: F.hash(x)).alias("prefix"),
-    ), "lines")
-    key = ["set", "size", "parity", "prefix"]
-    first = lines.groupBy(*key).agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("n"))
-    return write_table(first.select(F.col("first.doc").alias("doc"), F.col("first.line").alias("line"), *key, "n"), "line_classes"), lines.select("doc", "line", "set", "size", "parity")
+    )
+    return write_table(lines, "lines")
+
+
+def copies_of(lines: DataFrame) -> DataFrame:
+    """(doc, line), written: lines whose token set an earlier line has."""
+    first = lines.groupBy(*SET_KEY).agg(F.min(F.struct("doc", "line")).alias("f"), F.count("*").alias("n")).where("n > 1")
+    first = write_table(first.select(*SET_KEY, F.col("f.doc").alias("doc0"), F.col("f.line").alias("line0")), "repeated_sets")
+    return write_table(lines.select(*ORDER, *SET_KEY).join(checked_broadcast(first, 72), list(SET_KEY)).where("doc <> doc0 or line <> line0").select(*ORDER), "line_copies")
 
 
 def earlier(a: str, b: str) -> Column:
@@ -116,7 +133,8 @@ def earlier(a: str, b: str) -> Column:
 
 
 def differing(x: str, y: str) -> Column:
-    return F.bit_count(F.col(f"{x}.parity").bitwiseXOR(F.col(f"{y}.parity")))
+    one = lambda w: F.bit_count(F.col(f"{x}.{w}").bitwiseXOR(F.col(f"{y}.{w}")))
+    return one("p0") + one("p1")
 
 
 def may_match(x: str, y: str, threshold: float) -> Column:
@@ -137,8 +155,8 @@ def star_pairs(classes: DataFrame, threshold: float, pivot_at: int = PIVOT_AT) -
     last = F.size("prefix") - 1
     inner = index_prefix(F.col("size"), threshold) - 1
     at = F.array_distinct(F.array(F.least(inner, last), last))
-    keyed = classes.select("doc", "line", "size", "parity", F.explode(F.transform(at, lambda i: F.struct(i.alias("pos"), F.element_at("prefix", i + 1).alias("token")))).alias("k")).select("doc", "line", "size", "parity", "k.pos", "k.token")
-    pivots = keyed.groupBy("token").agg(F.min(F.struct("doc", "line", "size", "parity", "pos")).alias("p"), F.count("*").alias("n")).where(F.col("n") >= pivot_at).select("token", "p.*")
+    keyed = classes.select("doc", "line", "size", "p0", "p1", F.explode(F.transform(at, lambda i: F.struct(i.alias("pos"), F.element_at("prefix", i + 1).alias("token")))).alias("k")).select("doc", "line", "size", "p0", "p1", "k.pos", "k.token")
+    pivots = keyed.groupBy("token").agg(F.min(F.struct("doc", "line", "size", "p0", "p1", "pos")).alias("p"), F.count("*").alias("n")).where(F.col("n") >= pivot_at).select("token", "p.*")
     pivots = checked_broadcast(write_table(pivots, "pivots"), 80)
     found = keyed.alias("x").join(pivots.alias("y"), F.col("x.token") == F.col("y.token")).where(earlier("y", "x") & may_match("x", "y", threshold))
     pairs = found.select("x.doc", "x.line", F.struct("y.doc", "y.line").alias("y")).groupBy("doc", "line").agg(F.min("y").alias("y"))
@@ -148,7 +166,7 @@ def star_pairs(classes: DataFrame, threshold: float, pivot_at: int = PIVOT_AT) -
 def entries(classes: DataFrame) -> DataFrame:
     """A class's prefix entries (pos counts from 0), its small numbers in one long: size, pos, open."""
     meta = F.shiftleft(F.col("size").cast("long"), 32) + F.col("pos") * 2 + F.col("open")
-    return classes.select("doc", "line", "size", "parity", "open", F.posexplode("prefix").alias("pos", "token")).select("doc", "line", "parity", "token", meta.alias("meta"))
+    return classes.select("doc", "line", "size", "p0", "p1", "open", F.posexplode("prefix").alias("pos", "token")).select("doc", "line", "p0", "p1", "token", meta.alias("meta"))
 
 
 def matched(x: DataFrame, y: DataFrame, threshold: float) -> DataFrame:
@@ -202,7 +220,9 @@ def verified(docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
 
 def later_matches(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc, line) of every line that goes."""
-    classes, lines = classes_of(docs, token_ranks(docs), threshold)
+    lines = tokenised(docs, rarity_classes(docs), threshold)
+    copies = copies_of(lines)
+    classes = lines.join(checked_broadcast(copies, 40), list(ORDER), "left_anti").drop("set")
     star = write_table(star_pairs(classes, threshold), "star_pairs")
     tried = checked_broadcast(star.select(*ORDER, F.lit(1).alias("tried")), 48)
     rest = classes.join(tried, list(ORDER), "left").withColumn("open", F.col("tried").isNull().cast("int"))
@@ -212,9 +232,6 @@ def later_matches(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     parts = [gone]
     if not in_vain.isEmpty():
         parts.append(verified(docs, write_table(all_pairs(in_vain, classes, threshold), "other_pairs"), threshold))
-    # of the classes with several lines, all but the first line go
-    repeated = write_table(classes.where("n > 1").select("set", "size", "parity", F.col("doc").alias("doc0"), F.col("line").alias("line0")), "repeated")
-    copies = lines.join(checked_broadcast(repeated, 64), ["set", "size", "parity"]).where("doc <> doc0 or line <> line0").select(*ORDER)
     return reduce(DataFrame.unionByName, [*parts, copies])
 
 
