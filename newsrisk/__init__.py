@@ -1,7 +1,8 @@
 """newsrisk: daily news-event signals as Spark DataFrame jobs.
 
 Every public operator takes and returns DataFrames (or Columns for the scalar
-helpers in ``newsrisk.functions``) and triggers no action unless it is a sink.
+helpers in ``newsrisk.functions``). Sinks run jobs, and so do the operators that need an intermediate
+result to be built (percentiles, heat map, model fits and what rests on them); the others are lazy.
 """
 
 import sys

@@ -20,6 +20,7 @@ from newsrisk.operators.features import rolling_mean_std
 from newsrisk.operators.quantiles import exact_percentiles
 from newsrisk.session import materialize
 
+# The scored columns and their z-score names, in the published order.
 Z_SPECS = [
     ("log_events", "z_events_7d"),
     ("log_mentions", "z_mentions_7d"),
@@ -29,6 +30,7 @@ Z_SPECS = [
 Z_COLS = [z for _, z in Z_SPECS]
 STD_EPS = 1e-12  # a rolling std at or below this counts as zero (constant window)
 
+# The published column order of the top list.
 TOP_COLUMNS = ["date", "CountryCode", "EventCount", "AvgTone", "AvgGoldstein", "anomaly_score", "anomaly_label"]
 
 

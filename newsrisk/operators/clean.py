@@ -12,7 +12,7 @@ from newsrisk.functions.scalars import parse_yyyymmdd, to_bigint, to_double, ton
 INT_COLUMNS = ["EventCount", "TotalMentions", "TotalArticles", "TotalSources"]
 FLOAT_COLUMNS = ["AvgTone", "AvgGoldstein"]
 
-# Published column order of the clean table (stable for downstream readers).
+# The published column order of the clean table.
 CLEAN_COLUMNS = [
     "SQLDATE",
     "CountryCode",

@@ -27,6 +27,7 @@ from newsrisk.operators.features import (
     training_rows,
 )
 
+# The published column order of a forecast snapshot.
 FORECAST_COLUMNS = [
     "run_date",
     "as_of_date",

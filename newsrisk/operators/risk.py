@@ -13,6 +13,7 @@ SHARE_LOG_WEIGHTS = {"conflict": 1.5, "negative": 1.0, "log_volume": 0.5}
 WEIGHTED10 = {"scale": 10.0, "negative": 0.6, "conflict": 0.4, "log_divisor": 5.5}
 # --- end fixed values ----------------------------------------------------------
 
+# The published column order of the risk table.
 RISK_COLUMNS = [
     "date",
     "CountryCode",

@@ -25,6 +25,7 @@ EXTRACT_COLUMNS = [
 ]
 EXTRACT_CSV_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in EXTRACT_COLUMNS])
 
+# The preview's columns in the published order.
 PREVIEW_COLUMNS = [
     "SQLDATE",
     "Actor1CountryCode",
