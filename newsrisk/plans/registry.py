@@ -557,27 +557,29 @@ register(
 _PUBLISHED: dict[tuple, str] = {}
 
 
-def _published(spark, sf_dir, name, make) -> DataFrame:
-    """A table that several queries read: made and published once per session and input, then read back."""
+def _published(spark, sf_dir, name, make, refresh=False) -> DataFrame:
+    """A table that several queries read: published by the query that makes it (``refresh``), or by its first reader."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _PUBLISHED:
+    if refresh or key not in _PUBLISHED:
         _PUBLISHED[key] = sinks.publish(make(), _scratch(spark, name))
     return spark.read.parquet(_PUBLISHED[key])
 
 
-def _forecast(spark, sf_dir):
+def _forecast(spark, sf_dir, refresh=False):
     """The next-day snapshot, as the dashboards read it."""
-    return _published(spark, sf_dir, "forecast", lambda: FC.forecast_next_day(features(spark, sf_dir), RUN_DATE, trees=FOREST_TREES))
+    make = lambda: FC.forecast_next_day(features(spark, sf_dir), RUN_DATE, trees=FOREST_TREES)
+    return _published(spark, sf_dir, "forecast", make, refresh)
 
 
-def _cv(spark, sf_dir):
-    return _published(spark, sf_dir, "cv", lambda: FC.cv_predictions(risk(spark, sf_dir, "sparse"), trees=FOREST_TREES))
+def _cv(spark, sf_dir, refresh=False):
+    make = lambda: FC.cv_predictions(risk(spark, sf_dir, "sparse"), trees=FOREST_TREES)
+    return _published(spark, sf_dir, "cv", make, refresh)
 
 
 register("forecast_backtest")(
     lambda spark, sf_dir: FC.forecast_backtest(features(spark, sf_dir), trees=FOREST_TREES))
-register("risk_forecast_next_day")(lambda spark, sf_dir: _forecast(spark, sf_dir))
-register("forecast_cv")(lambda spark, sf_dir: FC.cv_errors(_cv(spark, sf_dir)))
+register("risk_forecast_next_day")(lambda spark, sf_dir: _forecast(spark, sf_dir, refresh=True))
+register("forecast_cv")(lambda spark, sf_dir: FC.cv_errors(_cv(spark, sf_dir, refresh=True)))
 register("forecast_last_fold")(lambda spark, sf_dir: FC.last_fold_series(_cv(spark, sf_dir)))
 register("permutation_importance")(
     lambda spark, sf_dir: FC.forecast_cv_importance(risk(spark, sf_dir, "sparse"), trees=FOREST_TREES))
