@@ -29,6 +29,7 @@ rows that share a doc_id lose the same line numbers; all columns are kept as the
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 import numpy as np
@@ -39,6 +40,8 @@ from newsrisk.llm.common import BROADCAST_MAX_BYTES, checked_broadcast, write_ta
 
 THRESHOLD = 0.8
 SKETCH_BITS = 18
+#: Sets of at most this many tokens have one parity word, over half of their tokens.
+HALF_PARITY = 72
 #: Prefix tokens that at least this many classes share get a pivot.
 PIVOT_AT = 8
 
@@ -60,8 +63,8 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 def rarity_classes(docs: DataFrame, bits: int = SKETCH_BITS) -> Column:
     """An array literal: each hash bucket's class, -32 (rarest) to 31."""
-    tokens = docs.where("doc_id is not null").select(F.explode_outer(words(F.replace("text", F.lit("\n"), F.lit(" ")))).alias("t"))
-    counts = tokens.groupBy(F.xxhash64("t").bitwiseAND(F.lit((1 << bits) - 1)).alias("b")).agg(F.count("*").alias("n"))
+    tokens = docs.where("doc_id is not null").select(F.explode_outer(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")).alias("t"))
+    counts = tokens.where("t <> ''").groupBy(F.xxhash64("t").bitwiseAND(F.lit((1 << bits) - 1)).alias("b")).agg(F.count("*").alias("n"))
     n = np.zeros(1 << bits)
     for bucket, count in counts.collect():  # at most 2^bits rows
         n[bucket] = count
@@ -113,7 +116,7 @@ def tokenised(docs: DataFrame, classes: Column, threshold: float) -> DataFrame:
         F.xxhash64("t").alias("set"),
         size.alias("size"),
         parity(F.col("t"), 0).alias("p0"),
-        parity(F.col("t"), 1).alias("p1"),
+        F.when(size > HALF_PARITY, parity(F.col("t"), 1)).otherwise(F.lit(0).cast("long")).alias("p1"),  # for smaller sets one half tells enough
         F.transform(F.slice("t", F.lit(1), size - at_least(threshold, size) + 1), lambda x: F.hash(x)).alias("prefix"),
     )
     return write_table(lines, "lines")
@@ -132,17 +135,17 @@ def earlier(a: str, b: str) -> Column:
     return (c(a, "doc") < c(b, "doc")) | ((c(a, "doc") == c(b, "doc")) & (c(a, "line") < c(b, "line")))
 
 
-def differing(x: str, y: str) -> Column:
+def differing(x: str, y: str, sx: Column, sy: Column) -> Column:
+    """Differing parity bits, of the words that both sets have."""
     one = lambda w: F.bit_count(F.col(f"{x}.{w}").bitwiseXOR(F.col(f"{y}.{w}")))
-    return one("p0") + one("p1")
+    return one("p0") + F.when(F.least(sx, sy) > HALF_PARITY, one("p1")).otherwise(F.lit(0))
 
 
 def may_match(x: str, y: str, threshold: float) -> Column:
-    """Length, positional and parity filters of two prefix entries."""
-    c = lambda s, n: F.col(f"{s}.{n}")
-    need = overlap_needed(c(x, "size"), c(y, "size"), threshold)
-    left = F.least(c(x, "size") - c(x, "pos"), c(y, "size") - c(y, "pos"))
-    return (F.least(c(x, "size"), c(y, "size")) >= at_least(threshold, F.greatest(c(x, "size"), c(y, "size")))) & (left >= need) & (differing(x, y) <= c(x, "size") + c(y, "size") - need * 2)
+    """Length and parity filters of two classes."""
+    sx, sy = F.col(f"{x}.size"), F.col(f"{y}.size")
+    need = overlap_needed(sx, sy, threshold)
+    return (F.least(sx, sy) >= at_least(threshold, F.greatest(sx, sy))) & (differing(x, y, sx, sy) <= sx + sy - need * 2)
 
 
 def index_prefix(size: Column, threshold: float) -> Column:
@@ -151,14 +154,18 @@ def index_prefix(size: Column, threshold: float) -> Column:
 
 
 def star_pairs(classes: DataFrame, threshold: float, pivot_at: int = PIVOT_AT) -> DataFrame:
-    """(doc, line, doc2, line2): classes and an earlier pivot that passes the filters, at most one per key."""
+    """(doc, line, doc2, line2): classes and an earlier pivot that passes the filters, at most one per class.
+
+    Keys are up to four tokens spread over the prefix, each with a size class (steps of 1.25).
+    """
     last = F.size("prefix") - 1
-    inner = index_prefix(F.col("size"), threshold) - 1
-    at = F.array_distinct(F.array(F.least(inner, last), last))
-    keyed = classes.select("doc", "line", "size", "p0", "p1", F.explode(F.transform(at, lambda i: F.struct(i.alias("pos"), F.element_at("prefix", i + 1).alias("token")))).alias("k")).select("doc", "line", "size", "p0", "p1", "k.pos", "k.token")
-    pivots = keyed.groupBy("token").agg(F.min(F.struct("doc", "line", "size", "p0", "p1", "pos")).alias("p"), F.count("*").alias("n")).where(F.col("n") >= pivot_at).select("token", "p.*")
+    at = F.array_distinct(F.array(*(F.floor(last * i / 4).cast("int") for i in range(1, 5))))
+    step = F.floor(F.log(F.col("size").cast("double")) / F.lit(math.log(1.25))).cast("int")
+    row = ["doc", "line", "size", "p0", "p1"]
+    keyed = classes.select(*row, step.alias("step"), F.explode(F.transform(at, lambda i: F.element_at("prefix", i + 1))).alias("token"))
+    pivots = keyed.groupBy("token", "step").agg(F.min(F.struct(*row)).alias("p"), F.count("*").alias("n")).where(F.col("n") >= pivot_at).select("token", "step", "p.*")
     pivots = checked_broadcast(write_table(pivots, "pivots"), 80)
-    found = keyed.alias("x").join(pivots.alias("y"), F.col("x.token") == F.col("y.token")).where(earlier("y", "x") & may_match("x", "y", threshold))
+    found = keyed.alias("x").join(pivots.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.step") == F.col("y.step"))).where(earlier("y", "x") & may_match("x", "y", threshold))
     pairs = found.select("x.doc", "x.line", F.struct("y.doc", "y.line").alias("y")).groupBy("doc", "line").agg(F.min("y").alias("y"))
     return pairs.select("doc", "line", F.col("y.doc").alias("doc2"), F.col("y.line").alias("line2"))
 
@@ -169,13 +176,15 @@ def entries(classes: DataFrame) -> DataFrame:
     return classes.select("doc", "line", "size", "p0", "p1", "open", F.posexplode("prefix").alias("pos", "token")).select("doc", "line", "p0", "p1", "token", meta.alias("meta"))
 
 
+def part(side: str, name: str) -> Column:
+    """A number out of an entry's ``meta``."""
+    m = F.col(f"{side}.meta")
+    return {"size": F.shiftright(m, 32).cast("int"), "pos": F.shiftright(m, 1).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"), "open": m.bitwiseAND(F.lit(1))}[name]
+
+
 def matched(x: DataFrame, y: DataFrame, threshold: float) -> DataFrame:
     """Join of prefix entries, aliased x and y: open x with every earlier y that passes the filters."""
 
-    def part(side: str, name: str) -> Column:
-        m = F.col(f"{side}.meta")
-        return {"size": F.shiftright(m, 32).cast("int"), "pos": F.shiftright(m, 1).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"), "open": m.bitwiseAND(F.lit(1))}[name]
-
     sx, sy, px, py = part("x", "size"), part("y", "size"), part("x", "pos"), part("y", "pos")
     need = overlap_needed(sx, sy, threshold)
     # of a pair the larger set uses its whole prefix, the smaller one the shorter index prefix
@@ -184,14 +193,14 @@ def matched(x: DataFrame, y: DataFrame, threshold: float) -> DataFrame:
     position = F.least(sx - px, sy - py) >= need
     # a condition on x alone would be pushed below the exchange, and the two sides be shuffled apart
     asked = part("x", "open") >= F.least(part("y", "open"), F.lit(0)) + 1
-    close = differing("x", "y") <= sx + sy - need * 2
+    close = differing("x", "y", sx, sy) <= sx + sy - need * 2
     return x.alias("x").join(y.alias("y"), F.col("x.token") == F.col("y.token")).where(asked & earlier("y", "x") & length & sides & position & close)
 
 
 def likeliest(classes: DataFrame, threshold: float) -> DataFrame:
     """(doc, line, doc2, line2): of the ``open`` classes' candidates the one with the fewest differing bits."""
     e = entries(classes)
-    best = matched(e, e, threshold).groupBy("x.doc", "x.line").agg(F.min(F.struct(differing("x", "y").alias("d"), F.col("y.doc").alias("doc2"), F.col("y.line").alias("line2"))).alias("b"))
+    best = matched(e, e, threshold).groupBy("x.doc", "x.line").agg(F.min(F.struct(differing("x", "y", part("x", "size"), part("y", "size")).alias("d"), F.col("y.doc").alias("doc2"), F.col("y.line").alias("line2"))).alias("b"))
     return best.select("doc", "line", "b.doc2", "b.line2")
 
 
