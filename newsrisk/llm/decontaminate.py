@@ -134,4 +134,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
 def clean_of(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that no item contaminates; rows without an id stay."""
     gone = write_table(contaminated(docs, benchmark, threshold).select("doc_id").distinct(), "contaminated")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(checked_broadcast(gone, 24), "doc_id", "left_anti").select(docs.columns)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsrisk.llm.common import components, documents_of, write_table
+from newsrisk.llm.common import checked_broadcast, components, documents_of, write_table
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -101,4 +101,4 @@ def keep_one(docs: DataFrame, k: int = SHINGLE_WORDS, max_bits: int = MAX_BITS)
     """
     found = write_table(simhash_components(docs, k, max_bits), "components")
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(checked_broadcast(gone, 24), "doc_id", "left_anti").select(docs.columns)
