@@ -11,8 +11,8 @@ of min-hashes as its signature, is one row. ``PAIRS`` pairs of functions are use
 Equal signatures across documents give candidates. Exact copies of a text are one text from the
 start (the smallest doc_id stands for them). Of a signature's group every run is tried with the run
 of the smallest doc_id, so a passage that m documents share costs m pairs, not m * m / 2. Pairs are
-verified on the texts: a window of t shingles counts if its Jaccard similarity with the other's
-aligned window is ``THRESHOLD`` or more. Runs that fail (their group's first run was another passage
+verified on the texts: every window of t shingles of a run counts if its Jaccard similarity with the
+other's aligned window is ``THRESHOLD`` or more. Windows that fail (their group's first run was another passage
 with the same signature) are grouped once more by the exact content of their windows, so that
 an exactly repeated passage is found whatever else shares its signature. A window at similarity
 0.8 shares a given pair with probability 0.64, either of two with 0.87, and a longer passage holds
@@ -31,7 +31,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsrisk.llm.common import checked_broadcast, write_table
@@ -181,31 +181,41 @@ def distinct_texts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 FOUND = "doc_id long, other_doc_id long, start_word int, n_words int, other_start_word int, similarity double, content long"
 
 
+def aligned(x: np.ndarray, y: np.ndarray, run: tuple, t: int) -> np.ndarray:
+    """For every start of a run the other text's start: aligned at the shared min-hash, held within the other run."""
+    pair, a1, a2, b1, b2 = run
+    cx = a1 + int(np.argmin(mix(x[a1 : a1 + t], 2 * pair + 1)))
+    cy = b1 + int(np.argmin(mix(y[b1 : b1 + t], 2 * pair + 1)))
+    return np.clip(np.arange(a1, a2 + 1) + (cy - cx), b1, b2)
+
+
 def matching_windows(x: np.ndarray, y: np.ndarray, runs: list, t: int, threshold: float):
     """Of two texts' shingles and their candidate runs (pair, a1, a2, b1, b2): {start: (other start, similarity)}, failed starts."""
-    hit, failed = {}, set()
-    for pair, a1, a2, b1, b2 in runs:
-        cx = a1 + int(np.argmin(mix(x[a1 : a1 + t], 2 * pair + 1)))
-        cy = b1 + int(np.argmin(mix(y[b1 : b1 + t], 2 * pair + 1)))
-        shift = cy - cx  # aligned at the shared min-hash
-        lo, hi = max(a1, b1 - shift), min(a2, b2 - shift)
-        if lo > hi:  # aligned windows overlap in no start: take the nearest ones
-            lo = hi = min(max(a1, b1 - shift), a2)
-            shift = min(max(lo + shift, b1), b2) - lo
-        equal = np.concatenate(([0], np.cumsum(x[lo : hi + t] == y[lo + shift : hi + t + shift])))
-        same = equal[t:] - equal[:-t]
-        whole = np.nonzero(same == t)[0]
-        for s in whole.tolist():
-            hit[lo + s] = (lo + s + shift, 1.0)
-        if not len(whole):
-            s = lo + int(np.argmax(same))
-            a, b = set(x[s : s + t].tolist()), set(y[s + shift : s + shift + t].tolist())
+    hit, tried = {}, set()
+    for run in runs:
+        _, a1, a2, b1, b2 = run
+        tried.update(range(a1, a2 + 1))
+        if all(s in hit for s in range(a1, a2 + 1)):
+            continue
+        part = x[a1 : a2 + t]
+        common = np.concatenate(([0], np.cumsum(np.isin(part, y[b1 : b2 + t]))))
+        near = common[t:] - common[:-t] >= threshold * t  # no window of distinct shingles is similar without
+        if len(np.unique(part)) < len(part):
+            near[:] = True
+        other = aligned(x, y, run, t)
+        for i in np.nonzero(near)[0].tolist():
+            s, o = a1 + i, int(other[i])
+            if s in hit and hit[s][1] == 1.0:
+                continue
+            a, b = x[s : s + t], y[o : o + t]
+            if (a == b).all():
+                hit[s] = (o, 1.0)
+                continue
+            a, b = set(a.tolist()), set(b.tolist())
             j = len(a & b) / len(a | b)
-            if j >= threshold:
-                hit.setdefault(s, (s + shift, j))
-            else:
-                failed.update(range(a1, a2 + 1))
-    return hit, failed.difference(hit)
+            if j >= threshold and (s not in hit or hit[s][1] < j):
+                hit[s] = (o, j)
+    return hit, tried.difference(hit)
 
 
 def spans(hit: dict, t: int, k: int) -> list[tuple[int, int, int, float]]:
@@ -269,8 +279,11 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, threshold: fl
     first = lone.groupBy("content").agg(F.min(F.struct("doc_id", "start_word")).alias("o"), F.max("doc_id").alias("hi")).where("o.doc_id <> hi")
     first = write_table(first.select("content", F.col("o.doc_id").alias("other_doc_id"), F.col("o.start_word").alias("other_start_word")), "contents")
     words = F.lit(min_words)
-    exact = lone.join(first, "content").where("doc_id <> other_doc_id").groupBy("doc_id", "other_doc_id", (F.col("start_word") - F.col("other_start_word")).alias("shift"))
-    exact = exact.agg(F.min("start_word").alias("start_word"), (F.max("start_word") - F.min("start_word") + words).alias("n_words"), F.min("other_start_word").alias("other_start_word")).drop("shift").withColumn("similarity", F.lit(1.0))
+    line = Window.partitionBy("doc_id", "other_doc_id", "shift").orderBy("start_word")
+    exact = lone.join(first, "content").where("doc_id <> other_doc_id").withColumn("shift", F.col("start_word") - F.col("other_start_word"))
+    exact = exact.withColumn("new", (F.col("start_word") - F.lag("start_word").over(line) > words).cast("int"))
+    exact = exact.withColumn("island", F.sum(F.coalesce("new", F.lit(0))).over(line)).groupBy("doc_id", "other_doc_id", "shift", "island")
+    exact = exact.agg(F.min("start_word").alias("start_word"), (F.max("start_word") - F.min("start_word") + words).alias("n_words"), F.min("other_start_word").alias("other_start_word")).select("doc_id", "other_doc_id", "start_word", "n_words", "other_start_word", F.lit(1.0).alias("similarity"))
     sized = F.size(F.array_remove(F.split(F.col("text"), r"[ \t\n\x0b\f\r]+"), ""))
     firsts = copies.select(F.col("of").alias("doc")).distinct()
     lengths = write_table(texts.join(checked_broadcast(write_table(firsts, "firsts"), 24), "doc", "left_semi").select("doc", sized.alias("n_words")).where(F.col("n_words") >= min_words), "lengths")

@@ -98,6 +98,21 @@ def test_near_passages(spark):
         assert len(set(a) & set(b)) / len(set(a) | set(b)) >= 0.8
 
 
+def hidden(rng, passage):
+    """The passage with random words before and after it."""
+    return " ".join(prose(rng, 20, 10**6) + passage + prose(rng, 20, 10**6))
+
+
+def test_overlapping_repeats_of_the_shortest_length(spark):
+    """Document 2 repeats all of document 1's passage, document 3 its end and what follows it in document 2."""
+    rng, rows = random.Random(9), []
+    for g in range(0, 120, 10):
+        p, tail = prose(rng, 50, 10**6), prose(rng, 10, 10**6)
+        rows += [(g + 1, hidden(rng, p)), (g + 2, hidden(rng, p + tail)), (g + 3, hidden(rng, p[10:] + tail))]
+    found = {(r.doc_id, r.other_doc_id) for r in S.repeated_passages(frame(spark, rows)).collect()}
+    assert {(g + 2, g + 1) for g in range(0, 120, 10)} | {(g + 3, g + 2) for g in range(0, 120, 10)} <= found
+
+
 def test_copies_hot_passage_and_awkward_documents(spark):
     rng = random.Random(4)
     passage = prose(rng, 70, 10**6)
