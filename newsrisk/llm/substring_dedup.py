@@ -12,9 +12,11 @@ Equal signatures across documents give candidates. Exact copies of a text are on
 start (the smallest doc_id stands for them). Of a signature's group every run is tried with the run
 of the smallest doc_id, so a passage that m documents share costs m pairs, not m * m / 2. Pairs are
 verified on the texts: every window of t shingles of a run counts if its Jaccard similarity with the
-other's aligned window is ``THRESHOLD`` or more. Windows that fail (their group's first run was another passage
-with the same signature) are grouped once more by the exact content of their windows, so that
-an exactly repeated passage is found whatever else shares its signature. A window at similarity
+other's aligned window is ``THRESHOLD`` or more. Windows that fail (their group's first run was another
+passage with the same signature) are grouped by their exact content, each with the first document
+that has it. What is open then is tried with every earlier run of the signature's group, hits included,
+that shares a prefix key: similar windows share one of the first shingles of each in one order of the
+group, in which the first run's shingles come last, so that a line all have makes no pairs. A window at similarity
 0.8 shares a given pair with probability 0.64, either of two with 0.87, and a longer passage holds
 many windows.
 
@@ -178,7 +180,10 @@ def distinct_texts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return texts, copies
 
 
-FOUND = "doc_id long, other_doc_id long, start_word int, n_words int, other_start_word int, similarity double, content long"
+FOUND = "doc_id long, other_doc_id long, start_word int, n_words int, other_start_word int, similarity double, kind byte, sig long, pair byte, content long"
+# kinds of rows of verify(): reported spans, hit windows, failed windows of a run, failed windows' contents
+# (start_word and n_words of the second and third: first and last start; other_start_word of the third: the run's first)
+NEAR, HIT, FAILED, CONTENT = range(4)
 
 
 def aligned(x: np.ndarray, y: np.ndarray, run: tuple, t: int) -> np.ndarray:
@@ -218,6 +223,44 @@ def matching_windows(x: np.ndarray, y: np.ndarray, runs: list, t: int, threshold
     return hit, tried.difference(hit)
 
 
+def prefix_keys(x: np.ndarray, y: np.ndarray, run: tuple, t: int, threshold: float):
+    """(key, first start, last start, weak) of a run's windows: their first shingles, those of the group's first run last.
+
+    Sets of similarity ``threshold`` share one of the first n - c + 1 elements in any order that both use, c being
+    the least they can have in common. A signature's group has one first run, so one order, and what all share with
+    it comes last. Two windows of t distinct shingles share more than a window with repeated ones may; the further
+    keys that only such a window needs are ``weak``: they count if a row that is not weak has them too.
+    """
+    _, a1, a2, b1, b2 = run
+    part = x[a1 : a2 + t]
+    rank = (mix(part, 77) >> U(1)) | (np.isin(part, y[b1 : b2 + t]).astype(U) << U(63))
+    windows = np.sort(np.lib.stride_tricks.sliding_window_view(rank, t), axis=1)
+    width = lambda n: n - int(np.ceil(threshold * n - 1e-9)) + 1
+    distinct = len(np.unique(part)) == len(part)
+    if distinct:
+        near = t - int(np.ceil(2 * t * threshold / (1 + threshold) - 1e-9)) + 1
+        parts = [(windows[:, :near].ravel(), np.repeat(np.arange(len(windows)), near), 0), (windows[:, near : width(t)].ravel(), np.repeat(np.arange(len(windows)), width(t) - near), 1)]
+    else:
+        each = [np.unique(w) for w in windows]
+        each = [w[: width(len(w))] for w in each]
+        keys, starts = np.concatenate(each), np.repeat(np.arange(len(each)), [len(w) for w in each])
+        parts = [(keys, starts, 0), (keys, starts, 1)]
+    for keys, starts, far in parts:
+        order = np.argsort(keys, kind="stable")
+        edge = np.nonzero(np.diff(keys[order]))[0]
+        first, last = order[np.concatenate(([0], edge + 1))], order[np.concatenate((edge, [len(keys) - 1]))]
+        yield mix(keys[first], 211 + far).view(np.int64), a1 + starts[first], a1 + starts[last], bool(far and distinct)
+
+
+def ranges(starts) -> list[tuple[int, int]]:
+    """(first, last) of the runs of consecutive starts."""
+    at = np.array(sorted(starts), dtype=np.int64)
+    if not len(at):
+        return []
+    cut = np.nonzero(np.diff(at) > 1)[0]
+    return list(zip(at[np.concatenate(([0], cut + 1))].tolist(), at[np.concatenate((cut, [len(at) - 1]))].tolist()))
+
+
 def spans(hit: dict, t: int, k: int) -> list[tuple[int, int, int, float]]:
     """Maximal runs (start word, words, other start word, similarity) of overlapping matching windows."""
     out = []
@@ -231,61 +274,151 @@ def spans(hit: dict, t: int, k: int) -> list[tuple[int, int, int, float]]:
     return out
 
 
-def verify(pairs: DataFrame, t: int, threshold: float, k: int = SHINGLE_WORDS) -> DataFrame:
-    """Spans of doc pairs (doc, other, runs, text, other_text); failed windows come with their content's hash."""
-    kinds = pa.schema([("doc_id", pa.int64()), ("other_doc_id", pa.int64()), ("start_word", pa.int32()), ("n_words", pa.int32()), ("other_start_word", pa.int32()), ("similarity", pa.float64()), ("content", pa.int64())])
+class Shingles:
+    """Shingle hashes of documents, the latest ones kept."""
+
+    def __init__(self, k: int, room: int = 4 << 20):
+        self.hasher, self.k, self.room, self.size, self.kept = Words(), k, room, 0, {}
+
+    def of(self, doc: int, text: bytes) -> np.ndarray:
+        sh = self.kept.get(doc)
+        if sh is None:
+            sh = shingle_hashes(self.hasher.of(text), self.k)
+            if self.size + len(sh) > self.room:
+                self.size, self.kept = 0, {}
+            self.size, self.kept[doc] = self.size + len(sh), sh
+        return sh
+
+
+def verify(pairs: DataFrame, t: int, threshold: float, again: bool, k: int = SHINGLE_WORDS) -> DataFrame:
+    """Spans of doc pairs (doc, other, runs, text, other_text).
+
+    With ``again`` also what the next step takes: hit windows, and of runs whose group has more members the failed
+    windows and their contents.
+    """
+    kinds = pa.schema([("doc_id", pa.int64()), ("other_doc_id", pa.int64()), ("start_word", pa.int32()), ("n_words", pa.int32()), ("other_start_word", pa.int32()), ("similarity", pa.float64()), ("kind", pa.int8()), ("sig", pa.int64()), ("pair", pa.int8()), ("content", pa.int64())])
 
     def run(batches):
-        hasher = Words()
+        shingles = Shingles(k)
         for b in batches:
-            rows, cache = [], {}
+            rows = []
             for doc, other, runs, text, other_text in zip(*(c.cast(pa.binary()).to_pylist() if pa.types.is_string(c.type) else c.to_pylist() for c in b.columns)):
-                x, y = shingle_hashes(hasher.of(text), k), cache.get(other)
-                if y is None:
-                    cache = {other: shingle_hashes(hasher.of(other_text), k)}
-                    y = cache[other]
-                hit, failed = matching_windows(x, y, [(r["pair"], r["first"], r["last"], r["ofirst"], r["olast"]) for r in runs], t, threshold)
-                rows += [(doc, other, s, n, o, j, None) for s, n, o, j in spans(hit, t, k)]
-                if failed:
-                    at = np.array(sorted(failed))
+                x, y = shingles.of(doc, text), shingles.of(other, other_text)
+                places = [(r["pair"], r["first"], r["last"], r["ofirst"], r["olast"]) for r in runs]
+                hit, failed = matching_windows(x, y, places, t, threshold)
+                rows += [(doc, other, s, n, o, j, NEAR, None, None, None) for s, n, o, j in spans(hit, t, k)]
+                if not again:
+                    continue
+                rows += [(doc, None, a, z, None, None, HIT, None, None, None) for a, z in ranges(hit)]
+                alone = set()
+                for r, place in zip(runs, places):
+                    if r["n"] < 3:
+                        continue
+                    here = [s for s in range(place[1], place[2] + 1) if s in failed]
+                    alone.update(here)
+                    rows += [(doc, None, a, z, place[1], None, FAILED, r["sig"], place[0], None) for a, z in ranges(here)]
+                if alone:
+                    at = np.array(sorted(alone))
                     h = np.zeros(len(at), dtype=U)
                     for i in range(t):
                         h = h * U(P_WORD) + x[at + i]
-                    rows += [(doc, None, int(s), None, None, None, int(c)) for s, c in zip(at, mix(h).view(np.int64))]
-            yield pa.RecordBatch.from_arrays([pa.array(c, kd.type) for c, kd in zip(zip(*rows) if rows else [[]] * 7, kinds)], schema=kinds)
+                    rows += [(doc, None, int(s), None, None, None, CONTENT, None, None, int(c)) for s, c in zip(at, mix(h).view(np.int64))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, kd.type) for c, kd in zip(zip(*rows) if rows else [[]] * len(kinds), kinds)], schema=kinds)
 
     return pairs.select("doc", "other", "runs", "text", "other_text").mapInArrow(run, FOUND)
 
 
+def keys_of(pairs: DataFrame, t: int, threshold: float, k: int = SHINGLE_WORDS) -> DataFrame:
+    """(sig, content, doc, run, first, last, weak) of doc pairs (doc, other, runs, text, other_text): all runs' prefix keys."""
+    kinds = pa.schema([("sig", pa.int64()), ("content", pa.int64()), ("doc", pa.int64()), ("run", pa.int32()), ("first", pa.int32()), ("last", pa.int32()), ("weak", pa.bool_())])
+
+    def run(batches):
+        shingles = Shingles(k)
+        for b in batches:
+            out = [[] for _ in kinds]
+            for doc, other, runs, text, other_text in zip(*(c.cast(pa.binary()).to_pylist() if pa.types.is_string(c.type) else c.to_pylist() for c in b.columns)):
+                x, y = shingles.of(doc, text), shingles.of(other, other_text)
+                for r in runs:
+                    for key, first, last, weak in prefix_keys(x, y, (r["pair"], r["first"], r["last"], r["ofirst"], r["olast"]), t, threshold):
+                        n = len(key)
+                        for column, v in zip(out, (np.full(n, r["sig"]), key, np.full(n, doc), np.full(n, r["first"]), first, last, np.full(n, weak))):
+                            column.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if c else [], kd.type) for c, kd in zip(out, kinds)], schema=kinds)
+
+    return pairs.select("doc", "other", "runs", "text", "other_text").mapInArrow(run, "sig long, content long, doc long, run int, first int, last int, weak boolean")
+
+
+def still_open(failed: DataFrame, done: DataFrame) -> DataFrame:
+    """The rows (doc, sig, pair, run, first, last) of ``failed`` cut to the starts outside ``done`` (doc, first, last)."""
+    kinds = pa.schema([("doc", pa.int64()), ("sig", pa.int64()), ("pair", pa.int8()), ("run", pa.int32()), ("first", pa.int32()), ("last", pa.int32())])
+
+    def run(batches):
+        for b in batches:
+            rows = []
+            for doc, asked, gone in zip(*(c.to_pylist() for c in b.columns)):
+                gone = {s for g in gone or [] for s in range(g["first"], g["last"] + 1)}
+                for r in asked:
+                    left = ranges(s for s in range(r["first"], r["last"] + 1) if s not in gone)
+                    rows += [(doc, r["sig"], r["pair"], r["run"], a, z) for a, z in left]
+            yield pa.RecordBatch.from_arrays([pa.array(c, kd.type) for c, kd in zip(zip(*rows) if rows else [[]] * len(kinds), kinds)], schema=kinds)
+
+    a = failed.groupBy("doc").agg(F.collect_list(F.struct("sig", "pair", "run", "first", "last")).alias("asked"))
+    g = done.groupBy("doc").agg(F.collect_set(F.struct("first", "last")).alias("gone"))
+    return a.join(g, "doc", "left").select("doc", "asked", "gone").mapInArrow(run, "doc long, sig long, pair byte, run int, first int, last int")
+
+
+def with_texts(grouped: DataFrame, texts: DataFrame) -> DataFrame:
+    """``grouped`` (doc, other, runs), a written table, with text and other_text."""
+    wanted = write_table(grouped.select("doc").unionByName(grouped.select(F.col("other").alias("doc"))).distinct(), "wanted_docs")
+    held = write_table(texts.join(checked_broadcast(wanted, 24), "doc", "left_semi"), "wanted_texts")
+    return grouped.join(held, "doc").join(held.select(F.col("doc").alias("other"), F.col("text").alias("other_text")), "other")
+
+
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, threshold: float = THRESHOLD, pairs: int = PAIRS) -> DataFrame:
     """(doc_id, other_doc_id, start_word, n_words, other_start_word, similarity); see the module's text."""
     t = min_words - SHINGLE_WORDS + 1
     texts, copies = distinct_texts(docs)
     rows = signature_rows(texts, t, pairs)
     place = F.struct("doc", "first", "last")
-    shared = rows.groupBy("sig").agg(F.min(place).alias("o"), F.max("doc").alias("hi")).where("o.doc <> hi")
-    shared = write_table(shared.select("sig", F.col("o.doc").alias("other"), F.col("o.first").alias("ofirst"), F.col("o.last").alias("olast")), "shared")
-    met = rows.join(shared, "sig").where("doc <> other")
-    grouped = met.groupBy("doc", "other").agg(F.collect_list(F.struct("pair", "first", "last", "ofirst", "olast")).alias("runs"))
+    shared = rows.groupBy("sig").agg(F.min(place).alias("o"), F.max("doc").alias("hi"), F.count("*").alias("n")).where("o.doc <> hi")
+    shared = write_table(shared.select("sig", F.col("o.doc").alias("other"), F.col("o.first").alias("ofirst"), F.col("o.last").alias("olast"), "n"), "shared")
+    met = rows.join(shared, "sig").where("doc <> other or first <> ofirst")
+    grouped = met.groupBy("doc", "other").agg(F.collect_list(F.struct("pair", "first", "last", "ofirst", "olast", "sig", "n")).alias("runs"))
     grouped = write_table(grouped, "doc_pairs")
-    wanted = write_table(grouped.select("doc").unionByName(grouped.select(F.col("other").alias("doc"))).distinct(), "wanted_docs")
-    held = texts.join(checked_broadcast(wanted, 24), "doc", "left_semi")
-    held = write_table(held, "wanted_texts")
-    both = grouped.join(held, "doc").join(held.select(F.col("doc").alias("other"), F.col("text").alias("other_text")), "other")
-    found = write_table(verify(both, t, threshold), "found")
-    near = found.where("content is null").drop("content")
+    columns = ["doc_id", "other_doc_id", "start_word", "n_words", "other_start_word", "similarity"]
+    found = write_table(verify(with_texts(grouped.where("doc <> other"), texts), t, threshold, True), "found")
+    near = found.where(F.col("kind") == NEAR).select(*columns)
     # failed windows: by exact content, each with the first document that has it
-    lone = found.where("content is not null").select("doc_id", "content", "start_word")
+    lone = found.where(F.col("kind") == CONTENT).select("doc_id", "content", "start_word").distinct()
     first = lone.groupBy("content").agg(F.min(F.struct("doc_id", "start_word")).alias("o"), F.max("doc_id").alias("hi")).where("o.doc_id <> hi")
     first = write_table(first.select("content", F.col("o.doc_id").alias("other_doc_id"), F.col("o.start_word").alias("other_start_word")), "contents")
     words = F.lit(min_words)
+    same = write_table(lone.join(first, "content").where("doc_id <> other_doc_id").select("doc_id", "other_doc_id", "start_word", "other_start_word"), "same_contents")
     line = Window.partitionBy("doc_id", "other_doc_id", "shift").orderBy("start_word")
-    exact = lone.join(first, "content").where("doc_id <> other_doc_id").withColumn("shift", F.col("start_word") - F.col("other_start_word"))
+    exact = same.withColumn("shift", F.col("start_word") - F.col("other_start_word"))
     exact = exact.withColumn("new", (F.col("start_word") - F.lag("start_word").over(line) > words).cast("int"))
     exact = exact.withColumn("island", F.sum(F.coalesce("new", F.lit(0))).over(line)).groupBy("doc_id", "other_doc_id", "shift", "island")
-    exact = exact.agg(F.min("start_word").alias("start_word"), (F.max("start_word") - F.min("start_word") + words).alias("n_words"), F.min("other_start_word").alias("other_start_word")).select("doc_id", "other_doc_id", "start_word", "n_words", "other_start_word", F.lit(1.0).alias("similarity"))
+    exact = exact.agg(F.min("start_word").alias("start_word"), (F.max("start_word") - F.min("start_word") + words).alias("n_words"), F.min("other_start_word").alias("other_start_word")).select(*columns[:-1], F.lit(1.0).alias("similarity"))
+    # what is left: with every earlier run of the signature's group that shares a prefix key, whether that run was a hit or not
+    span = [F.col("doc_id").alias("doc"), F.col("start_word").alias("first")]
+    failed = found.where(F.col("kind") == FAILED).select(*span, F.col("n_words").alias("last"), F.col("other_start_word").alias("run"), "sig", "pair")
+    done = found.where(F.col("kind") == HIT).select(*span, F.col("n_words").alias("last")).unionByName(same.select(*span, F.col("start_word").alias("last")))
+    left = write_table(still_open(failed, done), "still_open")
+    sigs = checked_broadcast(write_table(left.select("sig").distinct(), "open_sigs"), 24)
+    runs = grouped.select("doc", "other", F.explode("runs").alias("r")).withColumn("sig", F.col("r.sig")).join(sigs, "sig", "left_semi")
+    runs = write_table(runs.groupBy("doc", "other").agg(F.collect_list("r").alias("runs")), "open_groups")
+    keys = write_table(keys_of(with_texts(runs, texts), t, threshold), "keys")
+    live = keys.groupBy("sig", "content").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.bool_and("weak").alias("weak")).where("lo < hi and not weak").select("sig", "content")
+    keys = write_table(keys.join(write_table(live, "live_keys"), ["sig", "content"]).drop("weak"), "met_keys")
+    asking = keys.alias("x").join(left.alias("y"), ["doc", "sig", "run"]).where("x.first <= y.last and y.first <= x.last")
+    asking = asking.select("sig", "content", "doc", "run", "pair", F.greatest("x.first", "y.first").alias("first"), F.least("x.last", "y.last").alias("last"))
+    answer = keys.select("sig", "content", F.col("doc").alias("other"), F.col("run").alias("orun"), F.col("first").alias("ofirst"), F.col("last").alias("olast"))
+    tried = write_table(asking, "asking").join(answer, ["sig", "content"]).where("other < doc").groupBy("doc", "other", "sig", "pair", "run", "orun")
+    tried = tried.agg(*(f(c).alias(c) for f, c in ((F.min, "first"), (F.max, "last"), (F.min, "ofirst"), (F.max, "olast"))))
+    tried = tried.groupBy("doc", "other").agg(F.collect_set(F.struct("pair", "first", "last", "ofirst", "olast")).alias("runs"))
+    late = write_table(verify(with_texts(write_table(tried, "late_pairs"), texts), t, threshold, False), "late").select(*columns)
     sized = F.size(F.array_remove(F.split(F.col("text"), r"[ \t\n\x0b\f\r]+"), ""))
     firsts = copies.select(F.col("of").alias("doc")).distinct()
     lengths = write_table(texts.join(checked_broadcast(write_table(firsts, "firsts"), 24), "doc", "left_semi").select("doc", sized.alias("n_words")).where(F.col("n_words") >= min_words), "lengths")
     whole = copies.join(lengths.withColumnRenamed("doc", "of"), "of").select(F.col("doc").alias("doc_id"), F.col("of").alias("other_doc_id"), F.lit(0).alias("start_word"), "n_words", F.lit(0).alias("other_start_word"), F.lit(1.0).alias("similarity"))
-    return near.unionByName(exact).unionByName(whole)
+    return near.unionByName(exact).unionByName(late).unionByName(whole)

@@ -103,6 +103,24 @@ def hidden(rng, passage):
     return " ".join(prose(rng, 20, 10**6) + passage + prose(rng, 20, 10**6))
 
 
+def edited(passage, i):
+    return passage[:i] + [f"edit{i}"] + passage[i + 1 :]
+
+
+def test_near_passages_behind_edited_copies(spark):
+    """One-word edits are 0.8 from the original and less from each other; edits lead the signatures' groups."""
+    rng, rows = random.Random(8), []
+    for g in range(4):
+        p = prose(rng, 50, 10**6)
+        at = rng.sample(range(5, 45), 30)
+        rows += [(100 * g + n, hidden(rng, edited(p, i))) for n, i in enumerate(at[:15])] + [(100 * g + 50, hidden(rng, p))]
+        rows += [(100 * g + 60 + n, hidden(rng, edited(p, i))) for n, i in enumerate(at[15:])]
+    found = S.repeated_passages(frame(spark, rows), pairs=8).collect()
+    assert all(r.doc_id // 100 == r.other_doc_id // 100 and r.other_doc_id < r.doc_id for r in found)
+    reached = {r.doc_id for r in found}
+    assert {100 * g + n for g in range(4) for n in [50, *range(60, 75)]} <= reached
+
+
 def test_overlapping_repeats_of_the_shortest_length(spark):
     """Document 2 repeats all of document 1's passage, document 3 its end and what follows it in document 2."""
     rng, rows = random.Random(9), []
