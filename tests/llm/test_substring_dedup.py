@@ -121,6 +121,23 @@ def test_near_passages_behind_edited_copies(spark):
     assert {100 * g + n for g in range(4) for n in [50, *range(60, 75)]} <= reached
 
 
+def test_enough_pairs_for_passages_at_the_threshold(spark):
+    """Single windows at 0.804: at least 0.98 of them share one of the signatures."""
+    rng, rows = random.Random(10), []
+    for g in range(100):
+        p = prose(rng, 50, 10**6)
+        rows += [(2 * g, hidden(rng, p)), (2 * g + 1, hidden(rng, edited(p, rng.randrange(10, 40))))]
+    found = {(r.doc_id, r.other_doc_id) for r in S.repeated_passages(frame(spark, rows)).collect()}
+    assert found <= {(2 * g + 1, 2 * g) for g in range(100)} and len(found) >= 98
+
+
+def test_signature_filter_keeps_all_it_was_made_of(spark):
+    sig = np.random.default_rng(0).integers(-(2**63), 2**63 - 1, 5000)
+    held = S.signature_filter(spark.createDataFrame([(int(x),) for x in sig], "sig long"))
+    bit = lambda x: held[(x >> S.U(6)) & S.U(len(held) - 1)] >> (x & S.U(63)) & S.U(1)
+    assert bit(sig.view(S.U)).all() and bit(S.mix(np.arange(5000, dtype=S.U))).mean() < 0.15
+
+
 def test_overlapping_repeats_of_the_shortest_length(spark):
     """Document 2 repeats all of document 1's passage, document 3 its end and what follows it in document 2."""
     rng, rows = random.Random(9), []
