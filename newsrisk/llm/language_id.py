@@ -10,8 +10,8 @@ that language's training texts, and the codeword of least loss wins. ``score`` i
 ``exp(-loss)`` among all codewords; a text is ``ambiguous`` if it leads the second by less than
 ``AMBIGUOUS_GAP``.
 
-The classifiers are fitted on a bounded sample: about ``SAMPLE_PER_LANGUAGE`` training rows of
-each language, picked by a hash of the text. Spark counts the n-grams; languages x buckets counts
+The classifiers are fitted on a bounded sample: ``SAMPLE_PER_LANGUAGE`` distinct training texts of
+each language (all, if it has fewer), those of least hash; copies of a text count once. Spark counts the n-grams; languages x buckets counts
 reach the driver, whatever the number of documents.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; without training
@@ -25,9 +25,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsrisk.llm.common import checked_broadcast, write_table
+
 UNDETERMINED = "und"
 BUCKETS = 1 << 14
 ORDERS = (1, 2, 3)
@@ -104,16 +106,30 @@ def decode(f: np.ndarray, model: Model) -> tuple[int, float, float]:
     return best, float(share[best]), float(share[best] - np.sort(share)[-2])
 
 
+def distinct_sample(rows: DataFrame, sample_per_language: int) -> tuple[DataFrame | None, list[str]]:
+    """(text, lang) of each language's distinct texts of least hash, ``sample_per_language`` at most, and the languages."""
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    prints = write_table(rows.select("lang", "h").distinct(), "text_hashes")
+    sizes = {r["lang"]: r["n"] for r in prints.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    languages = sorted(sizes)
+    if not languages:
+        return None, []
+    # hashes are signed: those below a bound with room to spare are ranked, so no task sees all of a language
+    room = 2 * sample_per_language + 200
+    bound = F.create_map(*(F.lit(x) for l in languages for x in (l, int(-(2**63) + min(1.0, room / sizes[l]) * (2**64 - 2048)))))
+    low = prints.where((F.col("h") <= F.element_at(bound, F.col("lang"))) | F.element_at(F.create_map(*(F.lit(x) for l in languages for x in (l, sizes[l] <= room))), F.col("lang")))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    chosen = write_table(low.withColumn("rank", rank).where(F.col("rank") <= sample_per_language).select("lang", "h"), "sample_hashes")
+    sample = rows.join(checked_broadcast(chosen, 48), ["lang", "h"]).dropDuplicates(["lang", "h"]).select("text", "lang")
+    return write_table(sample, "sample"), languages
+
+
 def fit(labelled: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE) -> Model | None:
     """Fit on (text, lang) rows; None if no language can be learned."""
     rows = labelled.select("text", "lang").where("lang is not null and text is not null")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    languages = sorted(sizes)
+    sample, languages = distinct_sample(rows, sample_per_language)
     if not languages:
         return None
-    # a row is taken if its text's hash falls below its language's share
-    share = F.create_map(*(F.lit(x) for l in languages for x in (l, min(1.0, sample_per_language / sizes[l]))))
-    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.element_at(share, F.col("lang")) * 1_000_000)
     index = {l: i for i, l in enumerate(languages)}
 
     def count(batches):

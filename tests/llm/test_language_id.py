@@ -53,6 +53,26 @@ def test_prediction_ignores_everything_but_the_text(spark):
     assert {r.doc_id - 1000: (r.lang_pred, r.score) for r in L.predict(moved, model).collect()} == a
 
 
+def test_copies_neither_hide_a_language_nor_outweigh_its_texts(spark):
+    letters = {"aa": "abcdef", "bb": "uvwxyz", "cc": "mnopqr"}
+    texts = {l: [f"{c[i % 6]}{c[i // 6 % 6]} {c[i // 36 % 6] * 2} {c}" for i in range(60)] for l, c in letters.items()}
+    rows = [(t, l) for l in ("aa", "cc") for t in texts[l]] + [(texts["bb"][0], "bb")] * 5000 + [(t, "bb") for t in texts["bb"]]
+    labelled = spark.createDataFrame(rows, "text string, lang string")
+    sample, languages = L.distinct_sample(labelled, 20)
+    got = [(r.text, r.lang) for r in sample.collect()]
+    assert languages == ["aa", "bb", "cc"] and len(got) == len(set(got)) == 60
+    assert all(sum(l == m for _, m in got) == 20 for l in languages) and set(got) <= set(rows)
+    assert {(r.text, r.lang) for r in L.distinct_sample(labelled, 100)[0].collect()} == set(rows)
+    assert L.fit(labelled, 20).languages == languages
+
+
+def test_a_language_of_few_texts_with_many_copies_is_learned(spark):
+    """Rows are many more than the sample, distinct texts fewer: by rows, most languages had none taken."""
+    rows = [(f"{chr(97 + l) * 3} {chr(97 + l)}{i}", f"l{l:02d}") for l in range(12) for i in range(3) for _ in range(300)]
+    labelled = spark.createDataFrame(rows, "text string, lang string")
+    assert L.fit(labelled, 20).languages == [f"l{l:02d}" for l in range(12)]
+
+
 def test_nothing_to_learn(spark):
     empty = frame(spark, [])
     assert L.identify(empty).count() == 0
