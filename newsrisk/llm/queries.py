@@ -1,11 +1,11 @@
-"""The registered queries of the ten operators, each over the whole of its tables."""
+"""The registered queries of the operators, each over the whole of its tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsrisk.llm import decontaminate, language_id, line_dedup, multi_index, secret_scan, sentencepiece_codec, simhash_dedup, sqltext, substring_dedup, token_counts, warc_archive
+from newsrisk.llm import decontaminate, fair_mixing, language_id, line_dedup, multi_index, secret_scan, sentencepiece_codec, simhash_dedup, sqltext, substring_dedup, token_counts, warc_archive
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.encode_text(docs, check=True).select("doc_id", "ids", "n_tokens", "score", "exact")
 
 
+def op11_fair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fair_mixing.mix(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_warc_archive": op2_warc_archive,
@@ -67,6 +71,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_fair_mixing": op11_fair_mixing,
 }
 
 #: The others have no SQL form (fitted models, approximate search, hashes that SQL lacks): tests/llm has a plain version of each.
@@ -74,4 +79,5 @@ ORACLE: dict[str, str] = {
     "op2_warc_archive": sqltext.WARC,
     "op4_decontaminate": sqltext.DECONTAMINATE,
     "op6_line_dedup": sqltext.LINE_DEDUP,
+    "op11_fair_mixing": sqltext.FAIR_MIXING,
 }

@@ -64,3 +64,23 @@ SELECT documents.doc_id, COALESCE(n_lines, 0) AS n_lines, COALESCE(n_removed, 0)
        CASE WHEN e.doc_id IS NULL THEN documents.text ELSE COALESCE(e.text, '') END AS text
 FROM documents LEFT JOIN e ON e.doc_id = documents.doc_id
 """
+
+FAIR_MIXING = r"""
+WITH d AS (SELECT ROW_NUMBER() OVER () AS r, doc_id, source,
+                  CAST(COALESCE(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(SUM(size) AS BIGINT) AS ss, ROW_NUMBER() OVER (ORDER BY source IS NULL, source) AS rk FROM d GROUP BY source),
+w AS (SELECT *, 3 * ss AS cap, CASE (rk - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS wt FROM s),
+b AS (SELECT SUM(ss) AS total, SUM(wt) AS wts FROM w),
+o AS (SELECT w.*, total - COALESCE(SUM(cap) OVER q, 0) AS lft, wts - COALESCE(SUM(wt) OVER q, 0) AS opn FROM w, b
+      WINDOW q AS (ORDER BY CAST(cap AS DOUBLE) / wt, rk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+g AS (SELECT total - COALESCE(SUM(cap) FILTER (WHERE cap < wt * CAST(lft AS DOUBLE) / CAST(opn AS DOUBLE)), 0) AS lft,
+             wts - COALESCE(SUM(wt) FILTER (WHERE cap < wt * CAST(lft AS DOUBLE) / CAST(opn AS DOUBLE)), 0) AS opn FROM o, b GROUP BY total, wts),
+t AS (SELECT source, rk, ss, LEAST(CAST(cap AS DOUBLE), wt * CAST(lft AS DOUBLE) / CAST(opn AS DOUBLE)) AS target FROM w, g),
+p AS (SELECT d.*, rk, ss, target, SUM(size) OVER (PARTITION BY rk ORDER BY md5('42:' || COALESCE(CAST(doc_id AS VARCHAR), '') || ':' || size)
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+c AS (SELECT r, rk, size, CAST(e.range * ss + upto AS BIGINT) AS place FROM p, range(3) e WHERE size > 0),
+f AS (SELECT c.*, CAST(place AS DOUBLE) / target AS finish FROM c JOIN t USING (rk)),
+u AS (SELECT r, size, SUM(size) OVER (ORDER BY finish, rk, place ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS used FROM f),
+k AS (SELECT r, SUM(size) AS taken FROM u, b WHERE used <= total GROUP BY r)
+SELECT doc_id, size, ss AS source_size, target, CAST(COALESCE(taken, 0) AS BIGINT) AS taken, source FROM p LEFT JOIN k USING (r)
+"""
