@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsrisk.llm import decontaminate, fair_mixing, language_id, line_dedup, multi_index, secret_scan, sentencepiece_codec, simhash_dedup, sqltext, substring_dedup, token_counts, warc_archive
+from newsrisk.llm import decontaminate, fair_mixing, hard_negatives, language_id, line_dedup, multi_index, secret_scan, sentencepiece_codec, simhash_dedup, sqltext, substring_dedup, token_counts, vector_codes, warc_archive
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +60,14 @@ def op11_fair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fair_mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_warc_archive": op2_warc_archive,
@@ -72,6 +80,8 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op10_sentencepiece": op10_sentencepiece,
     "op11_fair_mixing": op11_fair_mixing,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 #: The others have no SQL form (fitted models, approximate search, hashes that SQL lacks): tests/llm has a plain version of each.
@@ -80,4 +90,6 @@ ORACLE: dict[str, str] = {
     "op4_decontaminate": sqltext.DECONTAMINATE,
     "op6_line_dedup": sqltext.LINE_DEDUP,
     "op11_fair_mixing": sqltext.FAIR_MIXING,
+    "op12_vector_codes": sqltext.VECTOR_CODES,
+    "op13_hard_negatives": sqltext.HARD_NEGATIVES,
 }

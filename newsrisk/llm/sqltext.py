@@ -84,3 +84,48 @@ u AS (SELECT r, size, SUM(size) OVER (ORDER BY finish, rk, place ROWS BETWEEN UN
 k AS (SELECT r, SUM(size) AS taken FROM u, b WHERE used <= total GROUP BY r)
 SELECT doc_id, size, ss AS source_size, target, CAST(COALESCE(taken, 0) AS BIGINT) AS taken, source FROM p LEFT JOIN k USING (r)
 """
+
+
+def _vector_codes(rounds: int = 6) -> str:
+    """Product codes by comparing every part with every entry, a pair of CTEs per round."""
+    finite = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+    text = f"""
+WITH v AS MATERIALIZED (SELECT *, ROW_NUMBER() OVER (ORDER BY vec_id) AS r FROM (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings WHERE {finite})),
+p AS MATERIALIZED (SELECT r, CAST(j.range AS BIGINT) AS j, q[CAST(j.range * (len(q) // 8) + 1 AS BIGINT) : CAST((j.range + 1) * (len(q) // 8) AS BIGINT)] AS x
+  FROM v, range(8) j),
+c0 AS MATERIALIZED (SELECT j, r - 1 AS e, x AS c FROM p WHERE r <= 16)"""
+    near = "MIN(CAST(list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) * 256 + e)"
+    for i in range(rounds + 1):
+        text += f""",
+a{i} AS MATERIALIZED (SELECT r, j, {near} AS k FROM p JOIN c{i} USING (j) GROUP BY r, j)"""
+        if i < rounds:
+            text += f""",
+c{i + 1} AS MATERIALIZED (SELECT c.j, c.e, COALESCE(m.c, c.c) AS c FROM c{i} c LEFT JOIN (
+  SELECT j, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY d) AS c FROM (
+    SELECT j, e, d, CAST(SUM(y) AS BIGINT) AS s, COUNT(*) AS n FROM (
+      SELECT p.j, k % 256 AS e, unnest(x) AS y, generate_subscripts(x, 1) AS d FROM p JOIN a{i} USING (r, j)) GROUP BY ALL) GROUP BY j, e) m
+  ON m.j = c.j AND m.e = c.e)"""
+    return text + f""",
+o AS (SELECT r, string_agg(printf('%02x', CAST(k % 256 AS INTEGER)), '' ORDER BY j) AS code, CAST(SUM(k // 256) AS BIGINT) AS error FROM a{rounds} GROUP BY r)
+SELECT vec_id, code, error, CAST(SUM(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY j, e)) FROM c{rounds}) AS codebooks_sha256
+FROM v JOIN o USING (r)
+"""
+
+
+VECTOR_CODES = _vector_codes()
+
+HARD_NEGATIVES = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, a.label = v.label AS same, v.vec_id,
+        CAST(list_sum(list_transform(list_zip(a.q, v.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+      FROM v a JOIN v ON a.vec_id <> v.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT * FROM s WHERE same QUALIFY ROW_NUMBER() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+       CAST(ROW_NUMBER() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score
+QUALIFY rank <= 5
+"""

@@ -21,11 +21,11 @@ PER_DOCUMENT = [n for n in COLUMNS if n not in ("op3_multi_index", "op8_substrin
 def test_all_are_registered():
     from newsrisk.llm.queries import ORACLE, QUERIES
 
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 12)) and "pipeline" in E.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14)) and "pipeline" in E.queries()
     assert set(QUERIES) == set(COLUMNS) | set(ORACLE)
 
 
-@pytest.mark.parametrize("name", ["op2_warc_archive", "op4_decontaminate", "op6_line_dedup", "op11_fair_mixing"])
+@pytest.mark.parametrize("name", ["op2_warc_archive", "op4_decontaminate", "op6_line_dedup", "op11_fair_mixing", "op12_vector_codes", "op13_hard_negatives"])
 def test_against_sql(spark, name):
     assert compare(spark, duck(SF), name, E.queries()[name], E.oracle_sql()[name], SF)
 
