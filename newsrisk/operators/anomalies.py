@@ -1,22 +1,12 @@
-"""Country-day anomaly detection: panel, rolling z-scores, isolation forest.
-
-The forest is fitted as a Spark job: rows are sampled by hashes of the seed and
-the row key -- independent of partitioning -- the samples are grouped by tree and each tree is grown in ``applyInPandas``. The fitted forest
-is small (``trees`` x at most ``2 * sample`` nodes, independent of the data
-size) and is broadcast to score every row in ``mapInPandas``.
-"""
+"""Country-day anomaly detection: panel, rolling z-scores, isolation forest scores and labels."""
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from newsrisk.operators.features import rolling_mean_std
+from newsrisk.operators.isolation import raw_scores
 from newsrisk.operators.quantiles import exact_percentiles
 from newsrisk.session import materialize
 
@@ -96,140 +86,6 @@ def feature_scaling(df: DataFrame, cols=Z_COLS, suffix: str = "_s") -> DataFrame
     return df.withColumns(out)
 
 
-# ---------------------------------------------------------------------------
-# Isolation forest (Liu, Ting & Zhou 2008)
-
-
-def average_path_length(n):
-    """c(n): mean path length of an unsuccessful BST search over n points."""
-    n = np.asarray(n, dtype=float)
-    out = np.zeros_like(n)
-    big = n > 2
-    out[n == 2] = 1.0
-    out[big] = 2.0 * (np.log(n[big] - 1.0) + np.euler_gamma) - 2.0 * (n[big] - 1.0) / n[big]
-    return out
-
-
-def _grow_tree(x: np.ndarray, rng: np.random.Generator, max_depth: int):
-    """Grow one isolation tree; returns flat node arrays (feature, threshold, left, right, size)."""
-    feat, thr, left, right, size = [], [], [], [], []
-
-    def node(idx, depth):
-        i = len(feat)
-        feat.append(-1), thr.append(0.0), left.append(-1), right.append(-1), size.append(len(idx))
-        if depth >= max_depth or len(idx) <= 1:
-            return i
-        sub = x[idx]
-        lo, hi = sub.min(axis=0), sub.max(axis=0)
-        usable = np.flatnonzero(hi > lo)
-        if usable.size == 0:
-            return i
-        f = int(rng.choice(usable))
-        t = float(rng.uniform(lo[f], hi[f]))
-        mask = sub[:, f] < t
-        feat[i], thr[i] = f, t
-        left[i] = node(idx[mask], depth + 1)
-        right[i] = node(idx[~mask], depth + 1)
-        return i
-
-    node(np.arange(len(x)), 0)
-    return feat, thr, left, right, size
-
-
-FOREST_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, size long"
-
-
-def _tree_builder(cols, seed, max_depth):
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        tree = int(pdf["tree"].iloc[0])
-        pdf = pdf.sort_values("_h")  # deterministic row order
-        rng = np.random.default_rng([seed, tree])
-        feat, thr, left, right, size = _grow_tree(pdf[cols].to_numpy(dtype=float), rng, max_depth)
-        return pd.DataFrame(
-            {
-                "tree": tree,
-                "node": np.arange(len(feat), dtype=np.int32),
-                "feature": np.asarray(feat, dtype=np.int32),
-                "threshold": np.asarray(thr, dtype=float),
-                "left": np.asarray(left, dtype=np.int32),
-                "right": np.asarray(right, dtype=np.int32),
-                "size": np.asarray(size, dtype=np.int64),
-            }
-        )
-
-    return build
-
-
-def _row_hash(seed: int, *cols) -> F.Column:
-    """Non-negative 62-bit hash of (seed, cols): partition-independent sampling order."""
-    return F.xxhash64(F.lit(seed), *cols).bitwiseAND(F.lit((1 << 62) - 1))
-
-
-def fit_isolation_forest(
-    df: DataFrame,
-    cols: list[str],
-    key_cols: list[str],
-    trees: int = 300,
-    sample: int = 256,
-    seed: int = 42,
-    n: int | None = None,
-) -> DataFrame:
-    """Fit the forest; returns its node table (bounded: trees x < 2*sample rows).
-
-    One pass over the rows keeps the ``trees * sample`` lowest row hashes (a
-    top-k: each task keeps its own). The pool is put into a random order by
-    another hash and dealt out in blocks of ``sample`` rows, a block per tree, so
-    each tree draws without replacement; if the pool is shorter than all
-    blocks, it is dealt again in as many other orders as it takes. Every tree
-    gets exactly ``min(sample, n)`` rows, and the pool, the orders and the nodes
-    are bounded by the forest's parameters, not by the rows.
-    """
-    n = df.count() if n is None else n
-    max_depth = int(math.ceil(math.log2(max(min(sample, n), 2))))
-    keys = [F.col(c) for c in key_cols]
-    pool = df.select(*key_cols, *cols)
-    if n > trees * sample:
-        pool = pool.orderBy(_row_hash(seed, F.lit(-1), *keys), *keys).limit(trees * sample)
-    size = min(n, trees * sample)
-    per_order = max(1, size // sample)  # blocks of one order
-    orders = -(-trees // per_order)
-    dealt = pool.select("*", F.explode(F.sequence(F.lit(0), F.lit(orders - 1))).alias("order"))
-    dealt = dealt.withColumn("_h", _row_hash(seed, F.col("order"), *keys))
-    place = F.row_number().over(Window.partitionBy("order").orderBy("_h", *keys)) - 1
-    block = F.floor(place / F.lit(sample)).cast("int")
-    sampled = dealt.withColumn("block", block).where(F.col("block") < per_order)
-    sampled = sampled.withColumn("tree", F.col("order") * per_order + F.col("block")).where(F.col("tree") < trees)
-    return sampled.select("tree", "_h", *cols).groupBy("tree").applyInPandas(_tree_builder(cols, seed, max_depth), FOREST_SCHEMA)
-
-
-def _forest_arrays(forest: pd.DataFrame):
-    out = []
-    for _, t in forest.groupby("tree"):
-        t = t.sort_values("node")
-        out.append(tuple(t[c].to_numpy() for c in ("feature", "threshold", "left", "right", "size")))
-    return out
-
-
-def _path_lengths(forest, x: np.ndarray) -> np.ndarray:
-    """Mean adjusted path length of each row of ``x`` over all trees."""
-    total = np.zeros(len(x))
-    trees = 0
-    for feat, thr, left, right, size in forest:
-        node = np.zeros(len(x), dtype=np.int64)
-        depth = np.zeros(len(x))
-        active = feat[node] >= 0
-        while active.any():
-            idx = np.flatnonzero(active)
-            nd = node[idx]
-            go_left = x[idx, feat[nd]] < thr[nd]
-            node[idx] = np.where(go_left, left[nd], right[nd])
-            depth[idx] += 1.0
-            active = feat[node] >= 0
-        total += depth + average_path_length(size[node])
-        trees += 1
-    return total / max(trees, 1)
-
-
 def isolation_forest_scores(
     df: DataFrame,
     cols: list[str],
@@ -247,26 +103,7 @@ def isolation_forest_scores(
     are labelled -1. The quantile is exact by default (two-pass, see
     ``quantiles.exact_percentiles``) or ``approx_percentile``.
     """
-    key_cols = list(key_cols)
-    df = materialize(df)  # fit (count, sample) and scoring all read it once
-    n = df.count()
-    forest_df = fit_isolation_forest(df, cols, key_cols, trees, sample, seed, n)
-    forest = forest_df.toPandas()  # bounded: trees x (< 2 * sample) nodes
-    c_psi = float(average_path_length([min(sample, n)])[0])
-    bforest = df.sparkSession.sparkContext.broadcast(forest)
-
-    out_schema = T.StructType(df.schema.fields + [T.StructField("_s", T.DoubleType())])
-
-    def score(batches):
-        fr = _forest_arrays(bforest.value)
-        for pdf in batches:
-            x = pdf[cols].to_numpy(dtype=float)
-            eh = _path_lengths(fr, x) if len(x) else np.zeros(0)
-            pdf["_s"] = -np.power(2.0, -eh / c_psi) if len(x) else np.zeros(0)
-            yield pdf
-
-    scored = materialize(df.mapInPandas(score, out_schema))  # threshold + output share one scoring pass
-    return labelled(scored, "_s", contamination, exact_threshold)
+    return labelled(raw_scores(df, cols, list(key_cols), trees, sample, seed, "_s"), "_s", contamination, exact_threshold)
 
 
 def labelled(scored: DataFrame, score: str, contamination: float = 0.01, exact_threshold: bool = True) -> DataFrame:

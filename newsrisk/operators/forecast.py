@@ -1,20 +1,21 @@
-"""Next-day risk forecasting with Spark ML random forests.
+"""Next-day risk forecasting with random forests.
 
 One pooled model over all countries (the published design), trained where
-every feature and the next-day target are known. Fitting is Spark ML's
-distributed level-wise forest; its trees stop at depth 30 and split on 256
-binned thresholds, so predictions match the single-machine forest in error, not value.
+every feature and the next-day target are known: 500 fully grown trees with exact splits
+(``operators/forest.py``).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newsrisk.functions.draws import digest
+from newsrisk.operators.forest import Forest
+from newsrisk.operators.forest import fit_forest as _fit_forest
+from newsrisk.operators.ranking import global_row_number
 from newsrisk.session import materialize
 from newsrisk.operators.features import (
     FEATURE_COLS,
@@ -42,65 +43,18 @@ FORECAST_COLUMNS = [
 ]
 
 
-# Trees as deep as Spark ML grows them, and split points as fine as the training days allow.
-MAX_DEPTH = 30
-MAX_BINS = 256
+def fit_forest(train: DataFrame, feature_cols=FEATURE_COLS, trees: int = 500, seed: int = 42, max_depth: int | None = None) -> Forest:
+    """The published forest: exact splits over every feature, fully grown (``operators/forest.py``).
 
-
-def _forest(trees: int, seed: int, max_depth: int, max_bins: int = MAX_BINS) -> RandomForestRegressor:
-    return RandomForestRegressor(
-        featuresCol="features",
-        labelCol=TARGET,
-        predictionCol="prediction",
-        numTrees=trees,
-        maxDepth=max_depth,
-        maxBins=max_bins,
-        featureSubsetStrategy="all",  # every split considers every feature
-        subsamplingRate=1.0,
-        bootstrap=True,
-        seed=seed,
-    )
-
-
-def _assemble(df: DataFrame, feature_cols) -> DataFrame:
-    return VectorAssembler(inputCols=list(feature_cols), outputCol="features").transform(df)
-
-
-ROWS_PER_FIT_TASK = 100_000
-
-
-def fit_forest(
-    train: DataFrame,
-    feature_cols=FEATURE_COLS,
-    trees: int = 500,
-    seed: int = 42,
-    max_depth: int = MAX_DEPTH,
-    max_bins: int = MAX_BINS,
-):
-    """Distributed Spark ML forest fit (bootstrap per tree, ``seed``-determined).
-
-    Spark ML draws each partition's bootstrap weights from the seed and the
-    partition index, so the model depends on how rows are laid out. Rows are
-    dealt by a hash of their key into one task per ``ROWS_PER_FIT_TASK`` rows and
-    sorted within it: the layout depends on the rows alone, not on sampled
-    range bounds, shuffle settings or retries.
+    With a ``model`` column, one forest per model in the same passes.
     """
     keys = [c for c in ("CountryCode", "date") if c in train.columns]
-    train = materialize(train)
-    tasks = max(1, -(-train.count() // ROWS_PER_FIT_TASK))
-    laid_out = train.repartition(tasks, *(keys or train.columns)).sortWithinPartitions(*(keys or train.columns))
-    return _forest(trees, seed, max_depth, max_bins).fit(_assemble(laid_out, feature_cols))
+    return _fit_forest(train, list(feature_cols), TARGET, keys or list(feature_cols), trees, seed, max_depth)
 
 
-def forecast_backtest(
-    features: DataFrame, feature_cols=FEATURE_COLS, holdout_days: int = 14, trees: int = 500, seed: int = 42,
-    max_depth: int = MAX_DEPTH,
-) -> DataFrame:
-    """Fit on days <= max(date) - holdout_days, report the holdout MAE (one row)."""
-    rows = materialize(holdout_split(training_rows(features, feature_cols), holdout_days))
-    model = fit_forest(rows.where(~F.col("is_holdout")), feature_cols, trees, seed, max_depth)
-    pred = model.transform(_assemble(rows.where(F.col("is_holdout")), feature_cols))
-    return pred.agg(
+def backtest_errors(predicted: DataFrame) -> DataFrame:
+    """One row: the holdout's rows, error and days."""
+    return predicted.agg(
         F.count(F.lit(1)).alias("n_holdout"),
         F.avg(F.abs(F.col(TARGET) - F.col("prediction"))).alias("mae"),
         F.min("date").alias("holdout_start"),
@@ -108,29 +62,25 @@ def forecast_backtest(
     )
 
 
-def forecast_next_day(
-    features: DataFrame,
-    run_date: _dt.date | str | None = None,
-    feature_cols=FEATURE_COLS,
-    trees: int = 500,
-    seed: int = 42,
-    max_depth: int = MAX_DEPTH,
+def forecast_backtest(
+    features: DataFrame, feature_cols=FEATURE_COLS, holdout_days: int = 14, trees: int = 500, seed: int = 42,
+    max_depth: int | None = None,
 ) -> DataFrame:
-    """Refit on every training row, forecast from each country's latest row.
+    """Fit on days <= max(date) - holdout_days, report the holdout MAE (one row)."""
+    rows = materialize(holdout_split(training_rows(features, feature_cols), holdout_days))
+    forest = fit_forest(rows.where(~F.col("is_holdout")), feature_cols, trees, seed, max_depth)
+    return backtest_errors(forest.predict(rows.where(F.col("is_holdout"))))
 
-    A country whose latest row lacks a feature gets no forecast.
-    """
-    features = materialize(features)  # the fit and the latest-row scoring share it
-    model = fit_forest(training_rows(features, feature_cols), feature_cols, trees, seed, max_depth)
-    latest = latest_feature_rows(features, feature_cols)
-    pred = model.transform(_assemble(latest, feature_cols))
+
+def snapshot(latest: DataFrame, prediction, run_date: _dt.date | str | None = None) -> DataFrame:
+    """The published snapshot columns of the latest rows and their prediction."""
     run = F.current_date() if run_date is None else F.lit(str(run_date)).cast("date")
-    return pred.select(
+    return latest.select(
         run.alias("run_date"),
         F.col("date").alias("as_of_date"),
         F.date_add("date", 1).alias("forecast_date"),
         "CountryCode",
-        F.col("prediction").alias("pred_risk_next_day"),
+        F.col(prediction).alias("pred_risk_next_day"),
         F.col("risk_raw").alias("risk_as_of"),
         "total_events",
         "conflict_share",
@@ -139,20 +89,36 @@ def forecast_next_day(
     )
 
 
+def forecast_next_day(
+    features: DataFrame,
+    run_date: _dt.date | str | None = None,
+    feature_cols=FEATURE_COLS,
+    trees: int = 500,
+    seed: int = 42,
+    max_depth: int | None = None,
+    model_path: str | None = None,
+) -> DataFrame:
+    """Refit on every training row, forecast from each country's latest row.
+
+    A country whose latest row lacks a feature gets no forecast. With ``model_path`` the forest is stored
+    there, and the forecast made from the stored model.
+    """
+    features = materialize(features)  # the fit and the latest-row scoring share it
+    forest = fit_forest(training_rows(features, feature_cols), feature_cols, trees, seed, max_depth)
+    if model_path:
+        forest.save(model_path)
+        forest = Forest.load(features.sparkSession, model_path)
+    return forecast_from(forest, features, run_date)
+
+
+def forecast_from(forest: Forest, features: DataFrame, run_date: _dt.date | str | None = None) -> DataFrame:
+    """The snapshot that a fitted (or stored) forest gives for each country's latest row."""
+    return snapshot(forest.predict(latest_feature_rows(features, forest.features)), "prediction", run_date)
+
+
 def baseline_next_day(features: DataFrame, run_date: _dt.date | str, prediction: str = "roll_mean_7", feature_cols=FEATURE_COLS) -> DataFrame:
     """The snapshot of a forecast that needs no model: each country's latest ``prediction`` value."""
-    return latest_feature_rows(features, feature_cols).select(
-        F.lit(str(run_date)).cast("date").alias("run_date"),
-        F.col("date").alias("as_of_date"),
-        F.date_add("date", 1).alias("forecast_date"),
-        "CountryCode",
-        F.col(prediction).alias("pred_risk_next_day"),
-        F.col("risk_raw").alias("risk_as_of"),
-        "total_events",
-        "conflict_share",
-        "negative_share",
-        "weighted_avg_tone",
-    )
+    return snapshot(latest_feature_rows(features, feature_cols), prediction, run_date)
 
 
 def top_country_series(risk: DataFrame, countries=None) -> DataFrame:
@@ -176,38 +142,27 @@ def cv_rows(risk: DataFrame, countries=None) -> DataFrame:
     return time_series_folds(training_rows(feats, SERIES_FEATURE_COLS))
 
 
+def fold_training_rows(rows: DataFrame, n_splits: int, first: int = 0) -> DataFrame:
+    """Each row once per fold from ``first`` on that trains on it, the fold as ``model``."""
+    since = F.greatest(F.coalesce(F.col("test_fold"), F.lit(-1)) + 1, F.lit(first))
+    folds = F.when(since < n_splits, F.sequence(since, F.lit(n_splits - 1)))
+    return rows.select("*", F.explode(folds).alias("model"))
+
+
 def cv_predictions(
-    risk: DataFrame,
-    countries=None,
-    n_splits: int = 5,
-    trees: int = 500,
-    seed: int = 42,
-    max_depth: int = MAX_DEPTH,
-    parallelism: int = 1,
+    risk: DataFrame, countries=None, n_splits: int = 5, trees: int = 500, seed: int = 42, max_depth: int | None = None,
 ) -> DataFrame:
-    """Expanding-window CV of the series model: (fold, date, CountryCode, actual, predicted), written once.
+    """Expanding-window CV of the series model: (fold, date, CountryCode, actual, predicted).
 
     ``date`` is the day the features are known; actual and predicted are of the
-    next one. The fold rows are materialized once; each fold is a distributed
-    fit. ``parallelism`` folds are submitted at a time, as Spark ML's own
-    cross-validator does; each holds its own split statistics in driver memory
-    (bounded by ``maxMemoryInMB``, 256 MB).
+    next one. The folds are the models of one fit: all their trees grow in the same passes.
     """
-    from concurrent.futures import ThreadPoolExecutor
-    from functools import reduce
-
-    rows = materialize(cv_rows(risk, countries))  # every fold reads the same rows
-
-    def fold(f: int) -> DataFrame:
-        train = rows.where(F.coalesce(F.col("test_fold"), F.lit(-1)) < f)
-        model = fit_forest(train, SERIES_FEATURE_COLS, trees, seed, max_depth)
-        test = rows.where(F.col("test_fold") == f)
-        return model.transform(_assemble(test, SERIES_FEATURE_COLS)).select(
-            F.lit(f).alias("fold"), "date", "CountryCode", F.col(TARGET).alias("actual"), F.col("prediction").alias("predicted")
-        )
-
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        return materialize(reduce(DataFrame.unionByName, pool.map(fold, range(n_splits))))
+    rows = materialize(cv_rows(risk, countries))  # the training rows and the test rows
+    forest = fit_forest(fold_training_rows(rows, n_splits), SERIES_FEATURE_COLS, trees, seed, max_depth)
+    test = rows.where(F.col("test_fold").isNotNull()).withColumn("model", F.col("test_fold"))
+    return forest.predict(test).select(
+        F.col("test_fold").alias("fold"), "date", "CountryCode", F.col(TARGET).alias("actual"), F.col("prediction").alias("predicted")
+    )
 
 
 def cv_errors(predictions: DataFrame) -> DataFrame:
@@ -226,70 +181,60 @@ def last_fold_series(predictions: DataFrame) -> DataFrame:
 
 
 def forecast_cv(
-    risk: DataFrame,
-    countries=None,
-    n_splits: int = 5,
-    trees: int = 500,
-    seed: int = 42,
-    max_depth: int = MAX_DEPTH,
-    parallelism: int = 1,
+    risk: DataFrame, countries=None, n_splits: int = 5, trees: int = 500, seed: int = 42, max_depth: int | None = None,
 ) -> DataFrame:
     """One row per fold plus the mean MAE (``cv_errors`` of ``cv_predictions``)."""
-    return cv_errors(cv_predictions(risk, countries, n_splits, trees, seed, max_depth, parallelism))
+    return cv_errors(cv_predictions(risk, countries, n_splits, trees, seed, max_depth))
+
+
+def permuted_copies(test: DataFrame, feature_cols=SERIES_FEATURE_COLS, n_repeats: int = 10, seed: int = 42, keys=("CountryCode", "date")) -> DataFrame:
+    """``test`` once per (feature ``pf``, repeat ``rep``), that feature's values shuffled among the copy's rows.
+
+    A copy's rows are numbered in the order of ``keys`` and in the order of an MD5 of seed, feature, repeat and
+    keys; the row at one place gets the value of the row at the same place of the other order. Both
+    orders are numbered over ranges of all copies at once: no copy is sorted in one task.
+    """
+    keys = list(keys)
+    base = materialize(global_row_number(test, keys, "_place"))
+    rows = base.count()
+    index = F.posexplode(F.array(*[F.struct(F.lit(c).alias("pf"), F.lit(r).alias("rep")) for c in feature_cols for r in range(n_repeats)])).alias("copy", "_p")
+    drawn = base.select(*keys, *feature_cols, index).select("*", "_p.pf", "_p.rep")
+    drawn = drawn.withColumn("_hash", digest(seed, F.col("pf"), F.col("rep"), *[F.col(k) for k in keys]))
+    value = F.coalesce(*[F.when(F.col("pf") == c, F.col(c)) for c in feature_cols])
+    donors = global_row_number(drawn.select("copy", "pf", "rep", "_hash", *keys, value.alias("_v")), ["copy", "_hash", *keys], "_place")
+    donors = donors.select("pf", "rep", (F.col("_place") - F.col("copy").cast("long") * rows).alias("_place"), "_v")  # every copy has all rows
+    moved = base.join(donors, "_place").drop("_place")
+    return moved.withColumns({c: F.when(F.col("pf") == c, F.col("_v")).otherwise(F.col(c)) for c in feature_cols}).drop("_v")
 
 
 def permutation_importance(
-    model,
+    predict,
     test: DataFrame,
     feature_cols=SERIES_FEATURE_COLS,
     n_repeats: int = 10,
     seed: int = 42,
-    row_key: str = "date",
-    group_key: str = "CountryCode",
+    keys=("CountryCode", "date"),
 ) -> DataFrame:
     """Mean drop in R^2 when one feature's values are shuffled among the test rows.
 
-    Every (feature, repeat) copy of the test set is made by ``explode`` (no
-    join fan-out). In each copy, rows are ranked once by ``row_key`` and once
-    by a seeded hash; the feature value of the row at the hash rank is moved to
-    the row at the same natural rank (a permutation), by an equi-join on
-    (feature, repeat, rank). All copies are scored by one ``transform`` and
-    R^2 is aggregated per copy.
+    ``predict`` adds a column ``prediction`` to rows (``Forest.predict``, or any other model's). The
+    shuffled copies (``permuted_copies``) are scored together and R^2 is aggregated per copy.
     """
-    reps = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("pf"), F.lit(r).alias("rep")) for c in feature_cols for r in range(n_repeats)])
-    )
-    base = test.select(group_key, row_key, TARGET, *feature_cols)
-    copies = base.select("*", reps.alias("_p")).select("*", "_p.pf", "_p.rep").drop("_p")
-    grp = ["pf", "rep"]
-    natural = Window.partitionBy(*grp).orderBy(group_key, row_key)
-    shuffled = Window.partitionBy(*grp).orderBy(F.xxhash64(F.lit(seed), "pf", "rep", group_key, row_key))
-    ranked = copies.withColumns({"_rn": F.row_number().over(natural), "_pn": F.row_number().over(shuffled)})
-    donor = ranked.select(
-        "pf", "rep", F.col("_pn").alias("_rn"),
-        F.coalesce(*[F.when(F.col("pf") == c, F.col(c)) for c in feature_cols]).alias("_v"),
-    )
-    permuted = ranked.join(donor, grp + ["_rn"]).withColumns(
-        {c: F.when(F.col("pf") == c, F.col("_v")).otherwise(F.col(c)) for c in feature_cols}
-    )
-    scored = model.transform(_assemble(permuted, feature_cols))
-    baseline = model.transform(_assemble(base, feature_cols))
+    test = materialize(test.select(*keys, TARGET, *feature_cols))
+    sq_err = (F.col(TARGET) - F.col("prediction")) ** 2
     # R^2 = 1 - SS_res / SS_tot; the target is the same in every copy, so SS_tot
     # and the baseline SS_res are scalars and the drop is (SS_res' - SS_res) / SS_tot.
-    sq_err = (F.col(TARGET) - F.col("prediction")) ** 2
-    stats = baseline.select(  # one pass over the baseline predictions, one scalar subquery
-        F.struct(
-            F.count(F.lit(1)).cast("double").alias("n"),
-            F.sum(TARGET).alias("sy"),
-            F.sum(F.col(TARGET) ** 2).alias("syy"),
-            F.sum(sq_err).alias("sse"),
-        )
-    ).scalar()
-    ss_tot = stats.getField("syy") - stats.getField("sy") * stats.getField("sy") / stats.getField("n")
-    ss_res_base = stats.getField("sse")
-    per_copy = scored.groupBy(*grp).agg(F.sum(sq_err).alias("ss_res"))
+    stats = predict(test).agg(
+        F.count(F.lit(1)).cast("double").alias("n"),
+        F.sum(TARGET).alias("sy"),
+        F.sum(F.col(TARGET) ** 2).alias("syy"),
+        F.sum(sq_err).alias("sse"),
+    ).first()  # one row
+    ss_tot = (stats["syy"] or 0.0) - (stats["sy"] or 0.0) ** 2 / max(stats["n"], 1.0)
+    per_copy = predict(permuted_copies(test, feature_cols, n_repeats, seed, keys)).groupBy("pf", "rep").agg(F.sum(sq_err).alias("ss_res"))
+    drop = F.when(F.lit(ss_tot) > 0, (F.col("ss_res") - F.lit(stats["sse"])) / F.lit(ss_tot or None).cast("double"))
     return (
-        per_copy.withColumn("drop", (F.col("ss_res") - ss_res_base) / ss_tot)
+        per_copy.withColumn("drop", drop)
         .groupBy(F.col("pf").alias("feature"))
         .agg(F.avg("drop").alias("importance"), F.stddev_pop("drop").alias("importance_std"))
         .orderBy(F.col("importance").desc(), "feature")
@@ -298,12 +243,11 @@ def permutation_importance(
 
 def forecast_cv_importance(
     risk: DataFrame, countries=None, n_splits: int = 5, n_repeats: int = 10, trees: int = 500, seed: int = 42,
-    max_depth: int = MAX_DEPTH,
+    max_depth: int | None = None,
 ) -> DataFrame:
     """Permutation importance of the last CV fold's model on its test rows."""
     rows = materialize(cv_rows(risk, countries))
     last = n_splits - 1
-    train = rows.where(F.coalesce(F.col("test_fold"), F.lit(-1)) < last)
-    test = rows.where(F.col("test_fold") == last)
-    model = fit_forest(train, SERIES_FEATURE_COLS, trees, seed, max_depth)
-    return permutation_importance(model, test, SERIES_FEATURE_COLS, n_repeats, seed)
+    forest = fit_forest(fold_training_rows(rows, n_splits, first=last), SERIES_FEATURE_COLS, trees, seed, max_depth)
+    predict = lambda df: forest.predict(df.withColumn("model", F.lit(last)))
+    return permutation_importance(predict, rows.where(F.col("test_fold") == last), SERIES_FEATURE_COLS, n_repeats, seed)

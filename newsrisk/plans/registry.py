@@ -27,7 +27,7 @@ from newsrisk.operators.clean import CLEAN_COLUMNS, clean_events
 from newsrisk.operators.events import extract_events_daily
 from newsrisk.operators.risk import country_risk_daily
 from newsrisk.plans import sqltext as S
-from newsrisk.session import checkpoint_dir
+from newsrisk.session import checkpoint_dir, materialize
 from newsrisk.sources import adapters, readers, sinks
 from newsrisk.streaming import run_incremental_extract
 
@@ -532,7 +532,6 @@ register(
 # ---- scoring / models (rows-only; no SQL oracle) ----------------------------------------------
 
 MODEL_TREES = 300  # isolation forest trees (the published setting)
-FOREST_TREES = 100  # random-forest trees of the registered queries; the operators default to the published 500
 RUN_DATE = "2024-02-01"
 
 
@@ -540,11 +539,27 @@ def _scored(spark, sf_dir, kind="dense"):
     return AN.detect_anomalies(clean(spark, sf_dir, kind), trees=MODEL_TREES)
 
 
-register("isolation_forest_scores")(
-    lambda spark, sf_dir: _scored(spark, sf_dir).select(
-        "date", "CountryCode", "EventCount", *AN.Z_COLS, "anomaly_score", "anomaly_label"))
-register("top_anomalies")(lambda spark, sf_dir: AN.top_anomalies(_scored(spark, sf_dir), 50))
-register("top_country_anomalies")(lambda spark, sf_dir: AN.top_country_anomalies(_scored(spark, sf_dir)))
+_ISOLATION = _DENSE_CLEAN + [("panel", S.PANEL), ("zpanel", S.ROLLING_Z), ("scaled", S.scaled_body())] + S.isolation_forest(trees=MODEL_TREES) + [
+    ("lab", "SELECT *, CASE WHEN anomaly_score < 0 THEN -1 ELSE 1 END AS anomaly_label FROM iso_scored")]
+_LAB = "date, CountryCode, EventCount, ROUND(AvgTone, 10) AS AvgTone, ROUND(AvgGoldstein, 10) AS AvgGoldstein, ROUND(anomaly_score, 8) AS anomaly_score, anomaly_label"
+_OF_TOP = "WHERE CountryCode = (SELECT CountryCode FROM lab GROUP BY CountryCode ORDER BY SUM(EventCount) DESC, CountryCode LIMIT 1)"
+
+
+def _rounded_scores(df):
+    return df.select("date", "CountryCode", "EventCount", F.round("AvgTone", 10).alias("AvgTone"), F.round("AvgGoldstein", 10).alias("AvgGoldstein"),
+                     F.round("anomaly_score", 8).alias("anomaly_score"), "anomaly_label")
+
+
+register(
+    "isolation_forest_scores",
+    S.with_ctes(_ISOLATION, "SELECT date, CountryCode, EventCount, " + ", ".join(f"ROUND({z}, 8) AS {z}" for z in AN.Z_COLS)
+                + ", ROUND(anomaly_score, 8) AS anomaly_score, anomaly_label FROM lab"),
+)(lambda spark, sf_dir: rounded(_scored(spark, sf_dir).select(
+    "date", "CountryCode", "EventCount", *AN.Z_COLS, "anomaly_score", "anomaly_label"), 8))
+register("top_anomalies", S.with_ctes(_ISOLATION, f"SELECT {_LAB} FROM lab ORDER BY lab.anomaly_score, CountryCode, date LIMIT 50"))(
+    lambda spark, sf_dir: _rounded_scores(AN.top_anomalies(_scored(spark, sf_dir), 50)))
+register("top_country_anomalies", S.with_ctes(_ISOLATION, f"SELECT date, CountryCode, EventCount, ROUND(anomaly_score, 8) AS anomaly_score, anomaly_label FROM lab {_OF_TOP}"))(
+    lambda spark, sf_dir: rounded(AN.top_country_anomalies(_scored(spark, sf_dir)), 8))
 
 register(
     "top_country",
@@ -554,38 +569,79 @@ register(
 )(lambda spark, sf_dir: AN.top_country(panel(spark, sf_dir)))
 
 
-_PUBLISHED: dict[tuple, str] = {}
+def _forecast(spark, sf_dir):
+    """The next-day snapshot as the dashboards read it: fitted, stored and published from the tables at every call."""
+    base = _scratch(spark, "forecast")
+    snapshot = FC.forecast_next_day(features(spark, sf_dir), RUN_DATE, model_path=f"{base}/model")
+    return spark.read.parquet(sinks.publish(snapshot, f"{base}/snapshot"))
 
 
-def _published(spark, sf_dir, name, make, refresh=False) -> DataFrame:
-    """A table that several queries read: published by the query that makes it (``refresh``), or by its first reader."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if refresh or key not in _PUBLISHED:
-        _PUBLISHED[key] = sinks.publish(make(), _scratch(spark, name))
-    return spark.read.parquet(_PUBLISHED[key])
+def _cv(spark, sf_dir):
+    return FC.cv_predictions(risk(spark, sf_dir, "sparse"))
 
 
-def _forecast(spark, sf_dir, refresh=False):
-    """The next-day snapshot, as the dashboards read it."""
-    make = lambda: FC.forecast_next_day(features(spark, sf_dir), RUN_DATE, trees=FOREST_TREES)
-    return _published(spark, sf_dir, "forecast", make, refresh)
+register("forecast_backtest")(lambda spark, sf_dir: FC.forecast_backtest(features(spark, sf_dir)))
+register("risk_forecast_next_day")(lambda spark, sf_dir: _forecast(spark, sf_dir))
+register("forecast_cv")(lambda spark, sf_dir: FC.cv_errors(materialize(_cv(spark, sf_dir))))
+register("forecast_last_fold")(lambda spark, sf_dir: FC.last_fold_series(materialize(_cv(spark, sf_dir))))
+register("permutation_importance")(lambda spark, sf_dir: FC.forecast_cv_importance(risk(spark, sf_dir, "sparse")))
+register("risk_trend_with_forecast")(
+    lambda spark, sf_dir: DB.risk_trend_with_forecast(risk(spark, sf_dir), _forecast(spark, sf_dir)))
+register("forecast_outlook")(lambda spark, sf_dir: DB.forecast_outlook(_forecast(spark, sf_dir), 10))
 
+# ---- the same forests, shallow enough for SQL: every draw, split and sum is checked -------------
 
-def _cv(spark, sf_dir, refresh=False):
-    make = lambda: FC.cv_predictions(risk(spark, sf_dir, "sparse"), trees=FOREST_TREES)
-    return _published(spark, sf_dir, "cv", make, refresh)
+SHALLOW = dict(trees=4, max_depth=3)
+_SHALLOW = (SHALLOW["trees"], SHALLOW["max_depth"])
+_TRAIN = _chain("dense", "risk") + [("feat", S.features_body()), ("train", _TRAIN_SQL)]
+_HOLDOUT = _TRAIN + [
+    ("split", "SELECT *, date > (SELECT MAX(date) - 14 FROM train) AS is_holdout FROM train"),
+    ("past", "SELECT * FROM split WHERE NOT is_holdout"),
+    ("held", "SELECT * FROM split WHERE is_holdout"),
+]
 
+register(
+    "forest_splits",
+    S.with_ctes(_TRAIN + S.cart("train", S.FEATURE_COLS, *_SHALLOW),
+                "SELECT CAST(tree AS INTEGER) AS tree, CAST(feature AS INTEGER) AS feature, ROUND(threshold, 10) AS threshold, ROUND(value, 10) AS value, weight FROM cart_nodes"),
+)(lambda spark, sf_dir: FC.fit_forest(FE.training_rows(features(spark, sf_dir)), **SHALLOW).nodes().select(
+    "tree", "feature", F.round("threshold", 10).alias("threshold"), F.round("value", 10).alias("value"), "weight"))
+register(
+    "forest_backtest",
+    S.with_ctes(_HOLDOUT + S.cart("past", S.FEATURE_COLS, *_SHALLOW) + S.cart_predictions("held", S.FEATURE_COLS, *_SHALLOW),
+                "SELECT COUNT(*) AS n_holdout, ROUND(AVG(ABS(target_next_day - prediction)), 10) AS mae, MIN(date) AS holdout_start, MAX(date) AS holdout_end FROM predicted"),
+)(lambda spark, sf_dir: rounded(FC.forecast_backtest(features(spark, sf_dir), **SHALLOW)))
+register(
+    "forest_forecast",
+    S.with_ctes(_TRAIN + [("latest", "SELECT * FROM feat QUALIFY ROW_NUMBER() OVER (PARTITION BY CountryCode ORDER BY date DESC) = 1"),
+                          ("complete", f"SELECT * FROM latest WHERE {S.not_null(S.FEATURE_COLS)}")]
+                + S.cart("train", S.FEATURE_COLS, *_SHALLOW) + S.cart_predictions("complete", S.FEATURE_COLS, *_SHALLOW),
+                f"SELECT DATE '{RUN_DATE}' AS run_date, date AS as_of_date, CAST(date + 1 AS DATE) AS forecast_date, CountryCode, ROUND(prediction, 10) AS pred_risk_next_day, "
+                "ROUND(risk_raw, 10) AS risk_as_of, total_events, " + ", ".join(S.r(c) for c in ["conflict_share", "negative_share", "weighted_avg_tone"]) + " FROM predicted"),
+)(lambda spark, sf_dir: rounded(FC.forecast_next_day(features(spark, sf_dir), RUN_DATE, model_path=_scratch(spark, "model"), **SHALLOW)))
+register(
+    "forest_cv",
+    S.with_ctes(S.cv_chain() + [("folds", "SELECT series.*, f.range AS fold FROM series, range(5) f WHERE COALESCE(test_fold, -1) < f.range"),
+                                ("tests", "SELECT * FROM series WHERE test_fold IS NOT NULL")]
+                + S.cart("folds", S.SERIES_FEATURE_COLS, *_SHALLOW, model="fold") + S.cart_predictions("tests", S.SERIES_FEATURE_COLS, *_SHALLOW, model="test_fold")
+                + [("errors", "SELECT test_fold AS fold, COUNT(*) AS n_test, AVG(ABS(target_next_day - prediction)) AS mae, MIN(CountryCode) AS countries FROM predicted GROUP BY test_fold")],
+                "SELECT fold, n_test, ROUND(mae, 10) AS mae, countries, ROUND((SELECT AVG(mae) FROM errors), 10) AS mean_mae FROM errors"),
+)(lambda spark, sf_dir: rounded(FC.forecast_cv(risk(spark, sf_dir, "sparse"), **SHALLOW)))
 
-register("forecast_backtest")(
-    lambda spark, sf_dir: FC.forecast_backtest(features(spark, sf_dir), trees=FOREST_TREES))
-register("risk_forecast_next_day")(lambda spark, sf_dir: _forecast(spark, sf_dir, refresh=True))
-register("forecast_cv")(lambda spark, sf_dir: FC.cv_errors(_cv(spark, sf_dir, refresh=True)))
-register("forecast_last_fold")(lambda spark, sf_dir: FC.last_fold_series(_cv(spark, sf_dir)))
-register("permutation_importance")(
-    lambda spark, sf_dir: FC.forecast_cv_importance(risk(spark, sf_dir, "sparse"), trees=FOREST_TREES))
-register("risk_trend_with_forecast")(
-    lambda spark, sf_dir: DB.risk_trend_with_forecast(risk(spark, sf_dir), _forecast(spark, sf_dir)))
-register("forecast_outlook")(lambda spark, sf_dir: DB.forecast_outlook(_forecast(spark, sf_dir), 10))
+# permutation importance of a predictor that SQL can repeat
+LINEAR = "0.5 * lag_1 + 0.3 * roll_mean_7 + 0.2 * lag_7"
+
+
+def _linear_importance(spark, sf_dir):
+    rows = FC.cv_rows(risk(spark, sf_dir, "sparse"))
+    return rounded(FC.permutation_importance(lambda df: df.withColumn("prediction", F.expr(LINEAR)), rows.where("test_fold = 4")))
+
+
+register(
+    "importance_linear",
+    S.with_ctes(S.cv_chain() + [("last", "SELECT * FROM series WHERE test_fold = 4")] + S.importance("last", S.SERIES_FEATURE_COLS, LINEAR, 10),
+                "SELECT feature, ROUND(importance, 10) AS importance, ROUND(importance_std, 10) AS importance_std FROM importance"),
+)(_linear_importance)
 
 # the same operators behind a forecast and a score that SQL can repeat
 _BASELINE = _chain("dense", "risk") + [
@@ -631,18 +687,12 @@ _ZSCORE = _chain("sparse", "clean") + [
                "s - (SELECT quantile_cont(s, 0.01) FROM raw_score) AS anomaly_score FROM raw_score"),
     ("lab", "SELECT *, CASE WHEN anomaly_score < 0 THEN -1 ELSE 1 END AS anomaly_label FROM scored"),
 ]
-_LAB = "date, CountryCode, EventCount, ROUND(AvgTone, 10) AS AvgTone, ROUND(AvgGoldstein, 10) AS AvgGoldstein, ROUND(anomaly_score, 8) AS anomaly_score, anomaly_label"
 
 
 def _zscored(spark, sf_dir):
     return AN.z_score_anomalies(zpanel(spark, sf_dir, "sparse"))
 
 
-def _rounded_scores(df):
-    return df.select("date", "CountryCode", "EventCount", F.round("AvgTone", 10).alias("AvgTone"), F.round("AvgGoldstein", 10).alias("AvgGoldstein"),
-                     F.round("anomaly_score", 8).alias("anomaly_score"), "anomaly_label")
-
-
 register("zscore_anomalies", S.with_ctes(_ZSCORE, f"SELECT {_LAB} FROM lab"))(
     lambda spark, sf_dir: _rounded_scores(_zscored(spark, sf_dir)))
 
@@ -657,8 +707,7 @@ def _top50_csv(spark, sf_dir):
 register("zscore_top50_csv", S.with_ctes(_ZSCORE, f"SELECT {_LAB} FROM lab ORDER BY lab.anomaly_score, CountryCode, date LIMIT 50"))(_top50_csv)
 register(
     "zscore_top_country",
-    S.with_ctes(_ZSCORE, "SELECT date, CountryCode, EventCount, ROUND(anomaly_score, 8) AS anomaly_score, anomaly_label FROM lab "
-                         "WHERE CountryCode = (SELECT CountryCode FROM lab GROUP BY CountryCode ORDER BY SUM(EventCount) DESC, CountryCode LIMIT 1)"),
+    S.with_ctes(_ZSCORE, f"SELECT date, CountryCode, EventCount, ROUND(anomaly_score, 8) AS anomaly_score, anomaly_label FROM lab {_OF_TOP}"),
 )(lambda spark, sf_dir: AN.top_country_anomalies(_zscored(spark, sf_dir)).withColumn("anomaly_score", F.round("anomaly_score", 8)))
 
 # ---- dirty input ------------------------------------------------------------------------------

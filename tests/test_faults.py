@@ -11,6 +11,7 @@ from newsrisk.operators import forecast as FC
 from newsrisk.operators.clean import clean_events
 from newsrisk.operators.events import stable_avg
 from newsrisk.operators.features import SERIES_FEATURE_COLS, TARGET, holdout_split, risk_features, training_rows
+from newsrisk.operators.isolation import fit_isolation_forest
 from newsrisk.operators.quantiles import exact_percentiles
 from newsrisk.operators.risk import country_risk_daily
 from newsrisk.operators.events import extract_events_daily
@@ -97,10 +98,10 @@ def test_run_log_without_an_extract(spark, scratch):
 @pytest.mark.parametrize("trees,sample,n", [(3, 64, 5000), (40, 64, 300), (10, 64, 20), (7, 10, 70)])
 def test_every_tree_gets_its_sample_whatever_the_partitioning(spark, trees, sample, n):
     df = spark.range(n).select(F.col("id").alias("k"), (F.xxhash64("id") % 1000 / 1000.0).alias("a"), (F.xxhash64("id", F.lit(1)) % 1000 / 1000.0).alias("b"))
-    fit = lambda d: sorted(map(tuple, AN.fit_isolation_forest(d, ["a", "b"], ["k"], trees, sample).collect()))
+    fit = lambda d: sorted((tuple(r) for r in fit_isolation_forest(d, ["a", "b"], ["k"], trees, sample).collect()), key=lambda r: r[:2])
     first = fit(df.repartition(3))
-    roots = [r for r in first if r[1] == 0]
-    assert len(roots) == trees and {r[-1] for r in roots} == {min(sample, n)}
+    roots = [r for r in first if r[1] == 1]
+    assert len(roots) == trees and {r[3] for r in roots} == {min(sample, n)}
     assert fit(df.repartition(11)) == first
 
 
@@ -115,7 +116,7 @@ def test_forest_is_repeatable_and_better_than_naive_forecasts(spark):
             feats = risk_features(country_risk_daily(clean_events(extract_events_daily(adapters.RAW_EVENTS["sparse"](spark, SF_MED), ordered=False)), ordered=False))
             rows = FC.materialize(holdout_split(training_rows(feats, SERIES_FEATURE_COLS)))
             model = fit_forest(rows.where("not is_holdout"), SERIES_FEATURE_COLS, trees=12, max_depth=12)
-            out = model.transform(FC._assemble(rows.where("is_holdout"), SERIES_FEATURE_COLS)).select("date", "CountryCode", "prediction", TARGET, "risk_raw", "roll_mean_7").collect()
+            out = model.predict(rows.where("is_holdout")).select("date", "CountryCode", "prediction", TARGET, "risk_raw", "roll_mean_7").collect()
             predictions.append({(r.date, r.CountryCode): r.prediction for r in out})
             errors = {c: sum(abs(r[TARGET] - r[c]) for r in out) / len(out) for c in ("prediction", "risk_raw", "roll_mean_7")}
     finally:

@@ -52,10 +52,11 @@ def test_scores_independent_of_partitioning(spark):
     assert all(a[k] == pytest.approx(b[k], abs=1e-12) for k in a)
 
 
-def test_average_path_length():
-    assert AN.average_path_length([1])[0] == 0.0
-    assert AN.average_path_length([2])[0] == 1.0
-    assert AN.average_path_length([256])[0] == pytest.approx(10.2448, abs=1e-3)
+def test_average_path_length(spark):
+    from newsrisk.operators.isolation import average_path_length
+
+    got = [r[0] for r in spark.createDataFrame([(1,), (2,), (256,)], "n int").orderBy("n").select(average_path_length(F.col("n"))).collect()]
+    assert got[:2] == [0.0, 1.0] and got[2] == pytest.approx(10.2448, abs=1e-3)
 
 
 @pytest.fixture(scope="module")
@@ -95,40 +96,63 @@ def test_sf_small_end_to_end(spark):
 
 
 def test_forest_sampling_path_for_large_inputs(spark):
-    df = _blob(spark, n=6000, outliers=0)  # 8 * 256 / 6000 < 1: the hash pre-filter path
-    forest = AN.fit_isolation_forest(df, ["a", "b"], ["date", "CountryCode"], trees=40, sample=256).toPandas()
-    roots = forest[forest["node"] == 0]
-    assert len(roots) == 40 and (roots["size"] == 256).all()
+    from newsrisk.operators.isolation import fit_isolation_forest
+
+    df = _blob(spark, n=6000, outliers=0)  # fewer draws than rows: the pool
+    forest = fit_isolation_forest(df, ["a", "b"], ["date", "CountryCode"], trees=10, sample=256).toPandas()
+    roots = forest[forest["node"] == 1]
+    assert len(roots) == 10 and (roots["size"] == 256).all()
     assert forest.groupby("tree")["node"].count().max() < 2 * 256
 
 
 def test_scores_match_brute_force_walk(spark):
-    """Distributed scoring + threshold vs a plain recursive walk over the same forest."""
+    """Growth, scoring and threshold vs plain recursion from the same draws."""
+    import hashlib
     import math
 
+    from newsrisk.operators.isolation import fit_isolation_forest
+
     df = _blob(spark, n=300, outliers=3)
     cols, keys, trees = ["a", "b"], ["date", "CountryCode"], 25
-    forest = AN.fit_isolation_forest(df, cols, keys, trees=trees).toPandas()
+    forest = fit_isolation_forest(df, cols, keys, trees=trees).toPandas()
     scored = {(r.date, r.CountryCode): (r.anomaly_score, r.anomaly_label)
               for r in AN.isolation_forest_scores(df, cols, keys, trees=trees).collect()}
 
-    def c(n):
-        return 0.0 if n <= 1 else 1.0 if n == 2 else 2 * (math.log(n - 1) + 0.5772156649015329) - 2 * (n - 1) / n
+    def md5(*parts):
+        return hashlib.md5(":".join(map(str, parts)).encode()).hexdigest()
 
-    nodes = {(int(t.tree), int(t.node)): t for t in forest.itertuples()}
+    def draw(*parts):
+        return (int(md5(*parts)[:8], 16) + 0.5) / 2**32
 
-    def depth(tree, node, x, d=0):
-        t = nodes[(tree, node)]
-        if t.feature < 0:
-            return d + c(t.size)
-        nxt = t.left if x[t.feature] < t.threshold else t.right
-        return depth(tree, int(nxt), x, d + 1)
+    def c(n):
+        return 0.0 if n <= 1 else 1.0 if n == 2 else 2 * (math.log(n - 1) + 0.5772156649015329) - 2 * (n - 1) / n
 
     rows = df.collect()
-    raw = []
-    for r in rows:
-        e = sum(depth(t, 0, (r.a, r.b)) for t in range(trees)) / trees
-        raw.append(-(2.0 ** (-e / c(min(256, len(rows))))))
+    x = {(r.date, r.CountryCode): (round(r.a, 9), round(r.b, 9)) for r in rows}
+    nodes = {}
+
+    def grow(tree, node, depth, sample):
+        usable = [f for f in (0, 1) if len({x[k][f] for k in sample}) > 1] if depth < 8 else []
+        if not usable:
+            nodes[tree, node] = (depth, len(sample), None, None)
+            return
+        f = usable[int(draw(42, tree, node, "feature") * len(usable))]
+        lo, hi = min(x[k][f] for k in sample), max(x[k][f] for k in sample)
+        t = lo + (hi - lo) * draw(42, tree, node, "threshold")
+        nodes[tree, node] = (depth, len(sample), f, t)
+        grow(tree, 2 * node, depth + 1, [k for k in sample if x[k][f] < t])
+        grow(tree, 2 * node + 1, depth + 1, [k for k in sample if x[k][f] >= t])
+
+    for tree in range(trees):  # 300 rows: one block of 256 per order
+        grow(tree, 1, 0, sorted(x, key=lambda k: md5(42, tree, *k))[:256])
+    got = {(t.tree, t.node): (t.depth, t.size, None if math.isnan(t.feature) else int(t.feature), None if math.isnan(t.threshold) else t.threshold) for t in forest.itertuples()}
+    assert got == nodes
+
+    def length(tree, row, node=1):
+        depth, size, f, t = nodes[tree, node]
+        return depth + c(size) if f is None else length(tree, row, 2 * node + (row[f] >= t))
+
+    raw = [-(2.0 ** (-sum(length(t, x[r.date, r.CountryCode]) for t in range(trees)) / trees / c(256))) for r in rows]
     q = float(np.percentile(raw, 1.0))
     for r, s in zip(rows, raw):
         got_score, got_label = scored[(r.date, r.CountryCode)]
@@ -148,7 +172,7 @@ def test_permutation_importance_invariants(spark):
     schema = "date date, CountryCode string, " + f"{TARGET} double, " + ", ".join(f"{c} double" for c in SERIES_FEATURE_COLS)
     df = spark.createDataFrame(rows, schema)
     model = FC.fit_forest(df, SERIES_FEATURE_COLS, trees=20, seed=1, max_depth=6)
-    imp = {r.feature: r.importance for r in FC.permutation_importance(model, df, SERIES_FEATURE_COLS, 5, 3).collect()}
+    imp = {r.feature: r.importance for r in FC.permutation_importance(model.predict, df, SERIES_FEATURE_COLS, 5, 3).collect()}
     assert abs(imp["lag_7"]) < 1e-12  # same residuals, summed in another order
     assert max(imp, key=imp.get) == "lag_1" and imp["lag_1"] > 0.5
 
