@@ -6,6 +6,7 @@
     python -m newsrisk anomalies     --root ROOT [--trees 300]
     python -m newsrisk refresh       --raw RAW --root ROOT --start S --end E
     python -m newsrisk quality       --root ROOT
+    python -m newsrisk runlog        --root ROOT
 
 RAW / ART are ``dt``-partitioned Parquet folders; ROOT is the deployment
 folder (extracts, processed, published, reports). ``--master`` defaults to the
@@ -21,7 +22,7 @@ import sys
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="newsrisk")
-    p.add_argument("job", choices=["events", "themes", "risk-forecast", "anomalies", "refresh", "quality"])
+    p.add_argument("job", choices=["events", "themes", "risk-forecast", "anomalies", "refresh", "quality", "runlog"])
     p.add_argument("--root", required=True)
     p.add_argument("--raw")
     p.add_argument("--articles")
@@ -65,6 +66,8 @@ def main(argv: list[str] | None = None) -> int:
         row = jobs.run_refresh(spark, read_raw(spark, args.raw), layout, args.start, args.end, args.run_date,
                                args.trees or 500).first()
         out = row.asDict()
+    elif args.job == "runlog":
+        out = spark.read.parquet(jobs.refresh_run_log(spark, layout)).first().asDict()
     else:
         out = {name: [r.asDict() for r in df.collect()] for name, df in jobs.quality_report(spark, layout).items()}
     print(json.dumps(out, default=str))

@@ -47,14 +47,45 @@ def dq_top_roots(clean: DataFrame, k: int = 10) -> DataFrame:
     )
 
 
-def run_log(extract: DataFrame, file_name: str) -> DataFrame:
-    """One run-log row for an extract: file, rows, min/max SQLDATE."""
-    return extract.agg(
+def run_log(extract: DataFrame, file_name: str, faulty: DataFrame | None = None) -> DataFrame:
+    """One run-log row for an extract: file, rows, min/max SQLDATE, and how many lines were ``faulty`` (if given)."""
+    log = extract.agg(
         F.lit(file_name).alias("file"),
         F.count(F.lit(1)).alias("rows"),
         F.min("SQLDATE").alias("min_sqldate"),
         F.max("SQLDATE").alias("max_sqldate"),
     )
+    return log if faulty is None else log.withColumn("faulty_lines", faulty.select(F.count(F.lit(1))).scalar())
+
+
+def footer_coverage(spark, path: str, date_col: str = "date") -> DataFrame:
+    """``dq_coverage`` of a Parquet table out of its files' footers: no row is read.
+
+    Spark pushes counts, minima and maxima into its V2 Parquet reader; that reader is chosen in a session of
+    its own, so that other queries keep theirs.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return dq_coverage(own.read.parquet(path), date_col)
+
+
+def published_freshness(spark, clean: str, risk: str, forecast: str, extract: DataFrame) -> DataFrame:
+    """``freshness_checks`` of published Parquet tables (paths): the latest dates come from footers, one row in all."""
+    latest = lambda path, c: footer_coverage(spark, path, c).first()
+    c, r, f = latest(clean, "date"), latest(risk, "date"), latest(forecast, "forecast_date")
+    date = lambda d: F.lit(d).cast("date")
+    e = extract.select(F.max(parse_yyyymmdd("SQLDATE"))).scalar()
+    return spark.range(1).select(
+        e.alias("extract_max_date"),
+        date(c.max_date).alias("clean_max_date"),
+        date(r.max_date).alias("risk_max_date"),
+        date(f.max_date).alias("forecast_max_date"),
+        F.lit(f.rows).cast("bigint").alias("forecast_rows"),
+        (date(c.max_date) == e).alias("clean_matches_extract"),
+        (date(c.max_date) == date(r.max_date)).alias("risk_matches_clean"),
+        (date(f.max_date) == F.date_add(date(r.max_date), 1)).alias("forecast_is_next_day"),
+    )
 
 
 def run_log_without_extract(spark, directory: str) -> DataFrame:

@@ -28,3 +28,19 @@ def global_running_sums(df: DataFrame, order: list, sums: dict) -> DataFrame:
 def global_row_number(df: DataFrame, order: list, name: str = "row_number") -> DataFrame:
     """``df`` with ``name`` (long, from 1): each row's place in the order of the columns ``order`` (see above)."""
     return global_running_sums(df, order, {name: F.lit(1).cast("long")})
+
+
+def output_positions(df: DataFrame, name: str = "position") -> DataFrame:
+    """``df`` with each row's place (from 1) in the order in which ``df`` gives its rows.
+
+    Partitions are numbered in order, rows within them too; the partitions' counts give the rows before each.
+    """
+    width = 33  # monotonically_increasing_id: the partition above, the row below
+    rows = materialize(df.withColumn("_id", F.monotonically_increasing_id()))
+    part = F.shiftright("_id", width).alias("_part")
+    counts = rows.groupBy(part).agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))  # one row per partition
+    placed = rows.withColumn("_part", part).join(F.broadcast(counts), "_part")
+    in_part = F.col("_id").bitwiseAND(F.lit((1 << width) - 1))
+    return placed.withColumn(name, F.col("_before") + in_part + 1).drop("_id", "_part", "_before")

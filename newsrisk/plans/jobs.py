@@ -59,6 +59,10 @@ class Layout:
     def forecasts(self) -> str:
         return self._p("published/country_risk_forecasts_next_day")
 
+    @property
+    def model(self) -> str:
+        return self._p("models/country_risk_next_day")
+
     @property
     def anomalies(self) -> str:
         return self._p("reports/anomalies")
@@ -67,24 +71,45 @@ class Layout:
     def run_log(self) -> str:
         return self._p("reports/runlogs/latest")
 
+    @property
+    def quality(self) -> str:
+        return self._p("reports/quality")
+
+    @property
+    def quarantine(self) -> str:
+        return self._p("quarantine")
+
     def themes(self, start: DateLike, end: DateLike) -> str:
         s, e = str(start).replace("-", ""), str(end).replace("-", "")
         return self._p(f"published/gkg_theme_daily_{s}_{e}")
 
 
 def run_events(spark: SparkSession, raw: DataFrame, layout: Layout, start: DateLike, end: DateLike) -> dict:
-    """V1: extract (CSV) -> run log -> clean (Parquet) -> publish (undated rows dropped)."""
+    """V1: extract (CSV) -> run log, faulty lines -> clean (Parquet) -> publish (undated rows dropped), quality tables."""
     extract = extract_events_daily(raw, start, end)
     path = sinks.write_extract_csv(extract, layout.extracts, start, end)
     # the file just written, whatever other windows lie in the folder (a back-fill has an older name)
-    extract = readers.read_extract_csv(spark, path)
-    log = QA.run_log(extract, path.rsplit("/", 1)[-1])
-    sinks.publish(log.withColumn("run_timestamp", F.current_timestamp()), layout.run_log)  # latest run only
+    return ingest_extract(spark, layout, path)
+
+
+def ingest_extract(spark: SparkSession, layout: Layout, path: str) -> dict:
+    """An extract's run log, faulty lines, clean table, quality tables and publish."""
+    name = path.rsplit("/", 1)[-1]
+    extract, faulty = readers.read_extract_csv(spark, path), readers.faulty_lines(spark, path)
+    quarantine = sinks.publish(faulty, f"{layout.quarantine}/{name}")
+    _publish_run_log(spark, layout, QA.run_log(extract, name, spark.read.parquet(quarantine)))
     clean = clean_events(extract)
     sinks.write_parquet(clean, layout.clean)
     published = readers.read_clean(spark, layout.processed)
     sinks.publish(published, layout.published_clean, drop_null="date")
-    return {"extract": path, "run_log": layout.run_log, "clean": layout.clean, "published": layout.published_clean}
+    for table, df in quality_report(spark, layout).items():
+        sinks.publish(df, f"{layout.quality}/{table}")
+    return {"extract": path, "run_log": layout.run_log, "clean": layout.clean, "published": layout.published_clean, "quarantine": quarantine, "quality": layout.quality}
+
+
+def _publish_run_log(spark: SparkSession, layout: Layout, row: DataFrame) -> None:
+    """The latest run only."""
+    sinks.publish(row.withColumn("run_timestamp", F.current_timestamp()), layout.run_log)
 
 
 def run_themes(
@@ -113,9 +138,9 @@ def run_risk_forecast(
     )
     feats = risk_features(risk)
     backtest = FC.forecast_backtest(feats, trees=trees, seed=seed).first()
-    snapshot = FC.forecast_next_day(feats, run_date, trees=trees, seed=seed)
+    snapshot = FC.forecast_next_day(feats, run_date, trees=trees, seed=seed, model_path=layout.model)
     sinks.publish(snapshot, layout.forecasts)
-    return {"risk": layout.risk, "forecasts": layout.forecasts, "backtest_mae": backtest["mae"] if backtest else None}
+    return {"risk": layout.risk, "forecasts": layout.forecasts, "model": layout.model, "backtest_mae": backtest["mae"] if backtest else None}
 
 
 def run_anomalies(spark: SparkSession, layout: Layout, trees: int = 300, seed: int = 42) -> dict:
@@ -140,10 +165,7 @@ def run_refresh(
     """Daily refresh of every table, then the freshness checks (one row)."""
     written = run_events(spark, raw, layout, start, end)
     run_risk_forecast(spark, layout, run_date=run_date, trees=trees)
-    clean = spark.read.parquet(layout.published_clean)
-    risk = spark.read.parquet(layout.risk)
-    forecast = spark.read.parquet(layout.forecasts)
-    return QA.freshness_checks(clean, risk, forecast, readers.read_extract_csv(spark, written["extract"]))
+    return QA.published_freshness(spark, layout.published_clean, layout.risk, layout.forecasts, readers.read_extract_csv(spark, written["extract"]))
 
 
 def refresh_run_log(spark: SparkSession, layout: Layout) -> str:
@@ -153,8 +175,8 @@ def refresh_run_log(spark: SparkSession, layout: Layout) -> str:
     except FileNotFoundError:
         row = QA.run_log_without_extract(spark, layout.extracts)
     else:
-        row = QA.run_log(readers.read_extract_csv(spark, latest), latest.rsplit("/", 1)[-1]).withColumn("status", F.lit("ok"))
-    sinks.publish(row.withColumn("run_timestamp", F.current_timestamp()), layout.run_log)
+        row = QA.run_log(readers.read_extract_csv(spark, latest), latest.rsplit("/", 1)[-1], readers.faulty_lines(spark, latest)).withColumn("status", F.lit("ok"))
+    _publish_run_log(spark, layout, row)
     return layout.run_log
 
 

@@ -8,6 +8,7 @@ order cannot change the comparison.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,8 +26,11 @@ from newsrisk.operators import quality as QA
 from newsrisk.operators import themes as TH
 from newsrisk.operators.clean import CLEAN_COLUMNS, clean_events
 from newsrisk.operators.events import extract_events_daily
+from newsrisk.operators.ranking import output_positions
 from newsrisk.operators.risk import country_risk_daily
+from newsrisk.plans import jobs
 from newsrisk.plans import sqltext as S
+from newsrisk.plans.refresh import refresh_days
 from newsrisk.session import checkpoint_dir, materialize
 from newsrisk.sources import adapters, readers, sinks
 from newsrisk.streaming import run_incremental_extract
@@ -697,11 +701,13 @@ register("zscore_anomalies", S.with_ctes(_ZSCORE, f"SELECT {_LAB} FROM lab"))(
     lambda spark, sf_dir: _rounded_scores(_zscored(spark, sf_dir)))
 
 
+_TOP_SCHEMA = "date date, CountryCode string, EventCount long, AvgTone double, AvgGoldstein double, anomaly_score double, anomaly_label int"
+
+
 def _top50_csv(spark, sf_dir):
     """The top-50 report through its CSV file."""
     path = sinks.write_top_csv(AN.top_anomalies(_zscored(spark, sf_dir), 50), _scratch(spark, "top50"))
-    schema = "date date, CountryCode string, EventCount long, AvgTone double, AvgGoldstein double, anomaly_score double, anomaly_label int"
-    return _rounded_scores(spark.read.option("header", True).schema(schema).csv(path))
+    return _rounded_scores(spark.read.option("header", True).schema(_TOP_SCHEMA).csv(path))
 
 
 register("zscore_top50_csv", S.with_ctes(_ZSCORE, f"SELECT {_LAB} FROM lab ORDER BY lab.anomaly_score, CountryCode, date LIMIT 50"))(_top50_csv)
@@ -881,3 +887,207 @@ def _publish_risk_table(spark, sf_dir):
 
 
 register("publish_risk", S.with_ctes(_chain("sparse", "risk"), f"SELECT {_RISK_COLS} FROM risk"))(_publish_risk_table)
+
+
+# ---- faulty, several and zipped extracts (S4-S6) ---------------------------------------------------
+
+
+def _faulty_extract(spark, sf_dir):
+    """The extract's CSV folder with two more files: lines of root 14 without their last field, of root 19 with one more."""
+    ex = extract(spark, sf_dir)
+    path = sinks.write_extract_csv(ex, _scratch(spark, "faulty"), "2024-01-01", "2024-01-31")
+    append = lambda df: df.write.mode("append").option("header", True).csv(path)
+    append(ex.where("EventRootCode = '14'").drop("TotalSources"))
+    append(ex.where("EventRootCode = '19'").withColumn("more", F.lit("x")))
+    return path
+
+
+register("faulty_extract_clean", S.with_ctes(_DENSE_CLEAN, f"SELECT {_CLEAN_COLS} FROM clean"))(
+    lambda spark, sf_dir: rounded(clean_events(readers.read_extract_csv(spark, _faulty_extract(spark, sf_dir)))))
+register(
+    "faulty_extract_lines",
+    S.with_ctes(_chain("dense", "extract"),
+                "SELECT 'events_daily_20240101_20240131.csv' AS file, CASE EventRootCode WHEN '14' THEN 8 ELSE 10 END AS fields, COUNT(*) AS n "
+                "FROM extract WHERE EventRootCode IN ('14', '19') GROUP BY EventRootCode"),
+)(lambda spark, sf_dir: readers.faulty_lines(spark, _faulty_extract(spark, sf_dir)).groupBy("file", F.size(F.split("line", ",")).alias("fields")).agg(F.count("*").alias("n")))
+register(
+    "faulty_extract_run_log",
+    S.with_ctes(_chain("dense", "extract"),
+                "SELECT 'events_daily_20240101_20240131.csv' AS file, COUNT(*) AS \"rows\", CAST(MIN(SQLDATE) AS VARCHAR) AS min_sqldate, CAST(MAX(SQLDATE) AS VARCHAR) AS max_sqldate, "
+                "CAST(SUM(CASE WHEN EventRootCode IN ('14', '19') THEN 1 ELSE 0 END) AS BIGINT) AS faulty_lines FROM extract"),
+)(lambda spark, sf_dir: _ingested(spark, _faulty_extract(spark, sf_dir), "run_log").drop("run_timestamp"))
+
+
+def _ingested(spark, path, what):
+    """A table that the ingest of an extract publishes."""
+    out = jobs.ingest_extract(spark, jobs.Layout(_scratch(spark, "ingest")), path)
+    return spark.read.parquet(out[what])
+
+
+def _latest_of_extracts(spark, sf_dir):
+    """Three extracts in a folder; the one whose name ends latest is cleaned."""
+    folder = _scratch(spark, "several")
+    for start, end in (("2024-01-01", "2024-01-11"), ("2024-01-15", "2024-01-25"), ("2024-01-08", "2024-01-31")):
+        sinks.write_extract_csv(extract_events_daily(raw_events(spark, sf_dir), start, end, ordered=False), folder, start, end)
+    return rounded(clean_events(readers.read_extract_csv(spark, readers.latest_extract(spark, folder))))
+
+
+_LATEST_WINDOW = "AND dt >= DATE '2024-01-15' AND dt < DATE '2024-01-25'"
+register("latest_of_extracts", S.with_ctes(_chain("dense", "clean", _LATEST_WINDOW), f"SELECT {_CLEAN_COLS} FROM clean"))(_latest_of_extracts)
+
+
+def _clean_csv_gz(spark, sf_dir):
+    folder = _scratch(spark, "gz")
+    sinks.write_clean_csv_gz(clean(spark, sf_dir), folder)
+    return rounded(readers.read_clean(spark, folder))
+
+
+register("clean_csv_gz", S.with_ctes(_DENSE_CLEAN, f"SELECT {_CLEAN_COLS} FROM clean"))(_clean_csv_gz)
+
+# ---- publishes without a gap, footers, changed days, order ------------------------------------------
+
+
+def _publish_catalog(spark, sf_dir):
+    """Both risk formulas published to one catalog table, the second in place of the first."""
+    name = _scratch(spark, "risk").rsplit("/", 1)[-1].replace("-", "_")
+    for variant in ("weighted10", "share_log"):
+        sinks.publish(country_risk_daily(clean(spark, sf_dir), variant, ordered=False), name)
+    return rounded(spark.table(name))
+
+
+register("publish_catalog", S.with_ctes(_chain("dense", "risk"), f"SELECT {_RISK_COLS} FROM risk"))(_publish_catalog)
+
+
+def _coverage_footers(spark, sf_dir):
+    target = _scratch(spark, "coverage")
+    sinks.publish(clean(spark, sf_dir, "sparse"), target, drop_null="date")
+    return QA.footer_coverage(spark, target)
+
+
+register(
+    "coverage_footers",
+    S.with_ctes(_chain("sparse", "clean"), 'SELECT COUNT(*) AS "rows", MIN(date) AS min_date, MAX(date) AS max_date FROM clean WHERE date IS NOT NULL'),
+)(_coverage_footers)
+
+
+def _refresh_changed_days(spark, sf_dir):
+    """Raw events in two deliveries, the second with late rows of two days; the features after both refreshes."""
+    base, raw = _scratch(spark, "days"), raw_events(spark, sf_dir)
+    late = F.coalesce((F.col("GLOBALEVENTID") % 5 == 0) & F.col("dt").isin(dt.date(2024, 1, 9), dt.date(2024, 1, 17)), F.lit(False))
+    for delivery in (raw.where(~late), raw.where(late)):
+        delivery.write.mode("append").partitionBy("dt").parquet(f"{base}/raw")
+        refresh_days(spark, readers.read_raw(spark, f"{base}/raw"), delivery, f"{base}/tables")
+    return _feat_select(spark.read.parquet(f"{base}/tables/features"))
+
+
+register("refresh_changed_days", S.with_ctes(_chain("dense", "risk") + [("feat", S.features_body())], _feat_select_sql("feat")))(_refresh_changed_days)
+
+register(
+    "extract_order",
+    S.with_ctes(_chain("sparse", "extract"),
+                "SELECT SQLDATE, CountryCode, EventRootCode, EventCount, ROW_NUMBER() OVER (ORDER BY SQLDATE, CountryCode, EventRootCode) AS position FROM extract"),
+)(lambda spark, sf_dir: output_positions(extract_events_daily(raw_events(spark, sf_dir, "sparse"))).select(
+    "SQLDATE", "CountryCode", "EventRootCode", "EventCount", "position"))
+register(
+    "risk_series_order",
+    S.with_ctes(_chain("sparse", "risk"), "SELECT date, CountryCode, ROUND(risk_raw, 10) AS risk_raw, ROW_NUMBER() OVER (ORDER BY CountryCode, date) AS position FROM risk"),
+)(lambda spark, sf_dir: rounded(output_positions(readers.risk_series(risk(spark, sf_dir, "sparse")))))
+register(
+    "theme_daily_order",
+    S.with_ctes(_THEME_CHAIN + [("top_themes", S.TOP_THEMES), ("td", S.THEME_DAILY)],
+                "SELECT date, theme, ArticleCount, ROW_NUMBER() OVER (ORDER BY date, theme) AS position FROM td"),
+)(lambda spark, sf_dir: output_positions(TH.theme_daily(_articles(spark, sf_dir))).drop("AvgTone"))
+
+# ---- the end-to-end jobs (E1-E5), each through its published tables --------------------------------
+
+JOB_WINDOW = ("2024-01-03", "2024-01-29")
+_JOB_SQL = f"AND dt >= DATE '{JOB_WINDOW[0]}' AND dt < DATE '{JOB_WINDOW[1]}'"
+_JOB_FILE = "events_daily_20240103_20240129.csv"
+
+
+def _job_events(spark, sf_dir):
+    layout = jobs.Layout(_scratch(spark, "job"))
+    return layout, jobs.run_events(spark, raw_events(spark, sf_dir), layout, *JOB_WINDOW)
+
+
+def _job_table(what):
+    return lambda spark, sf_dir: rounded(spark.read.parquet(_job_events(spark, sf_dir)[1][what]))
+
+
+_JOB_CLEAN = _chain("dense", "clean", _JOB_SQL)
+_JOB_RISK = _chain("dense", "risk", _JOB_SQL)
+_JOB_LATEST = _JOB_RISK + [("feat", S.features_body()), ("latest", "SELECT * FROM feat QUALIFY ROW_NUMBER() OVER (PARTITION BY CountryCode ORDER BY date DESC) = 1"),
+                           ("fc", f"SELECT * FROM latest WHERE {S.not_null(S.FEATURE_COLS)}")]
+
+register("job_events", S.with_ctes(_JOB_CLEAN, f"SELECT {_CLEAN_COLS} FROM clean WHERE date IS NOT NULL"))(_job_table("published"))
+register(
+    "job_run_log",
+    S.with_ctes(_JOB_CLEAN, f"SELECT '{_JOB_FILE}' AS file, COUNT(*) AS \"rows\", CAST(MIN(SQLDATE) AS VARCHAR) AS min_sqldate, CAST(MAX(SQLDATE) AS VARCHAR) AS max_sqldate, "
+                            "CAST(0 AS BIGINT) AS faulty_lines FROM extract"),
+)(lambda spark, sf_dir: _job_table("run_log")(spark, sf_dir).drop("run_timestamp"))
+
+
+def _job_quality(table):
+    return lambda spark, sf_dir: spark.read.parquet(f"{_job_events(spark, sf_dir)[0].quality}/{table}")
+
+
+register("job_quality_missing", S.with_ctes(_JOB_CLEAN, _NULLS_SQL))(_job_quality("missing"))
+register(
+    "job_quality_roots",
+    S.with_ctes(_JOB_CLEAN, "SELECT EventRootCode, EventRootLabel, CAST(SUM(EventCount) AS BIGINT) AS EventCount FROM clean GROUP BY EventRootCode, EventRootLabel "
+                            "ORDER BY EventCount DESC NULLS LAST, EventRootCode ASC NULLS LAST, EventRootLabel LIMIT 10"),
+)(_job_quality("top_roots"))
+
+
+def _job_themes(spark, sf_dir):
+    layout = jobs.Layout(_scratch(spark, "job"))
+    return rounded(spark.read.parquet(jobs.run_themes(spark, _articles(spark, sf_dir), layout, *JOB_WINDOW)))
+
+
+register(
+    "job_themes",
+    S.with_ctes([("all_articles", S.articles_chain()[0][1]),
+                 ("raw_articles", f"SELECT * FROM all_articles WHERE dt >= DATE '{JOB_WINDOW[0]}' AND dt < DATE '{JOB_WINDOW[1]}'"),
+                 ("theme_items", S.THEME_ITEMS), ("top_themes", S.TOP_THEMES), ("td", S.THEME_DAILY)],
+                "SELECT date, theme, ArticleCount, ROUND(AvgTone, 10) AS AvgTone FROM td"),
+)(_job_themes)
+
+
+def _job_risk(spark, sf_dir, what):
+    layout, _ = _job_events(spark, sf_dir)
+    return rounded(spark.read.parquet(jobs.run_risk_forecast(spark, layout, run_date=RUN_DATE)[what]))
+
+
+register("job_risk", S.with_ctes(_JOB_RISK, f"SELECT {_RISK_COLS} FROM risk"))(lambda spark, sf_dir: _job_risk(spark, sf_dir, "risk"))
+# all of the snapshot but the prediction of the 500 trees (forest_forecast checks one of fewer)
+register(
+    "job_forecast",
+    S.with_ctes(_JOB_LATEST, f"SELECT DATE '{RUN_DATE}' AS run_date, date AS as_of_date, CAST(date + 1 AS DATE) AS forecast_date, CountryCode, ROUND(risk_raw, 10) AS risk_as_of, "
+                             "total_events, " + ", ".join(S.r(c) for c in ["conflict_share", "negative_share", "weighted_avg_tone"]) + " FROM fc"),
+)(lambda spark, sf_dir: _job_risk(spark, sf_dir, "forecasts").drop("pred_risk_next_day"))
+
+
+def _job_refresh(spark, sf_dir):
+    return jobs.run_refresh(spark, raw_events(spark, sf_dir), jobs.Layout(_scratch(spark, "job")), *JOB_WINDOW, run_date=RUN_DATE)
+
+
+register(
+    "job_refresh",
+    S.with_ctes(_JOB_LATEST,
+                "SELECT (SELECT CAST(STRPTIME(CAST(MAX(SQLDATE) AS VARCHAR), '%Y%m%d') AS DATE) FROM extract) AS extract_max_date, "
+                "(SELECT MAX(date) FROM clean) AS clean_max_date, (SELECT MAX(date) FROM risk) AS risk_max_date, "
+                "(SELECT CAST(MAX(date) + 1 AS DATE) FROM fc) AS forecast_max_date, (SELECT COUNT(*) FROM fc) AS forecast_rows, "
+                "TRUE AS clean_matches_extract, TRUE AS risk_matches_clean, TRUE AS forecast_is_next_day"),
+)(_job_refresh)
+
+
+def _job_anomalies(spark, sf_dir):
+    layout, _ = _job_events(spark, sf_dir)
+    path = jobs.run_anomalies(spark, layout)["top50"]
+    return _rounded_scores(spark.read.option("header", True).schema(_TOP_SCHEMA).csv(path))
+
+
+register(
+    "job_anomalies",
+    S.with_ctes(_JOB_CLEAN + [x for x in _ISOLATION if x not in _DENSE_CLEAN], f"SELECT {_LAB} FROM lab ORDER BY lab.anomaly_score, CountryCode, date LIMIT 50"),
+)(_job_anomalies)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,15 +72,6 @@ def sample_preview(raw: DataFrame, start: DateLike = None, end: DateLike = None,
     return w.orderBy("GLOBALEVENTID").select(*PREVIEW_COLUMNS).limit(n)
 
 
-def pick_field(source: DataFrame | Iterable[str], preferred: list[str]) -> str:
-    """The most preferred of the columns that ``source`` has (article tables name theirs differently)."""
-    present = source.columns if isinstance(source, DataFrame) else list(source)
-    usable = sorted(set(present).intersection(preferred), key=preferred.index)
-    if not usable:
-        raise ValueError(f"a table with columns {sorted(present)} has no column out of {preferred}")
-    return usable[0]
-
-
 def _fs_and_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -113,8 +103,33 @@ def latest_extract(spark: SparkSession, directory: str, by: str = "name", patter
 
 
 def read_extract_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Extract CSV with a fixed all-text schema (codes keep leading zeros; no inference pass)."""
-    return spark.read.option("header", True).option("mode", "PERMISSIVE").schema(EXTRACT_CSV_SCHEMA).csv(path)
+    """Extract CSV with a fixed all-text schema (codes keep leading zeros; no inference pass).
+
+    Lines with too few or too many fields are left out: ``faulty_lines`` has them.
+    """
+    return _extract_lines(spark, path).where(~_is_faulty()).drop(FAULTY_LINE)
+
+
+FAULTY_LINE = "_line"
+
+
+def _extract_lines(spark: SparkSession, path: str) -> DataFrame:
+    schema = T.StructType([*EXTRACT_CSV_SCHEMA.fields, T.StructField(FAULTY_LINE, T.StringType(), True)])
+    # without pruning: a line's fields are counted whatever columns a query asks for
+    options = {"header": True, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": FAULTY_LINE, "columnPruning": False}
+    return spark.read.options(**options).schema(schema).csv(path)
+
+
+def _is_faulty():
+    """Whether a line was kept as faulty. Spark refuses to read that column alone, so another one takes part: it adds to its length."""
+    date = F.coalesce("SQLDATE", F.lit(""))
+    return F.length(F.concat(date, F.coalesce(F.col(FAULTY_LINE), F.lit("")))) > F.length(date)
+
+
+def faulty_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line) of an extract's lines that have not as many fields as the extract has columns."""
+    found = _extract_lines(spark, path).where(_is_faulty())
+    return found.select(F.regexp_extract(F.input_file_name(), r"([^/]+)/[^/]*$", 1).alias("file"), F.col(FAULTY_LINE).alias("line"))
 
 
 def read_clean(spark: SparkSession, directory: str) -> DataFrame:

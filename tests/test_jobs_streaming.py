@@ -4,7 +4,9 @@ import os
 
 from pyspark.sql import functions as F
 
+from newsrisk.operators.clean import clean_events
 from newsrisk.operators.events import extract_events_daily
+from newsrisk.operators.risk import country_risk_daily
 from newsrisk.plans.jobs import Layout, quality_report, run_anomalies, run_events, run_refresh, run_themes
 from newsrisk.sources import adapters, sinks
 from newsrisk.streaming import read_incremental_extract, run_incremental_extract
@@ -75,4 +77,46 @@ def test_command_line(spark, scratch, capsys):
     assert main(["quality", *common]) == 0
     out = capsys.readouterr().out.strip().splitlines()
     report = json.loads(out[-1])
+    assert main(["runlog", *common]) == 0
+    log = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert log["status"] == "ok" and log["rows"] == report["coverage"][0]["rows"] and log["faulty_lines"] == 0
     assert report["coverage"][0]["rows"] > 0
+
+
+def test_refresh_of_changed_days_equals_a_rebuild(spark, scratch):
+    """Late rows of two days, one of them a day a country did not have: only the days in reach are rewritten."""
+    import datetime as dt
+    import random
+
+    from newsrisk.operators.features import risk_features
+    from newsrisk.plans.refresh import refresh_days
+
+    rng = random.Random(8)
+    day = dt.date(2024, 3, 1)
+    rows = []
+    for i in range(60):
+        for c in ("US", "FR", "CD"):
+            if c == "CD" and i % 4 == 1:  # gaps
+                continue
+            for _ in range(3):
+                d = day + dt.timedelta(days=i)
+                rows.append((d, int(d.strftime("%Y%m%d")), c, str(rng.randrange(20)), rng.uniform(-9, 5), rng.uniform(-9, 9), 1, 2, 3))
+    schema = "dt date, SQLDATE long, ActionGeo_CountryCode string, EventRootCode string, AvgTone double, GoldsteinScale double, NumMentions long, NumArticles long, NumSources long"
+    late = [(day + dt.timedelta(days=25), 20240326, "CD", "14", -5.0, 1.0, 1, 1, 1), (day + dt.timedelta(days=27), 20240326, "US", "3", -1.0, 1.0, 1, 1, 1)]
+    first, second = spark.createDataFrame(rows, schema), spark.createDataFrame(late, schema)
+    root = f"{scratch}/tables"
+    refresh_days(spark, first, first, root)
+    files = lambda t: {(d, f) for d in os.listdir(f"{root}/{t}".replace("file:", "")) if d.startswith("date=") for f in os.listdir(f"{root}/{t}/{d}".replace("file:", ""))}
+    before = {t: files(t) for t in ("clean", "risk", "features")}
+    out = refresh_days(spark, first.unionByName(second), second, root)
+    assert out["days"] == [20240326]
+    changed = {t: {d for d, _ in files(t) ^ before[t]} for t in before}
+    assert changed["clean"] == changed["risk"] == {"date=2024-03-26"}
+    assert changed["features"] == {f"date={d}" for d in out["feature_days"]} and 16 <= len(changed["features"]) < 25
+    whole = first.unionByName(second)
+    risk = country_risk_daily(clean_events(extract_events_daily(whole, ordered=False)), ordered=False)
+    for table, want in (("risk", risk), ("features", risk_features(risk))):
+        got = spark.read.parquet(f"{root}/{table}").select(*want.columns)
+        assert _rows(got.fillna(-1.0)) == _rows(want.fillna(-1.0))
+    nothing = second.limit(0)
+    assert refresh_days(spark, whole, nothing, root) == {"days": [], "feature_days": []}

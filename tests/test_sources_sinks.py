@@ -5,6 +5,7 @@ import os
 import time
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from newsrisk.operators.clean import clean_events
@@ -15,11 +16,15 @@ from newsrisk.sources import adapters, readers, sinks
 from conftest import SF_SMALL
 
 
-def test_pick_field():
-    assert readers.pick_field(["Themes", "V2Themes"], ["V2Themes", "Themes"]) == "V2Themes"
-    assert readers.pick_field(["Themes"], ["V2Themes", "Themes"]) == "Themes"
-    with pytest.raises(ValueError):
-        readers.pick_field(["x"], ["V2Themes", "Themes"])
+def test_article_fields(spark):
+    from newsrisk.operators.themes import PLAIN_FIELDS, ArticleFields, article_fields, exploded_themes
+
+    table = lambda *columns: spark.createDataFrame([], ", ".join(f"{c} string" for c in ("dt", *columns)))
+    assert article_fields(table("Themes", "V2Themes", "V2Tone", "Tone")) == ArticleFields()
+    assert article_fields(table("Themes", "V2Tone")) == ("Themes", "V2Tone")
+    assert exploded_themes(table("V2Themes", "Themes", "Tone"), fields=PLAIN_FIELDS).count() == 0
+    with pytest.raises(AnalysisException, match="Themes"):
+        exploded_themes(table("Tone"))
 
 
 def test_theme_fallback_fields_and_empty_items(spark):
@@ -121,3 +126,90 @@ def test_publish_may_replace_its_own_source(spark, scratch):
     sinks.publish(derived, target)  # staged write, then swap: the source is intact while it is read
     assert sorted(r.v for r in spark.read.parquet(target).collect()) == [0, 2, 4, 6, 8]
     assert not [p for p in os.listdir(scratch) if "_staging_" in p]
+
+
+def test_faulty_lines_go_to_quarantine(spark, scratch):
+    from newsrisk.plans.jobs import Layout, ingest_extract
+
+    path = f"{scratch}/extracts/events_daily_20240101_20240102.csv"
+    os.makedirs(path.replace("file:", ""))
+    with open(f"{path.replace('file:', '')}/part-0.csv", "w") as f:
+        f.write(",".join(readers.EXTRACT_COLUMNS) + "\n20240101,US,01,5,1.0,2.0,3,4,5\n20240101,US,02,5\n20240101,FR,03,5,1.0,2.0,3,4,5,6\n20240102,,04,,,,,,\n")
+    good = readers.read_extract_csv(spark, path)
+    assert good.count() == 2 and sorted(r.EventRootCode for r in good.select("EventRootCode").collect()) == ["01", "04"]
+    out = ingest_extract(spark, Layout(scratch), path)
+    assert sorted(r.line for r in spark.read.parquet(out["quarantine"]).collect()) == ["20240101,FR,03,5,1.0,2.0,3,4,5,6", "20240101,US,02,5"]
+    log = spark.read.parquet(out["run_log"]).first()
+    assert (log.rows, log.faulty_lines) == (2, 2)
+    assert spark.read.parquet(f"{out['quality']}/coverage").first().rows == 2
+    assert spark.read.parquet(f"{out['quality']}/missing").where("column = 'CountryCode'").first().missing == 1
+
+
+def test_footer_coverage_reads_no_row(spark, scratch):
+    from newsrisk.operators.quality import footer_coverage
+
+    df = spark.range(1000).select(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 400).cast("int")).alias("date"), "id")
+    sinks.write_parquet(df.repartition(3), f"{scratch}/t")
+    out = footer_coverage(spark, f"{scratch}/t")
+    assert "PushedAggregation: [COUNT(*), MIN(date), MAX(date)]" in out._jdf.queryExecution().executedPlan().toString()
+    assert tuple(out.first()) == (1000, dt.date(2024, 1, 1), dt.date(2025, 2, 3))
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") != ""
+
+
+def test_readers_of_a_catalog_table_see_whole_versions(spark, scratch):
+    import threading
+    import uuid
+
+    name, seen, wrong, stop = f"versions_{uuid.uuid4().hex[:8]}", set(), [], threading.Event()
+    version = lambda v: spark.range(200).repartition(4).select("id", F.lit(v).alias("v"))
+    sinks.publish(version(0), name)
+
+    def read():
+        while not stop.is_set():
+            try:
+                rows = spark.table(name).groupBy("v").count().collect()
+                if len(rows) != 1 or rows[0]["count"] != 200:
+                    wrong.append(rows)
+                seen.add(rows[0].v)
+            except Exception as e:  # noqa: BLE001
+                wrong.append(e)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        for v in range(1, 7):
+            sinks.publish(version(v), name)
+    finally:
+        stop.set()
+        reader.join()
+        assert not wrong and len(seen) >= 2
+        assert len(sinks.table_versions(spark, name)) == 2
+        assert spark.table(name).select("v").distinct().first().v == 6
+        sinks.publish(spark.range(3).withColumn("other", F.lit("x")), name)  # other columns
+        assert spark.table(name).columns == ["id", "other"]
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_output_positions(spark):
+    from newsrisk.operators.ranking import output_positions
+
+    df = spark.range(500).select((F.xxhash64("id") % 97).alias("k"), "id").repartition(7).orderBy("k", "id")
+    got = output_positions(df).collect()
+    assert sorted((r.position, r.k, r.id) for r in got) == [(i + 1, r.k, r.id) for i, r in enumerate(df.collect())]
+
+
+def test_top_themes_are_exact_whatever_the_sample(spark, monkeypatch):
+    from collections import Counter
+
+    from newsrisk.operators import themes as TH
+
+    rows = [(dt.date(2024, 1, 1), ";".join(f"t{(i * j) % (7 + i % 40)}" for j in range(30)), "1,2") for i in range(300)]
+    df = spark.createDataFrame(rows, "dt date, V2Themes string, V2Tone string")
+    count = Counter(t for _, x, _ in rows for t in x.split(";"))
+    want = sorted(((-n, t) for t, n in count.items()))[:12]
+    for step, buckets, per_k in ((1, 1 << 16, 4), (1 << 40, 1 << 16, 4), (3, 4, 1), (1, 2, 1)):  # a whole sample, none, few buckets
+        monkeypatch.setattr(TH, "SAMPLE_STEP", step)
+        monkeypatch.setattr(TH, "BUCKETS", buckets)
+        monkeypatch.setattr(TH, "LIKELY_PER_K", per_k)
+        got = [(-r.mentions, r.theme) for r in TH.top_themes_of_articles(df, k=12).collect()]
+        assert got == want
