@@ -16,9 +16,10 @@ with it; earlier lines count whether they go themselves or not. Lines without a
 4. Join. The other classes meet all classes on prefix tokens; a pair must pass the length filter,
    the positional filter and the parity filter (two sets whose 128 parity bits differ in d places
    differ in at least d tokens). Both sides of the join are the same rows, shuffled once.
-5. Verification on the tokens themselves: each class first with its likeliest candidate (the
-   pivot, or the fewest differing parity bits); the classes for which that fails meet all classes once
-   more, and every pair of theirs is verified.
+5. Verification on the tokens themselves, in rounds: each class with its likeliest candidate (the
+   pivot, or the fewest differing parity bits); the classes for which that fails with up to 16 more pivots of
+   each of their tokens; those for which that fails too meet all classes once more, and every pair of
+   theirs is verified. In a group of near-equal lines few get to the last round.
 
 Steps 3 to 5 lose nothing: a class goes if and only if an earlier class is similar.
 
@@ -36,7 +37,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsrisk.llm.common import BROADCAST_MAX_BYTES, checked_broadcast, write_table
+from newsrisk.llm.common import BROADCAST_MAX_BYTES, checked_broadcast, let, write_table
 
 THRESHOLD = 0.8
 SKETCH_BITS = 18
@@ -44,6 +45,8 @@ SKETCH_BITS = 18
 HALF_PARITY = 72
 #: Prefix tokens that at least this many classes share get a pivot.
 PIVOT_AT = 8
+#: Pivots of such a token for the classes for which the first candidate fails.
+PIVOTS = 16
 
 ORDER = ("doc", "line")
 
@@ -153,21 +156,37 @@ def index_prefix(size: Column, threshold: float) -> Column:
     return size - overlap_needed(size, size, threshold) + 1
 
 
-def star_pairs(classes: DataFrame, threshold: float, pivot_at: int = PIVOT_AT) -> DataFrame:
-    """(doc, line, doc2, line2): classes and an earlier pivot that passes the filters, at most one per class.
-
-    Keys are up to four tokens spread over the prefix, each with a size class (steps of 1.25).
-    """
+def keyed_classes(classes: DataFrame) -> DataFrame:
+    """The classes' small columns under up to four tokens spread over the prefix, each with a size class (steps of 1.25)."""
     last = F.size("prefix") - 1
     at = F.array_distinct(F.array(*(F.floor(last * i / 4).cast("int") for i in range(1, 5))))
     step = F.floor(F.log(F.col("size").cast("double")) / F.lit(math.log(1.25))).cast("int")
-    row = ["doc", "line", "size", "p0", "p1"]
-    keyed = classes.select(*row, step.alias("step"), F.explode(F.transform(at, lambda i: F.element_at("prefix", i + 1))).alias("token"))
-    pivots = keyed.groupBy("token", "step").agg(F.min(F.struct(*row)).alias("p"), F.count("*").alias("n")).where(F.col("n") >= pivot_at).select("token", "step", "p.*")
-    pivots = checked_broadcast(write_table(pivots, "pivots"), 80)
-    found = keyed.alias("x").join(pivots.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.step") == F.col("y.step"))).where(earlier("y", "x") & may_match("x", "y", threshold))
-    pairs = found.select("x.doc", "x.line", F.struct("y.doc", "y.line").alias("y")).groupBy("doc", "line").agg(F.min("y").alias("y"))
-    return pairs.select("doc", "line", F.col("y.doc").alias("doc2"), F.col("y.line").alias("line2"))
+    return classes.select("doc", "line", "size", "p0", "p1", step.alias("step"), F.explode(F.transform(at, lambda i: F.element_at("prefix", i + 1))).alias("token"))
+
+
+def pivots_of(classes: DataFrame, pivot_at: int = PIVOT_AT, many: int = PIVOTS) -> DataFrame:
+    """(token, step, first, and a class), written: of the keys that at least ``pivot_at`` classes share the first class of each of ``many`` hash parts.
+
+    ``first`` marks the first of them all.
+    """
+    row = F.struct("doc", "line", "size", "p0", "p1")
+    part = F.pmod(F.xxhash64("doc", "line"), F.lit(many))
+    by_part = keyed_classes(classes).groupBy("token", "step", part.alias("part")).agg(F.min(row).alias("p"), F.count("*").alias("n"))
+    by_key = by_part.groupBy("token", "step").agg(F.sort_array(F.collect_list("p")).alias("ps"), F.sum("n").alias("n")).where(F.col("n") >= pivot_at)  # at most `many`
+    return write_table(by_key.select("token", "step", F.posexplode("ps").alias("at", "p")).select("token", "step", (F.col("at") == 0).alias("first"), "p.*"), "pivots")
+
+
+def star_candidates(asking: DataFrame, pivots: DataFrame, threshold: float) -> DataFrame:
+    """(doc, line, doc2, line2): classes and earlier pivots of their keys that pass the filters."""
+    same = (F.col("x.token") == F.col("y.token")) & (F.col("x.step") == F.col("y.step"))
+    found = keyed_classes(asking).alias("x").join(checked_broadcast(pivots, 80).alias("y"), same).where(earlier("y", "x") & may_match("x", "y", threshold))
+    return found.select("x.doc", "x.line", F.col("y.doc").alias("doc2"), F.col("y.line").alias("line2"))
+
+
+def star_pairs(classes: DataFrame, pivots: DataFrame, threshold: float) -> DataFrame:
+    """(doc, line, doc2, line2): classes and an earlier first pivot that passes the filters, at most one per class."""
+    found = star_candidates(classes, pivots.where("first"), threshold).groupBy("doc", "line").agg(F.min(F.struct("doc2", "line2")).alias("y"))
+    return found.select("doc", "line", "y.doc2", "y.line2")
 
 
 def entries(classes: DataFrame) -> DataFrame:
@@ -204,6 +223,12 @@ def likeliest(classes: DataFrame, threshold: float) -> DataFrame:
     return best.select("doc", "line", "b.doc2", "b.line2")
 
 
+def more_pivots(asking: DataFrame, classes: DataFrame, pivots: DataFrame, tried: DataFrame, threshold: float) -> DataFrame:
+    """(doc, line, doc2, line2): the classes named in ``asking`` with the other pivots of their keys, at most 4 x ``PIVOTS`` each."""
+    named = classes.join(checked_broadcast(asking, 40), list(ORDER), "left_semi")
+    return star_candidates(named, pivots, threshold).distinct().join(tried, ["doc", "line", "doc2", "line2"], "left_anti")
+
+
 def all_pairs(asking: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
     """(doc, line, doc2, line2): every candidate of the classes named in the written table ``asking``."""
     named = checked_broadcast(asking, 40)
@@ -232,26 +257,41 @@ def later_matches(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     lines = tokenised(docs, rarity_classes(docs), threshold)
     copies = copies_of(lines)
     classes = lines.join(checked_broadcast(copies, 40), list(ORDER), "left_anti").drop("set")
-    star = write_table(star_pairs(classes, threshold), "star_pairs")
+    pivots = pivots_of(classes)
+    star = write_table(star_pairs(classes, pivots, threshold), "star_pairs")
     tried = checked_broadcast(star.select(*ORDER, F.lit(1).alias("tried")), 48)
     rest = classes.join(tried, list(ORDER), "left").withColumn("open", F.col("tried").isNull().cast("int"))
     first = write_table(star.unionByName(likeliest(rest, threshold)), "first_pairs")
     gone = write_table(verified(docs, first, threshold), "gone")
-    in_vain = write_table(first.select(*ORDER).join(gone, list(ORDER), "left_anti"), "in_vain")
-    parts = [gone]
-    if not in_vain.isEmpty():
-        parts.append(verified(docs, write_table(all_pairs(in_vain, classes, threshold), "other_pairs"), threshold))
+    parts, in_vain = [gone], write_table(first.select(*ORDER).join(gone, list(ORDER), "left_anti"), "in_vain")
+    for candidates in (lambda asking: more_pivots(asking, classes, pivots, first, threshold), lambda asking: all_pairs(asking, classes, threshold)):
+        if in_vain.isEmpty():
+            break
+        gone = write_table(verified(docs, write_table(candidates(in_vain), "other_pairs"), threshold), "gone")
+        parts.append(gone)
+        in_vain = write_table(in_vain.join(gone, list(ORDER), "left_anti"), "in_vain")
     return reduce(DataFrame.unionByName, [*parts, copies])
 
 
-def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with later matches taken out of ``text``, and n_lines and n_removed added."""
-    gone = write_table(later_matches(docs, threshold).groupBy(F.col("doc").alias("_doc")).agg(F.collect_set("line").alias("_gone")), "gone_by_doc")
+def line_flags(gone: Column) -> Column:
+    """An array that is true at the numbers in the sorted array ``gone``, false between them: a look-up takes one step."""
+    between = lambda g, x, i: x - F.coalesce(F.get(g, i - 1), F.lit(-1)) - 1
+    return let(gone, lambda g: F.flatten(F.transform(g, lambda x, i: F.concat(F.array_repeat(F.lit(False), between(g, x, i)), F.array(F.lit(True))))))
+
+
+def without(docs: DataFrame, lines: DataFrame) -> DataFrame:
+    """``docs`` with the lines (doc, line) taken out of ``text``, and n_lines and n_removed added."""
+    gone = write_table(lines.groupBy(F.col("doc").alias("_doc")).agg(F.collect_set("line").alias("_gone")), "gone_by_doc")
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     size = gone.agg(F.sum(F.size("_gone")), F.count("*")).first()
     side = F.broadcast(gone) if (size[0] or 0) * 8 + size[1] * 48 <= BROADCAST_MAX_BYTES else gone
     left = docs.select(*names).join(side, F.col("doc_id").cast("long") == F.col("_doc"), "left")
-    kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_gone", i)), "\n")
+    kept = let(line_flags(F.sort_array("_gone")), lambda flags: F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.coalesce(F.get(flags, i), F.lit(False))), "\n"))
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept)
     n_lines = F.size(F.split("text", "\n")).cast("long")
     return left.select(*(text.alias("text") if c == "text" else F.col(c) for c in names), F.coalesce(n_lines, F.lit(0)).alias("n_lines"), F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"))
+
+
+def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` with later matches taken out of ``text``, and n_lines and n_removed added."""
+    return without(docs, later_matches(docs, threshold))

@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from helpers import awkward, frame, prose, similar_lines, without_lines
 
 from newsrisk.llm import line_dedup as L
@@ -67,3 +69,28 @@ def test_plan_has_no_python(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     plan = L.dedup_lines(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_many_lines_of_one_document(spark):
+    """A document of which most lines go is put together in time that grows with its lines."""
+    import time
+
+    def seconds(n):
+        docs = frame(spark, [(1, "\n".join(f"line {i % (n // 4)} of this long text" for i in range(n)))])
+        gone = spark.range(n // 4, n).select(F.lit(1).cast("long").alias("doc"), F.col("id").cast("int").alias("line"))
+        started = time.time()
+        out = L.without(docs, gone).first()
+        assert out.n_removed == n - n // 4 and out.text.count("\n") == n // 4 - 1
+        return time.time() - started
+
+    seconds(20_000)
+    assert seconds(160_000) < 4 * max(seconds(80_000), 0.5)
+
+
+def test_both_ways_of_joining_agree(spark, monkeypatch):
+    rng = random.Random(12)
+    base = prose(rng, 20, 100)
+    rows = [(i, " ".join(base[:17] + prose(rng, 3, 100)) + "\nthe same line") for i in range(60)]
+    monkeypatch.setattr(L, "checked_broadcast", lambda df, *a: df)
+    monkeypatch.setattr(L, "BROADCAST_MAX_BYTES", 0)
+    check(spark, rows)
