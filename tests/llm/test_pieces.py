@@ -90,7 +90,10 @@ def test_paths_of_both_operators(spark, vocabulary):
         want = plain(t, vocabulary)
         assert (len(ids), score) == (want[1], pytest.approx(want[0], rel=1e-12))
         assert enc.decode(ids.tolist()) == t
-        assert trie.count(Counter(enc.cut.findall(" " + t)) if t else Counter()) == len(ids)
+        assert trie.count([Counter(enc.cut.findall(" " + t)) if t else Counter()]) == [len(ids)]
+    texts = TEXTS + random_texts  # all in one trie
+    bags = [Counter(enc.cut.findall(" " + t)) if t else Counter() for t in texts]
+    assert N.Trie(vocabulary).count(bags) == [len(enc.encode(t)[0]) for t in texts]
 
 
 def test_like_the_library_with_the_same_scores(spark, vocabulary):
@@ -111,7 +114,9 @@ def test_memory_does_not_change_results(spark, vocabulary, monkeypatch):
     from collections import Counter
 
     monkeypatch.setattr(C, "MEMO", 3)
-    monkeypatch.setattr(N, "MAX_NODES", 5)
+    monkeypatch.setattr(N, "MAX_TERMINALS", 50)
+    monkeypatch.setattr(N, "TRIE_WORDS", 9)
+    monkeypatch.setattr(N, "LONG_WORD", 7)
     enc, small, trie, free = C.Encoder(vocabulary), C.Encoder(vocabulary), N.Trie(vocabulary), N.Trie(vocabulary)
     for t in texts_of_the_table(spark, 5):
         monkeypatch.setattr(C, "MEMO", 10**9)
@@ -119,7 +124,7 @@ def test_memory_does_not_change_results(spark, vocabulary, monkeypatch):
         monkeypatch.setattr(C, "MEMO", 3)
         assert small.encode(t)[0].tolist() == want
         words = Counter(enc.cut.findall(" " + t))
-        assert trie.count(words) == free.count(words) == len(want)
+        assert trie.count([words]) == free.count([words]) == [len(want)]
 
 
 def test_awkward_documents(spark):
@@ -137,3 +142,26 @@ def test_awkward_documents(spark):
     assert sorted((str(r.doc_id), r.n_tokens) for r in counts) == sorted((str(r.doc_id), r.n_tokens or 0) for r in found)
     empty = frame(spark, [])
     assert C.encode_text(empty).count() == 0 and N.count_tokens(empty).count() == 0
+
+
+def test_a_long_pretoken_takes_time_and_memory_in_proportion(vocabulary):
+    import time
+    import tracemalloc
+
+    trie = N.Trie(vocabulary)
+    from collections import Counter
+
+    def cost(n):
+        word = " " + "".join(random.Random(n).choice("aeüx日b") for _ in range(n))
+        started = time.perf_counter()
+        [tokens] = trie.count([Counter([word])])
+        seconds = time.perf_counter() - started
+        assert tokens == plain(word[1:], vocabulary)[1] if n <= 20_000 else tokens > n / 20
+        return seconds
+
+    cost(20_000)
+    assert cost(800_000) < 4 * max(cost(400_000), 0.05)
+    tracemalloc.start()
+    cost(400_000)
+    assert tracemalloc.get_traced_memory()[1] < 8_000_000
+    tracemalloc.stop()
