@@ -2,14 +2,17 @@
 
 The models (random strings, ordinary identifiers) are first-order chains over the characters of
 ``[A-Za-z0-9+/_.=-]`` with add-one smoothing. Their labelled samples come from the documents: the
-values that the fixed patterns find are random strings, runs of the same characters that hold no
-digit and lie outside every pattern span are ordinary. Spark counts the transitions; only the
-two tables of at most 69 x 69 counts reach the driver. A run of at least ``MIN_RUN`` characters
-that holds a digit and a letter, overlaps no pattern span and whose mean log-likelihood ratio is
-at least ``MIN_RATIO`` is added as a span of kind ``markov``.
-
-Defined cases: a null text is empty; repeated rows give repeated rows; without any labelled string
-both models are uniform, every ratio is zero and nothing is added.
+values that the fixed patterns find are random strings, all other runs of these characters, as far as
+no pattern span covers them, are ordinary. Spark counts the transitions; only the
+two tables of at most 69 x 69 counts reach the driver.
+
+The runs, as far as no pattern span covers them, are scored whole and, where that is not enough, in
+the pieces between ``= / . _ + -``. A piece of at least ``MIN_RUN`` characters is added as a span of kind
+``markov`` if the models' log-likelihoods differ by ``MIN_TOTAL`` in all and by ``MIN_RATIO`` per character: a
+short piece needs a clearer ratio.
+
+Defined cases: a null text is empty; repeated rows give repeated rows; without any labelled random string
+nothing is added.
 """
 
 from __future__ import annotations
@@ -32,9 +35,10 @@ ASSIGN_MIN, ACCESS_MIN, HEX_MIN = 12, 18, 16
 
 KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
-MIN_RUN = 20
+MIN_RUN = 12
 MIN_RATIO = 0.5
-#: Documents that the models are fitted on are picked by a hash of their text; this many are expected at most.
+MIN_TOTAL = 10.0
+#: The models are fitted on about so many distinct texts (all, if there are fewer), those of least hash.
 SAMPLE_DOCUMENTS = 20_000
 #: Runs that count as labelled samples have at least this many characters.
 MIN_SAMPLE = 8
@@ -50,6 +54,7 @@ class Scanner:
         # a run of at least HEX_MIN is found whole either way, as a greedy match takes the whole run
         self.hex = re.compile(HEX.replace("+", f"{{{HEX_MIN},}}"))
         self.run = re.compile(rf"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{{{MIN_SAMPLE},}}")
+        self.piece = re.compile(rf"[A-Za-z0-9]{{{MIN_RUN},}}")
         self.code = np.zeros(128, dtype=np.int64)
         self.code[[ord(c) for c in ALPHABET]] = np.arange(1, len(ALPHABET) + 1)
         self.ratios = ratios
@@ -63,11 +68,26 @@ class Scanner:
         return sorted(out)
 
     def runs(self, text: str, base: list, least: int):
-        """Runs of the alphabet of at least ``least`` characters that overlap no base span."""
-        taken = [(s, e) for s, _, e, _ in base]
+        """(start, end) of the parts of runs of the alphabet that no base span covers, of at least ``least`` characters."""
+        spans, at = [], 0
+        for s, _, e, _ in base:  # in order of their starts: overlapping ones become one
+            if spans and s <= spans[-1][1]:
+                spans[-1][1] = max(e, spans[-1][1])
+            else:
+                spans.append([s, e])
         for m in self.run.finditer(text):
-            if m.end() - m.start() >= least and not any(s < m.end() and m.start() < e for s, e in taken):
-                yield m
+            start, end = m.span()
+            while at < len(spans) and spans[at][1] <= start:
+                at += 1
+            while at < len(spans) and spans[at][0] < end:
+                if spans[at][0] - start >= least:
+                    yield start, spans[at][0]
+                start = max(start, spans[at][1])
+                if spans[at][1] > end:  # it reaches into what follows
+                    break
+                at += 1
+            if end - start >= least:
+                yield start, end
 
     def pairs(self, value: str) -> np.ndarray:
         """Codes of the successive character pairs, the first with the start state 0."""
@@ -77,14 +97,20 @@ class Scanner:
     def ratio(self, value: str) -> float:
         return float(self.ratios[self.pairs(value)].mean())
 
+    def is_random(self, value: str) -> bool:
+        return len(value) >= MIN_RUN and (r := self.ratio(value)) >= MIN_RATIO and r * len(value) >= MIN_TOTAL
+
     def added(self, text: str, base: list) -> list[tuple[int, int, int, str]]:
         if self.ratios is None:
             return []
         out = []
-        for m in self.runs(text, base, MIN_RUN):
-            v = m[0]
-            if any(c.isdigit() for c in v) and any(c.isalpha() for c in v) and self.ratio(v) >= MIN_RATIO:
-                out.append((m.start(), 3, m.end(), v))
+        for start, end in self.runs(text, base, MIN_RUN):
+            if self.is_random(text[start:end]):
+                out.append((start, 3, end, text[start:end]))
+                continue
+            for m in self.piece.finditer(text, start, end):
+                if m.end() - m.start() < end - start and self.is_random(m[0]):
+                    out.append((m.start(), 3, m.end(), m[0]))
         return out
 
 
@@ -103,23 +129,23 @@ def fit(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> np.ndarray
                 text = t.as_py()
                 base = scan.base(text)
                 for *_, v in base:
-                    np.add.at(totals[1], scan.pairs(v), 1)
-                for m in scan.runs(text, base, MIN_SAMPLE):
-                    if not any(c.isdigit() for c in m[0]):
-                        np.add.at(totals[0], scan.pairs(m[0]), 1)
+                    totals[1] += np.bincount(scan.pairs(v), minlength=size)
+                for start, end in scan.runs(text, base, MIN_SAMPLE):
+                    totals[0] += np.bincount(scan.pairs(text[start:end]), minlength=size)
         label, pair = np.nonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(label, pa.int32()), pa.array(pair, pa.int32()), pa.array(totals[label, pair], pa.int64())], names=["label", "pair", "n"])
 
-    texts = docs.select("text").where(F.col("text").isNotNull())
-    rows = texts.count()
-    if rows > sample_documents:
-        part = max(1, int(sample_documents / rows * 1_000_000))
-        texts = texts.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < part)
+    texts = docs.select("text").where(F.col("text").isNotNull()).withColumn("h", F.xxhash64("text"))
+    prints = texts.select("h").distinct().count()  # copies of a text are one
+    bound = -(1 << 63) + int(min(1.0, sample_documents / max(prints, 1)) * ((1 << 64) - 2048))
+    if prints > sample_documents:
+        texts = texts.where(F.col("h") <= bound)
+    texts = texts.groupBy("h").agg(F.first("text").alias("text")).select("text")
     counts = texts.mapInArrow(count, "label int, pair int, n long").groupBy("label", "pair").agg(F.sum("n").alias("n"))
     table = np.zeros((2, size))
     for label, pair, n in counts.collect():  # at most 2 x 69 x 69 rows
         table[label, pair] = n
-    if not table.any():
+    if not table[1].any():
         return None
     chain = table.reshape(2, len(ALPHABET) + 1, -1)[:, :, 1:] + 1.0
     chain = np.log(chain / chain.sum(axis=2, keepdims=True))

@@ -62,3 +62,69 @@ def test_awkward_and_empty(spark):
 def test_a_bounded_sample_is_enough(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     assert S.fit(docs, sample_documents=100) is not None
+
+
+def test_added_spans_against_a_plain_version(spark):
+    """The markov spans of every text, by plain search and sums of log-probabilities."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    ratios = S.fit(docs)
+    table = ratios.reshape(len(S.ALPHABET) + 1, -1)
+    code = {c: i + 1 for i, c in enumerate(S.ALPHABET)}
+
+    def random_string(v):
+        total = sum(table[code[a] if a else 0, code[b]] for a, b in zip([None, *v], v))
+        return len(v) >= 12 and total >= S.MIN_TOTAL - 1e-9 and total / len(v) >= S.MIN_RATIO - 1e-12
+
+    def wanted(text):
+        covered = [False] * len(text)
+        for x in plain(text):
+            _, a, b = x.split(":")
+            covered[int(a) : int(b)] = [True] * (int(b) - int(a))
+        free = "".join(" " if c else t for c, t in zip(covered, text))
+        out = []
+        for m in re.finditer(r"[A-Za-z0-9+/_.=-]+", free):
+            if len(m[0]) < 12:
+                continue
+            if random_string(m[0]):
+                out.append((m.start(), m.end()))
+            else:
+                out += [(m.start() + p.start(), m.start() + p.end()) for p in re.finditer("[A-Za-z0-9]+", m[0]) if len(p[0]) < len(m[0]) and random_string(p[0])]
+        return out
+
+    rng = random.Random(4)
+    key = lambda n: "".join(rng.choice(S.ALPHABET[:62]) for _ in range(n))
+    rows = [(r.doc_id, r.text) for r in docs.limit(300).collect()] + [(10**6 + i, t) for i, t in enumerate(TRICKY)]
+    rows += [(2 * 10**6 + i, f"path/to/{key(16)} user.name={key(14)} id-{key(20)} token={key(24)}_{key(30)} " + "0123456789abcdef" * 2 + key(18)) for i in range(60)]
+    got = S.scan_secrets(frame(spark, rows), ratios).collect()
+    texts = dict(rows)
+    found = 0
+    for r in got:
+        mine = [tuple(map(int, x.split(":")[1:])) for x in r.spans.split(",") if x.startswith("markov")]
+        assert mine == wanted(texts[r.doc_id] or "")
+        found += r.doc_id >= 2 * 10**6 and len(mine) >= 2
+    assert found > 50
+
+
+def test_time_grows_with_the_text():
+    import time
+
+    scan = S.Scanner(np.full(69 * 69, -1.0))
+
+    def seconds(n):
+        text = " ".join(f"password=abcdefghijkl{i} some.ordinary_words/here" for i in range(n))
+        started = time.perf_counter()
+        base = scan.base(text)
+        assert len(base) == n
+        scan.added(text, base)
+        return time.perf_counter() - started
+
+    seconds(2000)
+    assert seconds(32_000) < 4 * max(seconds(16_000), 0.05)
+
+
+def test_copies_neither_fill_nor_empty_the_sample(spark):
+    texts = [f"word{i} password=Q7x9Lm2Zk4Vb{i:05d} and more" for i in range(300)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(1000 + i, texts[7]) for i in range(3000)]
+    few, all_ = S.fit(frame(spark, rows), sample_documents=10**6), S.fit(frame(spark, [(i, t) for i, t in enumerate(texts)]))
+    assert np.array_equal(few, all_)
+    assert S.fit(frame(spark, rows), sample_documents=100) is not None
