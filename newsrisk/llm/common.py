@@ -32,11 +32,12 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def checked_broadcast(df: DataFrame, row_bytes: int, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """``broadcast(df)`` if its counted size is within ``max_bytes``; else ``df`` for a shuffle join.
+    """``broadcast(df)`` if its counted size is within ``max_bytes``; else ``df`` for a sort-merge join.
 
-    ``df`` should be a written table (it is counted). Both ways give the same rows.
+    ``df`` should be a written table (it is counted). Both ways give the same rows. The hint keeps Spark from
+    broadcasting it after all by the smaller size of its compressed files.
     """
-    return F.broadcast(df) if df.count() * row_bytes <= max_bytes else df
+    return F.broadcast(df) if df.count() * row_bytes <= max_bytes else df.hint("merge")
 
 
 def let(value: Column, body) -> Column:

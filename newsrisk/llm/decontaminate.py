@@ -8,10 +8,13 @@ weighted Jaccard similarity ``THRESHOLD`` or more with it, over 5-word shingles
    moving a window right up to its first shared shingle loses none. So of all item-sized windows
    those that begin at a shared shingle hold every maximum, and only they are fingerprinted.
 2. Fingerprints. A window's and an item's 64-bit SimHash over their shingles.
-3. Multi-index. Four blocks of 16 bits; fingerprints within ``RADIUS`` = 19 bits agree within 4 bits on
-   some block. Items are indexed under all block values within 4 bits of theirs, windows look up
-   their four blocks, and a final count of differing bits leaves exactly the pairs within the radius.
-   At similarity 0.8 about 10 bits differ, with a deviation of 3; the nearer, the fewer.
+3. Multi-index. Five blocks of 12 or 13 bits; fingerprints within ``RADIUS`` = 19 bits agree within 3 bits on
+   some block. Items are indexed under all block values within 3 bits of theirs, windows look up
+   their five blocks, and a final count of differing bits leaves exactly the pairs within the radius.
+   At similarity 0.8 about 10 bits differ, with a deviation of 3; the nearer, the fewer. Fingerprints of few
+   shingles vary more. A window of as many shingles as an item of fewer than ``EXACT_BELOW`` is at 0.8 only if it
+   has all of them, and so the same fingerprint; a shorter one (a document shorter than the item) must
+   lie in the item whole, so it is looked up by its first shingle and always verified.
 4. Verification. The exact weighted similarity of the pairs' shingles.
 
 Defined cases: null and blank texts, null item ids and null doc_ids take no part; an item of fewer
@@ -31,7 +34,9 @@ from newsrisk.llm.common import BROADCAST_MAX_BYTES, checked_broadcast, let, wri
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 RADIUS = 19
-BLOCKS = 4
+BLOCKS = 5
+#: SimHash says too little of items of fewer shingles: documents shorter than such an item are compared with it outright.
+EXACT_BELOW = 9
 
 
 def split_words(text: Column) -> Column:
@@ -75,20 +80,34 @@ def flips(bits: int, radius: int) -> Column:
     return F.split(F.lit(",".join(words)), ",").cast("array<int>")
 
 
+def block_widths(n: int = BLOCKS) -> list[int]:
+    """The bits of a fingerprint's n blocks, as even as can be."""
+    return [64 // n + (i < 64 % n) for i in range(n)]
+
+
 def blocks(fp: Column, n: int = BLOCKS) -> Column:
     """The n blocks of a fingerprint: (block, value)."""
-    width = 64 // n
-    return F.array(*(F.struct(F.lit(i).alias("block"), F.shiftrightunsigned(fp, i * width).bitwiseAND(F.lit((1 << width) - 1)).cast("int").alias("value")) for i in range(n)))
+    widths = block_widths(n)
+    return F.array(*(F.struct(F.lit(i).alias("block"), F.shiftrightunsigned(fp, sum(widths[:i])).bitwiseAND(F.lit((1 << w) - 1)).cast("int").alias("value")) for i, w in enumerate(widths)))
 
 
 def within_radius(windows: DataFrame, items: DataFrame, radius: int = RADIUS, n: int = BLOCKS) -> DataFrame:
     """Pairs of windows (doc_id, n, start, fp) and items (item, n, fp) of one length within the radius."""
     w = windows.select("doc_id", "n", "start", "fp", F.explode(blocks(F.col("fp"), n)).alias("b")).select("doc_id", "n", "start", "fp", "b.block", "b.value")
     i = items.select("item", "n", F.col("fp").alias("item_fp"), F.explode(blocks(F.col("fp"), n)).alias("b"))
-    i = i.select("item", "n", "item_fp", "b.block", F.col("b.value").alias("own"), F.explode(flips(64 // n, radius // n)).alias("flip"))
-    i = i.select("item", "n", "item_fp", "block", F.col("own").bitwiseXOR(F.col("flip")).alias("value"))
+    widths = block_widths(n)
+    by_width = F.coalesce(*[F.when(F.col("b.block").isin([b for b, x in enumerate(widths) if x == size]), flips(size, radius // n)) for size in sorted(set(widths))])
+    i = i.select("item", "n", "item_fp", "b.block", F.col("b.value").alias("own"), F.explode(by_width).alias("flip"))
+    i = write_table(i.select("item", "n", "item_fp", "block", F.col("own").bitwiseXOR(F.col("flip")).alias("value")), "item_index")
     near = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius
-    return w.join(i, ["n", "block", "value"]).where(near).select("doc_id", "n", "start", "item").distinct()
+    return w.join(checked_broadcast(i, 96), ["n", "block", "value"]).where(near).select("doc_id", "n", "start", "item").distinct()
+
+
+def short_windows(windows: DataFrame, items: DataFrame) -> DataFrame:
+    """Pairs of windows with fewer shingles than an item of fewer than ``EXACT_BELOW``, by the window's first shingle."""
+    w = windows.where((F.col("n") < EXACT_BELOW) & (F.size("sh") < F.col("n"))).select("doc_id", "n", "start", F.get("sh", F.lit(0)).alias("h"))
+    i = items.where(F.col("n") < EXACT_BELOW).select("item", "n", F.explode(F.array_distinct("sh")).alias("h"))
+    return w.join(i, ["n", "h"]).select("doc_id", "n", "start", "item")
 
 
 def matches_for(docs: DataFrame, items: DataFrame, k: int, threshold: float) -> DataFrame:
@@ -106,8 +125,11 @@ def matches_for(docs: DataFrame, items: DataFrame, k: int, threshold: float) ->
     windows = at.select("doc_id", "n", "sh", F.explode(starts).alias("start")).select("doc_id", "n", "start", F.slice("sh", F.col("start") + 1, F.col("n")).alias("sh"))
     windows = write_table(windows, "windows")
     windows = write_table(windows.select("doc_id", "n", "start", "sh", simhash(F.col("sh")).alias("fp")), "window_prints")
-    pairs = within_radius(windows.drop("sh"), items)
-    both = pairs.join(windows.drop("fp"), ["doc_id", "n", "start"]).join(checked_broadcast(items.select("item", F.col("sh").alias("item_sh")), 1 << 16), "item")
+    pairs = within_radius(windows.drop("sh"), items).unionByName(short_windows(windows, items)).distinct()
+    pairs = checked_broadcast(write_table(pairs, "window_pairs"), 48)
+    longest = items.agg(F.max("n")).first()[0] or 0
+    held = windows.drop("fp").join(pairs, ["doc_id", "n", "start"])
+    both = held.join(checked_broadcast(items.select("item", F.col("sh").alias("item_sh")), 48 + 8 * longest), "item")
     common = F.size(F.array_intersect(occurrences(F.col("sh")), occurrences(F.col("item_sh"))))
     scored = both.select("doc_id", "item", "n", "start", (common / (F.size("sh") + F.size("item_sh") - common)).alias("similarity"))
     best = scored.where(F.col("similarity") >= threshold - 1e-12).groupBy("doc_id", "item", "n")

@@ -7,8 +7,8 @@ languages' smoothed n-gram distributions. A text's bit margins are summed log-od
 root of its n-grams. Decoding is loss-weighted: a codeword's loss is the mean over bits of
 ``log(1 + exp(-bit * margin))``, weighted per language by how often that classifier was right on
 that language's training texts, and the codeword of least loss wins. ``score`` is its share of
-``exp(-loss)`` among all codewords; a text is ``ambiguous`` if it leads the second by less than
-``AMBIGUOUS_GAP``.
+``exp(-loss)`` among all codewords. A text is ``ambiguous`` if between the two nearest codewords alone the
+nearer one's share exceeds the other's by less than ``AMBIGUOUS_GAP``, so that further languages do not matter.
 
 The classifiers are fitted on a bounded sample: ``SAMPLE_PER_LANGUAGE`` distinct training texts of
 each language (all, if it has fewer), those of least hash; copies of a text count once. Spark counts the n-grams; languages x buckets counts
@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newsrisk.llm.common import checked_broadcast, write_table
 
@@ -96,14 +97,15 @@ def margins(counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
 
 
 def decode(f: np.ndarray, model: Model) -> tuple[int, float, float]:
-    """(language index, score, lead over the second) of bit margins f."""
+    """(language index, score, lead over the second, between these two alone) of bit margins f."""
     if len(model.languages) == 1:
         return 0, 1.0, 1.0
     loss = (model.trust * np.logaddexp(0, -model.codes * f[None, :])).sum(axis=1)
     share = np.exp(-(loss - loss.min()))
     share /= share.sum()
     best = int(np.argmin(loss))
-    return best, float(share[best]), float(share[best] - np.sort(share)[-2])
+    first, second = np.partition(loss, 1)[:2]
+    return best, float(share[best]), float(np.tanh((second - first) / 2))
 
 
 def distinct_sample(rows: DataFrame, sample_per_language: int) -> tuple[DataFrame | None, list[str]]:
@@ -173,17 +175,18 @@ def fit(labelled: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE) ->
     return Model(languages, codes, weights, trust / np.maximum(trust.sum(axis=1, keepdims=True), 1e-9))
 
 
-def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score, ambiguous) per document, from the text alone.
+VERDICT = "_lang_pred string, _score double, _ambiguous boolean"
 
-    ``held_out`` is whether crc32 of doc_id as text leaves no remainder by 5 (null id: null).
-    """
+
+def judged(docs: DataFrame, model: Model | None) -> DataFrame:
+    """``docs``, row by row, with ``_lang_pred``, ``_score`` and ``_ambiguous``, from the column ``text`` alone."""
+    at = docs.columns.index("text")
 
     def run(batches):
         letters = letter_table()
         for b in batches:
             out = []
-            for t in b.column(1):
+            for t in b.column(at):
                 c = grams(t.as_py() or "", letters) if model else None
                 if c is None:
                     out.append((UNDETERMINED, 0.0, False))
@@ -191,13 +194,25 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
                     k, score, lead = decode(margins(c, model.weights), model)
                     out.append((model.languages[k], score, lead < AMBIGUOUS_GAP))
             lang, score, ambiguous = zip(*out) if out else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(2), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(ambiguous, pa.bool_())],
-                names=["doc_id", "held_out", "lang_pred", "score", "ambiguous"],
-            )
+            more = [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(ambiguous, pa.bool_())]
+            yield pa.RecordBatch.from_arrays([*b.columns, *more], names=[*b.schema.names, "_lang_pred", "_score", "_ambiguous"])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *T._parse_datatype_string(VERDICT).fields]))
+
+
+def predict(docs: DataFrame, model: Model | None) -> DataFrame:
+    """(doc_id, held_out, lang_pred, score, ambiguous) per document, from the text alone.
+
+    ``held_out`` is whether crc32 of doc_id as text leaves no remainder by 5 (null id: null).
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (fold(F.col("doc_id")) == 0).alias("held_out"), "text")
+    return judged(rows, model).select("doc_id", "held_out", F.col("_lang_pred").alias("lang_pred"), F.col("_score").alias("score"), F.col("_ambiguous").alias("ambiguous"))
+
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (fold(F.col("doc_id")) == 0).alias("held_out"))
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean")
+def identified(docs: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
+    """The rows of ``docs`` whose language is found: those without a letter (or text), and ambiguous ones, go, each by its own text."""
+    found = judged(docs, fit(docs.where(fold(F.col("doc_id")) != 0), sample_per_language))
+    return found.where(~F.col("_ambiguous") & (F.col("_lang_pred") != UNDETERMINED)).select(docs.columns)
 
 
 def fold(doc_id):

@@ -1,12 +1,15 @@
 """Approximate nearest neighbours by largest inner product: the inverted multi-index.
 
-Both halves of a vector are quantised by a codebook of ``CENTROIDS`` centroids (k-means on a sample
+Inner products are made distances first: a vector of the table gets one more coordinate, which brings it to
+the length of the longest one; a query gets a zero there. Then the largest inner product is the smallest
+distance, whatever the vectors' lengths. Both halves (the second with that coordinate) are quantised by a codebook of ``CENTROIDS`` centroids (k-means on a sample
 of about ``SAMPLE`` vectors picked by a hash of their id); every vector is indexed in the cell of
 its two centroids. A query walks the cells in order of the summed distance of its halves to the
 two centroids, with a heap over the two sorted lists, until the cells hold ``PROBE_SHARE`` of all
 vectors, and the entries of those cells are reranked by the exact inner product in double
 precision. The share is what recall costs: for vectors without any clusters (the hardest case) a
-share of 0.55 gives a recall of about 0.95 at 20 neighbours; clustered vectors need far less.
+share of 0.55 gives a recall of about 0.95 at 20 neighbours; clustered vectors, and vectors of very unequal
+lengths, need far less.
 
 Entries and queries meet per first-half centroid, cut into blocks of about ``ENTRY_BLOCK`` entries
 and ``QUERY_BLOCK`` queries by a hash, so a cell that holds a third of all vectors is many groups.
@@ -70,15 +73,25 @@ def kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
     return c
 
 
-def codebooks(vectors: DataFrame, centroids: int = CENTROIDS, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
+def halves(x: np.ndarray, longest: float | None) -> tuple[np.ndarray, np.ndarray]:
+    """First and second halves of rows, the second with the coordinate that brings them to the length ``longest`` (None: queries)."""
+    half = x.shape[1] // 2
+    more = np.zeros(len(x)) if longest is None else np.sqrt(np.maximum(0.0, longest**2 - (x**2).sum(axis=1)))
+    return x[:, :half], np.concatenate([x[:, half:], more[:, None]], axis=1)
+
+
+def longest_of(vectors: DataFrame) -> float:
+    return float(vectors.agg(F.max(F.sqrt(F.aggregate("vector", F.lit(0.0), lambda acc, c: acc + c * c)))).first()[0])
+
+
+def codebooks(vectors: DataFrame, longest: float, centroids: int = CENTROIDS, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
     rows = vectors.count()
     part = max(1, int(1_000_000 * min(1.0, sample / max(rows, 1))))
     taken = vectors.where(F.pmod(F.xxhash64("vec_id"), F.lit(1_000_000)) < part).select("vector")
     x = np.array([r[0] for r in taken.collect()])  # about `sample` rows
     if not len(x):
         x = np.array([r[0] for r in vectors.select("vector").limit(1).collect()])
-    half = x.shape[1] // 2
-    return kmeans(x[:, :half], centroids), kmeans(x[:, half:], centroids)
+    return tuple(kmeans(h, centroids) for h in halves(x, longest))
 
 
 def walk(d1: np.ndarray, d2: np.ndarray, sizes: np.ndarray, need: int) -> dict[int, list[int]]:
@@ -103,14 +116,13 @@ def walk(d1: np.ndarray, d2: np.ndarray, sizes: np.ndarray, need: int) -> dict[i
     return out
 
 
-def build(vectors: DataFrame, books) -> DataFrame:
+def build(vectors: DataFrame, books, longest: float) -> DataFrame:
     """The index: (vec_id, first, second, vector), written."""
-    half = books[0].shape[1]
 
     def run(batches):
         for b in batches:
             x = matrix(b.column(1))
-            first, second = (np.argmin(distances(x[:, :half], books[0]), axis=1), np.argmin(distances(x[:, half:], books[1]), axis=1)) if len(x) else ([], [])
+            first, second = (np.argmin(distances(h, c), axis=1) for h, c in zip(halves(x, longest), books)) if len(x) else ([], [])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(first, pa.int32()), pa.array(second, pa.int32()), b.column(1)], names=["vec_id", "first", "second", "vector"])
 
     return write_table(vectors.mapInArrow(run, "vec_id long, first int, second int, vector array<double>"), "index")
@@ -124,14 +136,15 @@ def search(index: DataFrame, queries: DataFrame, books, k: int = 20, probe_share
         sizes[first, second] = n
     rows = int(sizes.sum())
     need = max(int(np.ceil(probe_share * rows)), k + int(queries.groupBy("vec_id").count().agg(F.max("count")).first()[0] or 0))
-    half, cells = books[0].shape[1], sizes.tolist()
+    cells = sizes.tolist()
 
     def probe(batches):
         for b in batches:
             x = matrix(b.column(1))
             first, seconds, at = [], [], []
+            near = [distances(h, c) for h, c in zip(halves(x, None), books)] if len(x) else []
             for i in range(len(x)):
-                found = walk(distances(x[i : i + 1, :half], books[0])[0], distances(x[i : i + 1, half:], books[1])[0], cells, need)
+                found = walk(near[0][i], near[1][i], cells, need)
                 first += found
                 seconds += found.values()
                 at += [i] * len(found)
@@ -179,5 +192,6 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, probe_share: float
     v = write_table(usable(vectors), "vectors")
     if v.isEmpty():
         return v.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    books = codebooks(v)
-    return search(build(v, books), v.where(F.col("vec_id") % every == 0), books, k, probe_share)
+    longest = longest_of(v)
+    books = codebooks(v, longest)
+    return search(build(v, books, longest), v.where(F.col("vec_id") % every == 0), books, k, probe_share)

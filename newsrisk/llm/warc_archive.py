@@ -22,6 +22,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import re
 import io
 import json
 import struct
@@ -45,9 +46,10 @@ TAIL = 22 + 65535 + 20  # the end record, its longest comment, the ZIP64 locator
 
 
 def filesystem(uri: str):
-    """(file system, path) of a folder or file URI; a plain path is local."""
+    """(file system, path) of a folder or file URI; a plain path is local. Arrow knows S3 by its plain scheme only."""
     from pyarrow import fs
 
+    uri = re.sub("^s3[an]://", "s3://", uri)
     return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
 
 

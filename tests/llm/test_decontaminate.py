@@ -80,3 +80,24 @@ def test_simhash_and_occurrences(spark):
     for r in df.collect():
         want = sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in r.sh) > len(r.sh))
         assert r.fp % (1 << 64) == want and r.n == len(r.sh)
+
+
+def test_no_short_item_is_lost(spark):
+    """Documents that hold all but one of an item's shingles, items of 5 to 10 shingles: 0.8 and more."""
+    rng = random.Random(11)
+    bench, docs = [], []
+    for i in range(1500):
+        w = prose(rng, 9 + i % 6, 10**6)
+        bench.append((i, " ".join(w)))
+        docs.append((i, " ".join(w[:-1] if i % 2 else w[1:])))
+    found = got(D.contaminated(frame(spark, docs), items(spark, bench)))
+    small = {(i, i) for i in range(1500) if i % 6 < 4}
+    assert small <= found.keys() and len(found) >= 1500 - 2
+
+
+def test_both_ways_of_joining_agree(spark, monkeypatch):
+    docs, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
+    want = got(D.contaminated(docs, bench))
+    monkeypatch.setattr(D, "checked_broadcast", lambda df, *a: df.hint("merge"))
+    monkeypatch.setattr(D, "BROADCAST_MAX_BYTES", 0)
+    assert got(D.contaminated(docs, bench)) == want

@@ -78,3 +78,58 @@ def test_nothing_to_learn(spark):
     assert L.identify(empty).count() == 0
     unlabelled = frame(spark, [(1, "hello"), (2, None)]).withColumn("lang", F.lit(None).cast("string"))
     assert {r.lang_pred for r in L.identify(unlabelled).collect()} == {"und"}
+
+
+@pytest.mark.parametrize("k", [2, 4, 20, 60])
+def test_ambiguity_does_not_depend_on_the_number_of_languages(k):
+    codes = L.codewords(k)
+    model = L.Model([f"l{i:02d}" for i in range(k)], codes, np.zeros((1, codes.shape[1])), np.ones(codes.shape) / codes.shape[1])
+    leads = [L.decode(codes[i] * 2.0, model)[2] for i in range(k)]
+    assert min(leads) > 0.2  # every bit right by the same margin: far from ambiguous, however many languages there are
+    assert L.decode(codes[0] * 0.0, model)[2] == pytest.approx(0.0)
+
+
+def test_against_a_plain_version(spark):
+    """Predictions of the fitted model by plain counting and decoding, text by text."""
+    import math
+    from collections import Counter
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = L.fit(docs.where(L.fold(F.col("doc_id")) != 0))
+    mask = (1 << 64) - 1
+
+    def counts(text):
+        if not any(c.isalpha() for c in text):
+            return None
+        text = "".join(c if c.isalpha() else " " for c in text.lower())
+        x = [ord(c) for c in " " + " ".join(text.split()) + " "]
+        out = Counter()
+        for n in L.ORDERS:
+            for i in range(len(x) - n + 1):
+                h = 0
+                for c in x[i : i + n]:
+                    h = (h * 0x9E3779B97F4A7C15 + c + 1) & mask
+                out[(((h ^ (h >> 31)) * 0xBF58476D1CE4E5B9) & mask) >> 50] += 1
+        return out
+
+    for r in L.judged(docs.select("text"), model).limit(60).collect():
+        c = counts(r.text or "")
+        if c is None:
+            assert r._lang_pred == "und" and r._score == 0
+            continue
+        size = math.sqrt(c.total())
+        f = [sum(n * float(model.weights[b, bit]) for b, n in c.items()) / size for bit in range(model.codes.shape[1])]
+        loss = [sum(model.trust[k, bit] * math.log1p(math.exp(-model.codes[k, bit] * f[bit])) for bit in range(len(f))) for k in range(len(model.languages))]
+        best = min(range(len(loss)), key=lambda k: loss[k])
+        share = math.exp(-loss[best]) / sum(math.exp(-x) for x in loss)
+        assert r._lang_pred == model.languages[best] and r._score == pytest.approx(share, abs=1e-4)
+
+
+def test_rows_go_one_by_one(spark):
+    """Rows of one id, and rows without an id, are judged by their own texts."""
+    text = "the cat sat on the mat with the hat"
+    rows = [(1, text), (1, "123 456"), (None, text), (None, "---"), (2, None)] + [(10 + i, text) for i in range(10)]
+    docs = frame(spark, rows)
+    kept = L.identified(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(1, text), (None, text)] + [(10 + i, text) for i in range(10)], key=str)

@@ -74,3 +74,18 @@ def test_rows_that_take_no_part(spark):
     assert {q: [i for i, _ in v] for q, v in got.items()} == {0: [1, 20, 20], 20: [1, 0]}
     assert M.nearest(vectors(spark, bad[:1])).count() == 0 and M.nearest(vectors(spark, [])).count() == 0
     assert M.nearest(vectors(spark, [(0, [1.0])])).count() == 0 and by_query(M.nearest(vectors(spark, [(0, [1]), (1, [2])]))) == {0: [(1, 2.0)]}
+
+
+@pytest.mark.parametrize("sigma", [0.3, 1.0])
+def test_recall_for_vectors_of_unequal_lengths(spark, sigma):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((4000, 64))
+    x *= np.exp(sigma * rng.standard_normal(4000) - np.log(np.linalg.norm(x, axis=1)))[:, None]
+    x = x.astype(np.float32)
+    got = by_query(M.nearest(vectors(spark, list(enumerate(x.tolist())))))
+    scores = x[::20].astype(float) @ x.astype(float).T
+    hits = 0
+    for n, q in enumerate(range(0, 4000, 20)):
+        scores[n, q] = -np.inf
+        hits += len(set(np.argsort(-scores[n])[:20].tolist()) & {i for i, _ in got[q]})
+    assert hits / (20 * 200) >= 0.9
