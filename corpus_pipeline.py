@@ -5,14 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from newsrisk.llm import decontaminate, language_id, line_dedup, sentencepiece_codec, simhash_dedup
-from newsrisk.llm.common import checked_broadcast, write_table
+from newsrisk.llm.common import write_table
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID: documents without a letter (or text), and those between two languages, go."""
-    found = write_table(language_id.identify(docs), "languages")
-    gone = found.where(f"ambiguous or lang_pred = '{language_id.UNDETERMINED}'").select("doc_id").distinct()
-    return docs.join(checked_broadcast(gone, 24), "doc_id", "left_anti").select(docs.columns)
+    """Language ID: documents without a letter (or text), and those between two languages, go, row by row."""
+    return language_id.identified(docs)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
