@@ -12,11 +12,13 @@ positive's negatives are the ``NEGATIVES`` best rows of another label whose scor
    Only candidates whose bounds overlap the window are scored again, and so replace their bounds for the anchors further down.
 3. Windows. For positives: from the fifth-best lower bound of the block up, among the same label (groups and blocks
    of one label meet). For negatives: the windows of the anchor's positives, from the fifth-best
-   lower bound of those surely inside, among the other labels (all groups meet all blocks).
+   lower bound of those surely inside, among the other labels. There the candidates' blocks follow the Hilbert curve
+   too, and a group meets a block only if the score of their centres, plus or minus their radii, overlaps the
+   group's windows: other pairs are not even brought together.
 4. Each block keeps the best few per anchor (and positive); Spark merges them by a window. Both results are exact.
 
 The stated anchors go against all rows in blocks: a group or a block is bounded whatever the data, a hot label is many of
-both. Bounds save scoring where anchors lie close together; for vectors without any clusters nearly everything is scored.
+both. Bounds save scoring where vectors lie close together; for vectors without any clusters nearly everything is scored.
 
 Defined cases: rows with a null id or label, a null vector, a null or non-finite component, or a vector of another length than
 most take no part; an anchor id that repeats asks once (smallest label, then vector) and no row of its id is a
@@ -30,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newsrisk.llm.common import checked_broadcast, write_table
 from newsrisk.llm.hilbert import grid, hilbert_keys
@@ -42,8 +45,11 @@ POSITIVES = 5
 NEGATIVES = 5
 SHARE = 80
 REACH = 4096.0
+SEED = 13
 GROUP = 2048
 BLOCK = 1024
+#: The most that the middles of all anchor groups may take in a task.
+MIDDLES_BYTES = 32 << 20
 
 
 def integers(vectors: DataFrame) -> DataFrame:
@@ -66,22 +72,26 @@ def matrix(column) -> np.ndarray:
     return flat.reshape(len(column), -1).astype(float) if len(column) else np.zeros((0, 0))
 
 
-def anchors_of(rows: DataFrame, every: int = EVERY, group: int = GROUP) -> DataFrame:
-    """(anchor_id, label, q, chunk, grp), written: chunk numbers an anchor's group within its label, grp over all labels."""
+def on_the_curve(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``key``, the place along a Hilbert curve of ``q``, brought to unit length and projected to eight axes by fixed random signs."""
+    at = rows.columns.index("q")
 
-    def keyed(batches):
+    def run(batches):
         for b in batches:
-            x = matrix(b.column(2))
+            x = matrix(b.column(at))
             if not len(x):
                 continue
-            width = -(-x.shape[1] // 8)
-            y = np.pad(x, ((0, 0), (0, width * 8 - x.shape[1]))).reshape(len(x), 8, width).sum(axis=2)
-            y = y / np.maximum(np.sqrt((x**2).sum(axis=1)), 1.0)[:, None]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(hilbert_keys(*grid(y * 1024, 1024.0)))], names=["anchor_id", "label", "q", "key"])
-
-    a = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min(F.struct("label", "q")).alias("a")).select("vec_id", "a.label", "a.q")
-    a = a.mapInArrow(keyed, "anchor_id long, label long, q array<int>, key long")
-    ranked = write_table(global_row_number(a, ["label", "key", "anchor_id"], "rank"), "ranked_anchors")
+            signs = np.random.default_rng(SEED).choice([-1.0, 1.0], (x.shape[1], 8))
+            y = x @ signs / np.maximum(np.sqrt((x**2).sum(axis=1)), 1.0)[:, None]  # about normal
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(hilbert_keys(*grid(y * 1024, 3 * 1024.0)))], names=[*b.schema.names, "key"])
+
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("key", T.LongType())]))
+
+
+def anchors_of(rows: DataFrame, every: int = EVERY, group: int = GROUP) -> DataFrame:
+    """(anchor_id, label, q, chunk, grp), written: chunk numbers an anchor's group within its label, grp over all labels."""
+    a = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min(F.struct("label", "q")).alias("a")).select(F.col("vec_id").alias("anchor_id"), "a.label", "a.q")
+    ranked = write_table(global_row_number(on_the_curve(a), ["label", "key", "anchor_id"], "rank"), "ranked_anchors")
     first = checked_broadcast(write_table(ranked.groupBy("label").agg(F.min("rank").alias("first")), "first_ranks"), 32)
     place = lambda since: F.floor((F.col("rank") - since) / group).cast("int")
     return write_table(ranked.join(first, "label").select("anchor_id", "label", "q", place(F.col("first")).alias("chunk"), place(F.lit(1)).alias("grp")), "anchors")
@@ -196,6 +206,58 @@ def positives(candidates: DataFrame, trees: DataFrame, block: int = BLOCK, k: in
     return write_table(found.withColumn("place", place).where(F.col("place") <= k), "positives")
 
 
+def ball(x: np.ndarray) -> tuple[np.ndarray, float]:
+    """The middle of rows, and the distance of the farthest row from it."""
+    middle = x.mean(axis=0)
+    return middle, float(np.sqrt(((x - middle) ** 2).sum(axis=1)).max())
+
+
+def overlapping(blocks: DataFrame, anchors: DataFrame, share: int = SHARE) -> DataFrame:
+    """(block, grp), written: the pairs of a candidate block and an anchor group whose scores may lie in one of the group's windows.
+
+    With a = r + d and c = m + e, the score <a, c> differs from <r, m> by at most |r||e| + |d||m| + |d||e|. Groups' middles
+    go to the tasks if they are less than ``MIDDLES_BYTES``; else every block meets every group.
+    """
+    balls = "middle array<double>, radius double"
+
+    def of_blocks(t: pa.Table) -> pa.Table:
+        middle, radius = ball(matrix(t["q"]))
+        return pa.table({"block": t["block"][:1], "middle": pa.array([middle]), "radius": pa.array([radius])})
+
+    def of_groups(t: pa.Table) -> pa.Table:
+        middle, radius = ball(matrix(t["q"]))
+        scores = [w["positive_score"] for ws in t["windows"].to_pylist() for w in ws if w["positive_score"] >= 0]  # no window below zero
+        low, high = (share * min(scores) / 100, float(max(scores))) if scores else (np.inf, -np.inf)
+        return pa.table({"grp": t["grp"][:1], "middle": pa.array([middle]), "radius": pa.array([radius]), "low": pa.array([low]), "high": pa.array([high])})
+
+    groups = write_table(anchors.select("grp", "q", "windows").groupBy("grp").applyInArrow(of_groups, f"grp int, {balls}, low double, high double"), "group_balls").where("low <= high")
+    middles = blocks.select("block", "q").groupBy("block").applyInArrow(of_blocks, f"block long, {balls}")
+    n, width = groups.agg(F.count("*"), F.max(F.size("middle"))).first()
+    if not n:
+        return write_table(middles.select("block", F.lit(0).alias("grp")).limit(0), "met")
+    if n * width * 8 > MIDDLES_BYTES:
+        numbers = F.sequence(F.lit(0), F.lit(groups.agg(F.max("grp")).first()[0]))
+        return write_table(blocks.select("block").distinct().select("block", F.explode(numbers).alias("grp")), "met")
+    held = [(r["grp"], r["radius"], r["low"], r["high"], r["middle"]) for r in groups.collect()]
+    number, radius, low, high = (np.array([h[i] for h in held]) for i in range(4))
+    centre = np.array([h[4] for h in held])
+    length = np.sqrt((centre**2).sum(axis=1))
+
+    def meet(batches):
+        for b in batches:
+            block, grp = [], []
+            for i, m, r in zip(b["block"].to_pylist(), b["middle"].to_pylist(), b["radius"].to_pylist()):
+                m = np.array(m)
+                slack = (length * r + radius * np.sqrt((m**2).sum()) + radius * r) * (1 + 1e-9) + 1e-6
+                score = centre @ m
+                own = number[(score + slack >= low) & (score - slack <= high)]
+                block.append(np.full(len(own), i, np.int64))
+                grp.append(own.astype(np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if c else [], k) for c, k in ((block, pa.int64()), (grp, pa.int32()))], names=["block", "grp"])
+
+    return write_table(middles.mapInArrow(meet, "block long, grp int"), "met")
+
+
 def negatives(candidates: DataFrame, trees: DataFrame, windows: DataFrame, block: int = BLOCK, k: int = NEGATIVES, share: int = SHARE) -> DataFrame:
     """``NEGATIVE`` and ``rank``: the ``k`` best rows of another label within each positive's window."""
 
@@ -223,13 +285,13 @@ def negatives(candidates: DataFrame, trees: DataFrame, windows: DataFrame, block
                     out.append((same(own[i]), same(place), same(positive), same(p), ids[inside][top], s[top]))
         return table(NEGATIVE, out)
 
-    rows = candidates.count()
-    groups = (trees.agg(F.max("grp")).first()[0] or 0) + 1
-    blocks = max(1, -(-rows // block))
-    c = candidates.select("vec_id", "q", "label", F.pmod(F.xxhash64("rid"), F.lit(blocks)).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("grp"))
     asked = windows.groupBy("anchor_id").agg(F.collect_list(F.struct("place", "positive_id", "positive_score")).alias("windows"))  # a few per anchor
     a = trees.join(asked, "anchor_id", "left").withColumn("windows", F.coalesce("windows", F.expr("array()")))
-    a = a.select("anchor_id", "label", "q", "step", "parent", "edge", "windows", "grp", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
+    a = write_table(a.select("anchor_id", "label", "q", "step", "parent", "edge", "windows", "grp"), "asking_anchors")
+    c = global_row_number(on_the_curve(candidates.select("vec_id", "q", "label", "rid")), ["key", "rid"], "n")
+    c = write_table(c.select("vec_id", "q", "label", F.floor((F.col("n") - 1) / block).alias("block")), "blocks_on_the_curve")
+    met = overlapping(c, a, share)
+    c, a = c.join(checked_broadcast(met, 24), "block"), a.join(checked_broadcast(met, 24), "grp")
     key = ["grp", "block"]
     found = c.groupBy(*key).cogroup(a.groupBy(*key)).applyInArrow(run, NEGATIVE)
     rank = F.row_number().over(Window.partitionBy("anchor_id", "place").orderBy(F.desc("negative_score"), "negative_id"))

@@ -88,3 +88,28 @@ def test_both_ways_of_joining_agree(spark, monkeypatch):
     rows = table(np.random.default_rng(9), 500, 5, 0.1)
     monkeypatch.setattr(M, "checked_broadcast", lambda df, *a: df)
     assert Counter(map(tuple, M.mine(frame(spark, rows), group=2, block=50).collect())) == brute(rows)
+
+
+def test_groups_meet_only_blocks_that_may_lie_in_their_windows(spark, monkeypatch):
+    """Tight clusters far apart: few pairs of blocks and groups are brought together, and the result stays exact."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(12)
+    centres = 3 * np.eye(12)[:8]  # at right angles
+    rows = [(i, centres[i % 8] + 0.01 * rng.standard_normal(12), i // 8 % 3) for i in range(0, 3000)]
+    seen = []
+    plain = M.overlapping
+
+    def spied(blocks, anchors, share=M.SHARE):
+        met = plain(blocks, anchors, share)
+        seen.append((met.count(), blocks.agg(F.max("block")).first()[0] + 1, anchors.agg(F.max("grp")).first()[0] + 1))
+        return met
+
+    monkeypatch.setattr(M, "overlapping", spied)
+    want = brute(rows)
+    assert want and Counter(map(tuple, M.mine(frame(spark, rows), group=2, block=60).collect())) == want
+    met, blocks, groups = seen[0]
+    assert met < 0.5 * blocks * groups
+    monkeypatch.setattr(M, "MIDDLES_BYTES", 0)  # all meet all
+    assert Counter(map(tuple, M.mine(frame(spark, rows), group=2, block=60).collect())) == want
+    assert seen[1][0] == seen[1][1] * seen[1][2]
