@@ -472,7 +472,8 @@ register(
         f"SELECT date, theme, ArticleCount, ROUND(AvgTone, 10) AS AvgTone FROM td WHERE date >= DATE '{_TOPICS['start']}' "
         f"AND date <= DATE '{_TOPICS['end']}' AND theme IN ({S.q(_TOPICS['themes'])})",
     ),
-)(lambda spark, sf_dir: rounded(DB.topic_pulse(TH.theme_daily(_articles(spark, sf_dir), ordered=False), **_TOPICS)))
+)(lambda spark, sf_dir: rounded(DB.topic_pulse(spark.read.parquet(
+    sinks.publish(TH.theme_daily(_articles(spark, sf_dir), ordered=False), _scratch(spark, "themes"))), **_TOPICS)))
 
 _KPI = ["risk_raw", "total_events", "conflict_share", "negative_share", "weighted_avg_tone"]
 register(

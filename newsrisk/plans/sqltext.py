@@ -73,6 +73,7 @@ SELECT SQLDATE, CountryCode, EventRootCode, EventCount, AvgTone, AvgGoldstein,
 FROM clean_norm
 """
 
+# The published weights.
 RISK = f"""
 SELECT date, CountryCode, total_events, conflict_events, negative_tone_events, weighted_avg_tone,
        conflict_events / NULLIF(total_events, 0) AS conflict_share,
@@ -92,6 +93,7 @@ FROM (
   GROUP BY date, CountryCode)
 """
 
+# The published weights.
 RISK_WEIGHTED10 = f"""
 SELECT date, CountryCode, total_events, conflict_events, conflict_share, negative_share, weighted_avg_tone,
        10.0 * (0.6 * negative_share + 0.4 * conflict_share) + LN(1 + total_events) / 5.5 AS risk_raw
