@@ -12,11 +12,11 @@ Equal signatures across documents give candidates. Exact copies of a text are on
 start (the smallest doc_id stands for them). Of a signature's group every run is tried with the run
 of the smallest doc_id, so a passage that m documents share costs m pairs, not m * m / 2. Pairs are
 verified on the texts: every window of t shingles of a run counts if its Jaccard similarity with the
-other's aligned window is ``THRESHOLD`` or more. Windows that fail (their group's first run was another
+other's window aligned at the shared min-hash is ``THRESHOLD`` or more. Windows that fail (their group's first run was another
 passage with the same signature) are grouped by their exact content, each with the first document
 that has it. What is open then is tried with every earlier run of the signature's group, hits included,
 that shares a prefix key: similar windows share one of the first shingles of each in one order of the
-group, in which the first run's shingles come last, so that a line all have makes no pairs. A window at similarity
+group, in which the first run's document's shingles come last, so that a line all have makes no pairs. A window at similarity
 0.8 shares a given pair with probability 0.64, one of five with 0.994, and a longer passage holds
 many windows.
 
@@ -43,6 +43,7 @@ SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 PAIRS = 5
 CHUNK = 1 << 20  # bytes of text hashed at a time
+WINDOWS_AT_ONCE = 1 << 16
 FILTER_BITS = 27  # log2 of the largest filter of shared signatures, in bits
 
 U = np.uint64
@@ -205,92 +206,172 @@ FOUND = "doc_id long, other_doc_id long, start_word int, n_words int, other_star
 NEAR, HIT, FAILED, CONTENT = range(4)
 
 
-def aligned(x: np.ndarray, y: np.ndarray, run: tuple, t: int) -> np.ndarray:
-    """For every start of a run the other text's start: aligned at the shared min-hash, held within the other run."""
-    pair, a1, a2, b1, b2 = run
-    cx = a1 + int(np.argmin(mix(x[a1 : a1 + t], 2 * pair + 1)))
-    cy = b1 + int(np.argmin(mix(y[b1 : b1 + t], 2 * pair + 1)))
-    return np.clip(np.arange(a1, a2 + 1) + (cy - cx), b1, b2)
-
-
-def matching_windows(x: np.ndarray, y: np.ndarray, runs: list, t: int, threshold: float):
-    """Of two texts' shingles and their candidate runs (pair, a1, a2, b1, b2): {start: (other start, similarity)}, failed starts."""
-    hit, tried = {}, set()
-    for run in runs:
-        _, a1, a2, b1, b2 = run
-        tried.update(range(a1, a2 + 1))
-        if all(s in hit for s in range(a1, a2 + 1)):
-            continue
-        part = x[a1 : a2 + t]
-        common = np.concatenate(([0], np.cumsum(np.isin(part, y[b1 : b2 + t]))))
-        near = common[t:] - common[:-t] >= threshold * t  # no window of distinct shingles is similar without
-        if len(np.unique(part)) < len(part):
-            near[:] = True
-        other = aligned(x, y, run, t)
-        for i in np.nonzero(near)[0].tolist():
-            s, o = a1 + i, int(other[i])
-            if s in hit and hit[s][1] == 1.0:
-                continue
-            a, b = x[s : s + t], y[o : o + t]
-            if (a == b).all():
-                hit[s] = (o, 1.0)
-                continue
-            a, b = set(a.tolist()), set(b.tolist())
-            j = len(a & b) / len(a | b)
-            if j >= threshold and (s not in hit or hit[s][1] < j):
-                hit[s] = (o, j)
-    return hit, tried.difference(hit)
-
-
-def prefix_keys(x: np.ndarray, y: np.ndarray, run: tuple, t: int, threshold: float):
-    """(key, first start, last start, weak) of a run's windows: their first shingles, those of the group's first run last.
+def run_columns(column) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Offsets and fields of an Arrow column of lists of runs."""
+    values = column.flatten()
+    fields = {f.name: v.to_numpy(zero_copy_only=False).astype(np.int64) for f, v in zip(values.type, values.flatten())}
+    return np.concatenate(([0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False)))), fields
+
+
+def min_places(x: np.ndarray, pair: np.ndarray, first: np.ndarray, t: int) -> np.ndarray:
+    """Where the first min-hash of each run's pair of functions lies, in the run's first window."""
+    out = np.zeros(len(first), np.int64)
+    for p in np.unique(pair):
+        own = np.nonzero(pair == p)[0]
+        h = mix(x, 2 * int(p) + 1)
+        out[own] = first[own] + np.argmin(h[first[own][:, None] + np.arange(t)], axis=1)
+    return out
+
+
+def covered(first: np.ndarray, last: np.ndarray, n: int) -> np.ndarray:
+    """Which of n starts lie in some range."""
+    return np.cumsum(np.bincount(first, minlength=n + 1) - np.bincount(last + 1, minlength=n + 1))[:n] > 0
+
+
+def similarities(x: np.ndarray, y: np.ndarray, lo: int, hi: int, shift: int, t: int, threshold: float) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Of the windows of x that start at lo..hi the Jaccard similarity with y's window ``shift`` further on (held within y), its start, and whether no shingle repeats.
+
+    Windows below the threshold may be given 0. A shingle of x at i that y has at j is common to the windows
+    that hold both: a range of starts. Windows with repeated shingles are compared as sets, one by one.
+    """
+    starts = np.arange(lo, hi + 1)
+    other = np.clip(starts + shift, 0, len(y) - t)
+    px, py = x[lo : hi + t], y[other[0] : other[-1] + t]
+    if other[0] == lo + shift and len(px) == len(py) and (px == py).all():
+        return np.ones(len(starts)), other, False
+    order = np.argsort(py, kind="stable")
+    ordered = py[order]
+    at = np.minimum(np.searchsorted(ordered, px), len(py) - 1)
+    i = np.nonzero(ordered[at] == px)[0]
+    ranked = np.sort(px)
+    if (ordered[1:] == ordered[:-1]).any() or (ranked[1:] == ranked[:-1]).any():
+        shared = np.zeros(len(px) + 1, np.int64)
+        shared[i + 1] = 1
+        shared = np.cumsum(shared)
+        out = np.zeros(len(starts))
+        own = np.concatenate(([0], np.cumsum(np.isin(px, ranked[1:][ranked[1:] == ranked[:-1]]))))
+        for n in np.nonzero((shared[t:] - shared[:-t] >= threshold * t) | (own[t:] > own[:-t]))[0].tolist():
+            a, b = set(x[lo + n : lo + n + t].tolist()), set(y[other[n] : other[n] + t].tolist())
+            out[n] = len(a & b) / len(a | b)
+        return out, other, False
+    j = order[at[i]] + other[0]
+    i = i + lo
+    common = np.zeros(len(starts), np.int64)
+    moving = np.nonzero(other == starts + shift)[0]
+    if len(moving):
+        s0, s1 = starts[moving[0]], starts[moving[-1]]
+        first = np.maximum(np.maximum(i, j - shift) - t + 1, s0)
+        last = np.minimum(np.minimum(i, j - shift), s1)
+        ok = first <= last
+        n = s1 - s0 + 2
+        common[moving] = np.cumsum(np.bincount(first[ok] - s0, minlength=n) - np.bincount(last[ok] + 1 - s0, minlength=n))[: n - 1]
+    for edge in (0, len(y) - t):  # windows of x that reach beyond an end of y
+        held = np.nonzero((other == edge) & (other != starts + shift))[0]
+        if len(held):
+            inside = np.zeros(len(px) + 1, np.int64)
+            inside[i[(j >= edge) & (j < edge + t)] - lo + 1] = 1
+            inside = np.cumsum(inside)
+            common[held] = inside[held + t] - inside[held]
+    return common / (2 * t - common), other, True
+
+
+def matching_windows(x: np.ndarray, y: np.ndarray, runs: dict[str, np.ndarray], t: int, threshold: float):
+    """Of two texts' shingles and their candidate runs: each start's best similarity (-1 below the threshold) and other start, and the starts tried.
+
+    Runs with the same distance between their shared min-hashes are compared together.
+    """
+    n = len(x) - t + 1
+    best, place = np.full(n, -1.0), np.zeros(n, np.int64)
+    shift = min_places(y, runs["pair"], runs["ofirst"], t) - min_places(x, runs["pair"], runs["first"], t)
+    for d in np.unique(shift).tolist():
+        own = shift == d
+        first, last = runs["first"][own], runs["last"][own]
+        asked = covered(first, last, n)
+        common = np.full(n, float(t))  # what a window may have in common with the other's
+        for lo, hi in ranges(np.nonzero(asked & (best < 1.0))[0]):
+            found, other, exact = similarities(x, y, lo, hi, d, t, threshold)
+            better = np.nonzero((found >= threshold) & (found > best[lo : hi + 1]))[0]
+            best[lo + better], place[lo + better] = found[better], other[better]
+            if exact:
+                common[lo : hi + 1] = 2 * t * found / (1 + found)
+        held_within(x, y, first, last, runs["ofirst"][own], runs["olast"][own], d, t, threshold, common, best, place)
+    return best, place, covered(runs["first"], runs["last"], n)
+
+
+def held_within(x, y, first, last, ofirst, olast, shift: int, t: int, threshold: float, common, best, place) -> None:
+    """Windows without a match so far, with the nearest window of the other's run (text that turns round on itself has its match there).
+
+    A window that lies d further on has at most d more shingles in common, so few are compared.
+    """
+    size = last - first + 1
+    run = np.repeat(np.arange(len(first)), size)
+    s = np.arange(len(run)) - np.repeat(np.cumsum(size) - size, size) + first[run]
+    o = np.clip(s + shift, ofirst[run], olast[run])
+    away = np.abs(s + shift - o)
+    need = threshold * 2 * t / (1 + threshold) - 1e-9
+    ask = np.nonzero((best[s] < 0) & (away > 0) & (common[s] + away >= need))[0]
+    for a, b in sorted(set(zip(s[ask].tolist(), o[ask].tolist()))):
+        u, v = set(x[a : a + t].tolist()), set(y[b : b + t].tolist())
+        j = len(u & v) / len(u | v)
+        if j >= threshold and j > best[a]:
+            best[a], place[a] = j, b
+
+
+def prefix_islands(x: np.ndarray, y: np.ndarray, asked: np.ndarray, t: int, threshold: float):
+    """(key, first start, last start, weak) of the asked windows: their first shingles, those of the group's first document last.
 
     Sets of similarity ``threshold`` share one of the first n - c + 1 elements in any order that both use, c being
     the least they can have in common. A signature's group has one first run, so one order, and what all share with
-    it comes last. Two windows of t distinct shingles share more than a window with repeated ones may; the further
+    that run's document comes last. Two windows of t distinct shingles share more than a window with repeated ones may; the further
     keys that only such a window needs are ``weak``: they count if a row that is not weak has them too.
+    Successive windows with a key are one row.
     """
-    _, a1, a2, b1, b2 = run
-    part = x[a1 : a2 + t]
-    rank = (mix(part, 77) >> U(1)) | (np.isin(part, y[b1 : b2 + t]).astype(U) << U(63))
-    windows = np.sort(np.lib.stride_tricks.sliding_window_view(rank, t), axis=1)
+    rank = (mix(x, 77) >> U(1)) | (np.isin(x, y).astype(U) << U(63))
+    starts = np.nonzero(asked)[0]
+    if len(starts) > WINDOWS_AT_ONCE:  # of a long text: part by part
+        parts = []
+        for at in range(0, len(starts), WINDOWS_AT_ONCE):
+            own = starts[at : at + WINDOWS_AT_ONCE]
+            some = np.zeros(len(asked), bool)
+            some[own] = True
+            lo, hi = own[0], own[-1]
+            key, first, last, weak = prefix_islands(x[lo : hi + t], y, some[lo : hi + 1], t, threshold)
+            parts.append((key, first + lo, last + lo, weak))
+        return tuple(np.concatenate(c) for c in zip(*parts))
+    windows = np.sort(np.lib.stride_tricks.sliding_window_view(rank, t)[starts], axis=1)
     width = lambda n: n - int(np.ceil(threshold * n - 1e-9)) + 1
-    distinct = len(np.unique(part)) == len(part)
-    if distinct:
-        near = t - int(np.ceil(2 * t * threshold / (1 + threshold) - 1e-9)) + 1
-        parts = [(windows[:, :near].ravel(), np.repeat(np.arange(len(windows)), near), 0), (windows[:, near : width(t)].ravel(), np.repeat(np.arange(len(windows)), width(t) - near), 1)]
-    else:
-        each = [np.unique(w) for w in windows]
-        each = [w[: width(len(w))] for w in each]
-        keys, starts = np.concatenate(each), np.repeat(np.arange(len(each)), [len(w) for w in each])
-        parts = [(keys, starts, 0), (keys, starts, 1)]
-    for keys, starts, far in parts:
-        order = np.argsort(keys, kind="stable")
-        edge = np.nonzero(np.diff(keys[order]))[0]
-        first, last = order[np.concatenate(([0], edge + 1))], order[np.concatenate((edge, [len(keys) - 1]))]
-        yield mix(keys[first], 211 + far).view(np.int64), a1 + starts[first], a1 + starts[last], bool(far and distinct)
+    near = t - int(np.ceil(2 * t * threshold / (1 + threshold) - 1e-9)) + 1
+    distinct = ~(windows[:, 1:] == windows[:, :-1]).any(axis=1)
+    parts = [(windows[distinct, :near].ravel(), np.repeat(starts[distinct], near), 0, False), (windows[distinct, near : width(t)].ravel(), np.repeat(starts[distinct], width(t) - near), 1, True)]
+    for n in np.nonzero(~distinct)[0].tolist():
+        w = np.unique(windows[n])
+        w = w[: width(len(w))]
+        parts += [(w, np.full(len(w), starts[n]), far, False) for far in (0, 1)]
+    key = np.concatenate([mix(k, 211 + far) for k, _, far, _ in parts])
+    at = np.concatenate([a for _, a, _, _ in parts])
+    weak = np.concatenate([np.full(len(k), w) for k, _, _, w in parts])
+    order = np.lexsort((at, weak, key))
+    key, at, weak = key[order], at[order], weak[order]
+    new = np.nonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (weak[1:] != weak[:-1]) | (at[1:] > at[:-1] + 1))))[0] if len(key) else np.zeros(0, np.int64)
+    end = np.append(new[1:], len(key)) - 1
+    return key[new].view(np.int64), at[new], at[end] if len(new) else at[:0], weak[new]
 
 
 def ranges(starts) -> list[tuple[int, int]]:
-    """(first, last) of the runs of consecutive starts."""
-    at = np.array(sorted(starts), dtype=np.int64)
+    """(first, last) of the runs of consecutive starts, which are in order."""
+    at = np.asarray(starts, dtype=np.int64)
     if not len(at):
         return []
     cut = np.nonzero(np.diff(at) > 1)[0]
     return list(zip(at[np.concatenate(([0], cut + 1))].tolist(), at[np.concatenate((cut, [len(at) - 1]))].tolist()))
 
 
-def spans(hit: dict, t: int, k: int) -> list[tuple[int, int, int, float]]:
-    """Maximal runs (start word, words, other start word, similarity) of overlapping matching windows."""
-    out = []
-    for s in sorted(hit):
-        other, j = hit[s]
-        if out and s <= out[-1][0] + out[-1][1]:
-            first, words, o, low = out[-1]
-            out[-1] = (first, s + t + k - 1 - first, o, min(low, j))
-        else:
-            out.append((s, t + k - 1, other, j))
-    return out
+def spans(best: np.ndarray, place: np.ndarray, t: int, k: int):
+    """Maximal runs of overlapping matching windows: arrays (start word, words, other start word, similarity)."""
+    hit = np.nonzero(best >= 0)[0]
+    new = np.nonzero(np.concatenate(([True], np.diff(hit) > t + k - 1)))[0] if len(hit) else hit
+    last = hit[np.append(new[1:], len(hit)) - 1] if len(hit) else hit
+    return hit[new], last + t + k - 1 - hit[new], place[hit[new]], np.minimum.reduceat(best[hit], new) if len(hit) else best[:0]
 
 
 class Shingles:
@@ -309,6 +390,15 @@ class Shingles:
         return sh
 
 
+def doc_pairs(b: pa.RecordBatch, shingles: Shingles):
+    """(doc, other, their shingles, runs) of each row (doc, other, runs, text, other_text)."""
+    edge, fields = run_columns(b["runs"])
+    text, other_text = (b[c].cast(pa.binary()) for c in ("text", "other_text"))
+    for n, (doc, other) in enumerate(zip(b["doc"].to_pylist(), b["other"].to_pylist())):
+        own = {name: v[edge[n] : edge[n + 1]] for name, v in fields.items()}
+        yield doc, other, shingles.of(doc, text[n].as_py()), shingles.of(other, other_text[n].as_py()), own
+
+
 def verify(pairs: DataFrame, t: int, threshold: float, again: bool, k: int = SHINGLE_WORDS) -> DataFrame:
     """Spans of doc pairs (doc, other, runs, text, other_text).
 
@@ -317,32 +407,47 @@ def verify(pairs: DataFrame, t: int, threshold: float, again: bool, k: int = SHI
     """
     kinds = pa.schema([("doc_id", pa.int64()), ("other_doc_id", pa.int64()), ("start_word", pa.int32()), ("n_words", pa.int32()), ("other_start_word", pa.int32()), ("similarity", pa.float64()), ("kind", pa.int8()), ("sig", pa.int64()), ("pair", pa.int8()), ("content", pa.int64())])
 
+    def batch(kind: int, rows: list[dict]) -> pa.RecordBatch:
+        """One kind's rows, given as columns per doc pair; what is not given is null."""
+        n = sum(len(r["doc_id"]) for r in rows)
+        columns = {"kind": np.full(n, kind)} | {c: np.concatenate([r[c] for r in rows]) for c in (rows[0] if rows else ())}
+        return pa.RecordBatch.from_arrays([pa.array(columns[f.name]).cast(f.type) if f.name in columns else pa.nulls(n, f.type) for f in kinds], schema=kinds)
+
     def run(batches):
         shingles = Shingles(k)
         for b in batches:
-            rows = []
-            for doc, other, runs, text, other_text in zip(*(c.cast(pa.binary()).to_pylist() if pa.types.is_string(c.type) else c.to_pylist() for c in b.columns)):
-                x, y = shingles.of(doc, text), shingles.of(other, other_text)
-                places = [(r["pair"], r["first"], r["last"], r["ofirst"], r["olast"]) for r in runs]
-                hit, failed = matching_windows(x, y, places, t, threshold)
-                rows += [(doc, other, s, n, o, j, NEAR, None, None, None) for s, n, o, j in spans(hit, t, k)]
+            out = {kind: [] for kind in (NEAR, HIT, FAILED, CONTENT)}
+            for doc, other, x, y, runs in doc_pairs(b, shingles):
+                best, place, tried = matching_windows(x, y, runs, t, threshold)
+                start, words, other_start, low = spans(best, place, t, k)
+                mine = lambda n: np.full(n, doc, np.int64)  # noqa: B023, E731
+                out[NEAR].append({"doc_id": mine(len(start)), "other_doc_id": np.full(len(start), other, np.int64), "start_word": start, "n_words": words, "other_start_word": other_start, "similarity": low})
                 if not again:
                     continue
-                rows += [(doc, None, a, z, None, None, HIT, None, None, None) for a, z in ranges(hit)]
-                alone = set()
-                for r, place in zip(runs, places):
-                    if r["n"] < 3:
-                        continue
-                    here = [s for s in range(place[1], place[2] + 1) if s in failed]
-                    alone.update(here)
-                    rows += [(doc, None, a, z, place[1], None, FAILED, r["sig"], place[0], None) for a, z in ranges(here)]
-                if alone:
-                    at = np.array(sorted(alone))
-                    h = np.zeros(len(at), dtype=U)
-                    for i in range(t):
-                        h = h * U(P_WORD) + x[at + i]
-                    rows += [(doc, None, int(s), None, None, None, CONTENT, None, None, int(c)) for s, c in zip(at, mix(h).view(np.int64))]
-            yield pa.RecordBatch.from_arrays([pa.array(c, kd.type) for c, kd in zip(zip(*rows) if rows else [[]] * len(kinds), kinds)], schema=kinds)
+                hits = np.array(ranges(np.nonzero(best >= 0)[0]), np.int64).reshape(-1, 2)
+                out[HIT].append({"doc_id": mine(len(hits)), "start_word": hits[:, 0], "n_words": hits[:, 1]})
+                failed = tried & (best < 0)
+                fails = np.concatenate(([0], np.cumsum(failed)))
+                count = fails[runs["last"] + 1] - fails[runs["first"]]
+                more = np.nonzero((runs["n"] >= 3) & (count > 0))[0]
+                if not len(more):
+                    continue
+                first, last = runs["first"][more], runs["last"][more]
+                whole = count[more] == last - first + 1
+                parts = [(np.nonzero(whole)[0], first[whole], last[whole])]
+                for i in np.nonzero(~whole)[0].tolist():
+                    own = np.array(ranges(first[i] + np.nonzero(failed[first[i] : last[i] + 1])[0]), np.int64)
+                    parts.append((np.full(len(own), i), own[:, 0], own[:, 1]))
+                of, a, z = (np.concatenate([p[i] for p in parts]) for i in range(3))
+                out[FAILED].append({"doc_id": mine(len(of)), "start_word": a, "n_words": z, "other_start_word": first[of], "sig": runs["sig"][more][of], "pair": runs["pair"][more][of]})
+                at = np.nonzero(failed & covered(first, last, len(failed)))[0]
+                h = np.zeros(len(at), dtype=U)
+                for i in range(t):
+                    h = h * U(P_WORD) + x[at + i]
+                out[CONTENT].append({"doc_id": mine(len(at)), "start_word": at, "content": mix(h).view(np.int64)})
+            for kind, rows in out.items():
+                if rows:
+                    yield batch(kind, rows)
 
     return pairs.select("doc", "other", "runs", "text", "other_text").mapInArrow(run, FOUND)
 
@@ -355,14 +460,19 @@ def keys_of(pairs: DataFrame, t: int, threshold: float, k: int = SHINGLE_WORDS)
         shingles = Shingles(k)
         for b in batches:
             out = [[] for _ in kinds]
-            for doc, other, runs, text, other_text in zip(*(c.cast(pa.binary()).to_pylist() if pa.types.is_string(c.type) else c.to_pylist() for c in b.columns)):
-                x, y = shingles.of(doc, text), shingles.of(other, other_text)
-                for r in runs:
-                    for key, first, last, weak in prefix_keys(x, y, (r["pair"], r["first"], r["last"], r["ofirst"], r["olast"]), t, threshold):
-                        n = len(key)
-                        for column, v in zip(out, (np.full(n, r["sig"]), key, np.full(n, doc), np.full(n, r["first"]), first, last, np.full(n, weak))):
-                            column.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if c else [], kd.type) for c, kd in zip(out, kinds)], schema=kinds)
+            for doc, _, x, y, runs in doc_pairs(b, shingles):
+                lo, hi = int(runs["first"].min()), int(runs["last"].max())
+                asked = covered(runs["first"] - lo, runs["last"] - lo, hi - lo + 1)
+                key, first, last, weak = prefix_islands(x[lo : hi + t], y, asked, t, threshold)
+                first, last = first + lo, last + lo
+                some = max(1, WINDOWS_AT_ONCE * 64 // max(1, len(key)))  # runs that are met with all keys at a time
+                for at in range(0, len(runs["first"]), some):
+                    part = {name: v[at : at + some] for name, v in runs.items()}
+                    r, i = np.nonzero((first[None] <= part["last"][:, None]) & (last[None] >= part["first"][:, None]))
+                    rows = part["sig"][r], key[i], np.full(len(r), doc, np.int64), part["first"][r], np.maximum(first[i], part["first"][r]), np.minimum(last[i], part["last"][r]), weak[i]
+                    for column, v in zip(out, rows):
+                        column.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)).cast(kd.type) if c else pa.nulls(0, kd.type) for c, kd in zip(out, kinds)], schema=kinds)
 
     return pairs.select("doc", "other", "runs", "text", "other_text").mapInArrow(run, "sig long, content long, doc long, run int, first int, last int, weak boolean")
 
@@ -377,7 +487,7 @@ def still_open(failed: DataFrame, done: DataFrame) -> DataFrame:
             for doc, asked, gone in zip(*(c.to_pylist() for c in b.columns)):
                 gone = {s for g in gone or [] for s in range(g["first"], g["last"] + 1)}
                 for r in asked:
-                    left = ranges(s for s in range(r["first"], r["last"] + 1) if s not in gone)
+                    left = ranges([s for s in range(r["first"], r["last"] + 1) if s not in gone])
                     rows += [(doc, r["sig"], r["pair"], r["run"], a, z) for a, z in left]
             yield pa.RecordBatch.from_arrays([pa.array(c, kd.type) for c, kd in zip(zip(*rows) if rows else [[]] * len(kinds), kinds)], schema=kinds)
 
