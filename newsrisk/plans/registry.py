@@ -903,18 +903,19 @@ def _faulty_extract(spark, sf_dir):
     return path
 
 
-register("faulty_extract_clean", S.with_ctes(_DENSE_CLEAN, f"SELECT {_CLEAN_COLS} FROM clean"))(
+_SHORT = "SELECT * REPLACE (CAST(NULL AS BIGINT) AS TotalSources) FROM clean WHERE EventRootCode = '14'"  # null for the field they lack
+register("faulty_extract_clean", S.with_ctes(_DENSE_CLEAN, f"SELECT {_CLEAN_COLS} FROM (SELECT * FROM clean UNION ALL {_SHORT})"))(
     lambda spark, sf_dir: rounded(clean_events(readers.read_extract_csv(spark, _faulty_extract(spark, sf_dir)))))
 register(
     "faulty_extract_lines",
     S.with_ctes(_chain("dense", "extract"),
-                "SELECT 'events_daily_20240101_20240131.csv' AS file, CASE EventRootCode WHEN '14' THEN 8 ELSE 10 END AS fields, COUNT(*) AS n "
+                "SELECT 'events_daily_20240101_20240131.csv' AS file, CASE EventRootCode WHEN '14' THEN 8 ELSE 10 END AS fields, EventRootCode = '14' AS kept, COUNT(*) AS n "
                 "FROM extract WHERE EventRootCode IN ('14', '19') GROUP BY EventRootCode"),
-)(lambda spark, sf_dir: readers.faulty_lines(spark, _faulty_extract(spark, sf_dir)).groupBy("file", F.size(F.split("line", ",")).alias("fields")).agg(F.count("*").alias("n")))
+)(lambda spark, sf_dir: readers.faulty_lines(spark, _faulty_extract(spark, sf_dir)).groupBy("file", F.size(F.split("line", ",")).alias("fields"), "kept").agg(F.count("*").alias("n")))
 register(
     "faulty_extract_run_log",
     S.with_ctes(_chain("dense", "extract"),
-                "SELECT 'events_daily_20240101_20240131.csv' AS file, COUNT(*) AS \"rows\", CAST(MIN(SQLDATE) AS VARCHAR) AS min_sqldate, CAST(MAX(SQLDATE) AS VARCHAR) AS max_sqldate, "
+                "SELECT 'events_daily_20240101_20240131.csv' AS file, CAST(COUNT(*) + SUM(CASE EventRootCode WHEN '14' THEN 1 ELSE 0 END) AS BIGINT) AS \"rows\", CAST(MIN(SQLDATE) AS VARCHAR) AS min_sqldate, CAST(MAX(SQLDATE) AS VARCHAR) AS max_sqldate, "
                 "CAST(SUM(CASE WHEN EventRootCode IN ('14', '19') THEN 1 ELSE 0 END) AS BIGINT) AS faulty_lines FROM extract"),
 )(lambda spark, sf_dir: _ingested(spark, _faulty_extract(spark, sf_dir), "run_log").drop("run_timestamp"))
 

@@ -105,9 +105,10 @@ def latest_extract(spark: SparkSession, directory: str, by: str = "name", patter
 def read_extract_csv(spark: SparkSession, path: str) -> DataFrame:
     """Extract CSV with a fixed all-text schema (codes keep leading zeros; no inference pass).
 
-    Lines with too few or too many fields are left out: ``faulty_lines`` has them.
+    A line with too few fields has nulls for the rest; one with too many has no telling which are right and is left
+    out. ``faulty_lines`` has both kinds.
     """
-    return _extract_lines(spark, path).where(~_is_faulty()).drop(FAULTY_LINE)
+    return _extract_lines(spark, path).where(~(_is_faulty() & _too_many_fields())).drop(FAULTY_LINE)
 
 
 FAULTY_LINE = "_line"
@@ -126,10 +127,16 @@ def _is_faulty():
     return F.length(F.concat(date, F.coalesce(F.col(FAULTY_LINE), F.lit("")))) > F.length(date)
 
 
+def _too_many_fields():
+    """Whether a faulty line has more fields than columns (commas between quotes do not count)."""
+    plain = F.regexp_replace(FAULTY_LINE, '"[^"]*"', "")
+    return F.coalesce(F.size(F.split(plain, ",")) > len(EXTRACT_COLUMNS), F.lit(False))
+
+
 def faulty_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line) of an extract's lines that have not as many fields as the extract has columns."""
+    """(file, line, kept) of an extract's lines that have not as many fields as the extract has columns."""
     found = _extract_lines(spark, path).where(_is_faulty())
-    return found.select(F.regexp_extract(F.input_file_name(), r"([^/]+)/[^/]*$", 1).alias("file"), F.col(FAULTY_LINE).alias("line"))
+    return found.select(F.regexp_extract(F.input_file_name(), r"([^/]+)/[^/]*$", 1).alias("file"), F.col(FAULTY_LINE).alias("line"), (~_too_many_fields()).alias("kept"))
 
 
 def read_clean(spark: SparkSession, directory: str) -> DataFrame:

@@ -136,12 +136,13 @@ def test_faulty_lines_go_to_quarantine(spark, scratch):
     with open(f"{path.replace('file:', '')}/part-0.csv", "w") as f:
         f.write(",".join(readers.EXTRACT_COLUMNS) + "\n20240101,US,01,5,1.0,2.0,3,4,5\n20240101,US,02,5\n20240101,FR,03,5,1.0,2.0,3,4,5,6\n20240102,,04,,,,,,\n")
     good = readers.read_extract_csv(spark, path)
-    assert good.count() == 2 and sorted(r.EventRootCode for r in good.select("EventRootCode").collect()) == ["01", "04"]
+    assert good.count() == 3 and sorted(r.EventRootCode for r in good.select("EventRootCode").collect()) == ["01", "02", "04"]
+    assert good.where("EventRootCode = '02'").first().TotalSources is None
     out = ingest_extract(spark, Layout(scratch), path)
-    assert sorted(r.line for r in spark.read.parquet(out["quarantine"]).collect()) == ["20240101,FR,03,5,1.0,2.0,3,4,5,6", "20240101,US,02,5"]
+    assert sorted((r.line, r.kept) for r in spark.read.parquet(out["quarantine"]).collect()) == [("20240101,FR,03,5,1.0,2.0,3,4,5,6", False), ("20240101,US,02,5", True)]
     log = spark.read.parquet(out["run_log"]).first()
-    assert (log.rows, log.faulty_lines) == (2, 2)
-    assert spark.read.parquet(f"{out['quality']}/coverage").first().rows == 2
+    assert (log.rows, log.faulty_lines) == (3, 2)
+    assert spark.read.parquet(f"{out['quality']}/coverage").first().rows == 3
     assert spark.read.parquet(f"{out['quality']}/missing").where("column = 'CountryCode'").first().missing == 1
 
 
