@@ -15,8 +15,12 @@ verified on the texts: every window of t shingles of a run counts if its Jaccard
 other's window aligned at the shared min-hash is ``THRESHOLD`` or more. Windows that fail (their group's first run was another
 passage with the same signature) are grouped by their exact content, each with the first document
 that has it. What is open then is tried with every earlier run of the signature's group, hits included,
-that shares a prefix key: similar windows share one of the first shingles of each in one order of the
-group, in which the first run's document's shingles come last, so that a line all have makes no pairs. A window at similarity
+that shares a prefix key: similar windows share one of the first shingles of each in one order of all
+shingles, rare ones first (counted in hash buckets over the documents that have such a run), so that neither a
+line all have nor the words all edits of a passage kept make pairs. Keys that
+``PIVOT_AT`` runs or more have go first with ``PIVOTS`` runs, the first of each of so many hash parts of their
+documents: of many edits of a passage one of these is likely like the original there. Only windows still
+open then meet all earlier runs with their keys. A window at similarity
 0.8 shares a given pair with probability 0.64, one of five with 0.994, and a longer passage holds
 many windows.
 
@@ -44,7 +48,11 @@ THRESHOLD = 0.8
 PAIRS = 5
 CHUNK = 1 << 20  # bytes of text hashed at a time
 WINDOWS_AT_ONCE = 1 << 16
+RARITY_BITS = 20  # log2 of the hash buckets that shingles are counted in
 FILTER_BITS = 27  # log2 of the largest filter of shared signatures, in bits
+#: Open windows meet up to this many of the earliest runs with one of their prefix keys first, if PIVOT_AT runs or more have it.
+PIVOTS = 8
+PIVOT_AT = 16
 
 U = np.uint64
 # odd multipliers of the word, shingle and min-hash functions
@@ -317,16 +325,38 @@ def held_within(x, y, first, last, ofirst, olast, shift: int, t: int, threshold:
             best[a], place[a] = j, b
 
 
-def prefix_islands(x: np.ndarray, y: np.ndarray, asked: np.ndarray, t: int, threshold: float):
-    """(key, first start, last start, weak) of the asked windows: their first shingles, those of the group's first document last.
+def shingle_classes(texts: DataFrame, bits: int = RARITY_BITS, k: int = SHINGLE_WORDS) -> np.ndarray:
+    """Each hash bucket's class: the logarithm of how many shingles of all ``texts`` (doc, text) fall into it."""
+
+    def run(batches):
+        hasher = Words()
+        for b in batches:
+            n = np.zeros(1 << bits, dtype=np.int64)
+            for text in b.column(0).cast(pa.binary()).to_pylist():
+                np.add.at(n, (shingle_hashes(hasher.of(text), k) >> U(64 - bits)).astype(np.int64), 1)
+            at = np.nonzero(n)[0]
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(n[at])], names=["bucket", "n"])
+
+    counts = texts.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # at most 2^bits rows
+    out = np.zeros(1 << bits, dtype=np.uint8)
+    out[counts.column(0).to_numpy()] = np.log2(counts.column(1).to_numpy() + 1.0)
+    return out
+
+
+def rarity_rank(x: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """The order of shingles: by the class of their bucket, then by a hash."""
+    bits = len(classes).bit_length() - 1
+    return (classes[(x >> U(64 - bits)).astype(np.int64)].astype(U) << U(58)) | (mix(x, 77) >> U(6))
+
+
+def prefix_islands(rank: np.ndarray, asked: np.ndarray, t: int, threshold: float):
+    """(key, first start, last start, weak) of the asked windows: their first shingles in the order of ``rank``.
 
     Sets of similarity ``threshold`` share one of the first n - c + 1 elements in any order that both use, c being
-    the least they can have in common. A signature's group has one first run, so one order, and what all share with
-    that run's document comes last. Two windows of t distinct shingles share more than a window with repeated ones may; the further
-    keys that only such a window needs are ``weak``: they count if a row that is not weak has them too.
+    the least they can have in common. Two windows of t distinct shingles share more than a window with repeated ones may; the further
+    keys that only such a window needs are ``weak``: they count in pairs with a row that is not weak.
     Successive windows with a key are one row.
     """
-    rank = (mix(x, 77) >> U(1)) | (np.isin(x, y).astype(U) << U(63))
     starts = np.nonzero(asked)[0]
     if len(starts) > WINDOWS_AT_ONCE:  # of a long text: part by part
         parts = []
@@ -335,7 +365,7 @@ def prefix_islands(x: np.ndarray, y: np.ndarray, asked: np.ndarray, t: int, thre
             some = np.zeros(len(asked), bool)
             some[own] = True
             lo, hi = own[0], own[-1]
-            key, first, last, weak = prefix_islands(x[lo : hi + t], y, some[lo : hi + 1], t, threshold)
+            key, first, last, weak = prefix_islands(rank[lo : hi + t], some[lo : hi + 1], t, threshold)
             parts.append((key, first + lo, last + lo, weak))
         return tuple(np.concatenate(c) for c in zip(*parts))
     windows = np.sort(np.lib.stride_tricks.sliding_window_view(rank, t)[starts], axis=1)
@@ -452,18 +482,22 @@ def verify(pairs: DataFrame, t: int, threshold: float, again: bool, k: int = SHI
     return pairs.select("doc", "other", "runs", "text", "other_text").mapInArrow(run, FOUND)
 
 
-def keys_of(pairs: DataFrame, t: int, threshold: float, k: int = SHINGLE_WORDS) -> DataFrame:
-    """(sig, content, doc, run, first, last, weak) of doc pairs (doc, other, runs, text, other_text): all runs' prefix keys."""
+def keys_of(held: DataFrame, classes: np.ndarray, t: int, threshold: float, k: int = SHINGLE_WORDS) -> DataFrame:
+    """(sig, content, doc, run, first, last, weak) of documents (doc, runs, text): all runs' prefix keys."""
+    sent = held.sparkSession.sparkContext.broadcast(classes)
     kinds = pa.schema([("sig", pa.int64()), ("content", pa.int64()), ("doc", pa.int64()), ("run", pa.int32()), ("first", pa.int32()), ("last", pa.int32()), ("weak", pa.bool_())])
 
     def run(batches):
-        shingles = Shingles(k)
+        hasher = Words()
         for b in batches:
             out = [[] for _ in kinds]
-            for doc, _, x, y, runs in doc_pairs(b, shingles):
+            edge, fields = run_columns(b["runs"])
+            for n, (doc, text) in enumerate(zip(b["doc"].to_pylist(), b["text"].cast(pa.binary()).to_pylist())):
+                runs = {name: v[edge[n] : edge[n + 1]] for name, v in fields.items()}
+                rank = rarity_rank(shingle_hashes(hasher.of(text), k), sent.value)
                 lo, hi = int(runs["first"].min()), int(runs["last"].max())
                 asked = covered(runs["first"] - lo, runs["last"] - lo, hi - lo + 1)
-                key, first, last, weak = prefix_islands(x[lo : hi + t], y, asked, t, threshold)
+                key, first, last, weak = prefix_islands(rank[lo : hi + t], asked, t, threshold)
                 first, last = first + lo, last + lo
                 some = max(1, WINDOWS_AT_ONCE * 64 // max(1, len(key)))  # runs that are met with all keys at a time
                 for at in range(0, len(runs["first"]), some):
@@ -474,7 +508,7 @@ def keys_of(pairs: DataFrame, t: int, threshold: float, k: int = SHINGLE_WORDS)
                         column.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)).cast(kd.type) if c else pa.nulls(0, kd.type) for c, kd in zip(out, kinds)], schema=kinds)
 
-    return pairs.select("doc", "other", "runs", "text", "other_text").mapInArrow(run, "sig long, content long, doc long, run int, first int, last int, weak boolean")
+    return held.select("doc", "runs", "text").mapInArrow(run, "sig long, content long, doc long, run int, first int, last int, weak boolean")
 
 
 def still_open(failed: DataFrame, done: DataFrame) -> DataFrame:
@@ -496,6 +530,33 @@ def still_open(failed: DataFrame, done: DataFrame) -> DataFrame:
     return a.join(g, "doc", "left").select("doc", "asked", "gone").mapInArrow(run, "doc long, sig long, pair byte, run int, first int, last int")
 
 
+TRIED = ("first", "last", "ofirst", "olast")
+
+
+def asking_of(keys: DataFrame, left: DataFrame) -> DataFrame:
+    """(sig, content, doc, run, pair, first, last, weak), written: the prefix keys of the open windows ``left``."""
+    x = keys.alias("x").join(left.alias("y"), ["doc", "sig", "run"]).where("x.first <= y.last and y.first <= x.last")
+    return write_table(x.select("sig", "content", "doc", "run", "pair", F.greatest("x.first", "y.first").alias("first"), F.least("x.last", "y.last").alias("last"), "weak"), "asking")
+
+
+def key_pivots(keys: DataFrame, pivots: int = PIVOTS, pivot_at: int = PIVOT_AT) -> DataFrame:
+    """(sig, content, other, orun, ofirst, olast, oweak), written: of the keys that ``pivot_at`` runs have the first run of each of ``pivots`` parts."""
+    part = F.pmod(F.xxhash64("doc"), F.lit(pivots)).alias("part")
+    by_part = keys.groupBy("sig", "content", part).agg(F.min(F.struct("doc", "run", "first", "last", "weak")).alias("o"), F.count("*").alias("n"))
+    by_key = by_part.groupBy("sig", "content").agg(F.collect_list("o").alias("o"), F.sum("n").alias("n")).where(F.col("n") >= pivot_at)  # at most `pivots`
+    of = by_key.select("sig", "content", F.explode("o").alias("o"))
+    return write_table(of.select("sig", "content", F.col("o.doc").alias("other"), F.col("o.run").alias("orun"), F.col("o.first").alias("ofirst"), F.col("o.last").alias("olast"), F.col("o.weak").alias("oweak")), "pivots")
+
+
+def pairs_on_keys(asking: DataFrame, answer: DataFrame) -> DataFrame:
+    """(doc, other, runs), written: runs of ``asking`` with the earlier documents' runs of ``answer`` that share a key (not a weak one of both: two windows of distinct shingles share one of the others)."""
+    met = asking.join(answer, ["sig", "content"]).where("other < doc and not (weak and oweak)").groupBy("doc", "other", "sig", "pair", "run", "orun")
+    met = met.agg(*(f(c).alias(c) for f, c in zip((F.min, F.max, F.min, F.max), TRIED)))
+    # verify() gives failed windows of runs whose group (n) has more members: none here
+    run = F.struct("pair", *TRIED, F.lit(0).cast("long").alias("sig"), F.lit(0).cast("long").alias("n"))
+    return write_table(met.groupBy("doc", "other").agg(F.collect_set(run).alias("runs")), "late_pairs")
+
+
 def with_texts(grouped: DataFrame, texts: DataFrame) -> DataFrame:
     """``grouped`` (doc, other, runs), a written table, with text and other_text."""
     wanted = write_table(grouped.select("doc").unionByName(grouped.select(F.col("other").alias("doc"))).distinct(), "wanted_docs")
@@ -538,17 +599,19 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, threshold: fl
     left = write_table(still_open(failed, done), "still_open")
     sigs = checked_broadcast(write_table(left.select("sig").distinct(), "open_sigs"), 24)
     runs = grouped.select("doc", "other", F.explode("runs").alias("r")).withColumn("sig", F.col("r.sig")).join(sigs, "sig", "left_semi")
-    runs = write_table(runs.groupBy("doc", "other").agg(F.collect_list("r").alias("runs")), "open_groups")
-    keys = write_table(keys_of(with_texts(runs, texts), t, threshold), "keys")
+    runs = runs.groupBy("doc").agg(F.collect_list(F.struct("r.sig", "r.first", "r.last")).alias("runs"))
+    runs = write_table(runs, "open_groups")
+    held = write_table(runs.join(texts, "doc"), "open_texts")
+    keys = write_table(keys_of(held, shingle_classes(held), t, threshold), "keys")
     live = keys.groupBy("sig", "content").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.bool_and("weak").alias("weak")).where("lo < hi and not weak").select("sig", "content")
-    keys = write_table(keys.join(write_table(live, "live_keys"), ["sig", "content"]).drop("weak"), "met_keys")
-    asking = keys.alias("x").join(left.alias("y"), ["doc", "sig", "run"]).where("x.first <= y.last and y.first <= x.last")
-    asking = asking.select("sig", "content", "doc", "run", "pair", F.greatest("x.first", "y.first").alias("first"), F.least("x.last", "y.last").alias("last"))
-    answer = keys.select("sig", "content", F.col("doc").alias("other"), F.col("run").alias("orun"), F.col("first").alias("ofirst"), F.col("last").alias("olast"))
-    tried = write_table(asking, "asking").join(answer, ["sig", "content"]).where("other < doc").groupBy("doc", "other", "sig", "pair", "run", "orun")
-    tried = tried.agg(*(f(c).alias(c) for f, c in ((F.min, "first"), (F.max, "last"), (F.min, "ofirst"), (F.max, "olast"))))
-    tried = tried.groupBy("doc", "other").agg(F.collect_set(F.struct("pair", "first", "last", "ofirst", "olast")).alias("runs"))
-    late = write_table(verify(with_texts(write_table(tried, "late_pairs"), texts), t, threshold, False), "late").select(*columns)
+    keys = write_table(keys.join(write_table(live, "live_keys"), ["sig", "content"]), "met_keys")
+    pivots = checked_broadcast(key_pivots(keys), 64)
+    late = write_table(verify(with_texts(pairs_on_keys(asking_of(keys, left), pivots), texts), t, threshold, True), "found_by_pivots")
+    hits = late.where(F.col("kind") == HIT).select(*span, F.col("n_words").alias("last"))
+    asking = asking_of(keys, write_table(still_open(left, hits), "open_after_pivots"))
+    answer = keys.select("sig", "content", F.col("doc").alias("other"), F.col("run").alias("orun"), F.col("first").alias("ofirst"), F.col("last").alias("olast"), F.col("weak").alias("oweak"))
+    last = write_table(verify(with_texts(pairs_on_keys(asking, answer), texts), t, threshold, False), "late")
+    late = late.where(F.col("kind") == NEAR).select(*columns).unionByName(last.select(*columns))
     sized = F.size(F.array_remove(F.split(F.col("text"), r"[ \t\n\x0b\f\r]+"), ""))
     firsts = copies.select(F.col("of").alias("doc")).distinct()
     lengths = write_table(texts.join(checked_broadcast(write_table(firsts, "firsts"), 24), "doc", "left_semi").select("doc", sized.alias("n_words")).where(F.col("n_words") >= min_words), "lengths")
