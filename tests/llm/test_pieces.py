@@ -127,6 +127,25 @@ def test_memory_does_not_change_results(spark, vocabulary, monkeypatch):
         assert trie.count([words]) == free.count([words]) == [len(want)]
 
 
+def test_a_batch_is_encoded_in_slices(spark, vocabulary, monkeypatch):
+    texts = ["", None, "one two", "é" * 40, None, "x " * 30, "", "end"]
+    column = C.pa.array(texts)
+    assert list(C.slices(column, 1 << 20)) == [(0, 8)] and list(C.slices(column.slice(0, 0), 9)) == []
+    cut = list(C.slices(column, 64))
+    assert len(cut) > 2 and [first for first, _ in cut] == [sum(n for _, n in cut[:k]) for k in range(len(cut))] and sum(n for _, n in cut) == 8
+    small, whole = C.Encoder(vocabulary), C.Encoder(vocabulary)
+    monkeypatch.setattr(C, "MEMO_CHARACTERS", 20)
+    for t in [t for t in texts if t] * 2:  # the memory begins anew, and holds no more than a slice beyond its bound
+        small.encode(t)
+        assert small.paths.characters <= 20 + len(t) + 1
+    given = [t for t in texts if t is not None]
+    ids, sizes, scores = whole.encode_all(given)
+    assert sum(sizes) == len(ids)
+    for k, t in enumerate(given):
+        one, score = small.encode(t)
+        assert ids[sum(sizes[:k]) : sum(sizes[: k + 1])].tolist() == one.tolist() and scores[k] == score
+
+
 def test_awkward_documents(spark):
     rows = awkward()
     docs = frame(spark, rows)
