@@ -59,6 +59,12 @@ U = np.uint64
 P_BYTE, P_WORD = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
+SPACE_BYTES = SPACE.tobytes()
+#: Signatures are counted in 2^BUCKET_BITS parts, of up to SIGS_AT_ONCE signatures of a task at a time.
+BUCKET_BITS = 10
+SIGS_AT_ONCE = 1 << 21
+#: Starts per block in which keys meet the runs of their text.
+BLOCK = 128
 
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -82,10 +88,12 @@ class Words:
         x = np.frombuffer(data, dtype=np.uint8)
         if len(x) > len(self.up):
             self.grow(len(x))
-        space = SPACE[x]
-        edge = np.diff(np.concatenate(([True], space, [True])).astype(np.int8))
-        start, end = np.nonzero(edge == -1)[0], np.nonzero(edge == 1)[0]
-        total = np.concatenate(([U(0)], np.cumsum((x.astype(U) + U(1)) * self.up[: len(x)])))
+        space = np.frombuffer(data.translate(SPACE_BYTES), dtype=bool)
+        edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+        edge = np.concatenate(([0] if len(x) and not space[0] else [], edge, [len(x)] if len(x) and not space[-1] else [])).astype(np.int64)
+        start, end = edge[::2], edge[1::2]
+        total = np.zeros(len(x) + 1, dtype=U)
+        np.cumsum((x.astype(U) + U(1)) * self.up[: len(x)], out=total[1:])
         return mix((total[end] - total[start]) * self.down[start] + (end - start).astype(U)), start
 
     def of(self, data: bytes) -> np.ndarray:
@@ -159,39 +167,77 @@ def signature_filter(sigs: DataFrame) -> np.ndarray | None:
     return out
 
 
+def chunk_runs(batches, t: int, pairs: int, k: int):
+    """(ids, pair, signatures, index into ids, first, last) of the runs of the texts (doc, text) of Arrow batches, chunk by chunk."""
+    hasher = Words()
+    for b in batches:
+        ids, data = b.column(0).to_numpy(), b.column(1).cast(pa.binary()).to_pylist()
+        at = 0
+        while at < len(data):
+            end, size = at + 1, len(data[at])
+            while end < len(data) and size + len(data[end]) + 1 < CHUNK:
+                size += len(data[end]) + 1
+                end += 1
+            words, counts = hasher.many(data[at:end])
+            edges = np.concatenate(([0], np.cumsum(counts)))
+            text = np.repeat(np.arange(len(counts)), counts)
+            sh = shingle_hashes(words, k)
+            owner = np.where(text[: len(sh)] == text[k - 1 :], text[: len(sh)], -1)
+            for p, sig, own, first, last in signed_runs(sh, owner, t, pairs):
+                yield ids, p, sig, at + own, first - edges[own], last - edges[own]
+            at = end
+
+
 def signature_rows(texts: DataFrame, t: int, pairs: int = PAIRS, k: int = SHINGLE_WORDS, keep: np.ndarray | None = None) -> DataFrame:
     """(sig, pair, doc, first, last) of all runs of all texts; with ``keep`` of those in a signature_filter."""
     sent = None if keep is None else texts.sparkSession.sparkContext.broadcast(keep)
     kinds = pa.schema([("sig", pa.int64()), ("pair", pa.int8()), ("doc", pa.int64()), ("first", pa.int32()), ("last", pa.int32())])
 
     def run(batches):
-        hasher = Words()
-        for b in batches:
-            ids, data = b.column(0).to_numpy(), b.column(1).cast(pa.binary()).to_pylist()
-            at = 0
-            while at < len(data):
-                end, size = at + 1, len(data[at])
-                while end < len(data) and size + len(data[end]) + 1 < CHUNK:
-                    size += len(data[end]) + 1
-                    end += 1
-                words, counts = hasher.many(data[at:end])
-                edges = np.concatenate(([0], np.cumsum(counts)))
-                text = np.repeat(np.arange(len(counts)), counts)
-                sh = shingle_hashes(words, k)
-                owner = np.where(text[: len(sh)] == text[k - 1 :], text[: len(sh)], -1)
-                for p, sig, own, first, last in signed_runs(sh, owner, t, pairs):
-                    if sent is not None:
-                        held = sent.value
-                        at_bit = np.nonzero(held[(sig >> U(6)) & U(len(held) - 1)] >> (sig & U(63)) & U(1))[0]
-                        sig, own, first, last = sig[at_bit], own[at_bit], first[at_bit], last[at_bit]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(sig.view(np.int64)), pa.array(np.full(len(sig), p, np.int8)), pa.array(ids[at + own]), pa.array((first - edges[own]).astype(np.int32)), pa.array((last - edges[own]).astype(np.int32))], schema=kinds
-                    )
-                at = end
+        for ids, p, sig, own, first, last in chunk_runs(batches, t, pairs, k):
+            if sent is not None:
+                held = sent.value
+                at_bit = np.nonzero(held[(sig >> U(6)) & U(len(held) - 1)] >> (sig & U(63)) & U(1))[0]
+                sig, own, first, last = sig[at_bit], own[at_bit], first[at_bit], last[at_bit]
+            yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(np.full(len(sig), p, np.int8)), pa.array(ids[own]), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32))], schema=kinds)
 
     return texts.mapInArrow(run, "sig long, pair byte, doc long, first int, last int")
 
 
+def repeated_signatures(texts: DataFrame, t: int, pairs: int = PAIRS, k: int = SHINGLE_WORDS) -> DataFrame:
+    """(sig) of the signatures that two runs or more have.
+
+    A task sends its signatures as sorted lists, one for each bucket of their leading bits (what it has twice or
+    more, twice), so that the shuffle moves 8 bytes for each; a bucket's lists are sorted together.
+    """
+
+    def lists(parts: list[np.ndarray]) -> pa.RecordBatch:
+        sig, n = np.unique(np.concatenate(parts), return_counts=True)
+        sig = np.repeat(sig, np.minimum(n, 2))
+        bucket = np.arange(1 << BUCKET_BITS)
+        edge = np.append(np.searchsorted(sig, bucket.astype(U) << U(64 - BUCKET_BITS)), len(sig))
+        held = np.nonzero(np.diff(edge))[0]
+        sigs = pa.ListArray.from_arrays(pa.array(np.append(edge[held], len(sig)).astype(np.int32)), pa.array(sig.view(np.int64)))
+        return pa.RecordBatch.from_arrays([pa.array(bucket[held].astype(np.int32)), sigs], names=["bucket", "sigs"])
+
+    def run(batches):
+        parts, size = [], 0
+        for _, _, sig, *_ in chunk_runs(batches, t, pairs, k):
+            parts.append(sig)
+            size += len(sig)
+            if size >= SIGS_AT_ONCE:
+                yield lists(parts)
+                parts, size = [], 0
+        if size:
+            yield lists(parts)
+
+    def repeated(bucket: pa.Table) -> pa.Table:
+        sig = np.sort(np.concatenate([c.flatten().to_numpy() for c in bucket["sigs"].chunks]))
+        return pa.table({"sig": np.unique(sig[1:][sig[1:] == sig[:-1]])})
+
+    return texts.mapInArrow(run, "bucket int, sigs array<long>").groupBy("bucket").applyInArrow(repeated, "sig long")
+
+
 def distinct_texts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(texts, copies): one document per text (doc, text), and (doc, of) of the others."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").where("doc is not null and text is not null")
@@ -215,10 +261,10 @@ NEAR, HIT, FAILED, CONTENT = range(4)
 
 
 def run_columns(column) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-    """Offsets and fields of an Arrow column of lists of runs."""
+    """Offsets and fields of an Arrow column of lists of runs (none for a null)."""
     values = column.flatten()
     fields = {f.name: v.to_numpy(zero_copy_only=False).astype(np.int64) for f, v in zip(values.type, values.flatten())}
-    return np.concatenate(([0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False)))), fields
+    return np.concatenate(([0], np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)))), fields
 
 
 def min_places(x: np.ndarray, pair: np.ndarray, first: np.ndarray, t: int) -> np.ndarray:
@@ -236,11 +282,28 @@ def covered(first: np.ndarray, last: np.ndarray, n: int) -> np.ndarray:
     return np.cumsum(np.bincount(first, minlength=n + 1) - np.bincount(last + 1, minlength=n + 1))[:n] > 0
 
 
+def first_of_equals(rows: np.ndarray) -> np.ndarray:
+    """Where a value of sorted rows is not the one before it."""
+    return np.concatenate((np.ones((len(rows), 1), bool), rows[:, 1:] != rows[:, :-1]), axis=1)
+
+
+def set_similarities(x: np.ndarray, a: np.ndarray, y: np.ndarray, b: np.ndarray, t: int) -> np.ndarray:
+    """Jaccard similarities of the sets of t shingles that start in x at ``a`` and in y at ``b``."""
+    out = np.zeros(len(a))
+    of_x, of_y = (np.lib.stride_tricks.sliding_window_view(z, t) for z in (x, y))
+    for at in range(0, len(a), WINDOWS_AT_ONCE // 8):
+        part = slice(at, at + WINDOWS_AT_ONCE // 8)
+        u, v = of_x[a[part]], of_y[b[part]]
+        n, m, either = (first_of_equals(np.sort(rows, axis=1)).sum(axis=1) for rows in (u, v, np.concatenate((u, v), axis=1)))
+        out[part] = (n + m - either) / either
+    return out
+
+
 def similarities(x: np.ndarray, y: np.ndarray, lo: int, hi: int, shift: int, t: int, threshold: float) -> tuple[np.ndarray, np.ndarray, bool]:
     """Of the windows of x that start at lo..hi the Jaccard similarity with y's window ``shift`` further on (held within y), its start, and whether no shingle repeats.
 
     Windows below the threshold may be given 0. A shingle of x at i that y has at j is common to the windows
-    that hold both: a range of starts. Windows with repeated shingles are compared as sets, one by one.
+    that hold both: a range of starts. Windows with repeated shingles are compared as sets.
     """
     starts = np.arange(lo, hi + 1)
     other = np.clip(starts + shift, 0, len(y) - t)
@@ -258,9 +321,8 @@ def similarities(x: np.ndarray, y: np.ndarray, lo: int, hi: int, shift: int, t:
         shared = np.cumsum(shared)
         out = np.zeros(len(starts))
         own = np.concatenate(([0], np.cumsum(np.isin(px, ranked[1:][ranked[1:] == ranked[:-1]]))))
-        for n in np.nonzero((shared[t:] - shared[:-t] >= threshold * t) | (own[t:] > own[:-t]))[0].tolist():
-            a, b = set(x[lo + n : lo + n + t].tolist()), set(y[other[n] : other[n] + t].tolist())
-            out[n] = len(a & b) / len(a | b)
+        ask = np.nonzero((shared[t:] - shared[:-t] >= threshold * t) | (own[t:] > own[:-t]))[0]
+        out[ask] = set_similarities(x, lo + ask, y, other[ask], t)
         return out, other, False
     j = order[at[i]] + other[0]
     i = i + lo
@@ -283,18 +345,58 @@ def similarities(x: np.ndarray, y: np.ndarray, lo: int, hi: int, shift: int, t:
     return common / (2 * t - common), other, True
 
 
+def may_be_similar(x: np.ndarray, y: np.ndarray, asked: np.ndarray, t: int, threshold: float) -> np.ndarray:
+    """Which of the asked windows of x may be similar to a window of y.
+
+    A window of t distinct shingles must share threshold * t of them, and more if y has no shingle twice; one
+    with a repeated shingle may always be.
+    """
+    out = np.zeros(len(asked), bool)
+    starts = np.nonzero(asked)[0]
+    if not len(starts):
+        return out
+    lo, n = starts[0], starts[-1] - starts[0] + 1
+    px, ordered = x[lo : lo + n + t - 1], np.sort(y)
+    missing = np.concatenate(([0], np.cumsum(ordered[np.minimum(np.searchsorted(ordered, px), len(y) - 1)] != px)))
+    need = threshold * t if (ordered[1:] == ordered[:-1]).any() else 2 * t * threshold / (1 + threshold)
+    may = missing[t:] - missing[:-t] <= t - int(np.ceil(need - 1e-9))
+    ranked = np.sort(px)
+    if (ranked[1:] == ranked[:-1]).any():
+        order = np.argsort(px, kind="stable")
+        same = px[order[1:]] == px[order[:-1]]
+        i, j = order[:-1][same], order[1:][same]
+        first, last = np.maximum(j - t + 1, 0), np.minimum(i, n - 1)
+        may |= covered(first[first <= last], last[first <= last], n)
+    out[lo : lo + n] = may
+    return out & asked
+
+
+def window_hashes(x: np.ndarray, at: np.ndarray, t: int) -> np.ndarray:
+    """A hash of each window of t shingles that starts in ``at``, by prefix sums of a polynomial and its inverse powers."""
+    lo = at[0]
+    px, at = x[lo : at[-1] + t], at - lo
+    up, down = (np.cumprod(np.concatenate(([U(1)], np.full(len(px) - 1, p, dtype=U)))) for p in (P_WORD, pow(P_WORD, -1, 1 << 64)))
+    total = np.concatenate(([U(0)], np.cumsum(px * down)))
+    return mix((total[at + t] - total[at]) * up[at + t - 1])
+
+
 def matching_windows(x: np.ndarray, y: np.ndarray, runs: dict[str, np.ndarray], t: int, threshold: float):
     """Of two texts' shingles and their candidate runs: each start's best similarity (-1 below the threshold) and other start, and the starts tried.
 
-    Runs with the same distance between their shared min-hashes are compared together.
+    Runs with the same distance between their shared min-hashes are compared together. Windows that no window of y can be like are left out.
     """
     n = len(x) - t + 1
     best, place = np.full(n, -1.0), np.zeros(n, np.int64)
+    tried = covered(runs["first"], runs["last"], n)
+    may = may_be_similar(x, y, tried, t, threshold)
+    count = np.concatenate(([0], np.cumsum(may)))
+    some = count[runs["last"] + 1] > count[runs["first"]]
+    runs = {name: v[some] for name, v in runs.items()}
     shift = min_places(y, runs["pair"], runs["ofirst"], t) - min_places(x, runs["pair"], runs["first"], t)
     for d in np.unique(shift).tolist():
         own = shift == d
         first, last = runs["first"][own], runs["last"][own]
-        asked = covered(first, last, n)
+        asked = covered(first, last, n) & may
         common = np.full(n, float(t))  # what a window may have in common with the other's
         for lo, hi in ranges(np.nonzero(asked & (best < 1.0))[0]):
             found, other, exact = similarities(x, y, lo, hi, d, t, threshold)
@@ -302,11 +404,11 @@ def matching_windows(x: np.ndarray, y: np.ndarray, runs: dict[str, np.ndarray],
             best[lo + better], place[lo + better] = found[better], other[better]
             if exact:
                 common[lo : hi + 1] = 2 * t * found / (1 + found)
-        held_within(x, y, first, last, runs["ofirst"][own], runs["olast"][own], d, t, threshold, common, best, place)
-    return best, place, covered(runs["first"], runs["last"], n)
+        held_within(x, y, first, last, runs["ofirst"][own], runs["olast"][own], d, t, threshold, common, best, place, may)
+    return best, place, tried
 
 
-def held_within(x, y, first, last, ofirst, olast, shift: int, t: int, threshold: float, common, best, place) -> None:
+def held_within(x, y, first, last, ofirst, olast, shift: int, t: int, threshold: float, common, best, place, may) -> None:
     """Windows without a match so far, with the nearest window of the other's run (text that turns round on itself has its match there).
 
     A window that lies d further on has at most d more shingles in common, so few are compared.
@@ -317,12 +419,12 @@ def held_within(x, y, first, last, ofirst, olast, shift: int, t: int, threshold:
     o = np.clip(s + shift, ofirst[run], olast[run])
     away = np.abs(s + shift - o)
     need = threshold * 2 * t / (1 + threshold) - 1e-9
-    ask = np.nonzero((best[s] < 0) & (away > 0) & (common[s] + away >= need))[0]
-    for a, b in sorted(set(zip(s[ask].tolist(), o[ask].tolist()))):
-        u, v = set(x[a : a + t].tolist()), set(y[b : b + t].tolist())
-        j = len(u & v) / len(u | v)
-        if j >= threshold and j > best[a]:
-            best[a], place[a] = j, b
+    ask = np.nonzero((best[s] < 0) & may[s] & (away > 0) & (common[s] + away >= need))[0]
+    a, b = np.divmod(np.unique(s[ask] * len(y) + o[ask]), len(y))
+    j = set_similarities(x, a, y, b, t)
+    for i in np.nonzero(j >= threshold)[0].tolist():
+        if j[i] > best[a[i]]:
+            best[a[i]], place[a[i]] = j[i], b[i]
 
 
 def shingle_classes(texts: DataFrame, bits: int = RARITY_BITS, k: int = SHINGLE_WORDS) -> np.ndarray:
@@ -369,14 +471,15 @@ def prefix_islands(rank: np.ndarray, asked: np.ndarray, t: int, threshold: float
             parts.append((key, first + lo, last + lo, weak))
         return tuple(np.concatenate(c) for c in zip(*parts))
     windows = np.sort(np.lib.stride_tricks.sliding_window_view(rank, t)[starts], axis=1)
-    width = lambda n: n - int(np.ceil(threshold * n - 1e-9)) + 1
+    width = lambda n: n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1
     near = t - int(np.ceil(2 * t * threshold / (1 + threshold) - 1e-9)) + 1
     distinct = ~(windows[:, 1:] == windows[:, :-1]).any(axis=1)
     parts = [(windows[distinct, :near].ravel(), np.repeat(starts[distinct], near), 0, False), (windows[distinct, near : width(t)].ravel(), np.repeat(starts[distinct], width(t) - near), 1, True)]
-    for n in np.nonzero(~distinct)[0].tolist():
-        w = np.unique(windows[n])
-        w = w[: width(len(w))]
-        parts += [(w, np.full(len(w), starts[n]), far, False) for far in (0, 1)]
+    if not distinct.all():  # the first keys of each of the others, without repeats
+        others = windows[~distinct]
+        place = np.cumsum(first_of_equals(others), axis=1)
+        row, column = np.nonzero(first_of_equals(others) & (place <= width(place[:, -1])[:, None]))
+        parts += [(others[row, column], starts[~distinct][row], far, False) for far in (0, 1)]
     key = np.concatenate([mix(k, 211 + far) for k, _, far, _ in parts])
     at = np.concatenate([a for _, a, _, _ in parts])
     weak = np.concatenate([np.full(len(k), w) for k, _, _, w in parts])
@@ -471,10 +574,7 @@ def verify(pairs: DataFrame, t: int, threshold: float, again: bool, k: int = SHI
                 of, a, z = (np.concatenate([p[i] for p in parts]) for i in range(3))
                 out[FAILED].append({"doc_id": mine(len(of)), "start_word": a, "n_words": z, "other_start_word": first[of], "sig": runs["sig"][more][of], "pair": runs["pair"][more][of]})
                 at = np.nonzero(failed & covered(first, last, len(failed)))[0]
-                h = np.zeros(len(at), dtype=U)
-                for i in range(t):
-                    h = h * U(P_WORD) + x[at + i]
-                out[CONTENT].append({"doc_id": mine(len(at)), "start_word": at, "content": mix(h).view(np.int64)})
+                out[CONTENT].append({"doc_id": mine(len(at)), "start_word": at, "content": window_hashes(x, at, t).view(np.int64)})
             for kind, rows in out.items():
                 if rows:
                     yield batch(kind, rows)
@@ -482,10 +582,10 @@ def verify(pairs: DataFrame, t: int, threshold: float, again: bool, k: int = SHI
     return pairs.select("doc", "other", "runs", "text", "other_text").mapInArrow(run, FOUND)
 
 
-def keys_of(held: DataFrame, classes: np.ndarray, t: int, threshold: float, k: int = SHINGLE_WORDS) -> DataFrame:
-    """(sig, content, doc, run, first, last, weak) of documents (doc, runs, text): all runs' prefix keys."""
+def islands_of(held: DataFrame, classes: np.ndarray, t: int, threshold: float, k: int = SHINGLE_WORDS) -> DataFrame:
+    """(content, doc, first, last, weak) of documents (doc, runs, text): the prefix keys of the windows of their runs."""
     sent = held.sparkSession.sparkContext.broadcast(classes)
-    kinds = pa.schema([("sig", pa.int64()), ("content", pa.int64()), ("doc", pa.int64()), ("run", pa.int32()), ("first", pa.int32()), ("last", pa.int32()), ("weak", pa.bool_())])
+    kinds = pa.schema([("content", pa.int64()), ("doc", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("weak", pa.bool_())])
 
     def run(batches):
         hasher = Words()
@@ -493,22 +593,31 @@ def keys_of(held: DataFrame, classes: np.ndarray, t: int, threshold: float, k: i
             out = [[] for _ in kinds]
             edge, fields = run_columns(b["runs"])
             for n, (doc, text) in enumerate(zip(b["doc"].to_pylist(), b["text"].cast(pa.binary()).to_pylist())):
-                runs = {name: v[edge[n] : edge[n + 1]] for name, v in fields.items()}
-                rank = rarity_rank(shingle_hashes(hasher.of(text), k), sent.value)
-                lo, hi = int(runs["first"].min()), int(runs["last"].max())
-                asked = covered(runs["first"] - lo, runs["last"] - lo, hi - lo + 1)
-                key, first, last, weak = prefix_islands(rank[lo : hi + t], asked, t, threshold)
-                first, last = first + lo, last + lo
-                some = max(1, WINDOWS_AT_ONCE * 64 // max(1, len(key)))  # runs that are met with all keys at a time
-                for at in range(0, len(runs["first"]), some):
-                    part = {name: v[at : at + some] for name, v in runs.items()}
-                    r, i = np.nonzero((first[None] <= part["last"][:, None]) & (last[None] >= part["first"][:, None]))
-                    rows = part["sig"][r], key[i], np.full(len(r), doc, np.int64), part["first"][r], np.maximum(first[i], part["first"][r]), np.minimum(last[i], part["last"][r]), weak[i]
-                    for column, v in zip(out, rows):
-                        column.append(v)
+                start, end = fields["first"][edge[n] : edge[n + 1]], fields["last"][edge[n] : edge[n + 1]]
+                lo, hi = int(start.min()), int(end.max())
+                rank = rarity_rank(shingle_hashes(hasher.of(text), k)[lo : hi + t], sent.value)
+                key, first, last, weak = prefix_islands(rank, covered(start - lo, end - lo, hi - lo + 1), t, threshold)
+                for column, v in zip(out, (key, np.full(len(key), doc, np.int64), first + lo, last + lo, weak)):
+                    column.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)).cast(kd.type) if c else pa.nulls(0, kd.type) for c, kd in zip(out, kinds)], schema=kinds)
 
-    return held.select("doc", "runs", "text").mapInArrow(run, "sig long, content long, doc long, run int, first int, last int, weak boolean")
+    return held.select("doc", "runs", "text").mapInArrow(run, "content long, doc long, first int, last int, weak boolean")
+
+
+def keys_of(islands: DataFrame, runs: DataFrame) -> DataFrame:
+    """(sig, content, doc, run, first, last, weak): all prefix keys of the runs (doc, runs) that another document's runs of the signature have too, not only as weak ones."""
+    two = F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.bool_and("weak").alias("weak")
+    met = islands.groupBy("content").agg(*two).where("lo < hi and not weak").select("content")
+    met = write_table(islands.join(write_table(met, "met_contents"), "content"), "met_islands")
+    blocks = F.explode(F.expr(f"sequence(first div {BLOCK}, last div {BLOCK})")).alias("block")
+    x = met.select("*", blocks).alias("x")
+    y = runs.select("doc", F.explode("runs").alias("r")).select("doc", "r.*").select("*", blocks).alias("y")
+    # a key and a run meet in the block of the first start that they share
+    keys = x.join(y, ["doc", "block"]).where(f"x.first <= y.last and y.first <= x.last and block = greatest(x.first, y.first) div {BLOCK}")
+    keys = keys.select("sig", "content", "doc", F.col("y.first").alias("run"), F.greatest("x.first", "y.first").alias("first"), F.least("x.last", "y.last").alias("last"), "weak")
+    keys = write_table(keys, "keys")
+    live = keys.groupBy("sig", "content").agg(*two).where("lo < hi and not weak").select("sig", "content")
+    return write_table(keys.join(write_table(live, "live_keys"), ["sig", "content"]), "met_keys")
 
 
 def still_open(failed: DataFrame, done: DataFrame) -> DataFrame:
@@ -517,13 +626,24 @@ def still_open(failed: DataFrame, done: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            rows = []
-            for doc, asked, gone in zip(*(c.to_pylist() for c in b.columns)):
-                gone = {s for g in gone or [] for s in range(g["first"], g["last"] + 1)}
-                for r in asked:
-                    left = ranges([s for s in range(r["first"], r["last"] + 1) if s not in gone])
-                    rows += [(doc, r["sig"], r["pair"], r["run"], a, z) for a, z in left]
-            yield pa.RecordBatch.from_arrays([pa.array(c, kd.type) for c, kd in zip(zip(*rows) if rows else [[]] * len(kinds), kinds)], schema=kinds)
+            (edge, asked), (done_edge, gone) = run_columns(b["asked"]), run_columns(b["gone"])
+            of, first, last = [], [], []
+            for n in range(b.num_rows):
+                own, met = slice(edge[n], edge[n + 1]), slice(done_edge[n], done_edge[n + 1])
+                a, z = asked["first"][own], asked["last"][own]
+                size = max(z.max(), gone["last"][met].max(initial=0)) + 1
+                left = ~covered(gone["first"][met], gone["last"][met], size)
+                sums = np.concatenate(([0], np.cumsum(left)))
+                count = sums[z + 1] - sums[a]
+                whole = np.nonzero(count == z - a + 1)[0]
+                of, first, last = [*of, edge[n] + whole], [*first, a[whole]], [*last, z[whole]]
+                for i in np.nonzero((count > 0) & (count <= z - a))[0].tolist():
+                    some = np.array(ranges(a[i] + np.nonzero(left[a[i] : z[i] + 1])[0]), np.int64)
+                    of, first, last = [*of, np.full(len(some), edge[n] + i)], [*first, some[:, 0]], [*last, some[:, 1]]
+            of, first, last = (np.concatenate([np.zeros(0, np.int64), *v]) for v in (of, first, last))
+            doc = np.repeat(b["doc"].to_numpy(), np.diff(edge))
+            rows = doc[of], asked["sig"][of], asked["pair"][of], asked["run"][of], first, last
+            yield pa.RecordBatch.from_arrays([pa.array(c).cast(kd.type) for c, kd in zip(rows, kinds)], schema=kinds)
 
     a = failed.groupBy("doc").agg(F.collect_list(F.struct("sig", "pair", "run", "first", "last")).alias("asked"))
     g = done.groupBy("doc").agg(F.collect_set(F.struct("first", "last")).alias("gone"))
@@ -568,12 +688,10 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, threshold: fl
     """(doc_id, other_doc_id, start_word, n_words, other_start_word, similarity); see the module's text."""
     t = min_words - SHINGLE_WORDS + 1
     texts, copies = distinct_texts(docs)
-    rows = signature_rows(texts, t, pairs)
-    sigs = rows.groupBy("sig").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo <> hi").select("sig")
-    sigs = write_table(sigs, "shared")
+    sigs = write_table(repeated_signatures(texts, t, pairs), "repeated")
     rows = signature_rows(texts, t, pairs, keep=signature_filter(sigs))
     rows = write_table(rows.join(sigs, "sig"), "shared_runs")
-    shared = rows.groupBy("sig").agg(F.min(F.struct("doc", "first", "last")).alias("o"), F.count("*").alias("n"))
+    shared = rows.groupBy("sig").agg(F.min(F.struct("doc", "first", "last")).alias("o"), F.max("doc").alias("hi"), F.count("*").alias("n")).where("o.doc <> hi")
     shared = shared.select("sig", F.col("o.doc").alias("other"), F.col("o.first").alias("ofirst"), F.col("o.last").alias("olast"), "n")
     met = rows.join(shared, "sig").where("doc <> other or first <> ofirst")
     grouped = met.groupBy("doc", "other").agg(F.collect_list(F.struct("pair", "first", "last", "ofirst", "olast", "sig", "n")).alias("runs"))
@@ -602,9 +720,7 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, threshold: fl
     runs = runs.groupBy("doc").agg(F.collect_list(F.struct("r.sig", "r.first", "r.last")).alias("runs"))
     runs = write_table(runs, "open_groups")
     held = write_table(runs.join(texts, "doc"), "open_texts")
-    keys = write_table(keys_of(held, shingle_classes(held), t, threshold), "keys")
-    live = keys.groupBy("sig", "content").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.bool_and("weak").alias("weak")).where("lo < hi and not weak").select("sig", "content")
-    keys = write_table(keys.join(write_table(live, "live_keys"), ["sig", "content"]), "met_keys")
+    keys = keys_of(write_table(islands_of(held, shingle_classes(held), t, threshold), "islands"), runs)
     pivots = checked_broadcast(key_pivots(keys), 64)
     late = write_table(verify(with_texts(pairs_on_keys(asking_of(keys, left), pivots), texts), t, threshold, True), "found_by_pivots")
     hits = late.where(F.col("kind") == HIT).select(*span, F.col("n_words").alias("last"))

@@ -164,3 +164,86 @@ def test_copies_hot_passage_and_awkward_documents(spark):
 @pytest.mark.parametrize("rows", [[], [(1, "short text")], [(1, None), (2, None)]])
 def test_nothing_to_find(spark, rows):
     assert S.repeated_passages(frame(spark, rows)).count() == 0
+
+
+def jaccard(a, b):
+    a, b = set(a.tolist()), set(b.tolist())
+    return len(a & b) / len(a | b)
+
+
+def test_sets_of_windows_are_compared_together():
+    rng = np.random.default_rng(1)
+    x, y = (rng.integers(0, 60, 200).astype(np.uint64) for _ in range(2))  # with repeats
+    a, b = np.arange(150), rng.integers(0, 150, 150)
+    assert S.set_similarities(x, a, y, b, 46).tolist() == [jaccard(x[i : i + 46], y[j : j + 46]) for i, j in zip(a, b)]
+
+
+def test_windows_left_out_are_like_no_window_of_the_other():
+    rng, t, left_out = np.random.default_rng(2), 20, 0
+    for values in (30, 10**6):  # with repeated shingles, and without
+        for size in (18, 25, 60):
+            y = rng.integers(0, values, 80).astype(np.uint64)
+            x = np.concatenate((rng.integers(0, values, 40).astype(np.uint64), y[5 : 5 + size], rng.integers(0, values, 40).astype(np.uint64)))
+            x[50] = 10**7
+            asked = rng.random(len(x) - t + 1) < 0.9
+            may = S.may_be_similar(x, y, asked, t, 0.8)
+            assert not (may & ~asked).any()
+            left_out += (asked & ~may).sum()
+            for i in np.nonzero(asked & ~may)[0]:
+                assert max(jaccard(x[i : i + t], y[j : j + t]) for j in range(len(y) - t + 1)) < 0.8
+    assert left_out > 100
+
+
+def test_equal_windows_have_equal_hashes():
+    x = np.random.default_rng(3).integers(0, 3, 400).astype(np.uint64)
+    h = {}
+    for lo in (0, 7, 60):  # whatever part of the text is asked for
+        at = np.arange(lo, 380, 3)
+        for i, v in zip(at.tolist(), S.window_hashes(x, at, 5).tolist()):
+            h.setdefault(tuple(x[i : i + 5].tolist()), set()).add(v)
+    assert len(h) > 100 and all(len(v) == 1 for v in h.values()) and len(set.union(*h.values())) == len(h)
+
+
+def test_prefix_keys_of_windows_with_repeats():
+    rng, t = np.random.default_rng(4), 20
+    rank = rng.integers(0, 25, 90).astype(np.uint64)
+    asked = rng.random(len(rank) - t + 1) < 0.7
+    want = set()
+    for i in np.nonzero(asked)[0].tolist():
+        w = sorted(set(rank[i : i + t].tolist()))
+        assert len(w) < t
+        w = np.array(w[: len(w) - int(np.ceil(0.8 * len(w) - 1e-9)) + 1], dtype=np.uint64)
+        want |= {(int(k), i) for far in (0, 1) for k in S.mix(w, 211 + far).view(np.int64)}
+    key, first, last, weak = S.prefix_islands(rank, asked, t, 0.8)
+    assert not weak.any() and {(int(k), s) for k, a, z in zip(key, first, last) for s in range(a, z + 1)} == want
+
+
+def test_repeated_signatures_are_sent_as_lists(spark, monkeypatch):
+    """Those that two runs have, of one task or of two, of one list or of several."""
+    monkeypatch.setattr(S, "SIGS_AT_ONCE", 50)
+    monkeypatch.setattr(S, "CHUNK", 2000)
+    rng = random.Random(11)
+    passage = prose(rng, 60, 10**6)
+    rows = [(i, " ".join(prose(rng, 80, 10**6) + (passage if i % 4 == 0 else []))) for i in range(40)]
+    texts = spark.createDataFrame(rows, "doc long, text string").repartition(3)
+    sent = [r.sig for r in S.signature_rows(texts, 46).collect()]
+    found = [r.sig for r in S.repeated_signatures(texts, 46).collect()]
+    assert sorted(found) == sorted(s for s in set(sent) if sent.count(s) > 1) and found
+    assert S.repeated_signatures(texts.where("doc < 0"), 46).count() == 0
+
+
+def test_keys_meet_the_runs_of_their_document(spark, monkeypatch):
+    """Across blocks, each pair once; keys of one document alone, or weak in all, are left out."""
+    monkeypatch.setattr(S, "BLOCK", 4)
+    islands = spark.createDataFrame([(7, 1, 2, 13, False), (7, 2, 5, 6, True), (8, 1, 3, 3, False), (9, 1, 0, 2, True), (9, 2, 0, 2, True)], "content long, doc long, first int, last int, weak boolean")
+    runs = spark.createDataFrame([(1, [(50, 1, 12), (51, 13, 20), (50, 14, 30)]), (2, [(50, 0, 9), (52, 0, 9)])], "doc long, runs array<struct<sig: long, first: int, last: int>>")
+    found = sorted(tuple(r) for r in S.keys_of(islands, runs).select("sig", "content", "doc", "run", "first", "last", "weak").collect())
+    assert found == [(50, 7, 1, 1, 2, 12, False), (50, 7, 2, 0, 5, 6, True)]
+
+
+def test_open_windows(spark):
+    """Hits cut runs of failed windows, also into two."""
+    failed = spark.createDataFrame([(1, 50, 0, 3, 3, 10), (1, 51, 1, 20, 20, 25), (2, 50, 0, 0, 0, 4), (3, 52, 0, 0, 0, 4)], "doc long, sig long, pair byte, run int, first int, last int")
+    done = spark.createDataFrame([(1, 5, 6), (1, 6, 6), (1, 25, 90), (3, 0, 2), (3, 3, 9), (4, 0, 3)], "doc long, first int, last int")
+    found = sorted(tuple(r) for r in S.still_open(failed, done).collect())
+    assert found == [(1, 50, 0, 3, 3, 4), (1, 50, 0, 3, 7, 10), (1, 51, 1, 20, 20, 24), (2, 50, 0, 0, 0, 4)]
