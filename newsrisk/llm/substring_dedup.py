@@ -17,7 +17,8 @@ passage with the same signature) are grouped by their exact content, each with t
 that has it. What is open then is tried with every earlier run of the signature's group, hits included,
 that shares a prefix key: similar windows share one of the first shingles of each in one order of all
 shingles, rare ones first (counted in hash buckets over the documents that have such a run), so that neither a
-line all have nor the words all edits of a passage kept make pairs. Keys that
+line all have nor the words all edits of a passage kept make pairs. The first that they share has a place in
+each that their numbers of shingles allow, and a pair is made only on such a key. Keys that
 ``PIVOT_AT`` runs or more have go first with ``PIVOTS`` runs, the first of each of so many hash parts of their
 documents: of many edits of a passage one of these is likely like the original there. Only windows still
 open then meet all earlier runs with their keys. A window at similarity
@@ -35,6 +36,8 @@ one with the smallest hash is taken; a passage repeated only within one document
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -46,9 +49,11 @@ MIN_WORDS = 50
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 PAIRS = 5
-CHUNK = 1 << 20  # bytes of text hashed at a time
+CHUNK = 1 << 17  # bytes of text hashed at a time: the arrays stay in the processor's cache
 WINDOWS_AT_ONCE = 1 << 16
-RARITY_BITS = 20  # log2 of the hash buckets that shingles are counted in
+ROWS_AT_ONCE = 1 << 16
+RARITY_BITS = 24  # log2 of the hash buckets that shingles are counted in
+RARITY_PART_BITS = 14  # log2 of the buckets that are counted together
 FILTER_BITS = 27  # log2 of the largest filter of shared signatures, in bits
 #: Open windows meet up to this many of the earliest runs with one of their prefix keys first, if PIVOT_AT runs or more have it.
 PIVOTS = 8
@@ -68,9 +73,12 @@ BLOCK = 128
 
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
-    x = (x ^ U(seed * 0x9E3779B97F4A7C15 % (1 << 64))) * U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> U(29))) * U(0x94D049BB133111EB)
-    return x ^ (x >> U(32))
+    x = x ^ U(seed * 0x9E3779B97F4A7C15 % (1 << 64))  # a new array, the rest in place
+    x *= U(0xBF58476D1CE4E5B9)
+    x ^= x >> U(29)
+    x *= U(0x94D049BB133111EB)
+    x ^= x >> U(32)
+    return x
 
 
 class Words:
@@ -193,13 +201,23 @@ def signature_rows(texts: DataFrame, t: int, pairs: int = PAIRS, k: int = SHINGL
     sent = None if keep is None else texts.sparkSession.sparkContext.broadcast(keep)
     kinds = pa.schema([("sig", pa.int64()), ("pair", pa.int8()), ("doc", pa.int64()), ("first", pa.int32()), ("last", pa.int32())])
 
+    def batch(parts: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], schema=kinds)
+
     def run(batches):
+        parts, size = [], 0
         for ids, p, sig, own, first, last in chunk_runs(batches, t, pairs, k):
             if sent is not None:
                 held = sent.value
                 at_bit = np.nonzero(held[(sig >> U(6)) & U(len(held) - 1)] >> (sig & U(63)) & U(1))[0]
                 sig, own, first, last = sig[at_bit], own[at_bit], first[at_bit], last[at_bit]
-            yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(np.full(len(sig), p, np.int8)), pa.array(ids[own]), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32))], schema=kinds)
+            parts.append((sig.view(np.int64), np.full(len(sig), p, np.int8), ids[own], first.astype(np.int32), last.astype(np.int32)))
+            size += len(sig)
+            if size >= ROWS_AT_ONCE:
+                yield batch(parts)
+                parts, size = [], 0
+        if parts:
+            yield batch(parts)
 
     return texts.mapInArrow(run, "sig long, pair byte, doc long, first int, last int")
 
@@ -428,21 +446,43 @@ def held_within(x, y, first, last, ofirst, olast, shift: int, t: int, threshold:
 
 
 def shingle_classes(texts: DataFrame, bits: int = RARITY_BITS, k: int = SHINGLE_WORDS) -> np.ndarray:
-    """Each hash bucket's class: the logarithm of how many shingles of all ``texts`` (doc, text) fall into it."""
+    """Each hash bucket's class: the logarithm of how many shingles of all ``texts`` (doc, text) fall into it, beyond the mean.
+
+    Most shingles are one text's own; without the mean they would pass for as many as share their bucket.
+    A task sends sorted lists of 2 bytes a shingle, as repeated_signatures() does; a class for each bucket comes back.
+    """
+    per_part = min(bits, RARITY_PART_BITS)
+    kinds = pa.schema([("part", pa.int32()), ("buckets", pa.list_(pa.int16()))])
+
+    def lists(parts: list[np.ndarray]) -> pa.RecordBatch:
+        at = np.sort((np.concatenate(parts) >> U(64 - bits)).astype(np.uint32))
+        edge = np.searchsorted(at, np.arange((1 << (bits - per_part)) + 1, dtype=np.uint64) << U(per_part))
+        held = np.nonzero(np.diff(edge))[0]
+        own = pa.array((at & np.uint32((1 << per_part) - 1)).astype(np.int16))
+        return pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.ListArray.from_arrays(pa.array(np.append(edge[held], len(at)).astype(np.int32)), own)], schema=kinds)
 
     def run(batches):
-        hasher = Words()
+        hasher, parts, size = Words(), [], 0
         for b in batches:
-            n = np.zeros(1 << bits, dtype=np.int64)
-            for text in b.column(0).cast(pa.binary()).to_pylist():
-                np.add.at(n, (shingle_hashes(hasher.of(text), k) >> U(64 - bits)).astype(np.int64), 1)
-            at = np.nonzero(n)[0]
-            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(n[at])], names=["bucket", "n"])
-
-    counts = texts.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # at most 2^bits rows
-    out = np.zeros(1 << bits, dtype=np.uint8)
-    out[counts.column(0).to_numpy()] = np.log2(counts.column(1).to_numpy() + 1.0)
-    return out
+            for text in b.column(0).cast(pa.binary()):
+                parts.append(shingle_hashes(hasher.of(text.as_py()), k))
+                size += len(parts[-1])
+                if size >= SIGS_AT_ONCE:
+                    yield lists(parts)
+                    parts, size = [], 0
+        if size:
+            yield lists(parts)
+
+    def counted(part: pa.Table) -> pa.Table:
+        n = sum(np.bincount(c.flatten().to_numpy(), minlength=1 << per_part) for c in part["buckets"].chunks)
+        rarity = np.log2(np.maximum(n - n.mean(), 0) + 1).astype(np.uint8)
+        return pa.table({"part": part["part"][:1], "classes": pa.array([rarity.tobytes()], pa.binary())})
+
+    counts = texts.select("text").mapInArrow(run, "part int, buckets array<short>").groupBy("part").applyInArrow(counted, "part int, classes binary").toArrow()  # at most 2^bits bytes
+    out = np.zeros((1 << (bits - per_part), 1 << per_part), dtype=np.uint8)
+    for part, classes in zip(counts.column(0).to_pylist(), counts.column(1).to_pylist()):
+        out[part] = np.frombuffer(classes, np.uint8)
+    return out.ravel()
 
 
 def rarity_rank(x: np.ndarray, classes: np.ndarray) -> np.ndarray:
@@ -451,13 +491,15 @@ def rarity_rank(x: np.ndarray, classes: np.ndarray) -> np.ndarray:
     return (classes[(x >> U(64 - bits)).astype(np.int64)].astype(U) << U(58)) | (mix(x, 77) >> U(6))
 
 
-def prefix_islands(rank: np.ndarray, asked: np.ndarray, t: int, threshold: float):
+def prefix_islands(rank: np.ndarray, asked: np.ndarray, t: int, threshold: float, placed: bool = False):
     """(key, first start, last start, weak) of the asked windows: their first shingles in the order of ``rank``.
 
     Sets of similarity ``threshold`` share one of the first n - c + 1 elements in any order that both use, c being
     the least they can have in common. Two windows of t distinct shingles share more than a window with repeated ones may; the further
     keys that only such a window needs are ``weak``: they count in pairs with a row that is not weak.
-    Successive windows with a key are one row.
+    Successive windows with a key are one row. With ``placed`` also the number of shingles (n) of the windows and the key's place
+    among them (from 0; 0 also for keys that every pair may use), which are the same in all windows of a row (see may_match()), and a ``space``: rows of
+    space 0 meet such rows; the keys of windows with repeated shingles are there twice, as 2 to meet the weak ones, 1.
     """
     starts = np.nonzero(asked)[0]
     if len(starts) > WINDOWS_AT_ONCE:  # of a long text: part by part
@@ -467,27 +509,42 @@ def prefix_islands(rank: np.ndarray, asked: np.ndarray, t: int, threshold: float
             some = np.zeros(len(asked), bool)
             some[own] = True
             lo, hi = own[0], own[-1]
-            key, first, last, weak = prefix_islands(rank[lo : hi + t], some[lo : hi + 1], t, threshold)
-            parts.append((key, first + lo, last + lo, weak))
+            key, first, last, *more = prefix_islands(rank[lo : hi + t], some[lo : hi + 1], t, threshold, placed)
+            parts.append((key, first + lo, last + lo, *more))
         return tuple(np.concatenate(c) for c in zip(*parts))
     windows = np.sort(np.lib.stride_tricks.sliding_window_view(rank, t)[starts], axis=1)
     width = lambda n: n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1
-    near = t - int(np.ceil(2 * t * threshold / (1 + threshold) - 1e-9)) + 1
+    near, far = t - int(np.ceil(2 * t * threshold / (1 + threshold) - 1e-9)) + 1, width(t)
     distinct = ~(windows[:, 1:] == windows[:, :-1]).any(axis=1)
-    parts = [(windows[distinct, :near].ravel(), np.repeat(starts[distinct], near), 0, False), (windows[distinct, near : width(t)].ravel(), np.repeat(starts[distinct], width(t) - near), 1, True)]
+    # (space, key, start, weak, number of shingles, place)
+    own, at = windows[distinct], starts[distinct]
+    parts = [(0, own[:, :near].ravel(), np.repeat(at, near), False, np.full(near * len(own), t), np.zeros(near * len(own), np.int64)), (1, own[:, near:far].ravel(), np.repeat(at, far - near), True, np.full((far - near) * len(own), t), np.tile(np.arange(near, far), len(own)))]
     if not distinct.all():  # the first keys of each of the others, without repeats
         others = windows[~distinct]
         place = np.cumsum(first_of_equals(others), axis=1)
         row, column = np.nonzero(first_of_equals(others) & (place <= width(place[:, -1])[:, None]))
-        parts += [(others[row, column], starts[~distinct][row], far, False) for far in (0, 1)]
-    key = np.concatenate([mix(k, 211 + far) for k, _, far, _ in parts])
-    at = np.concatenate([a for _, a, _, _ in parts])
-    weak = np.concatenate([np.full(len(k), w) for k, _, _, w in parts])
-    order = np.lexsort((at, weak, key))
-    key, at, weak = key[order], at[order], weak[order]
-    new = np.nonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (weak[1:] != weak[:-1]) | (at[1:] > at[:-1] + 1))))[0] if len(key) else np.zeros(0, np.int64)
+        parts += [(space, others[row, column], starts[~distinct][row], False, place[row, -1], place[row, column] - 1) for space in (0, 2)]
+    key = np.concatenate([mix(k, 211 + (space > 0)) for space, k, *_ in parts])
+    space = np.concatenate([np.full(len(k), v, np.int64) for v, k, *_ in parts])
+    weak = np.concatenate([np.full(len(k), w) for _, k, _, w, *_ in parts])
+    at, size, place = (np.concatenate([p[i] for p in parts]) for i in (2, 4, 5))
+    kind = (space * (t + 1) + size) * t + place
+    order = np.lexsort((at, kind, key))
+    key, at, weak, size, place, space, kind = (v[order] for v in (key, at, weak, size, place, space, kind))
+    new = np.nonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (kind[1:] != kind[:-1]) | (at[1:] > at[:-1] + 1))))[0] if len(key) else np.zeros(0, np.int64)
     end = np.append(new[1:], len(key)) - 1
-    return key[new].view(np.int64), at[new], at[end] if len(new) else at[:0], weak[new]
+    islands = key[new].view(np.int64), at[new], at[end] if len(new) else at[:0], weak[new], size[new], place[new], space[new]
+    return islands if placed else islands[:4]
+
+
+def may_match(threshold: float):
+    """Whether two windows may share a key as the first one, in the order of ranks, that they have in common.
+
+    Sets of n and m elements of similarity ``threshold`` have c or more in common: the first of these has a place of n - c at
+    most in the one, m - c in the other.
+    """
+    common = (F.col("size") + F.col("osize")) * F.lit(threshold / (1 + threshold)) - F.lit(1e-9)
+    return common <= F.least(F.col("size") - F.col("place"), F.col("osize") - F.col("oplace"))
 
 
 def ranges(starts) -> list[tuple[int, int]]:
@@ -582,10 +639,13 @@ def verify(pairs: DataFrame, t: int, threshold: float, again: bool, k: int = SHI
     return pairs.select("doc", "other", "runs", "text", "other_text").mapInArrow(run, FOUND)
 
 
+PLACED = ("size", "place", "space")
+
+
 def islands_of(held: DataFrame, classes: np.ndarray, t: int, threshold: float, k: int = SHINGLE_WORDS) -> DataFrame:
-    """(content, doc, first, last, weak) of documents (doc, runs, text): the prefix keys of the windows of their runs."""
+    """(content, doc, first, last, weak, size, place, space) of documents (doc, runs, text): the prefix keys of the windows of their runs."""
     sent = held.sparkSession.sparkContext.broadcast(classes)
-    kinds = pa.schema([("content", pa.int64()), ("doc", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("weak", pa.bool_())])
+    kinds = pa.schema([("content", pa.int64()), ("doc", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("weak", pa.bool_()), ("size", pa.int16()), ("place", pa.int16()), ("space", pa.int8())])
 
     def run(batches):
         hasher = Words()
@@ -596,16 +656,16 @@ def islands_of(held: DataFrame, classes: np.ndarray, t: int, threshold: float, k
                 start, end = fields["first"][edge[n] : edge[n + 1]], fields["last"][edge[n] : edge[n + 1]]
                 lo, hi = int(start.min()), int(end.max())
                 rank = rarity_rank(shingle_hashes(hasher.of(text), k)[lo : hi + t], sent.value)
-                key, first, last, weak = prefix_islands(rank, covered(start - lo, end - lo, hi - lo + 1), t, threshold)
-                for column, v in zip(out, (key, np.full(len(key), doc, np.int64), first + lo, last + lo, weak)):
+                key, first, last, *kind = prefix_islands(rank, covered(start - lo, end - lo, hi - lo + 1), t, threshold, True)
+                for column, v in zip(out, (key, np.full(len(key), doc, np.int64), first + lo, last + lo, *kind)):
                     column.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)).cast(kd.type) if c else pa.nulls(0, kd.type) for c, kd in zip(out, kinds)], schema=kinds)
 
-    return held.select("doc", "runs", "text").mapInArrow(run, "content long, doc long, first int, last int, weak boolean")
+    return held.select("doc", "runs", "text").mapInArrow(run, "content long, doc long, first int, last int, weak boolean, size short, place short, space byte")
 
 
 def keys_of(islands: DataFrame, runs: DataFrame) -> DataFrame:
-    """(sig, content, doc, run, first, last, weak): all prefix keys of the runs (doc, runs) that another document's runs of the signature have too, not only as weak ones."""
+    """(sig, content, doc, run, first, last, weak, size, place, space if given): all prefix keys of the runs (doc, runs) that another document's runs of the signature have too, not only as weak ones."""
     two = F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.bool_and("weak").alias("weak")
     met = islands.groupBy("content").agg(*two).where("lo < hi and not weak").select("content")
     met = write_table(islands.join(write_table(met, "met_contents"), "content"), "met_islands")
@@ -614,7 +674,7 @@ def keys_of(islands: DataFrame, runs: DataFrame) -> DataFrame:
     y = runs.select("doc", F.explode("runs").alias("r")).select("doc", "r.*").select("*", blocks).alias("y")
     # a key and a run meet in the block of the first start that they share
     keys = x.join(y, ["doc", "block"]).where(f"x.first <= y.last and y.first <= x.last and block = greatest(x.first, y.first) div {BLOCK}")
-    keys = keys.select("sig", "content", "doc", F.col("y.first").alias("run"), F.greatest("x.first", "y.first").alias("first"), F.least("x.last", "y.last").alias("last"), "weak")
+    keys = keys.select("sig", "content", "doc", F.col("y.first").alias("run"), F.greatest("x.first", "y.first").alias("first"), F.least("x.last", "y.last").alias("last"), "weak", *(c for c in PLACED if c in islands.columns))
     keys = write_table(keys, "keys")
     live = keys.groupBy("sig", "content").agg(*two).where("lo < hi and not weak").select("sig", "content")
     return write_table(keys.join(write_table(live, "live_keys"), ["sig", "content"]), "met_keys")
@@ -654,23 +714,28 @@ TRIED = ("first", "last", "ofirst", "olast")
 
 
 def asking_of(keys: DataFrame, left: DataFrame) -> DataFrame:
-    """(sig, content, doc, run, pair, first, last, weak), written: the prefix keys of the open windows ``left``."""
+    """(sig, content, doc, run, pair, first, last, size, place, space), written: the prefix keys of the open windows ``left``."""
     x = keys.alias("x").join(left.alias("y"), ["doc", "sig", "run"]).where("x.first <= y.last and y.first <= x.last")
-    return write_table(x.select("sig", "content", "doc", "run", "pair", F.greatest("x.first", "y.first").alias("first"), F.least("x.last", "y.last").alias("last"), "weak"), "asking")
+    return write_table(x.select("sig", "content", "doc", "run", "pair", F.greatest("x.first", "y.first").alias("first"), F.least("x.last", "y.last").alias("last"), *PLACED), "asking")
+
+
+def answer_of(keys: DataFrame) -> DataFrame:
+    """The rows of ``keys`` as those that others meet; space: whose."""
+    space = F.when(F.col("space") > 0, 3 - F.col("space")).otherwise(0).cast("byte").alias("space")
+    return keys.select("sig", "content", space, F.col("doc").alias("other"), *(F.col(c).alias(f"o{c}") for c in ("run", "first", "last", "size", "place")))
 
 
 def key_pivots(keys: DataFrame, pivots: int = PIVOTS, pivot_at: int = PIVOT_AT) -> DataFrame:
-    """(sig, content, other, orun, ofirst, olast, oweak), written: of the keys that ``pivot_at`` runs have the first run of each of ``pivots`` parts."""
+    """answer_of() of the keys that ``pivot_at`` runs have, written: the first run of each of ``pivots`` parts."""
     part = F.pmod(F.xxhash64("doc"), F.lit(pivots)).alias("part")
-    by_part = keys.groupBy("sig", "content", part).agg(F.min(F.struct("doc", "run", "first", "last", "weak")).alias("o"), F.count("*").alias("n"))
+    by_part = keys.groupBy("sig", "content", part).agg(F.min(F.struct("doc", "run", "first", "last", "weak", *PLACED)).alias("o"), F.count("*").alias("n"))
     by_key = by_part.groupBy("sig", "content").agg(F.collect_list("o").alias("o"), F.sum("n").alias("n")).where(F.col("n") >= pivot_at)  # at most `pivots`
-    of = by_key.select("sig", "content", F.explode("o").alias("o"))
-    return write_table(of.select("sig", "content", F.col("o.doc").alias("other"), F.col("o.run").alias("orun"), F.col("o.first").alias("ofirst"), F.col("o.last").alias("olast"), F.col("o.weak").alias("oweak")), "pivots")
+    return write_table(answer_of(by_key.select("sig", "content", F.explode("o").alias("o")).select("sig", "content", "o.*")), "pivots")
 
 
-def pairs_on_keys(asking: DataFrame, answer: DataFrame) -> DataFrame:
-    """(doc, other, runs), written: runs of ``asking`` with the earlier documents' runs of ``answer`` that share a key (not a weak one of both: two windows of distinct shingles share one of the others)."""
-    met = asking.join(answer, ["sig", "content"]).where("other < doc and not (weak and oweak)").groupBy("doc", "other", "sig", "pair", "run", "orun")
+def pairs_on_keys(asking: DataFrame, answer: DataFrame, threshold: float) -> DataFrame:
+    """(doc, other, runs), written: runs of ``asking`` with the earlier documents' runs of ``answer`` that share a key at places where a similar pair may."""
+    met = asking.join(answer, ["sig", "content", "space"]).where(F.expr("other < doc") & may_match(threshold)).groupBy("doc", "other", "sig", "pair", "run", "orun")
     met = met.agg(*(f(c).alias(c) for f, c in zip((F.min, F.max, F.min, F.max), TRIED)))
     # verify() gives failed windows of runs whose group (n) has more members: none here
     run = F.struct("pair", *TRIED, F.lit(0).cast("long").alias("sig"), F.lit(0).cast("long").alias("n"))
@@ -722,14 +787,14 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, threshold: fl
     held = write_table(runs.join(texts, "doc"), "open_texts")
     keys = keys_of(write_table(islands_of(held, shingle_classes(held), t, threshold), "islands"), runs)
     pivots = checked_broadcast(key_pivots(keys), 64)
-    late = write_table(verify(with_texts(pairs_on_keys(asking_of(keys, left), pivots), texts), t, threshold, True), "found_by_pivots")
+    late = write_table(verify(with_texts(pairs_on_keys(asking_of(keys, left), pivots, threshold), texts), t, threshold, True), "found_by_pivots")
     hits = late.where(F.col("kind") == HIT).select(*span, F.col("n_words").alias("last"))
     asking = asking_of(keys, write_table(still_open(left, hits), "open_after_pivots"))
-    answer = keys.select("sig", "content", F.col("doc").alias("other"), F.col("run").alias("orun"), F.col("first").alias("ofirst"), F.col("last").alias("olast"), F.col("weak").alias("oweak"))
-    last = write_table(verify(with_texts(pairs_on_keys(asking, answer), texts), t, threshold, False), "late")
+    last = write_table(verify(with_texts(pairs_on_keys(asking, answer_of(keys), threshold), texts), t, threshold, False), "late")
     late = late.where(F.col("kind") == NEAR).select(*columns).unionByName(last.select(*columns))
-    sized = F.size(F.array_remove(F.split(F.col("text"), r"[ \t\n\x0b\f\r]+"), ""))
+    plain = reduce(lambda text, space: F.replace(text, F.lit(space), F.lit(" ")), "\t\n\x0b\f\r", F.col("text"))
+    sized = F.size(F.array_remove(F.split(plain, " "), ""))
     firsts = copies.select(F.col("of").alias("doc")).distinct()
-    lengths = write_table(texts.join(checked_broadcast(write_table(firsts, "firsts"), 24), "doc", "left_semi").select("doc", sized.alias("n_words")).where(F.col("n_words") >= min_words), "lengths")
+    lengths = write_table(texts.join(checked_broadcast(write_table(firsts, "firsts"), 24), "doc", "left_semi").select("doc", sized.alias("n_words")), "lengths").where(F.col("n_words") >= min_words)
     whole = copies.join(lengths.withColumnRenamed("doc", "of"), "of").select(F.col("doc").alias("doc_id"), F.col("of").alias("other_doc_id"), F.lit(0).alias("start_word"), "n_words", F.lit(0).alias("other_start_word"), F.lit(1.0).alias("similarity"))
     return near.unionByName(exact).unionByName(late).unionByName(whole)

@@ -247,3 +247,55 @@ def test_open_windows(spark):
     done = spark.createDataFrame([(1, 5, 6), (1, 6, 6), (1, 25, 90), (3, 0, 2), (3, 3, 9), (4, 0, 3)], "doc long, first int, last int")
     found = sorted(tuple(r) for r in S.still_open(failed, done).collect())
     assert found == [(1, 50, 0, 3, 3, 4), (1, 50, 0, 3, 7, 10), (1, 51, 1, 20, 20, 24), (2, 50, 0, 0, 0, 4)]
+
+
+def test_similar_windows_meet_on_a_key_at_a_place_that_they_may_share(spark):
+    """Every similar pair does, also windows with repeated shingles; a passage just too short makes no pair."""
+    rng, t, threshold = np.random.default_rng(8), 20, 0.8
+    base, rows = rng.integers(1, 1 << 40, 24).astype(np.uint64), []
+    for _ in range(60):
+        x = base.copy()
+        x[rng.integers(0, 24, 2)] = rng.integers(1, 1 << 40, 2)
+        x[rng.integers(0, 24, 2)] = x[rng.integers(0, 24, 2)]
+        rows.append(x)
+    windows = {(i, at): frozenset(x[at : at + t].tolist()) for i, x in enumerate(rows) for at in range(5)}
+    keys = [(i, *map(int, r)) for i, x in enumerate(rows) for r in zip(*S.prefix_islands(x, np.ones(5, bool), t, threshold, True))]
+    at = [(d, s, key, size, place, space) for d, key, a, z, _, size, place, space in keys for s in range(a, z + 1)]
+    assert all(size == len(windows[d, s]) for d, s, _, size, _, _ in at)
+    x = spark.createDataFrame(at, "d long, s int, key long, size int, place int, space int")
+    y = x.selectExpr("d as od", "s as os", "key", "size as osize", "place as oplace", "if(space > 0, 3 - space, 0) as space")
+    met = {tuple(r) for r in x.join(y, ["key", "space"]).where(S.may_match(threshold)).select("d", "s", "od", "os").distinct().collect()}
+    similar = {(*a, *b) for a, v in windows.items() for b, w in windows.items() if len(v & w) >= threshold * len(v | w) - 1e-9}
+    assert similar <= met and len(similar) > 5 * len(windows) and len({len(w) for w in windows.values()}) > 2
+
+
+def test_pairs_of_windows_that_share_too_little_are_not_made(spark):
+    """Windows with a repeated shingle that share 39 of 46 with all others met them on spare keys, m * m / 2 pairs."""
+    rng, t = np.random.default_rng(9), 46
+    passage, islands = rng.integers(1 << 40, 1 << 41, 39).astype(np.uint64), []
+    for doc in range(40):
+        own = rng.integers(1, 1 << 40, 7).astype(np.uint64)
+        own[0] = own[1] if doc % 2 else own[0]
+        key, first, last, *kind = S.prefix_islands(np.concatenate((own, passage)), np.ones(1, bool), t, 0.8, True)
+        islands += [(int(k), doc, 0, 0, *(v.item() for v in r)) for k, r in zip(key, zip(*kind))]
+    islands = spark.createDataFrame(islands, "content long, doc long, first int, last int, weak boolean, size short, place short, space byte")
+    docs = spark.range(40).withColumnRenamed("id", "doc")
+    keys = S.keys_of(islands, docs.selectExpr("doc", "array(named_struct('sig', 5L, 'first', 0, 'last', 0)) as runs"))
+    asking = S.asking_of(keys, docs.selectExpr("doc", "5L as sig", "0Y as pair", "0 as run", "0 as first", "0 as last"))
+    assert asking.count() > 100
+    assert S.pairs_on_keys(asking, S.answer_of(keys), 0.8).count() == 0
+
+
+def test_classes_of_shingles_do_not_count_the_others_in_their_bucket(spark, monkeypatch):
+    """Counted in parts, from lists of several tasks; a text's own shingles are rarest however full the buckets are."""
+    monkeypatch.setattr(S, "RARITY_PART_BITS", 4)
+    monkeypatch.setattr(S, "SIGS_AT_ONCE", 500)
+    rng = random.Random(12)
+    passage = prose(rng, 30, 10**6)
+    texts = [" ".join(prose(rng, 60, 10**6) + passage) for _ in range(80)]
+    found = S.shingle_classes(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3), bits=10)
+    x = [S.shingle_hashes(S.Words().of(t.encode())) for t in texts]
+    n = np.bincount((np.concatenate(x) >> np.uint64(54)).astype(int), minlength=1 << 10).reshape(-1, 16)
+    assert (found == np.log2(np.maximum(n - n.mean(axis=1, keepdims=True), 0) + 1).astype(np.uint8).ravel()).all()
+    ranks = [S.rarity_rank(v, found) for v in x]
+    assert np.mean([r[:56].max() < r[-26:].min() for r in ranks]) < 1 and np.mean([np.median(r[:56]) < r[-26:].min() for r in ranks]) == 1
